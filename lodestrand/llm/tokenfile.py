@@ -40,7 +40,7 @@ from .scratch import drop, new_path
 
 END_ID = 2
 #: A block holds about so many ids, of whole documents.  Ranges of doc_id follow blocks of about so many documents.
-BLOCK_IDS, RANGE_DOCS = 1_000_000, 8_192
+BLOCK_IDS, RANGE_DOCS, MAX_RANGES = 1_000_000, 8_192, 65_536
 CACHE_WORDS = 400_000
 MAGIC = b"TOKR0001"
 # letters whose lower case is one letter and which have no other composed form, then signs that the tokenizer splits from letters
@@ -99,7 +99,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         ids = self.tok.encode("a \t\nb", add_special_tokens=False).ids
         apart = [self.tok.encode(x, add_special_tokens=False).ids for x in "ab"]
@@ -109,28 +109,28 @@ class WordEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         if len(self.parts) > CACHE_WORDS:
             self.parts.clear()
         rest, cut = [], []
         for w in new:
-            m = _PLAIN.fullmatch(w) if self.by_part else None
+            m = _PLAIN.fullmatch(w.decode()) if self.by_part else None
             (cut.append((w, m[1].lower(), m[2])) if m else rest.append(w))
         lacking = [*{p for _, a, b in cut for p in (a, b) if p and p not in self.parts}]
         if lacking:
             self.parts.update(zip(lacking, self._ids(lacking)))
         self.words.update((w, self.parts[a] + self.parts[b] if b else self.parts[a]) for w, a, b in cut)
         if rest:
-            self.words.update(zip(rest, self._ids(rest)))
+            self.words.update(zip(rest, self._ids([w.decode() for w in rest])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._ids(texts)
         out = []
         for text in texts:
-            words = _ASCII_WORDS(text)
+            words = text.encode().split()  # of bytes: at ASCII white space alone
             if new := [w for w in dict.fromkeys(words) if w not in self.words]:
                 self._learn(new)
                 if lost := [w for w in dict.fromkeys(words) if w not in self.words]:  # the cache has just been emptied
@@ -139,9 +139,6 @@ class WordEncoder:
         return out
 
 
-_ASCII_WORDS = re.compile(r"[^\x20\x09-\x0D]+").findall
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
@@ -166,9 +163,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = docs.count()
-    ranges = max(1, -(-n // range_docs))
+    ranges = min(MAX_RANGES, max(1, -(-n // range_docs)))
     # Approximate quantiles deal doc_ids into ranges of like numbers; any cuts keep the order.
-    cuts = docs.stat.approxQuantile("doc_id", [i / min(ranges, 4096) for i in range(1, min(ranges, 4096))], 0.2 / min(ranges, 4096)) if 1 < ranges else []
+    cuts = docs.stat.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else []
     cuts = spark.sparkContext.broadcast(np.unique(np.array(cuts or [], float)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
