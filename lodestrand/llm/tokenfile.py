@@ -26,9 +26,11 @@ doc_id and text are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -104,14 +106,30 @@ class WordEncoder:
         ids = self.tok.encode("a \t\nb", add_special_tokens=False).ids
         apart = [self.tok.encode(x, add_special_tokens=False).ids for x in "ab"]
         self.by_word = ids == apart[0] + apart[1]
+        self.ends = None
+        suffix = getattr(self.tok.model, "end_of_word_suffix", None)
+        if suffix:
+            names = self.tok.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(names.values()) + 1, bool)
+            self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
         self.by_part = self.by_word and self._ids(["Ab.,"]) == [self._ids(["ab"])[0] + self._ids([".,"])[0]]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return [pack_ids(*e.ids) for e, pack_ids in ((e, _PACK[len(e)]) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False))]
+
+    def _ids_of_parts(self, parts: list[str]) -> list[bytes]:
+        """As _ids, for parts that are one word to the tokenizer: many go in a text, and ids that end words part them again."""
+        if self.ends is None:
+            return self._ids(parts)
+        texts = [" ".join(parts[i : i + 32]) for i in range(0, len(parts), 32)]
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
+        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+        if len(ends) != len(parts):
+            return self._ids(parts)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, new: list[bytes]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
         if len(self.parts) > CACHE_WORDS:
             self.parts.clear()
         rest, cut = [], []
@@ -120,7 +138,7 @@ class WordEncoder:
             (cut.append((w, m[1].lower(), m[2])) if m else rest.append(w))
         lacking = [*{p for _, a, b in cut for p in (a, b) if p and p not in self.parts}]
         if lacking:
-            self.parts.update(zip(lacking, self._ids(lacking)))
+            self.parts.update(zip(lacking, self._ids_of_parts(lacking)))
         self.words.update((w, self.parts[a] + self.parts[b] if b else self.parts[a]) for w, a, b in cut)
         if rest:
             self.words.update(zip(rest, self._ids([w.decode() for w in rest])))
@@ -128,15 +146,22 @@ class WordEncoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._ids(texts)
-        out = []
-        for text in texts:
-            words = text.encode().split()  # of bytes: at ASCII white space alone
-            if new := [w for w in dict.fromkeys(words) if w not in self.words]:
-                self._learn(new)
-                if lost := [w for w in dict.fromkeys(words) if w not in self.words]:  # the cache has just been emptied
-                    self._learn(lost)
-            out.append(b"".join(map(self.words.__getitem__, words)))
-        return out
+        if len(self.words) > CACHE_WORDS:  # short words come back most
+            short = {w: i for w, i in self.words.items() if len(w) < 8}
+            self.words = short if len(short) < CACHE_WORDS // 2 else {}
+        words = [t.encode().split() for t in texts]  # of bytes: at ASCII white space alone
+        if new := [w for w in set().union(*words) if w not in self.words]:
+            self._learn(new)
+        return [b"".join(map(self.words.__getitem__, w)) for w in words]
+
+
+class _Packers(dict):
+    def __missing__(self, n: int):
+        self[n] = struct.Struct(f"<{n}I").pack
+        return self[n]
+
+
+_PACK = _Packers()
 
 
 @lru_cache(maxsize=2)
