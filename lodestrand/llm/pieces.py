@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,10 +37,11 @@ from pyspark.sql import functions as F
 NBEST, MARK = 4, "▁"
 CACHE_WORDS = 400_000
 _CHAIN = re.compile("▁*[^▁\n]+|▁+|\n")
-#: for models without pieces of letters and other signs together
-_LETTERS, _SIGNS = re.compile(r"[^\W\d_]"), re.compile(r"[^▁]*(?:[\W\d_])(?<!▁)")
-_FINER_CHAIN = re.compile(r"▁*(?:[^\W\d_]+|(?:(?![▁\n])[\W\d_])+)|▁+|\n")
-_NONE = float("-inf")
+# Latin letters; for models without pieces of such letters and other signs together, words end where these meet
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u1e00-\u1eff"
+_MIXED = re.compile(f"[{_LATIN}][^{_LATIN}]|[^▁{_LATIN}][{_LATIN}]")
+_FINER_CHAIN = re.compile(f"▁*(?:[{_LATIN}]+|[^▁\n{_LATIN}]+)|▁+|\n")
+_NONE, _ABSENT = float("-inf"), ()
 
 
 class Pieces:
@@ -63,9 +65,11 @@ class Pieces:
         self.lowest = min((s for s, _ in self.known.values() if s > -1e8), default=0.0) - 10.0
         if any("\n" in p or MARK in p.lstrip(MARK) for p in self.known):
             raise ValueError("a piece of this model reaches over a word border")
-        mixed = any(_LETTERS.search(p) and _SIGNS.search(p) for p in self.known)
+        mixed = any(_MIXED.search(p) for p in self.known)
         self.chain = (_CHAIN if mixed else _FINER_CHAIN).findall
-        self.words: dict[str, tuple[float, float, bytes, int]] = {}
+        self.words: dict[str, int] = {}
+        #: of the words, in order: best score, loss of the second best, best ids
+        self.learnt: tuple[list[float], list[float], list[bytes]] = ([], [], [])
 
     def edges(self, word: str, end: int) -> list[tuple[int, float, int]]:
         """(start, score, id) of the pieces that end there, longest first; id -1: no piece, one character."""
@@ -106,56 +110,75 @@ class Pieces:
         raw = character.encode()
         return [self.byte[b] for b in raw] if all(b in self.byte for b in raw) else [self.unknown]
 
-    def _word(self, word: str) -> tuple[float, float, bytes, int]:
-        """(best score, loss of the second best, best ids as bytes, number of ids)."""
-        n, far, prefixes = len(word), self.longest, self.prefixes
-        best, last, into = [0.0] + [_NONE] * n, [(0, -1)] * (n + 1), [[] for _ in range(n + 1)]
+    def _word(self, word: str) -> tuple[float, float, bytes]:
+        """(best score, loss of the second best, best ids as bytes)."""
+        n, far, get, known, lowest = len(word), self.longest, self.prefixes.get, self.known, self.lowest
+        best, came, by = [0.0] + [_NONE] * n, [0] * (n + 1), [-1] * (n + 1)
+        ends, starts, scores = [], [], []
         for start in range(n):
-            behind, alone = best[start], True
+            behind = best[start]
             for end in range(start + 1, min(n, start + far) + 1):
-                piece = prefixes.get(word[start:end], 0)
-                if piece == 0:
-                    break
+                piece = get(word[start:end], _ABSENT)
                 if piece:
-                    alone = alone and end > start + 1
-                    into[end].append((behind + piece[0], start, piece[1]))
-            if alone:
-                into[start + 1].append((behind + self.lowest, start, -1))
-            for s, a, i in into[start + 1]:
+                    s = behind + piece[0]
+                    ends.append(end)
+                    scores.append(s)
+                    starts.append(start)
+                    if s > best[end]:
+                        best[end], came[end], by[end] = s, start, piece[1]
+                elif piece is _ABSENT:
+                    break
+            if word[start] not in known:
+                s = behind + lowest
+                ends.append(start + 1)
+                scores.append(s)
+                starts.append(start)
                 if s > best[start + 1]:
-                    best[start + 1], last[start + 1] = s, (a, i)
-        at, loss, path = n, float("inf"), []
+                    best[start + 1], came[start + 1], by[start + 1] = s, start, -1
+        at, path, on = n, [], {}
         while at:
-            # every other path leaves the best one at some position, by another edge into it
-            chosen = last[at]
-            for s, a, i in into[at]:
-                if (a, i) != chosen and best[at] - s < loss:
-                    loss = best[at] - s
-            path.append((chosen, word[chosen[0] : at]))
-            at = chosen[0]
-        ids = [i for e, w in reversed(path) for i in ([e[1]] if e[1] >= 0 else self.spell(w))]
-        return best[-1], loss, np.array(ids, "<u4").tobytes(), len(ids)
+            on[at] = chosen = came[at]
+            path.append((by[at], word[chosen:at]))
+            at = chosen
+        # every other path leaves the best one at some position, by another edge into it
+        loss = min([best[e] - s for e, a, s in zip(ends, starts, scores) if on.get(e, a) != a], default=float("inf"))
+        ids = [i for e, w in reversed(path) for i in ([e] if e >= 0 else self.spell(w))]
+        return best[-1], loss, struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str | None, n: int = NBEST) -> tuple[bytes, list[float]]:
         """Ids of the best segmentation (little-endian unsigned 32-bit) and the scores of the n best."""
         if not text:
             return b"", [0.0]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
         words = self.chain(MARK + text.replace(" ", MARK))
-        known = self.words
         for w in set(words):
-            if w not in known:
-                known[w] = self._word(w)
-        parts = [*map(known.__getitem__, words)]
-        total = sum(p[0] for p in parts)
+            if w not in self.words:
+                self._learn(w)
+        at = [*map(self.words.__getitem__, words)]
+        best, loss, ids = self.learnt
+        losses = np.fromiter(map(loss.__getitem__, at), float, len(at))
+        total = sum(map(best.__getitem__, at))
         scores = [0.0]  # losses against the best
         # n - 1 detours at most differ from the best path, so only the n - 1 words with the least losses matter
-        for i in heapq.nsmallest(n - 1, range(len(parts)), key=lambda i: parts[i][1]):
-            if parts[i][1] < float("inf"):
-                own = [parts[i][0] - s for s, _ in self.n_best(words[i], n)]
+        for i in np.argpartition(losses, n - 2)[: n - 1] if 1 < n <= len(at) else range(len(at) if n > 1 else 0):
+            if losses[i] < float("inf"):
+                own = [best[at[i]] - s for s, _ in self.n_best(words[i], n)]
                 scores = heapq.nsmallest(n, (a + b for a in scores for b in own))
-        return b"".join([p[2] for p in parts]), [total - x for x in scores]
+        return b"".join(map(ids.__getitem__, at)), [total - x for x in scores]
+
+    def _learn(self, word: str) -> None:
+        best, loss, ids = self._word(word)
+        for held, new in zip(self.learnt, (best, loss, ids)):
+            held.append(new)
+        self.words[word] = len(self.learnt[0]) - 1
+
+    def forget(self) -> None:
+        """Empty the cache, short words (which come back most) aside, once it is full."""
+        if len(self.words) > CACHE_WORDS:
+            old, (best, loss, ids) = self.words, self.learnt
+            short = [(w, i) for w, i in old.items() if len(w) < 8]
+            short = short if len(short) < CACHE_WORDS // 2 else []
+            self.words = {w: n for n, (w, _) in enumerate(short)}
+            self.learnt = tuple([held[i] for _, i in short] for held in (best, loss, ids))
 
     def encode_n(self, text: str, n: int = NBEST) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a whole text by one search over its lattice."""
@@ -190,6 +213,7 @@ def encode(docs: DataFrame, model: str, n: int = NBEST) -> DataFrame:
         for b in batches:
             for i in range(0, len(b), 256):
                 part = b.slice(i, 256)
+                p.forget()
                 got = [p.encode(t, n) for t in part.column("text").to_pylist()]
                 lengths = np.array([0, *(len(x) // 4 for x, _ in got)]).cumsum()
                 ids = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.frombuffer(b"".join(x for x, _ in got), "<i4")))
@@ -218,6 +242,7 @@ def round_trip(docs: DataFrame, model: str, n: int = NBEST) -> DataFrame:
         for b in batches:
             rows = []
             for t in b.column("text").to_pylist():
+                p.forget()
                 raw, scores = p.encode(t, n)
                 back = p.decode(np.frombuffer(raw, "<u4"))
                 rows.append((len(raw) // 4, zlib.crc32(raw), scores[0], scores, zlib.crc32((t or "").encode()), zlib.crc32(back.encode())))

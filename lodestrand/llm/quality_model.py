@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .learning import fold, labelled_sample, logistic, sigmoid
 
 FOLDS, HELD_OUT, THRESHOLD = 5, 0, 0.3
-PER_CLASS, LONGEST, CHUNK, DICTIONARY, LEVEL = 1_500, 200_000, 512, 131_072, 3
+PER_CLASS, LONGEST, CHUNK, DICTIONARY, LEVEL = 1_500, 50_000, 512, 131_072, 3
 
 
 #: bytes to their kind: small letter (all bytes beyond ASCII too), capital, digit, or themselves

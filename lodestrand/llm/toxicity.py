@@ -23,6 +23,7 @@ them through).
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 from .learning import fold, labelled_sample, logistic, sigmoid
 
 FOLDS, HELD_OUT, THRESHOLD, SENTENCE_THRESHOLD = 4, 2, 0.3, 0.5
-PER_CLASS, LONGEST, LEAST_DOCS, STEPS, STEMS = 2_500, 100_000, 5, 250, (4, 5, 6)
+PER_CLASS, LONGEST, LEAST_DOCS, STEPS, STEMS = 2_000, 30_000, 5, 250, (4, 5, 6)
 _WORDS = re.compile(r"\w+").findall
 _SENTENCE = re.compile(r"[^.!?\n]*\w[^.!?\n]*")
 
@@ -86,22 +87,24 @@ class BagModel:
 def fit(sample: list[tuple[str, int]], known: dict[int, int], least_docs: int = LEAST_DOCS, steps: int = STEPS, shrink: float = 2e-4, rate: float = 0.15) -> BagModel:
     total = sum(known.values())
     prior = known.get(1, 0) / total if total else 0.0
-    bags = [([sorted(_features(_WORDS(s))) for s in _SENTENCE.findall(t.lower())], y) for t, y in sample]
-    bags = [(b, y) for b, y in bags if b]
-    train, rest = [x for i, x in enumerate(bags) if i % 4], [(t, y) for i, (t, y) in enumerate(sample) if i % 4 == 0]
+    kept = [(t, y) for t, y in sample if _SENTENCE.search(t)]
+    train, rest = [x for i, x in enumerate(kept) if i % 4], kept[::4]
     if len({y for _, y in train}) < 2:
         return BagModel(fixed=prior)
-    df = Counter(w for b, _ in train for w in {w for s in b for w in s})
+    df: Counter = Counter()
+    for t, _ in train:
+        df.update(_features(_WORDS(t.lower())))
     vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in df.items() if n >= min(least_docs, max(1, len(train) // 20))))}
+    del df
     # sentences in a row; word occurrences point at their sentence, sentences at their document
-    doc, sent, word = [], [], []
-    for d, (b, _) in enumerate(train):
-        for s in b:
-            hit = [vocabulary[w] for w in s if w in vocabulary]
-            sent += [len(doc)] * len(hit)
-            word += hit
+    doc, sent, word = array("i"), array("i"), array("i")
+    for d, (t, _) in enumerate(train):
+        for s in _SENTENCE.findall(t.lower()):
+            hit = sorted(vocabulary[w] for w in _features(_WORDS(s)) if w in vocabulary)
+            sent.extend([len(doc)] * len(hit))
+            word.extend(hit)
             doc.append(d)
-    doc, sent, word = np.array(doc), np.array(sent, np.int64), np.array(word, np.int64)
+    doc, sent, word = (np.frombuffer(x, np.int32) if len(x) else np.zeros(0, np.int32) for x in (doc, sent, word))
     y = np.array([y for _, y in train], float)
     share = y.mean()
     importance = np.where(y == 1, prior / share, (1 - prior) / (1 - share))
