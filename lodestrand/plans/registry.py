@@ -1,15 +1,564 @@
-"""Queries of the library's operators over the driver's tables, and their SQL."""
+"""Queries of the library's operators over the driver's tables, and their SQL.
+
+Stand-ins: a read is an order, its hits are line items (score: quantity,
+accession: part, or supplier as a taxon of its own); suppliers, nations and
+regions under one root are the taxonomy; documents reduced to ACGT are
+sequences, benchmark items the contaminants; a line item is also an interval
+and an alignment.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestrand.functions import seq as S
+from lodestrand.operators import intervals, kmers, reads, sam, stats, taxonomy
+from lodestrand.sources import text as sources
+from lodestrand.streaming import events as windows
+
+_FOUND: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
+K = 9
+
+
+def query(sql: str):
+    def add(f):
+        _FOUND[f.__name__] = (f, sql)
+        return f
+
+    return add
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: f for name, (f, _) in _FOUND.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _FOUND.items() if sql}
+
+
+# ---------------------------------------------------------------- stand-ins
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _nodes(spark: SparkSession, d: str) -> DataFrame:
+    root = spark.createDataFrame([(1, 1, "no", "root")], "tid long, parent long, rank string, name string")
+    region = _t(spark, d, "region").select((F.col("r_regionkey") + 1_000).cast("long").alias("tid"), F.lit(1).cast("long").alias("parent"), F.lit("superkingdom").alias("rank"), F.col("r_name").alias("name"))
+    nation = _t(spark, d, "nation").select((F.col("n_nationkey") + 10_000).cast("long").alias("tid"), (F.col("n_regionkey") + 1_000).cast("long").alias("parent"), F.lit("family").alias("rank"), F.col("n_name").alias("name"))
+    supplier = _t(spark, d, "supplier").select((F.col("s_suppkey") + 100_000).alias("tid"), (F.col("s_nationkey") + 10_000).cast("long").alias("parent"), F.lit("species").alias("rank"), F.col("s_name").alias("name"))
+    return root.unionAll(region).unionAll(nation).unionAll(supplier)
+
+
+NODES = """nodes AS (
+    SELECT 1::BIGINT AS tid, 1::BIGINT AS parent, 'no' AS rank, 'root' AS name
+    UNION ALL SELECT r_regionkey + 1000, 1, 'superkingdom', r_name FROM region
+    UNION ALL SELECT n_nationkey + 10000, n_regionkey + 1000, 'family', n_name FROM nation
+    UNION ALL SELECT s_suppkey + 100000, s_nationkey + 10000, 'species', s_name FROM supplier)"""
+TREE = f"""{NODES}, up AS (
+    SELECT tid, tid AS ancestor, 0 AS distance FROM nodes
+    UNION ALL SELECT up.tid, nodes.parent, up.distance + 1 FROM up JOIN nodes ON nodes.tid = up.ancestor WHERE nodes.tid <> nodes.parent),
+depths AS (SELECT tid AS ancestor, max(distance) AS depth FROM up GROUP BY tid),
+tree AS (SELECT up.tid, up.ancestor, up.distance, n.rank, n.name, d.depth FROM up JOIN nodes n ON n.tid = up.ancestor JOIN depths d ON d.ancestor = up.ancestor)"""
+
+
+def _tree(spark: SparkSession, d: str) -> DataFrame:
+    return taxonomy.closure(_nodes(spark, d))
+
+
+def _hits(spark: SparkSession, d: str) -> DataFrame:
+    """read, tid, score: suppliers hit by orders, best score of each."""
+    rows = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("read"), (F.col("l_suppkey") + 100_000).alias("tid"), F.col("l_quantity").alias("score"))
+    return rows.groupBy("read", "tid").agg(F.max("score").alias("score"))
+
+
+HITS = "hits AS (SELECT l_orderkey AS read, l_suppkey + 100000 AS tid, max(l_quantity) AS score FROM lineitem GROUP BY ALL)"
+
+
+def _skewed(spark: SparkSession, d: str) -> DataFrame:
+    rows = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("read"), F.floor(F.log2(F.col("l_suppkey") + 1)).cast("long").alias("tid"), F.col("l_quantity").alias("score"))
+    return rows.groupBy("read", "tid").agg(F.max("score").alias("score"))
+
+
+SKEWED = "hits AS (SELECT l_orderkey AS read, CAST(floor(log2(l_suppkey + 1)) AS BIGINT) AS tid, max(l_quantity) AS score FROM lineitem GROUP BY ALL)"
+
+
+def _seqs(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]", "")).alias("seq"), "source")
+
+
+def _refs(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "benchmark").select(F.col("item_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]", "")).alias("seq"))
+
+
+SEQS = "seqs AS (SELECT doc_id AS name, upper(regexp_replace(text, '[^acgtACGT]', '', 'g')) AS seq, source FROM documents)"
+REFS = "refs AS (SELECT item_id AS name, upper(regexp_replace(text, '[^acgtACGT]', '', 'g')) AS seq FROM benchmark)"
+
+
+def _kmer_sql(name: str, source: str, k: int = K) -> str:
+    return f"""{name} AS (SELECT name, pos, greatest(kmer, reverse(translate(kmer, 'ACGT', 'TGCA'))) AS kmer FROM (
+    SELECT name, i - 1 AS pos, substr(seq, i, {k}) AS kmer FROM (SELECT name, seq, unnest(generate_series(1, length(seq) - {k} + 1)) AS i FROM {source})))"""
+
+
+def _intervals(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("end"), F.col("l_orderkey").alias("read"), F.col("l_linenumber").alias("line"))
+
+
+INTERVALS = """iv AS (SELECT l_suppkey AS chrom, l_partkey AS "start", l_partkey + CAST(l_quantity AS BIGINT) AS "end", l_orderkey AS read, l_linenumber AS line FROM lineitem)"""
+
+
+def _genome(spark: SparkSession, d: str) -> DataFrame:
+    n = _t(spark, d, "part").agg((F.count("*") + 50).alias("length"))
+    return _t(spark, d, "supplier").select(F.col("s_suppkey").alias("chrom")).join(F.broadcast(n), F.lit(True))  # one row
+
+
+RUNS = f"""{INTERVALS}, genome AS (SELECT s_suppkey AS chrom, (SELECT count(*) + 50 FROM part) AS length FROM supplier),
+ev AS (SELECT chrom, "start" AS pos, 1 AS d FROM iv UNION ALL SELECT chrom, "end", -1 FROM iv UNION ALL SELECT chrom, 0, 0 FROM genome),
+st AS (SELECT chrom, pos, sum(d) AS d FROM ev WHERE chrom IN (SELECT chrom FROM genome) GROUP BY ALL),
+dp AS (SELECT chrom, pos, CAST(sum(d) OVER (PARTITION BY chrom ORDER BY pos) AS BIGINT) AS depth FROM st),
+ch AS (SELECT *, lag(depth) OVER (PARTITION BY chrom ORDER BY pos) AS was FROM dp),
+lv AS (SELECT chrom, pos, depth, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) AS nxt FROM ch WHERE was IS NULL OR was <> depth),
+runs AS (SELECT * FROM (SELECT chrom, pos AS "start", least(coalesce(nxt, length), length) AS "end", depth FROM lv JOIN genome USING (chrom)) WHERE "start" < "end")"""
+MERGED = """isl AS (SELECT *, sum(new) OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS id FROM (
+    SELECT *, CASE WHEN prev IS NULL OR "start" > prev THEN 1 ELSE 0 END AS new FROM (
+        SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM src))),
+merged AS (SELECT chrom, min("start") AS "start", max("end") AS "end" FROM isl GROUP BY chrom, id)"""
+
+
+def _alignments(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as alignments: flags from line numbers and statuses, a CIGAR from quantity and discount."""
+    flag = (
+        F.when(F.col("l_linenumber") % 2 == 1, 0x41).otherwise(0x81) + F.when(F.col("l_returnflag") == "R", 4).otherwise(0) + F.when(F.col("l_linestatus") == "O", 16).otherwise(0)
+        + F.when(F.col("l_tax") > 0.07, 0x400).otherwise(0) + F.when(F.col("l_tax") < 0.01, 0x200).otherwise(0) + F.when(F.col("l_discount") > 0.05, 2).otherwise(0) + F.when(F.col("l_discount") < 0.02, 8).otherwise(0)
+    )
+    q, x = F.col("l_quantity").cast("int"), F.round(F.col("l_discount") * 100).cast("int")
+    cigar = F.concat(x + 1, F.lit("S"), q, F.lit("M"), x + 1, F.lit("I"), q, F.lit("M"), x + 2, F.lit("D"), q, F.lit("M"))
+    return _t(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("qname"), flag.alias("flag"), F.col("l_suppkey").alias("rname"), (F.col("l_partkey") + 1).alias("pos"), F.col("l_quantity").cast("int").alias("mapq"), cigar.alias("cigar"), ((F.col("l_suppkey") + F.col("l_linenumber") % 2)).alias("rnext"), F.col("l_linenumber").alias("line"), F.col("l_extendedprice").alias("quality"))
+
+
+ALN = """aln AS (SELECT CAST(l_orderkey AS VARCHAR) AS qname,
+    CASE WHEN l_linenumber % 2 = 1 THEN 65 ELSE 129 END + CASE WHEN l_returnflag = 'R' THEN 4 ELSE 0 END + CASE WHEN l_linestatus = 'O' THEN 16 ELSE 0 END
+    + CASE WHEN l_tax > 0.07 THEN 1024 ELSE 0 END + CASE WHEN l_tax < 0.01 THEN 512 ELSE 0 END + CASE WHEN l_discount > 0.05 THEN 2 ELSE 0 END + CASE WHEN l_discount < 0.02 THEN 8 ELSE 0 END AS flag,
+    l_suppkey AS rname, l_partkey + 1 AS pos, CAST(l_quantity AS INT) AS mapq, CAST(l_quantity AS INT) AS q, CAST(round(l_discount * 100) AS INT) AS x,
+    l_suppkey + l_linenumber % 2 AS rnext, l_linenumber AS line, l_extendedprice AS quality FROM lineitem)"""
+
+# ----------------------------------------------------------------- taxonomy
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT tid, ancestor, CAST(distance AS INT) AS distance, rank, name, CAST(depth AS INT) AS depth FROM tree")
+def taxonomy_closure(spark, d):
+    return _tree(spark, d)
+
+
+@query(f"WITH RECURSIVE {TREE} SELECT tid, string_agg(concat_ws('|', rank, name), ';' ORDER BY distance) AS lineage FROM tree GROUP BY tid")
+def lineage(spark, d):
+    return taxonomy.lineage(_tree(spark, d))
+
+
+@query(f"""WITH RECURSIVE {TREE}, acc AS (SELECT p_partkey AS acc, 100000 + p_partkey % (SELECT count(*) FROM supplier) AS tid FROM part),
+sp AS (SELECT tid, ancestor AS sp FROM tree WHERE rank = 'species')
+SELECT l_orderkey AS read, CAST(coalesce(sp, 1) AS BIGINT) AS tid, greatest(max(l_quantity), 0.0) AS score
+FROM lineitem JOIN acc ON acc.acc = l_partkey LEFT JOIN sp USING (tid) GROUP BY 1, 2""")
+def taxon_lookup(spark, d):
+    n = _t(spark, d, "supplier").agg(F.count("*").alias("n"))
+    acc = _t(spark, d, "part").join(F.broadcast(n), F.lit(True)).select(F.col("p_partkey").alias("acc"), (100_000 + F.col("p_partkey") % F.col("n")).alias("tid"))
+    hits = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("read"), F.col("l_partkey").alias("acc"), F.col("l_quantity").alias("score"))
+    return taxonomy.lookup(hits, acc, _tree(spark, d))
+
+
+LCA = """n AS (SELECT read, count(*) AS n FROM hits GROUP BY read),
+above AS (SELECT read, ancestor, count(*) AS c, max(depth) AS depth FROM hits JOIN tree USING (tid) GROUP BY ALL),
+lca AS (SELECT read, arg_max(ancestor, depth) AS lca FROM above JOIN n USING (read) WHERE c = n GROUP BY read)"""
+
+
+@query(f"WITH RECURSIVE {TREE}, {HITS}, {LCA} SELECT read, CAST(lca AS BIGINT) AS lca FROM lca")
+def common_ancestor(spark, d):
+    return taxonomy.common_ancestor(_hits(spark, d), _tree(spark, d))
+
+
+@query(f"""WITH RECURSIVE {TREE}, allhits AS (SELECT l_orderkey AS read, l_suppkey + 100000 AS tid, max(l_quantity) AS score FROM lineitem GROUP BY ALL),
+good AS (SELECT read FROM allhits GROUP BY read HAVING max(score) >= 40), hits AS (SELECT * FROM allhits WHERE read IN (SELECT read FROM good)), {LCA},
+stay AS (SELECT lca AS tid, count(*) AS n FROM lca GROUP BY lca)
+SELECT CAST(ancestor AS BIGINT) AS tid, replace(name, '''', '') AS name,
+CASE WHEN rank = 'superkingdom' THEN 'D' WHEN rank IN ('family', 'species') THEN upper(rank[1]) ELSE '-' END AS code, CAST(depth AS INT) AS depth,
+CAST(sum(n) AS BIGINT) AS clade, CAST(sum(CASE WHEN distance = 0 THEN n ELSE 0 END) AS BIGINT) AS stay,
+round(sum(n) * 100.0 / (SELECT count(DISTINCT read) FROM allhits), 2) AS percent
+FROM stay JOIN tree USING (tid) GROUP BY ancestor, name, rank, depth""")
+def taxonomy_report(spark, d):
+    """Reads whose best score reaches 40, by common ancestor, summed up the tree."""
+    tree, hits = _tree(spark, d), _hits(spark, d)
+    total = hits.agg(F.count_distinct("read").alias("n"))
+    good = hits.groupBy("read").agg(F.max("score").alias("s")).where("s >= 40").select("read")
+    rows = taxonomy.report(taxonomy.common_ancestor(hits.join(good, "read", "left_semi"), tree), tree, 1)
+    return rows.join(F.broadcast(total), F.lit(True)).withColumn("percent", F.round(F.col("clade") * 100.0 / F.col("n"), 2)).drop("n")  # one row
+
+
+@query(f"""WITH RECURSIVE {TREE}, {HITS}, e AS (SELECT DISTINCT read, rank, ancestor AS tid FROM (SELECT DISTINCT read, tid FROM hits) JOIN tree USING (tid) WHERE rank IN ('species', 'family', 'superkingdom')),
+m AS (SELECT *, count(*) OVER (PARTITION BY read, rank) AS n FROM e)
+SELECT rank, CAST(tid AS BIGINT) AS tid, CAST(sum((n = 1)::INT) AS BIGINT) AS uniq, CAST(sum((n > 1)::INT) AS BIGINT) AS multi FROM m GROUP BY ALL""")
+def count_table(spark, d):
+    return taxonomy.count_table(_hits(spark, d), _tree(spark, d))
+
+
+@query(f"""WITH RECURSIVE {TREE}, {HITS} SELECT read, tid, score FROM hits WHERE tid NOT IN (SELECT tid FROM tree WHERE name IN ('ASIA', 'EUROPE'))""")
+def filter_by_taxa(spark, d):
+    return taxonomy.filter_by_taxa(_hits(spark, d), _tree(spark, d), ["ASIA", "EUROPE"], include=False).select("read", "tid", "score")
+
+
+@query(f"""WITH RECURSIVE {TREE}, {HITS}, f AS (SELECT tid, ancestor FROM tree WHERE rank = 'family')
+SELECT read FROM hits LEFT JOIN f USING (tid) GROUP BY read HAVING count(DISTINCT coalesce(ancestor, tid)) <= 1""")
+def within_one_family(spark, d):
+    return taxonomy.within_one(_hits(spark, d), _tree(spark, d))
+
+
+REASSIGN = """s AS (SELECT DISTINCT read, tid FROM hits WHERE score >= {least}), z AS (SELECT *, count(*) OVER (PARTITION BY read) AS n FROM s),
+c AS (SELECT tid, count(*) AS n, sum((n = 1)::INT) AS u FROM z GROUP BY tid),
+i AS (SELECT x.tid AS a, y.tid AS b, count(*) AS k FROM s x JOIN s y ON x.read = y.read AND x.tid <> y.tid GROUP BY ALL),
+weak AS (SELECT a, b FROM i JOIN c p ON p.tid = a JOIN c q ON q.tid = b WHERE p.u > {times} * q.u AND p.n - k > 0.05 * p.n),
+ex AS (SELECT * FROM weak WHERE a NOT IN (SELECT b FROM weak))
+SELECT read, tid, score FROM hits h WHERE NOT EXISTS (SELECT 1 FROM hits g JOIN ex ON ex.a = g.tid WHERE g.read = h.read AND ex.b = h.tid)"""
+
+
+@query(f"WITH {SKEWED}, " + REASSIGN.format(least=0, times=20))
+def reassign(spark, d):
+    return taxonomy.reassign(_skewed(spark, d), 20, 0.05, 0)
+
+
+@query(f"WITH {SKEWED}, " + REASSIGN.format(least=40, times=2))
+def reassign_strict(spark, d):
+    return taxonomy.reassign(_skewed(spark, d), 2, 0.05, 40)
+
+
+@query(f"""WITH {SKEWED}, r AS (SELECT *, tid = 6 AS dirty, coalesce(max(CASE WHEN tid = 6 THEN score END) OVER (PARTITION BY read), 0) AS best FROM hits),
+g AS (SELECT tid FROM r WHERE NOT dirty GROUP BY tid HAVING avg((score * 0.94 <= best)::INT) > 0.3),
+m AS (SELECT *, tid IN (SELECT tid FROM g) AS gone FROM r), o AS (SELECT *, max((NOT dirty AND NOT gone)::INT) OVER (PARTITION BY read) AS clean FROM m)
+SELECT read, tid, score FROM o WHERE (NOT dirty AND NOT gone) OR (dirty AND clean = 0) OR (gone AND clean = 0 AND best = 0)""")
+def cleanup(spark, d):
+    return taxonomy.cleanup(_skewed(spark, d), spark.createDataFrame([(6,)], "tid long"), share=0.3)
+
+
+@query(f"""WITH RECURSIVE {TREE}, {HITS}, {LCA}, truth AS (SELECT l_orderkey AS read, min(l_suppkey) + 100000 AS t FROM lineitem GROUP BY 1),
+j AS (SELECT lca, t FROM lca JOIN truth USING (read)), rk AS (SELECT unnest(['species', 'family', 'superkingdom']) AS rank),
+x AS (SELECT rk.rank, p.ancestor AS p, q.ancestor AS q FROM j CROSS JOIN rk LEFT JOIN tree p ON p.tid = lca AND p.rank = rk.rank LEFT JOIN tree q ON q.tid = t AND q.rank = rk.rank)
+SELECT rank, CAST(sum((p IS NOT NULL AND p = q)::INT) AS BIGINT) AS correct, CAST(sum((p IS NOT NULL AND p IS DISTINCT FROM q)::INT) AS BIGINT) AS wrong, CAST(sum((p IS NULL)::INT) AS BIGINT) AS unspecific FROM x GROUP BY rank""")
+def accuracy(spark, d):
+    truth = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("read")).agg((F.min("l_suppkey") + 100_000).alias("tid"))
+    return taxonomy.accuracy(truth, _hits(spark, d), _tree(spark, d), ("species", "family", "superkingdom"))
+
+
+# -------------------------------------------------------------------- reads
+
+
+def _mates(spark: SparkSession, d: str) -> DataFrame:
+    return _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("name"), F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("score"), F.col("l_suppkey").alias("tid"), F.lit(25).alias("size"))
+
+
+@query("""WITH m AS (SELECT l_orderkey AS name, l_linenumber AS line, l_quantity AS score, l_suppkey AS tid, 25 AS size FROM lineitem)
+SELECT * FROM m WHERE name IN (SELECT name FROM m WHERE score < 3 OR tid = 7)""")
+def extract_pairs(spark, d):
+    return reads.extract_pairs(_mates(spark, d), 3, F.col("tid") == 7)
+
+
+@query("""WITH m AS (SELECT l_orderkey AS name, l_linenumber AS line, l_quantity AS score, l_suppkey AS tid, 25 AS size FROM lineitem), p AS (SELECT name, sum(size) AS s FROM m GROUP BY name)
+SELECT * FROM m WHERE name IN (SELECT name FROM m JOIN p USING (name) WHERE score < 0.1 * s)""")
+def extract_pairs_by_share(spark, d):
+    return reads.extract_pairs(_mates(spark, d), 0.1)
+
+
+@query("""SELECT l_orderkey || '/' || (1 + l_linenumber % 2) AS name, l_partkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""")
+def without_reads(spark, d):
+    rows = _t(spark, d, "lineitem").select(F.concat("l_orderkey", F.lit("/"), 1 + F.col("l_linenumber") % 2).alias("name"), "l_partkey")
+    return reads.without_reads(rows, _t(spark, d, "orders").where("o_orderstatus = 'F'").select(F.concat("o_orderkey", F.lit("/1")).alias("id")))
+
+
+@query(f"WITH {HITS} SELECT read, tid, score FROM (SELECT *, max(score) OVER (PARTITION BY read) AS b FROM hits) WHERE score >= 0.95 * b")
+def top_share(spark, d):
+    return reads.top_share(_hits(spark, d), 0.95)
+
+
+@query(f"WITH {HITS} SELECT read, tid, score FROM (SELECT *, row_number() OVER (PARTITION BY read ORDER BY score DESC, tid) AS n FROM hits) WHERE n <= 2")
+def capped_hits(spark, d):
+    return reads.capped(_hits(spark, d), 2, "tid")
+
+
+@query(f"""WITH {HITS} SELECT DISTINCT read FROM (SELECT *, max(score) OVER (PARTITION BY read) AS b FROM hits) WHERE score = b AND tid IN (SELECT s_suppkey + 100000 FROM supplier WHERE s_acctbal > 5000)""")
+def best_on_targets(spark, d):
+    targets = _t(spark, d, "supplier").where("s_acctbal > 5000").select((F.col("s_suppkey") + 100_000).alias("ref"))
+    return reads.best_on_targets(_hits(spark, d).withColumnRenamed("tid", "ref"), targets)
+
+
+@query(f"""WITH {ALN}, g AS (SELECT rname FROM aln WHERE flag & 1796 = 0 GROUP BY rname HAVING avg(mapq) >= 25)
+SELECT DISTINCT qname AS read FROM aln WHERE rname IN (SELECT rname FROM g) OR (SELECT count(*) FROM g) = 0 OR flag & 4 <> 0""")
+def filter_contigs(spark, d):
+    rows = _alignments(spark, d).select(F.col("qname").alias("read"), F.col("rname").alias("ref"), "flag", "mapq")
+    return reads.filter_contigs(rows, 25)
+
+
+@query("""SELECT l_orderkey AS read, list(l_suppkey % 7 ORDER BY l_suppkey, l_suppkey % 7) AS taxa FROM lineitem WHERE l_quantity > 20 GROUP BY 1""")
+def contig_to_taxa(spark, d):
+    hits = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("read"), F.col("l_suppkey").alias("contig"), F.col("l_quantity").alias("score"))
+    taxa = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("contig"), (F.col("s_suppkey") % 7).alias("tid"))
+    return reads.contig_to_taxa(hits, taxa, 20)
+
+
+@query("""SELECT c_nationkey, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY md5('10086' || c_custkey), c_custkey) AS n FROM customer) WHERE n = 1""")
+def one_of_each(spark, d):
+    return reads.one_of_each(_t(spark, d, "customer"), "c_nationkey", "c_custkey").select("c_nationkey", "c_custkey")
+
+
+@query("""WITH p AS (SELECT conv_id, turn, (turn - min(turn) OVER (PARTITION BY conv_id)) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
+SELECT conv_id, turn, CAST(CASE WHEN n % 2 = 1 AND k = n - 1 THEN 0 WHEN k % 2 = 0 THEN 64 ELSE 128 END AS INT) AS mate FROM p""")
+def pair_up(spark, d):
+    rows = _t(spark, d, "conversations").select("conv_id", "turn", F.concat(F.lit("conv"), "conv_id").alias("name"), F.lit("f").alias("file"), (F.col("conv_id") * 100_000 + F.col("turn")).alias("at"))
+    return reads.pair_up(rows, "at", "conv_id").select("conv_id", "turn", "mate")
+
+
+# ---------------------------------------------------------------- intervals
+
+
+@query(f"WITH {INTERVALS}, src AS (SELECT * FROM iv), {MERGED} SELECT * FROM merged")
+def merge_intervals(spark, d):
+    return intervals.merge(_intervals(spark, d))
+
+
+@query(f"""WITH {INTERVALS}, src AS (SELECT * FROM iv), {MERGED} SELECT chrom, count(*) AS n_islands, CAST(sum("end" - "start") AS BIGINT) AS covered FROM merged GROUP BY chrom""")
+def covered_bases(spark, d):
+    return intervals.covered(_intervals(spark, d))
+
+
+@query(f"WITH {RUNS} SELECT * FROM runs")
+def depth_runs(spark, d):
+    return intervals.depth_runs(_intervals(spark, d), _genome(spark, d))
+
+
+@query(f"""WITH {RUNS}, m AS (SELECT chrom, sum(("end" - "start") * depth) / sum("end" - "start") AS mean FROM runs GROUP BY chrom),
+sd AS (SELECT chrom, any_value(mean) AS mean, sqrt(sum(("end" - "start") * (depth - mean) * (depth - mean)) / sum("end" - "start")) AS sd FROM runs JOIN m USING (chrom) GROUP BY chrom)
+SELECT chrom, "start", "end", depth FROM runs JOIN sd USING (chrom) WHERE depth > mean + 2.5 * sd""")
+def coverage_spikes(spark, d):
+    return intervals.spikes(intervals.depth_runs(_intervals(spark, d), _genome(spark, d)), 2.5)
+
+
+@query(f"""WITH {RUNS} SELECT chrom, CAST(sum("end" - "start") AS BIGINT) AS length, CAST(sum(("end" - "start") * depth) AS BIGINT) AS bases, round(sum(("end" - "start") * depth) / sum("end" - "start"), 6) AS mean,
+round(sqrt(sum(("end" - "start") * depth * depth) / sum("end" - "start") - power(sum(("end" - "start") * depth) / sum("end" - "start"), 2)), 4) AS deviation,
+round(100 * sum(CASE WHEN depth > 0 THEN "end" - "start" ELSE 0 END) / sum("end" - "start"), 6) AS covered_percent, max(depth) AS most FROM runs GROUP BY chrom""")
+def scaffold_coverage(spark, d):
+    return intervals.scaffold_coverage(intervals.depth_runs(_intervals(spark, d), _genome(spark, d)))
+
+
+@query(f"""WITH {INTERVALS}, q AS (SELECT read, line, chrom, "start", "end" FROM iv), src AS (SELECT l_suppkey AS chrom, l_partkey AS "start", l_partkey + 10 AS "end" FROM lineitem WHERE l_quantity = 50), {MERGED},
+o AS (SELECT q.read, q.line, q.chrom, q."start", q."end", sum(least(q."end", m."end") - greatest(q."start", m."start")) AS o FROM q JOIN merged m ON q.chrom = m.chrom AND q."start" < m."end" AND m."start" < q."end" GROUP BY ALL)
+SELECT q.read, q.line, q."start", q."end", round(coalesce(o.o / (q."end" - q."start"), 0), 9) AS fraction FROM q LEFT JOIN (SELECT DISTINCT * FROM o) o ON o.read = q.read AND o.line = q.line AND o.chrom = q.chrom AND o."start" = q."start" AND o."end" = q."end" """)
+def overlap_fraction(spark, d):
+    rows = _intervals(spark, d).withColumn("key", F.struct("read", "line", "chrom", "start", "end"))
+    spikes = _t(spark, d, "lineitem").where("l_quantity = 50").select(F.col("l_suppkey").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + 10).alias("end"))
+    distinct = rows.select("key", "chrom", "start", "end").distinct()
+    found = intervals.annotate(distinct, spikes, "key").select("key", "fraction")
+    return rows.join(found, "key").select("read", "line", "start", "end", F.round("fraction", 9).alias("fraction"))
+
+
+@query(f"""WITH {INTERVALS}, u AS (SELECT DISTINCT chrom, "start" AS pos FROM iv), g AS (SELECT *, sum(new) OVER (PARTITION BY chrom ORDER BY pos) AS id FROM (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY chrom ORDER BY pos) <= 5 THEN 0 ELSE 1 END AS new FROM u))
+SELECT chrom, min(pos) - 2 AS "start", max(pos) + 3 AS "end", count(*) AS n FROM g GROUP BY chrom, id""")
+def point_clusters(spark, d):
+    return intervals.clusters(_intervals(spark, d).select("chrom", F.col("start").alias("pos")), 5, 2)
+
+
+@query(f"""WITH q AS (SELECT DISTINCT l_suppkey AS chrom, l_partkey AS "start", l_partkey + CAST(l_quantity AS BIGINT) AS "end" FROM lineitem WHERE l_quantity > 25), w AS (SELECT s_suppkey AS chrom, unnest(generate_series(0, 20000, 40)) AS ws FROM supplier),
+p AS (SELECT q.*, ws, least("end", ws + 50) - greatest("start", ws) AS overlap FROM q JOIN w ON q.chrom = w.chrom AND "start" < ws + 50 AND ws < "end")
+SELECT chrom, "start", "end", ws AS window_start, overlap FROM (SELECT *, row_number() OVER (PARTITION BY chrom, "start", "end" ORDER BY overlap DESC, ws) AS n FROM p) WHERE n = 1""")
+def best_window(spark, d):
+    rows = _t(spark, d, "lineitem").where("l_quantity > 25").select(F.col("l_suppkey").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("end")).distinct().withColumn("key", F.struct("chrom", "start", "end"))
+    w = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("chrom"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(20_000).cast("long"), F.lit(40).cast("long"))).alias("start")).withColumn("end", F.col("start") + 50)
+    return intervals.best_window(rows, w, "key").select("key.*", "window_start", "overlap")
+
+
+@query("""SELECT l_suppkey AS ref, 2050 AS length, count(*) AS reads, round(count(*) * 1e9 / (2050 * (SELECT count(*) FROM lineitem)), 6) AS rpkm FROM lineitem GROUP BY 1""")
+def rpkm(spark, d):
+    return intervals.rpkm(_t(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("ref")).agg(F.lit(2050).alias("length"), F.count("*").alias("reads")))
+
+
+# ---------------------------------------------------------------- sequences
+
+
+@query(f"""WITH {SEQS} SELECT name, reverse(translate(seq, 'ACGT', 'TGCA')) AS rc, CASE WHEN length(seq) > 0 THEN round(length(regexp_replace(seq, '[^GC]', '', 'g')) / length(seq), 9) ELSE 0 END AS gc,
+least(md5(seq), md5(reverse(translate(seq, 'ACGT', 'TGCA')))) || greatest(md5(seq), md5(reverse(translate(seq, 'ACGT', 'TGCA')))) AS key FROM seqs""")
+def sequence_keys(spark, d):
+    return _seqs(spark, d).select("name", S.reverse_complement(F.col("seq")).alias("rc"), F.round(S.gc(F.col("seq")), 9).alias("gc"), S.strand_key(F.col("seq")).alias("key"))
+
+
+@query("""SELECT p_partkey, regexp_replace(p_name, '\\.[0-9]*$', '') AS acc, 'gi|' || p_partkey || '|ref|NC_' || p_size || '.' || p_partkey || '|' AS header, 'NC_' || p_size AS plain FROM part""")
+def accessions(spark, d):
+    header = F.concat(F.lit("gi|"), "p_partkey", F.lit("|ref|NC_"), "p_size", F.lit("."), "p_partkey", F.lit("|"))
+    return _t(spark, d, "part").select("p_partkey", S.remove_version(F.col("p_name")).alias("acc"), header.alias("header"), S.accession(header).alias("plain"))
+
+
+@query(f"""WITH {SEQS}, s AS (SELECT name, seq, unnest(list_distinct(list_transform(generate_series(0, length(seq) - 200 + 99, 100), lambda x: least(x, length(seq) - 200)))) AS start FROM seqs WHERE length(seq) >= 200)
+SELECT name, CAST(start AS BIGINT) AS start, md5(substr(seq, start + 1, 200)) AS tile FROM s""")
+def sequence_tiles(spark, d):
+    return _seqs(spark, d).select("name", F.inline(S.tiles(F.col("seq"), 200, 100))).select("name", F.col("start").cast("long").alias("start"), F.md5("tile").alias("tile"))
+
+
+@query(f"""WITH {SEQS}, known AS (SELECT seq FROM seqs WHERE source IN ('src0', 'src1'))
+SELECT name FROM seqs WHERE seq NOT IN (SELECT seq FROM known) AND reverse(translate(seq, 'ACGT', 'TGCA')) NOT IN (SELECT seq FROM known)""")
+def new_sequences(spark, d):
+    s = _seqs(spark, d)
+    return reads.new_sequences(s, s.where("source in ('src0', 'src1')")).select("name")
+
+
+@query(f"""WITH {SEQS}, k AS (SELECT name, least(md5(seq), md5(reverse(translate(seq, 'ACGT', 'TGCA')))) || greatest(md5(seq), md5(reverse(translate(seq, 'ACGT', 'TGCA')))) AS k FROM seqs)
+SELECT min(name) AS name, count(*) AS copies FROM k GROUP BY k""")
+def exact_duplicates(spark, d):
+    return kmers.exact_duplicates(_seqs(spark, d))
+
+
+@query(f"WITH {SEQS}, {_kmer_sql('km', 'seqs')} SELECT kmer, count(*) AS n FROM km GROUP BY kmer")
+def kmer_counts(spark, d):
+    return kmers.counts(_seqs(spark, d), K)
+
+
+@query(f"WITH {SEQS}, {_kmer_sql('km', 'seqs')}, c AS (SELECT kmer, count(*) AS n FROM km GROUP BY kmer) SELECT n AS depth, count(*) AS kmers FROM c GROUP BY n")
+def kmer_histogram(spark, d):
+    return kmers.histogram(kmers.counts(_seqs(spark, d), K))
+
+
+@query(f"WITH {SEQS}, {REFS}, {_kmer_sql('km', 'seqs', 15)}, {_kmer_sql('rk', 'refs', 15)} SELECT name, count(*) AS hits FROM km WHERE kmer IN (SELECT kmer FROM rk) GROUP BY name HAVING count(*) >= 3")
+def kmer_match(spark, d):
+    return kmers.match(_seqs(spark, d), _refs(spark, d), 15, 3)
+
+
+@query(f"""WITH {SEQS}, {REFS}, {_kmer_sql('km', 'seqs', 15)}, {_kmer_sql('rk', 'refs', 15)}, u AS (SELECT DISTINCT name AS ref, kmer FROM rk), s AS (SELECT name, ref, count(*) AS hits FROM km JOIN u USING (kmer) GROUP BY ALL),
+b AS (SELECT *, max(hits) OVER (PARTITION BY name) AS m FROM s) SELECT name, ref, hits, count(*) OVER (PARTITION BY name) AS n_refs FROM b WHERE hits >= m""")
+def best_reference(spark, d):
+    return kmers.best_reference(_seqs(spark, d), _refs(spark, d), 15)
+
+
+@query(f"""WITH {SEQS}, {_kmer_sql('km', 'seqs', 15)}, h AS (SELECT DISTINCT name, md5(kmer) AS h FROM km), r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY h) AS n FROM h)
+SELECT name, list(h ORDER BY h) AS hashes FROM r WHERE n <= 16 GROUP BY name""")
+def sketches(spark, d):
+    return kmers.sketch(_seqs(spark, d), 15, 16)
+
+
+@query(f"""WITH {SEQS}, {REFS}, {_kmer_sql('km', 'seqs', 12)}, {_kmer_sql('rk', 'refs', 12)}, h AS (SELECT DISTINCT name, md5(kmer) AS h FROM km), r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY h) AS n FROM h),
+g AS (SELECT DISTINCT name, md5(kmer) AS h FROM rk), q AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY h) AS n FROM g)
+SELECT r.name AS a, q.name AS b, count(*) AS shared FROM r JOIN q ON r.h = q.h AND r.n <= 32 AND q.n <= 32 GROUP BY ALL""")
+def compare_sketches(spark, d):
+    return kmers.compare(kmers.sketch(_seqs(spark, d), 12, 32), kmers.sketch(_refs(spark, d), 12, 32))
+
+
+DEPTHS = f"""{SEQS}, {_kmer_sql('km', 'seqs')}, c AS (SELECT kmer, count(*) AS d FROM km GROUP BY kmer), l AS (SELECT name, list(d ORDER BY d DESC) AS c FROM km JOIN c USING (kmer) GROUP BY name),
+dp AS (SELECT name, c[least(CAST(floor(len(c) * 0.90) AS INT) + 1, len(c))] AS low, c[least(CAST(floor(len(c) * 0.54) AS INT) + 1, len(c))] AS median, c[least(CAST(floor(len(c) * 0.25) AS INT) + 1, len(c))] AS high, len(c) AS n FROM l)"""
+
+
+@query(f"WITH {DEPTHS} SELECT * FROM dp")
+def kmer_depths(spark, d):
+    return kmers.depths(_seqs(spark, d), K)
+
+
+@query(f"WITH {DEPTHS} SELECT name FROM dp WHERE median >= 2 AND (median <= 40 OR CAST('0x' || substr(md5('1' || name), 1, 8) AS BIGINT) % median + 1 <= 40)")
+def normalise_depth(spark, d):
+    return kmers.normalise(_seqs(spark, d), K, 40, 2)
+
+
+@query(f"WITH {SEQS}, {_kmer_sql('km', 'seqs')}, c AS (SELECT name, kmer, count(*) AS n FROM km GROUP BY ALL) SELECT name, kmer, n FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY n DESC, kmer) AS r FROM c) WHERE r <= 3")
+def common_kmers(spark, d):
+    return kmers.common(_seqs(spark, d), K, 3)
+
+
+@query(f"""WITH {SEQS}, s AS (SELECT length(seq) AS len FROM seqs), r AS (SELECT len, sum(len) OVER (ORDER BY len DESC ROWS UNBOUNDED PRECEDING) AS b, row_number() OVER (ORDER BY len DESC) AS i, (SELECT sum(len) FROM s) AS t FROM s)
+SELECT (SELECT count(*) FROM s) AS scaffolds, CAST((SELECT sum(len) FROM s) AS BIGINT) AS bases, (SELECT max(len) FROM s) AS longest, (SELECT round(sum(length(regexp_replace(seq, '[^GC]', '', 'g'))) / sum(length(seq)), 6) FROM seqs) AS gc, max(len) AS n50, min(i) AS l50 FROM r WHERE 2 * b >= t""")
+def assembly_stats(spark, d):
+    return stats.assembly(_seqs(spark, d))
+
+
+@query(f"WITH {SEQS} SELECT CAST(floor(length(seq) / 100) * 100 AS BIGINT) AS length, count(*) AS reads, CAST(sum(length(seq)) AS BIGINT) AS bases FROM seqs GROUP BY 1")
+def length_histogram(spark, d):
+    return stats.length_histogram(_seqs(spark, d), 100)
+
+
+@query(f"WITH {SEQS} SELECT CAST(least(floor(length(regexp_replace(seq, '[^GC]', '', 'g')) * 50 / length(seq)), 49) AS BIGINT) AS bin, count(*) AS reads FROM seqs WHERE length(seq) > 0 GROUP BY 1")
+def gc_histogram(spark, d):
+    return stats.gc_histogram(_seqs(spark, d), 50)
+
+
+@query(f"WITH {SEQS}, e AS (SELECT seq, unnest(generate_series(1, least(length(seq), 100))) AS i FROM seqs) SELECT CAST(i - 1 AS BIGINT) AS pos, substr(seq, i, 1) AS base, count(*) AS n FROM e GROUP BY ALL")
+def base_composition(spark, d):
+    return stats.base_composition(_seqs(spark, d), 100)
+
+
+@query("""WITH a AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS line FROM documents), b AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS line FROM conversations) SELECT line FROM a INTERSECT SELECT line FROM b""")
+def shared_lines(spark, d):
+    lines = lambda t: _t(spark, d, t).select(F.explode(F.split("text", "\n")).alias("line"))
+    return stats.shared_lines(lines("documents"), lines("conversations"))
+
+
+# --------------------------------------------------------------- alignments
+
+
+@query(f"""WITH {ALN}, t AS (SELECT flag & 512 <> 0 AS bad, unnest([{{'c': 'total', 'v': true}}, {{'c': 'duplicates', 'v': flag & 1024 <> 0}}, {{'c': 'mapped', 'v': flag & 4 = 0}}, {{'c': 'paired', 'v': flag & 1 <> 0}}, {{'c': 'read1', 'v': flag & 65 = 65}},
+{{'c': 'read2', 'v': flag & 129 = 129}}, {{'c': 'properly_paired', 'v': flag & 7 = 3}}, {{'c': 'with_mate_mapped', 'v': flag & 13 = 1}}, {{'c': 'singletons', 'v': flag & 13 = 9}}, {{'c': 'mate_on_other', 'v': flag & 13 = 1 AND rname <> rnext}}, {{'c': 'mate_on_other_mapq5', 'v': flag & 13 = 1 AND rname <> rnext AND mapq >= 5}}]) AS u FROM aln)
+SELECT u.c AS counter, CAST(sum((u.v AND NOT bad)::INT) AS BIGINT) AS passed, CAST(sum((u.v AND bad)::INT) AS BIGINT) AS failed FROM t GROUP BY 1""")
+def flagstat(spark, d):
+    return sam.flagstat(_alignments(spark, d))
+
+
+@query(f"WITH {ALN} SELECT rname, CAST(sum((flag & 4 = 0)::INT) AS BIGINT) AS mapped, CAST(sum((flag & 4 <> 0)::INT) AS BIGINT) AS unmapped FROM aln GROUP BY rname")
+def idxstats(spark, d):
+    return sam.idxstats(_alignments(spark, d))
+
+
+@query(f"WITH {ALN} SELECT qname, line, rname, pos FROM (SELECT *, row_number() OVER (PARTITION BY rname, pos, flag & 16 ORDER BY quality DESC, qname || '/' || line) AS n FROM aln WHERE flag & 4 = 0) WHERE n = 1")
+def remove_duplicates(spark, d):
+    rows = sam.view(_alignments(spark, d), exclude=4).withColumn("strand", F.col("flag").bitwiseAND(16)).withColumn("tie", F.concat_ws("/", "qname", "line"))
+    return sam.remove_duplicates(rows, ["rname", "pos", "strand"], "quality", "tie").select("qname", "line", "rname", "pos")
+
+
+@query(f"""WITH {ALN}, e AS (SELECT rname, pos, q, x, unnest(generate_series(0, q - 1)) AS i FROM aln WHERE flag & 1796 = 0 AND mapq >= 10), b AS (SELECT rname, unnest([pos + i, pos + q + i, pos + 2 * q + x + 2 + i]) AS pos FROM e)
+SELECT rname, CAST(pos AS INT) AS pos, count(*) AS depth FROM b GROUP BY ALL""")
+def base_depth(spark, d):
+    return sam.depth(_alignments(spark, d), 10)
+
+
+@query(f"""WITH {ALN} SELECT qname, line, CAST(3 * q + x + 2 AS INT) AS ref_len, CAST(3 * q + 2 * x + 2 AS INT) AS query_len, CAST(3 * q - (40 - 2 * x - 3) * 3 - (3 + x + 1) - (3 + x + 2) AS INT) AS score FROM aln""")
+def cigar_scores(spark, d):
+    c = F.col("cigar")
+    return _alignments(spark, d).select("qname", "line", S.cigar_length(c, "M=XDN").alias("ref_len"), S.cigar_length(c, "M=XIS").alias("query_len"), S.cigar_score(c, F.lit(40)).alias("score"))
+
+
+@query(f"""WITH {ALN}, s AS (SELECT qname, line, flag, rname, pos, CASE WHEN flag & 16 <> 0 THEN pos + 3 * q + x + 1 ELSE pos END AS five FROM aln WHERE line <= 2)
+SELECT a.qname, a.line, coalesce(b.pos, 0) AS pnext, CASE WHEN a.rname = b.rname THEN b.five - a.five ELSE 0 END AS tlen FROM s a LEFT JOIN s b ON a.qname = b.qname AND a.flag & 192 <> b.flag & 192""")
+def fix_mates(spark, d):
+    rows = _alignments(spark, d).where("line <= 2").drop("rnext").withColumn("rname", F.col("rname").cast("string"))
+    return sam.fix_mates(rows).select("qname", "line", "pnext", "tlen")
+
+
+@query(f"""WITH {ALN} SELECT rname AS chrom, pos - 1 AS "start", pos - 1 + 3 * q + x + 2 AS "end", qname || CASE WHEN flag & 64 <> 0 THEN '/1' ELSE '/2' END AS name, mapq AS score, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand FROM aln WHERE flag & 4 = 0""")
+def alignments_to_bed(spark, d):
+    return sam.to_bed(_alignments(spark, d))
+
+
+@query(f"WITH {ALN} SELECT CASE WHEN flag & 4 <> 0 THEN 'unmapped' WHEN flag & 16 <> 0 THEN 'minus' ELSE 'plus' END AS file, count(*) AS n FROM aln GROUP BY 1")
+def split_by_strand(spark, d):
+    return sam.strand_of(_alignments(spark, d)).groupBy("file").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {ALN}, e AS (SELECT mapq, sum((x < 5)::INT) AS r, sum((x >= 5)::INT) AS w FROM aln GROUP BY mapq) SELECT mapq, CAST(sum(r) OVER (ORDER BY mapq DESC) AS BIGINT) AS \"right\", CAST(sum(w) OVER (ORDER BY mapq DESC) AS BIGINT) AS wrong FROM e")
+def mapping_roc(spark, d):
+    rows = _t(spark, d, "lineitem").select(F.col("l_quantity").cast("int").alias("mapq"), (F.round(F.col("l_discount") * 100) < 5).alias("correct"))
+    return sam.roc(rows)
+
+
+# ------------------------------------------------------------------ streams
+
+
+@query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
+def tumbling_events(spark, d):
+    return windows.tumbling(_t(spark, d, "events"), "1 hour").withColumn("total", F.round("total", 4))
+
+
+@query("""WITH o AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS id FROM o)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM s GROUP BY user_id, id""")
+def event_sessions(spark, d):
+    return windows.sessions(_t(spark, d, "events"), "30 minutes")
