@@ -43,7 +43,7 @@ from .scratch import drop, new_path
 END_ID = 2
 #: A block holds about so many ids, of whole documents.  Ranges of doc_id follow blocks of about so many documents.
 BLOCK_IDS, RANGE_DOCS, MAX_RANGES = 1_000_000, 8_192, 65_536
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 MAGIC = b"TOKR0001"
 # letters whose lower case is one letter and which have no other composed form, then signs that the tokenizer splits from letters
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
