@@ -60,8 +60,8 @@ def gc(seq: Column) -> Column:
 
 
 def kmers(seq: Column, k: int) -> Column:
-    """All k-mers in order."""
-    return F.when(F.length(seq) >= k, F.transform(F.sequence(F.lit(1), F.length(seq) - k + 1), lambda i: F.substr(seq, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    """All k-mers in order, in one pass over an ASCII sequence; null for a null one."""
+    return F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
 
 
 def canonical(kmer: Column) -> Column:
@@ -171,7 +171,7 @@ def translate_frame(seq: Column, frame: int) -> Column:
     """Protein of frame 0 to 2 (forward) or 3 to 5 (reverse complement)."""
     s = reverse_complement(seq) if frame > 2 else seq
     digits = F.translate(s, "ACGT", "0123")
-    codons = F.filter(F.transform(F.sequence(F.lit(frame % 3 + 1), F.greatest(F.length(s) - 2, F.lit(frame % 3 + 1)), F.lit(3)), lambda i: F.substr(digits, i, F.lit(3))), lambda c: F.length(c) == 3)
+    codons = F.regexp_extract_all(F.substr(digits, F.lit(frame % 3 + 1)), F.lit("(?s)(.{3})"), F.lit(1))
     index = lambda c: F.conv(c, 4, 10).cast("int") + 1
     return F.array_join(F.transform(codons, lambda c: F.when(c.rlike("^[0-3]{3}$"), F.substr(F.lit(AMINO_ACIDS), index(c), F.lit(1))).otherwise("X")), "")
 

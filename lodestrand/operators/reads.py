@@ -91,9 +91,3 @@ def new_sequences(seqs: DataFrame, existing: DataFrame, seq: str = "seq") -> Dat
 
     known = existing.select(strand_key(F.col(seq)).alias("_k")).distinct()
     return seqs.join(known, strand_key(F.col(seq)) == F.col("_k"), "left_anti")
-
-
-def chunk_by_size(seqs: DataFrame, size: int, order: str = "name") -> DataFrame:
-    """seqs with ``chunk``: a new one whenever the running length passes a multiple of size."""
-    run = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return seqs.withColumn("chunk", F.floor(F.coalesce(F.sum(F.length("seq")).over(run), F.lit(0)) / size))

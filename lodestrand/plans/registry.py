@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrand.functions import seq as S
-from lodestrand.operators import intervals, kmers, reads, sam, stats, taxonomy
+from lodestrand.operators import intervals, kmers, reads, rearrange, sam, stats, taxonomy
 from lodestrand.sources import text as sources
 from lodestrand.streaming import events as windows
 
@@ -550,6 +550,70 @@ def mapping_roc(spark, d):
     return sam.roc(rows)
 
 
+# ------------------------------------------------------ merging, cutting, order
+
+
+@query(f"""WITH {SEQS}, s AS (SELECT name, seq, unnest(list_distinct(list_transform(generate_series(0, length(seq) - 60 + 44, 45), lambda x: least(x, length(seq) - 60)))) AS start FROM seqs WHERE length(seq) >= 60),
+p AS (SELECT name, start, substr(seq, start + 1, 40) AS a, substr(seq, start + 21, 40) AS b FROM s), c AS (SELECT *, unnest(generate_series(12, 40)) AS o FROM p),
+r AS (SELECT *, row_number() OVER (PARTITION BY name, start ORDER BY share, o DESC) AS n FROM (SELECT name, start, a, b, o, hamming(right(a, o), left(b, o)) / o AS share FROM c))
+SELECT name, CAST(start AS BIGINT) AS start, CASE WHEN share <= 0.1 THEN o END AS overlap, CASE WHEN share <= 0.1 THEN md5(a || substr(b, o + 1)) END AS merged FROM r WHERE n = 1""")
+def merge_mates(spark, d):
+    """Mates of 40 bases from both ends of every 60 bases of a sequence."""
+    tiles = _seqs(spark, d).select("name", F.inline(S.tiles(F.col("seq"), 60, 45)))
+    pairs = tiles.select("name", F.col("start").cast("long").alias("start"), F.substr("tile", F.lit(1), F.lit(40)).alias("seq1"), S.reverse_complement(F.substr("tile", F.lit(21), F.lit(40))).alias("seq2"))
+    return rearrange.merge_mates(pairs).select("name", "start", F.col("overlap").cast("long").alias("overlap"), F.md5("merged").alias("merged"))
+
+
+@query("""WITH s AS (SELECT doc_id AS name, list_filter(regexp_split_to_array(upper(regexp_replace(text, '[^acgtACGT]', 'N', 'g')), 'N{3,}'), lambda x: x <> '') AS parts FROM documents),
+i AS (SELECT name, parts, unnest(generate_series(1, len(parts))) AS i FROM s) SELECT name, CAST(i - 1 AS INT) AS part, parts[i] AS seq FROM i""")
+def cut_at_n(spark, d):
+    return rearrange.cut_at_n(_t(spark, d, "documents").select(F.col("doc_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]", "N")).alias("seq")), 3)
+
+
+@query(f"""WITH {SEQS}, {REFS}, tags AS (SELECT DISTINCT substr(seq, 1, 6) AS tag FROM refs WHERE length(seq) >= 6), b AS (SELECT name, substr(seq, 1, 6) AS barcode FROM seqs),
+near AS (SELECT name, max(CASE WHEN tag = barcode THEN tag END) AS same, min(tag) AS tag, count(*) AS n FROM b JOIN tags ON length(barcode) = 6 AND hamming(CASE WHEN length(barcode) = 6 THEN barcode ELSE 'NNNNNN' END, tag) <= 1 GROUP BY name)
+SELECT name, coalesce(same, CASE WHEN n = 1 THEN near.tag END, 'unknown') AS file FROM b LEFT JOIN near USING (name)""")
+def demultiplex(spark, d):
+    """Sequences by the six bases of their barcode."""
+    barcode = F.substr("seq", F.lit(1), F.lit(6))
+    return rearrange.demultiplex(_seqs(spark, d).select("name", barcode.alias("barcode")), _refs(spark, d).select(barcode.alias("tag")), 6).select("name", "file")
+
+
+@query(f"""WITH {SEQS}, {_kmer_sql('km', 'seqs')}, r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY md5(kmer) DESC, pos) AS n FROM km)
+SELECT seqs.name, kmer AS pivot, CAST(pos AS INT) AS place FROM seqs LEFT JOIN (SELECT * FROM r WHERE n = 1) r ON seqs.name = r.name""")
+def clump_order(spark, d):
+    return rearrange.clumped(_seqs(spark, d), K).select("name", "pivot", "place")
+
+
+@query(f"""WITH {SEQS}, {_kmer_sql('km', 'seqs')}, t AS (SELECT name // 100 AS bin, count(*) AS kmers FROM km GROUP BY 1), f AS (SELECT bin, count(*) AS fresh FROM (SELECT kmer, min(name // 100) AS bin FROM km GROUP BY kmer) GROUP BY bin)
+SELECT bin, kmers, coalesce(fresh, 0) AS fresh FROM t LEFT JOIN f USING (bin)""")
+def kmer_uniqueness(spark, d):
+    return rearrange.uniqueness(_seqs(spark, d), K, 100)
+
+
+@query(f"WITH {SEQS}, {REFS}, {_kmer_sql('km', 'seqs')}, {_kmer_sql('kr', 'refs')} SELECT CAST(pos AS INT) AS pos, count(*) AS hits FROM km WHERE kmer IN (SELECT kmer FROM kr) GROUP BY pos")
+def kmer_positions(spark, d):
+    return rearrange.hit_positions(_seqs(spark, d), _refs(spark, d), K)
+
+
+@query(f"""WITH {ALN}, s AS (SELECT qname, flag, rname, CASE WHEN flag & 16 <> 0 THEN pos + 3 * q + x + 1 ELSE pos END AS five FROM aln WHERE line <= 2),
+t AS (SELECT CASE WHEN a.rname = b.rname THEN b.five - a.five ELSE 0 END AS tlen FROM s a JOIN s b ON a.qname = b.qname AND a.flag & 192 <> b.flag & 192) SELECT tlen AS size, count(*) AS pairs FROM t WHERE tlen > 0 GROUP BY tlen""")
+def insert_sizes(spark, d):
+    return rearrange.insert_sizes(sam.fix_mates(_alignments(spark, d).where("line <= 2").drop("rnext").withColumn("rname", F.col("rname").cast("string"))))
+
+
+@query(f"""WITH {SEQS}, f AS (SELECT name, frame, CASE WHEN frame > 2 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS s FROM seqs, (SELECT unnest(generate_series(0, 5)) AS frame))
+SELECT name, CAST(frame AS INT) AS frame, md5(array_to_string(list_transform(generate_series(frame % 3 + 1, length(s) - 2, 3), lambda i:
+    substr('{S.AMINO_ACIDS}', CAST(16 * strpos('ACGT', substr(s, i, 1)) + 4 * strpos('ACGT', substr(s, i + 1, 1)) + strpos('ACGT', substr(s, i + 2, 1)) - 20 AS BIGINT), 1)), '')) AS protein FROM f WHERE s IS NOT NULL""")
+def six_frames(spark, d):
+    return rearrange.six_frames(_seqs(spark, d).where("seq is not null")).select("name", "frame", F.md5("protein").alias("protein"))
+
+
+@query(f"WITH {SEQS} SELECT name, CAST(floor(coalesce(sum(length(seq)) OVER (ORDER BY name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 5000) AS BIGINT) AS chunk FROM seqs")
+def size_chunks(spark, d):
+    return rearrange.chunk_by_size(_seqs(spark, d), 5000).select("name", "chunk")
+
+
 # ------------------------------------------------------------------ streams
 
 
