@@ -69,6 +69,12 @@ def canonical(kmer: Column) -> Column:
     return F.greatest(kmer, F.reverse(F.translate(kmer, "ACGT", "TGCA")))
 
 
+def canonical_kmers(seq: Column, k: int, letters: str = ".") -> Column:
+    """The canonical k-mers of a sequence, in order, with one complement for the whole sequence; ``letters``: a pattern that all letters of a k-mer match (the same for complements)."""
+    found = lambda s: F.regexp_extract_all(s, F.lit(f"(?s)(?=({letters}{{{k}}}))"), F.lit(1))
+    return F.zip_with(found(seq), F.reverse(found(F.reverse(F.translate(seq, "ACGT", "TGCA")))), lambda a, b: F.greatest(a, b))
+
+
 def neighbours(kmer: Column, k: int) -> Column:
     """A k-mer and all k-mers one substitution away."""
     at = F.sequence(F.lit(1), F.lit(k))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrand.functions import seq as S
@@ -10,12 +10,17 @@ from lodestrand.functions import seq as S
 
 def explode(seqs: DataFrame, k: int, name: str = "name", seq: str = "seq") -> DataFrame:
     """name, pos (0-based) and canonical k-mer; k-mers with letters other than ACGT are left out."""
-    rows = seqs.select(name, F.posexplode(S.kmers(F.upper(F.col(seq)), k)).alias("pos", "kmer"))
-    return rows.where(F.col("kmer").rlike(f"^[ACGT]{{{k}}}$")).withColumn("kmer", S.canonical(F.col("kmer")))
+    rows = seqs.select(name, F.posexplode(S.canonical_kmers(F.upper(F.col(seq)), k)).alias("pos", "kmer"))
+    return rows.where(F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
 
 
-def counts(seqs: DataFrame, k: int, name: str = "name", seq: str = "seq") -> DataFrame:
-    return explode(seqs, k, name, seq).groupBy("kmer").agg(F.count("*").alias("n"))
+def _plain(seq: str, k: int) -> Column:
+    """The canonical k-mers of ACGT only, without their places."""
+    return S.canonical_kmers(F.upper(F.col(seq)), k, "[ACGT]")
+
+
+def counts(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
+    return seqs.select(F.explode(_plain(seq, k)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
 
 
 def histogram(kmer_counts: DataFrame) -> DataFrame:
@@ -65,7 +70,9 @@ def best_reference(reads: DataFrame, refs: DataFrame, k: int, ambiguous: str = "
 
 def sketch(seqs: DataFrame, k: int, size: int) -> DataFrame:
     """name and hashes: the ``size`` smallest md5 values of a sequence's distinct k-mers, in order."""
-    each = explode(seqs, k).select("name", F.md5("kmer").alias("h")).distinct()
+    # a row's smallest values are enough of it, so that no more than these are shuffled
+    own = F.slice(F.sort_array(F.transform(F.array_distinct(_plain("seq", k)), lambda x: F.md5(x))), 1, size)
+    each = seqs.select("name", F.explode(own).alias("h")).distinct()
     order = Window.partitionBy("name").orderBy("h")
     return each.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= size).groupBy("name").agg(F.array_sort(F.collect_list("h")).alias("hashes"))
 

@@ -55,18 +55,47 @@ def fix_mates(rows: DataFrame) -> DataFrame:
     return out.withColumn("rnext", F.coalesce("_rname", F.lit("*"))).withColumn("pnext", F.coalesce("_pos", F.lit(0))).withColumn("tlen", F.when(same, F.col("_mate") - F.col("_five")).otherwise(0)).drop("_five", "_mate", "_rname", "_pos", "_side")
 
 
-def depth(rows: DataFrame, mapq: int = 0) -> DataFrame:
-    """rname, pos (from 1), depth over aligned bases (deletions and skips are none)."""
-    ops = S.cigar_ops(F.col("cigar"))
-    start = F.struct(F.col("pos").cast("int").alias("at"), F.array().cast("array<int>").alias("on"))
+def spans(rows: DataFrame) -> DataFrame:
+    """rname, start and end (half-open, from 1) of every aligned stretch of a row (deletions and skips are none)."""
+    start = F.struct(F.col("pos").cast("int").alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("on"))
 
     def step(s: Column, x: Column) -> Column:
         aligned, moves = x.op.isin("M", "=", "X"), x.op.isin("M", "=", "X", "D", "N")
-        on = F.when(aligned, F.concat(s.on, F.sequence(s.at, s.at + x.n - 1))).otherwise(s.on)
+        on = F.when(aligned, F.concat(s.on, F.array(F.struct(s.at.alias("start"), (s.at + x.n).alias("end"))))).otherwise(s.on)
         return F.struct(F.when(moves, s.at + x.n).otherwise(s.at).alias("at"), on.alias("on"))
 
-    spans = view(rows, exclude=0x704, mapq=mapq).select("rname", F.explode(F.aggregate(ops, start, step, lambda s: s.on)).alias("pos"))
-    return spans.groupBy("rname", "pos").agg(F.count("*").alias("depth"))
+    return rows.select("rname", F.inline(F.aggregate(S.cigar_ops(F.col("cigar")), start, step, lambda s: s.on))).where(F.col("start") < F.col("end"))
+
+
+def _levels(rows: DataFrame, mapq: int, width: int) -> DataFrame:
+    """rname, start, end and depth (over zero) of runs of equal depth.
+
+    Stretches are cut at multiples of ``width`` and swept within each such bin,
+    so that a contig of any length and depth is spread over many tasks.
+    """
+    cut = spans(view(rows, exclude=0x704, mapq=mapq)).withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width))))
+    low, high = F.greatest(F.col("start").cast("long"), F.col("_bin") * width), F.least(F.col("end").cast("long"), (F.col("_bin") + 1) * width)
+    ends = F.array(F.struct(low.alias("start"), F.lit(1).alias("d")), F.struct(high.alias("start"), F.lit(-1).alias("d")))
+    steps = cut.select("rname", "_bin", F.inline(ends)).groupBy("rname", "_bin", "start").agg(F.sum("d").alias("d"))
+    order = Window.partitionBy("rname", "_bin").orderBy("start")
+    return steps.select("rname", "start", F.lead("start").over(order).alias("end"), F.sum("d").over(order).alias("depth")).where("depth > 0")
+
+
+def depth(rows: DataFrame, mapq: int = 0, width: int = 65_536) -> DataFrame:
+    """rname, pos (from 1), depth over aligned bases (deletions and skips are none)."""
+    return _levels(rows, mapq, width).select("rname", F.explode(F.sequence(F.col("start").cast("int"), (F.col("end") - 1).cast("int"))).alias("pos"), "depth")
+
+
+def binned_depth(rows: DataFrame, size: int, mapq: int = 0) -> DataFrame:
+    """rname, bin (first position, a multiple of ``size``), bases aligned in it and the positions covered."""
+    runs = _levels(rows, mapq, size)
+    w = F.col("end") - F.col("start")
+    return runs.groupBy("rname", (F.floor(F.col("start") / size) * size).alias("bin")).agg(F.sum(w * F.col("depth")).alias("bases"), F.sum(w).alias("covered"))
+
+
+def depth_histogram(rows: DataFrame, mapq: int = 0, width: int = 65_536) -> DataFrame:
+    """depth and how many positions have it, of those covered at all."""
+    return _levels(rows, mapq, width).groupBy("depth").agg(F.sum(F.col("end") - F.col("start")).alias("positions"))
 
 
 def to_fastq(rows: DataFrame) -> DataFrame:

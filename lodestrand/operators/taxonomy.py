@@ -10,24 +10,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrand.functions.seq import lowest_rank_code
+from lodestrand.operators.work import keep
 
 
 def closure(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
-    """tid, ancestor, distance (0: itself), ancestor's rank, name and depth from the root; by doubling joins."""
+    """tid, ancestor, distance (0: itself), ancestor's rank, name and depth from the root; by doubling joins, each written, as reports use the closure many times."""
     up = nodes.where("tid <> parent").select("tid", F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
-    reach, span = up, 1
+    reach, span = keep(up, "ancestors"), 1
+    rows = reach.count()
     while span < max_depth:
         # pairs up to 2 * span apart, from pairs up to span apart
         far = reach.alias("a").join(reach.where(F.col("distance") == span).alias("b"), F.col("a.tid") == F.col("b.ancestor")).select("b.tid", "a.ancestor", (F.col("a.distance") + span).alias("distance"))
-        more = reach.unionByName(far)
-        if far.isEmpty():
+        reach = keep(reach.unionByName(far), "ancestors")
+        was, rows = rows, reach.count()
+        if was == rows:
             break
-        reach, span = more, span * 2
+        span *= 2
     own = nodes.select("tid", F.col("tid").alias("ancestor"), F.lit(0).alias("distance"))
     every = own.unionByName(reach)
     depth = every.groupBy(F.col("tid").alias("ancestor")).agg(F.max("distance").cast("int").alias("depth"))
     info = nodes.select(F.col("tid").alias("ancestor"), "rank", "name")
-    return every.join(info, "ancestor").join(depth, "ancestor").select("tid", "ancestor", "distance", "rank", "name", "depth")
+    return keep(every.join(info, "ancestor").join(depth, "ancestor").select("tid", "ancestor", "distance", "rank", "name", "depth"), "tree")
 
 
 def at_rank(tree: DataFrame, rank: str) -> DataFrame:

@@ -521,6 +521,20 @@ def base_depth(spark, d):
     return sam.depth(_alignments(spark, d), 10)
 
 
+DEPTH = f"""{ALN}, e AS (SELECT rname, pos, q, x, unnest(generate_series(0, q - 1)) AS i FROM aln WHERE flag & 1796 = 0 AND mapq >= 10), b AS (SELECT rname, unnest([pos + i, pos + q + i, pos + 2 * q + x + 2 + i]) AS pos FROM e),
+dp AS (SELECT rname, pos, count(*) AS depth FROM b GROUP BY ALL)"""
+
+
+@query(f"WITH {DEPTH} SELECT rname, CAST(floor(pos / 100) * 100 AS BIGINT) AS bin, CAST(sum(depth) AS BIGINT) AS bases, count(*) AS covered FROM dp GROUP BY ALL")
+def binned_depth(spark, d):
+    return sam.binned_depth(_alignments(spark, d), 100, 10)
+
+
+@query(f"WITH {DEPTH} SELECT depth, count(*) AS positions FROM dp GROUP BY depth")
+def depth_histogram(spark, d):
+    return sam.depth_histogram(_alignments(spark, d), 10)
+
+
 @query(f"""WITH {ALN} SELECT qname, line, CAST(3 * q + x + 2 AS INT) AS ref_len, CAST(3 * q + 2 * x + 2 AS INT) AS query_len, CAST(3 * q - (40 - 2 * x - 3) * 3 - (3 + x + 1) - (3 + x + 2) AS INT) AS score FROM aln""")
 def cigar_scores(spark, d):
     c = F.col("cigar")
