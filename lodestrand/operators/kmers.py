@@ -43,9 +43,15 @@ def match(reads: DataFrame, refs: DataFrame, k: int, least: int = 1, substitutio
 def mask(reads: DataFrame, refs: DataFrame, k: int) -> DataFrame:
     """reads(name, seq) with every base under a k-mer of refs as N."""
     hit = explode(reads, k).join(explode(refs, k).select("kmer").distinct(), "kmer", "left_semi").groupBy("name").agg(F.array_sort(F.collect_list("pos")).alias("_at"))
-    zone = lambda i: F.exists(F.col("_at"), lambda p: (p <= i) & (i < p + k))
-    chars = F.transform(F.sequence(F.lit(0), F.length("seq") - 1), lambda i: F.when(zone(i), "N").otherwise(F.substr("seq", i + 1, F.lit(1))))
-    return reads.join(hit, "name", "left").withColumn("seq", F.when(F.col("_at").isNull() | (F.length("seq") == 0), F.col("seq")).otherwise(F.array_join(chars, ""))).drop("_at")
+    at, far = F.col("_at"), lambda a, b: F.coalesce(b - a > k, F.lit(True))
+    # runs of hits no more than k apart, and the text between them
+    begins = F.filter(at, lambda p, i: (i == 0) | far(F.get(at, i - 1), p))
+    stops = F.filter(at, lambda p, i: far(p, F.get(at, i + 1)))
+    held = reads.join(hit, "name", "left").withColumn("_from", begins).withColumn("_to", F.transform(stops, lambda p: p + k))
+    until = lambda i: F.when(i == 0, 0).otherwise(F.get("_to", i - 1))
+    pieces = F.transform("_from", lambda p, i: F.concat(F.substr("seq", until(i) + 1, p - until(i)), F.repeat(F.lit("N"), F.get("_to", i) - p)))
+    masked = F.concat(F.array_join(pieces, ""), F.substr("seq", F.element_at("_to", -1) + 1))
+    return held.withColumn("seq", F.when(at.isNull(), F.col("seq")).otherwise(masked)).drop("_at", "_from", "_to")
 
 
 def trim(reads: DataFrame, refs: DataFrame, k: int, side: str = "right") -> DataFrame:
@@ -68,6 +74,11 @@ def best_reference(reads: DataFrame, refs: DataFrame, k: int, ambiguous: str = "
     return best.drop("_best")
 
 
+def reference_stats(best: DataFrame) -> DataFrame:
+    """ref, reads, sole_reads (with no other reference as good) and hits of best_reference's rows."""
+    return best.groupBy("ref").agg(F.count("*").alias("reads"), F.sum((F.col("n_refs") == 1).cast("long")).alias("sole_reads"), F.sum("hits").alias("hits"))
+
+
 def sketch(seqs: DataFrame, k: int, size: int) -> DataFrame:
     """name and hashes: the ``size`` smallest md5 values of a sequence's distinct k-mers, in order."""
     # a row's smallest values are enough of it, so that no more than these are shuffled

@@ -51,12 +51,20 @@ def lookup(hits: DataFrame, acc_to_tid: DataFrame, tree: DataFrame, rank: str =
     return found.groupBy("read", F.coalesce("to", F.lit(1)).cast("long").alias("tid")).agg(F.greatest(F.max("score"), F.lit(0.0)).alias("score"))
 
 
+def paths(tree: DataFrame) -> DataFrame:
+    """tid and ``path``: its ancestors from the root down to itself."""
+    return tree.groupBy("tid").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "ancestor"))), lambda x: x.ancestor).alias("path"))
+
+
 def common_ancestor(sets: DataFrame, tree: DataFrame) -> DataFrame:
-    """read and lca of sets(read, tid): the deepest node above all taxa of the read (itself for one)."""
-    sets = sets.select("read", "tid").distinct()
-    n = sets.groupBy("read").agg(F.count("*").alias("_n"))
-    above = sets.join(tree, "tid").groupBy("read", "ancestor").agg(F.count("*").alias("_hits"), F.max("depth").alias("_depth"))
-    return above.join(n, "read").where("_hits = _n").groupBy("read").agg(F.max_by("ancestor", "_depth").cast("long").alias("lca"))
+    """read and lca of sets(read, tid): the deepest node above all taxa of the read (itself for one); reads with taxa of different roots, or out of the tree, have none.
+
+    What the least and the greatest path of a read have in common, all of its paths have; so each hit moves once, whatever its depth.
+    """
+    ends = sets.select("read", "tid").join(paths(tree), "tid", "left").groupBy("read").agg(F.min("path").alias("a"), F.max("path").alias("b"), F.count("*").alias("_n"), F.count("path").alias("_in"))
+    differ = F.array_position(F.zip_with("a", "b", lambda x, y: x == y), F.lit(False))
+    shared = F.when(differ == 0, F.least(F.size("a"), F.size("b"))).otherwise(differ - 1).cast("int")
+    return ends.where("_n = _in").withColumn("_shared", shared).where("_shared > 0").select("read", F.element_at("a", F.col("_shared")).cast("long").alias("lca"))
 
 
 def report(lcas: DataFrame, tree: DataFrame, total: int | F.Column) -> DataFrame:
@@ -129,6 +137,31 @@ def cleanup(hits: DataFrame, contaminants: DataFrame, top: float = 0.94, share:
     return kept.select("read", "tid", "score")
 
 
+def split_by_rank(hits: DataFrame, tree: DataFrame, rank: str, unknown: str = "unknown") -> DataFrame:
+    """hits(…, tid) with ``file``: the name of the taxon's ancestor at the rank, to write by."""
+    names = at_rank(tree, rank).join(tree.where("distance = 0").select(F.col("tid").alias("to"), "name"), "to").select("tid", F.col("name").alias("file"))
+    return hits.join(names, "tid", "left").withColumn("file", F.coalesce("file", F.lit(unknown)))
+
+
+def gathered(counts: DataFrame, tree: DataFrame, least: int) -> DataFrame:
+    """tid and n: counts(tid, n) summed up the tree, each taxon's under its nearest ancestor (itself included) that has ``least`` or more in all; taxa without one go to the root."""
+    sums = counts.join(tree, "tid").groupBy("ancestor").agg(F.sum("n").alias("_sum"))
+    near = counts.join(tree, "tid").join(sums, "ancestor").where((F.col("_sum") >= least) | (F.col("depth") == 0))
+    to = near.groupBy("tid", "n").agg(F.min_by("ancestor", "distance").alias("to"))
+    return to.groupBy(F.col("to").cast("long").alias("tid")).agg(F.sum("n").alias("n"))
+
+
+def taxon_accuracy(truth: DataFrame, predicted: DataFrame) -> DataFrame:
+    """tid, n_true, n_found, n_right, sensitivity and false_discovery: truth(read, tid) against the reads of predicted(read, tid) that hit one taxon only."""
+    alone = predicted.groupBy("read").agg(F.min("tid").alias("found"), F.max("tid").alias("_last")).where("found = _last").drop("_last")
+    pairs = truth.select("read", F.col("tid").alias("true")).join(alone, "read", "full_outer")
+    # a read counts for its true taxon and for the one found, in one pass
+    marks = F.array(F.struct(F.col("true").alias("tid"), F.lit(1).alias("t"), F.lit(0).alias("f"), F.coalesce(F.col("true") == F.col("found"), F.lit(False)).cast("int").alias("r")), F.struct(F.col("found").alias("tid"), F.lit(0).alias("t"), F.lit(1).alias("f"), F.lit(0).alias("r")))
+    n = pairs.select(F.inline(marks)).where("tid is not null").groupBy("tid").agg(F.sum("t").alias("n_true"), F.sum("f").alias("n_found"), F.sum("r").alias("n_right"))
+    share = lambda a, b: F.round(F.when(F.col(b) > 0, a / F.col(b)), 9)
+    return n.withColumn("sensitivity", share(F.col("n_right"), "n_true")).withColumn("false_discovery", share(F.col("n_found") - F.col("n_right"), "n_found"))
+
+
 def accuracy(truth: DataFrame, predicted: DataFrame, tree: DataFrame, ranks: tuple[str, ...] = ("species", "genus", "family")) -> DataFrame:
     """rank, correct, wrong and unspecific reads: truth(read, tid) against the common ancestors of predicted(read, tid)."""
     found = common_ancestor(predicted, tree).join(truth.select("read", F.col("tid").alias("true")), "read")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrand.functions import seq as S
-from lodestrand.operators import intervals, kmers, reads, rearrange, sam, stats, taxonomy
+from lodestrand.operators import intervals, kmers, qc, reads, rearrange, sam, stats, taxonomy, variants
 from lodestrand.sources import text as sources
 from lodestrand.streaming import events as windows
 
@@ -628,6 +628,136 @@ def size_chunks(spark, d):
     return rearrange.chunk_by_size(_seqs(spark, d), 5000).select("name", "chunk")
 
 
+# ------------------------------------------------- masking, trimming, variants
+
+
+HITS15 = f"""{SEQS}, {REFS}, {_kmer_sql('km', 'seqs', 15)}, {_kmer_sql('rk', 'refs', 15)}, hit AS (SELECT name, pos FROM km WHERE kmer IN (SELECT kmer FROM rk))"""
+
+
+@query(f"""WITH {HITS15}, c AS (SELECT name, i - 1 AS i, substr(seq, i, 1) AS base FROM (SELECT name, seq, unnest(generate_series(1, length(seq))) AS i FROM seqs WHERE name IN (SELECT name FROM hit))),
+m AS (SELECT DISTINCT name, pos + unnest(generate_series(0, 14)) AS i FROM hit)
+SELECT name, md5(string_agg(CASE WHEN m.i IS NULL THEN base ELSE 'N' END, '' ORDER BY c.i)) AS seq FROM c LEFT JOIN m USING (name, i) GROUP BY name""")
+def kmer_mask(spark, d):
+    masked = kmers.mask(_seqs(spark, d).select("name", "seq"), _refs(spark, d), 15)
+    return masked.where("seq like '%N%'").select("name", F.md5("seq").alias("seq"))
+
+
+@query(f"WITH {HITS15}, f AS (SELECT name, min(pos) AS a FROM hit GROUP BY name) SELECT name, md5(substr(seq, 1, coalesce(a, length(seq)))) AS seq FROM seqs LEFT JOIN f USING (name)")
+def kmer_trim(spark, d):
+    return kmers.trim(_seqs(spark, d).select("name", "seq"), _refs(spark, d), 15).select("name", F.md5("seq").alias("seq"))
+
+
+@query(f"WITH {HITS15}, f AS (SELECT name, max(pos) AS b FROM hit GROUP BY name) SELECT name, md5(substr(seq, coalesce(b + 15, 0) + 1)) AS seq FROM seqs LEFT JOIN f USING (name)")
+def kmer_trim_left(spark, d):
+    return kmers.trim(_seqs(spark, d).select("name", "seq"), _refs(spark, d), 15, "left").select("name", F.md5("seq").alias("seq"))
+
+
+@query(f"""WITH {SEQS}, {REFS}, {_kmer_sql('km', 'seqs', 13)}, {_kmer_sql('rk', 'refs', 13)}, d AS (SELECT DISTINCT kmer FROM rk), nb AS (SELECT substr(kmer, 1, i - 1) || b || substr(kmer, i + 1) AS x FROM d, (SELECT unnest(generate_series(1, 13)) AS i), (SELECT unnest(['A', 'C', 'G', 'T']) AS b)),
+near AS (SELECT DISTINCT greatest(x, reverse(translate(x, 'ACGT', 'TGCA'))) AS kmer FROM nb) SELECT name, count(*) AS hits FROM km WHERE kmer IN (SELECT kmer FROM near) GROUP BY name HAVING count(*) >= 5""")
+def kmer_match_near(spark, d):
+    return kmers.match(_seqs(spark, d), _refs(spark, d), 13, 5, substitutions=1)
+
+
+@query(f"""WITH {SEQS}, {REFS}, {_kmer_sql('km', 'seqs', 15)}, {_kmer_sql('rk', 'refs', 15)}, u AS (SELECT DISTINCT name AS ref, kmer FROM rk), s AS (SELECT name, ref, count(*) AS hits FROM km JOIN u USING (kmer) GROUP BY ALL),
+b AS (SELECT *, count(*) OVER (PARTITION BY name) AS n FROM (SELECT *, max(hits) OVER (PARTITION BY name) AS m FROM s) WHERE hits >= m - 2)
+SELECT ref, count(*) AS reads, CAST(sum((n = 1)::INT) AS BIGINT) AS sole_reads, CAST(sum(hits) AS BIGINT) AS hits FROM b GROUP BY ref""")
+def reference_stats(spark, d):
+    return kmers.reference_stats(kmers.best_reference(_seqs(spark, d), _refs(spark, d), 15, clearzone=2))
+
+
+@query(f"""WITH {SEQS}, r AS (SELECT name, seq, length(seq) AS n FROM seqs WHERE length(seq) >= 100)
+SELECT name FROM r WHERE NOT EXISTS (SELECT 1 FROM r b WHERE b.name <> r.name AND (b.n > r.n OR b.name < r.name) AND b.n >= r.n AND (contains(b.seq, r.seq) OR contains(b.seq, reverse(translate(r.seq, 'ACGT', 'TGCA')))))""")
+def without_contained(spark, d):
+    return kmers.contained(_seqs(spark, d).select("name", "seq"))
+
+
+@query(f"""WITH {SEQS}, q AS (SELECT name, seq, CAST(length(seq) AS DOUBLE) AS n, length(replace(seq, 'A', '')) AS na, length(replace(seq, 'C', '')) AS nc, length(replace(seq, 'G', '')) AS ng, length(replace(seq, 'T', '')) AS nt FROM seqs)
+SELECT name FROM q WHERE n >= 50 AND (2 * n - ng - nc) / n BETWEEN 0.3 AND 0.5 AND floor(-10 * log10(((n - na) * 1e-4 + (n - nc) * 1e-2 + (n - ng) * 0.1 + (n - nt) * pow(10, -0.2)) / n) + 1e-9) >= 8""")
+def quality_filters(spark, d):
+    rows = _seqs(spark, d).select("name", "seq", F.translate("seq", "ACGT", "I5+#").alias("qual"))
+    return qc.filters(rows, least=50, low_gc=0.3, high_gc=0.5, least_quality=8).where("ok").select("name")
+
+
+@query("""SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(p_name, '([a-z]+|[^a-z]+)'), lambda x: CASE WHEN regexp_matches(x, '^[a-z]') AND length(x) >= 4 THEN repeat('N', length(x)) ELSE upper(x) END), '') AS masked FROM part""")
+def mask_lower_case(spark, d):
+    return _t(spark, d, "part").select("p_partkey", S.mask_runs(F.col("p_name"), 4).alias("masked"))
+
+
+@query("""WITH m AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p FROM lineitem) SELECT coalesce(a.k, b.k)::VARCHAR AS name, a.p::VARCHAR AS seq1, b.p::VARCHAR AS seq2 FROM (SELECT * FROM m WHERE n = 2) a FULL JOIN (SELECT * FROM m WHERE n = 4 OR n = 1 AND k % 3 = 0) b ON a.k = b.k""")
+def repair_mates(spark, d):
+    rows = _t(spark, d, "lineitem").select(F.concat("l_orderkey", F.lit("/"), 1 + F.col("l_linenumber") % 2).alias("name"), F.col("l_partkey").cast("string").alias("seq"), "l_linenumber", "l_orderkey")
+    return reads.repair(rows.where("l_linenumber = 2"), rows.where("l_linenumber = 4 or l_linenumber = 1 and l_orderkey % 3 = 0"))
+
+
+@query(f"""WITH {ALN}, s AS (SELECT *, translate(md5(qname || '-' || line), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq, md5(qname || '-' || line) AS qual FROM aln)
+SELECT qname || CASE WHEN flag & 64 <> 0 THEN '/1' ELSE '/2' END AS name, CASE WHEN flag & 16 <> 0 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq, CASE WHEN flag & 16 <> 0 THEN reverse(qual) ELSE qual END AS qual FROM s""")
+def alignments_to_fastq(spark, d):
+    qual = F.md5(F.concat_ws("-", "qname", F.col("line").cast("string")))
+    return sam.to_fastq(_alignments(spark, d).withColumn("seq", F.translate(qual, "0123456789abcdef", "ACGTACGTACGTACGT")).withColumn("qual", qual))
+
+
+@query(f"""WITH {ALN} SELECT qname, line FROM aln WHERE flag & 1 = 1 AND flag & 4 = 0 AND mapq >= 20 AND CAST('0x' || substr(md5('0' || qname), 1, 8) AS BIGINT) < 0.5 * 4294967296""")
+def sampled_alignments(spark, d):
+    return sam.view(_alignments(spark, d), require=1, exclude=4, mapq=20, sample=0.5).select("qname", "line")
+
+
+@query(f"WITH {ALN} SELECT qname, line FROM aln WHERE 3 * q + x + 1 >= 0.95 * (3 * q + 2 * x + 2)")
+def little_clipped(spark, d):
+    return sam.soft_clip_filter(_alignments(spark, d), 0.95).select("qname", "line")
+
+
+VARIANTS = """bases AS (SELECT l_suppkey AS chrom, l_partkey AS pos, ['A', 'C', 'IT', 'DA'][l_linenumber % 4 + 1] AS allele, l_quantity FROM lineitem),
+v AS (SELECT chrom, pos, max(l_quantity) AS qual, count(*) AS depth FROM bases GROUP BY ALL)"""
+
+
+def _variants(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Bases of line items by supplier and part, and a site for each place with bases."""
+    bases = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("chrom"), F.col("l_partkey").alias("pos"), F.element_at(F.array(*map(F.lit, ["A", "C", "IT", "DA"])), (F.col("l_linenumber") % 4 + 1).cast("int")).alias("allele"), "l_quantity")
+    return bases, bases.groupBy("chrom", "pos").agg(F.max("l_quantity").alias("qual"), F.count("*").alias("depth"))
+
+
+@query(f"""WITH {VARIANTS}, s AS (SELECT chrom, pos, depth, unnest([{{'r': 'G', 'a': 'A', 'k': 'A'}}, {{'r': 'G', 'a': 'GT', 'k': 'IT'}}, {{'r': 'GA', 'a': 'G', 'k': 'DA'}}]) AS u FROM v)
+SELECT s.chrom, s.pos, u.r AS ref, u.a AS alt, depth, round(count(b.allele) / depth, 4) AS af FROM s LEFT JOIN bases b ON b.chrom = s.chrom AND b.pos = s.pos AND b.allele = u.k GROUP BY s.chrom, s.pos, u.r, u.a, depth""")
+def allele_frequencies(spark, d):
+    bases, _ = _variants(spark, d)
+    sites = F.array(*[F.struct(F.lit(r).alias("ref"), F.lit(a).alias("alt")) for r, a in (("G", "A"), ("G", "GT"), ("GA", "G"))])
+    counts = variants.allele_counts(bases)
+    return sources.update_frequencies(bases.select("chrom", "pos").distinct().select("chrom", "pos", F.inline(sites)), counts)
+
+
+@query(f"""WITH {VARIANTS}, f AS (SELECT * FROM v WHERE qual >= 10 AND depth >= 1 AND depth <= 3)
+SELECT chrom, pos, qual, depth FROM f WHERE NOT EXISTS (SELECT 1 FROM f g WHERE g.chrom = f.chrom AND g.pos <> f.pos AND abs(g.pos - f.pos) <= 4)""")
+def filter_variants(spark, d):
+    return variants.filter_variants(_variants(spark, d)[1], 10, 1, 3, 4)
+
+
+# ------------------------------------------------------------ taxa of results
+
+
+@query(f"WITH RECURSIVE {TREE}, {HITS}, own AS (SELECT tid AS t, name FROM tree WHERE distance = 0) SELECT read, hits.tid, own.name AS file FROM hits JOIN tree ON tree.tid = hits.tid AND tree.rank = 'family' JOIN own ON own.t = tree.ancestor")
+def split_by_rank(spark, d):
+    return taxonomy.split_by_rank(_hits(spark, d), _tree(spark, d), "family").select("read", "tid", "file")
+
+
+@query(f"""WITH RECURSIVE {TREE}, n AS (SELECT l_suppkey + 100000 AS tid, count(*) AS n FROM lineitem GROUP BY 1), s AS (SELECT ancestor, sum(n) AS s FROM n JOIN tree USING (tid) GROUP BY 1),
+c AS (SELECT tid, n, arg_min(ancestor, distance) AS a FROM n JOIN tree USING (tid) JOIN s USING (ancestor) WHERE s >= (SELECT sum(n) / 30 FROM n) OR depth = 0 GROUP BY tid, n)
+SELECT CAST(a AS BIGINT) AS tid, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY a""")
+def gathered_counts(spark, d):
+    n = _t(spark, d, "lineitem").groupBy((F.col("l_suppkey") + 100_000).alias("tid")).agg(F.count("*").alias("n"))
+    least = n.agg(F.sum("n") / 30).first()[0]  # one number
+    return taxonomy.gathered(n, _tree(spark, d), least or 0)
+
+
+@query(f"""WITH {HITS}, a AS (SELECT read, min(tid) AS found FROM hits GROUP BY read HAVING count(DISTINCT tid) = 1), t AS (SELECT o_orderkey AS read, (SELECT min(l_suppkey) FROM lineitem) + 100000 + o_orderkey % 5 AS truth FROM orders),
+p AS (SELECT truth, found FROM t FULL JOIN a USING (read)), k AS (SELECT truth AS tid FROM p WHERE truth IS NOT NULL UNION SELECT found FROM p WHERE found IS NOT NULL),
+n AS (SELECT tid, (SELECT count(*) FROM p WHERE truth = tid) AS n_true, (SELECT count(*) FROM p WHERE found = tid) AS n_found, (SELECT count(*) FROM p WHERE truth = tid AND found = tid) AS n_right FROM k)
+SELECT *, round(CASE WHEN n_true > 0 THEN n_right / n_true END, 9) AS sensitivity, round(CASE WHEN n_found > 0 THEN (n_found - n_right) / n_found END, 9) AS false_discovery FROM n""")
+def taxon_accuracy(spark, d):
+    first = _t(spark, d, "lineitem").agg(F.min("l_suppkey").alias("s"))
+    truth = _t(spark, d, "orders").join(F.broadcast(first), F.lit(True)).select(F.col("o_orderkey").alias("read"), (F.col("s") + 100_000 + F.col("o_orderkey") % 5).alias("tid"))  # one row
+    return taxonomy.taxon_accuracy(truth, _hits(spark, d))
+
+
 # ------------------------------------------------------------------ streams
 
 
