@@ -91,6 +91,29 @@ def parse_raw(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 # ------------------------------------------------------------------ encoding
 
 
+class _Recent:
+    """A bounded table that forgets what was not asked for lately: two generations of about half the size each; what is found in the old one moves to the new."""
+
+    def __init__(self, size: int) -> None:
+        self.half, self.now, self.old = size // 2, {}, {}
+
+    def turn(self) -> None:
+        if len(self.now) > self.half:
+            self.old, self.now = self.now, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys in neither generation; the others are in ``now`` afterwards."""
+        out = []
+        for k in keys:
+            if k not in self.now:
+                held = self.old.get(k)
+                if held is None:
+                    out.append(k)
+                else:
+                    self.now[k] = held
+        return out
+
+
 class WordEncoder:
     """Bytes of a text's ids as little-endian unsigned 32-bit integers."""
 
@@ -101,8 +124,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = _Recent(CACHE_WORDS), _Recent(CACHE_WORDS)  # bytes and str to the bytes of ids
         ids = self.tok.encode("a \t\nb", add_special_tokens=False).ids
         apart = [self.tok.encode(x, add_special_tokens=False).ids for x in "ab"]
         self.by_word = ids == apart[0] + apart[1]
@@ -130,29 +152,26 @@ class WordEncoder:
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, new: list[bytes]) -> None:
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
+        self.parts.turn()
         rest, cut = [], []
         for w in new:
             m = _PLAIN.fullmatch(w.decode()) if self.by_part else None
             (cut.append((w, m[1].lower(), m[2])) if m else rest.append(w))
-        lacking = [*{p for _, a, b in cut for p in (a, b) if p and p not in self.parts}]
-        if lacking:
-            self.parts.update(zip(lacking, self._ids_of_parts(lacking)))
-        self.words.update((w, self.parts[a] + self.parts[b] if b else self.parts[a]) for w, a, b in cut)
+        if lacking := self.parts.missing({p for _, a, b in cut for p in (a, b) if p}):
+            self.parts.now.update(zip(lacking, self._ids_of_parts(lacking)))
+        parts, words = self.parts.now, self.words.now
+        words.update((w, parts[a] + parts[b] if b else parts[a]) for w, a, b in cut)
         if rest:
-            self.words.update(zip(rest, self._ids([w.decode() for w in rest])))
+            words.update(zip(rest, self._ids([w.decode() for w in rest])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self._ids(texts)
-        if len(self.words) > CACHE_WORDS:  # short words come back most
-            short = {w: i for w, i in self.words.items() if len(w) < 8}
-            self.words = short if len(short) < CACHE_WORDS // 2 else {}
+        self.words.turn()
         words = [t.encode().split() for t in texts]  # of bytes: at ASCII white space alone
-        if new := [w for w in set().union(*words) if w not in self.words]:
+        if new := self.words.missing(set().union(*words)):
             self._learn(new)
-        return [b"".join(map(self.words.__getitem__, w)) for w in words]
+        return [b"".join(map(self.words.now.__getitem__, w)) for w in words]
 
 
 class _Packers(dict):
