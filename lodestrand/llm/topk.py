@@ -17,8 +17,9 @@ Components become floor(256 * x) as doubles; scores are exact integers.
 
 Defined results: vectors that are null, or hold a null or non-finite component,
 take no part; vectors meet only vectors of the same length; repeated rows each
-count as a candidate (never for a query of the same id); ties go to the
-smaller id; scores beyond a long are held at its ends; a table without queries
+count as a candidate (never for a query of the same id) and, where they ask, as
+a query: the rows of one query_id share its k places; ties go to the smaller
+id; ids may be negative; scores beyond a long are held at its ends; a table without queries
 or candidates gives no rows; columns other than the two named are ignored.
 """
 
@@ -77,7 +78,7 @@ def _bound(q: Node, x: Node) -> float:
 
 
 def dual_search(queries: np.ndarray, query_ids: np.ndarray, worst: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, scores), each queries x k, best first; -1 ids where there are fewer. ``worst``: a lower bound of each query's k-th score; only scores at or over it are looked for. Components are whole numbers held as doubles."""
+    """(ids, scores), each queries x k, best first; scores of -inf (and -1 ids, which may also be real ones) where there are fewer. ``worst``: a lower bound of each query's k-th score; only scores at or over it are looked for. Components are whole numbers held as doubles."""
     exact = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1]) < 2**53
     best, ids, worst = np.full((len(queries), k), -np.inf if exact else None, float if exact else object), np.full((len(queries), k), -1, np.int64), worst.astype(float).copy()
     if not exact:
@@ -164,7 +165,10 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def top_k(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, cell_rows: int = CELL_ROWS, cell_queries: int = CELL_QUERIES, seed: int = 5) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best other rows of each row that is_query holds for, against all rows."""
     spark = vectors.sparkSession
-    data = vectors.select(F.col(id_col).cast("long").alias("id"), whole(vector_col).alias("v"), F.coalesce(is_query, F.lit(False)).alias("ask")).where("v is not null and id is not null").withColumn("dim", F.size("v"))
+    data = vectors.select(F.col(id_col).cast("long").alias("id"), whole(vector_col).alias("v"), F.coalesce(is_query, F.lit(False)).alias("ask")).where("v is not null and id is not null")
+    # Equal rows are one row that holds how often it stands there and asks; k places hold k copies at most.
+    data = data.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"), F.least(F.sum(F.col("ask").cast("long")), F.lit(k)).cast("int").alias("asks"))
+    data = save(data.withColumn("ask", F.col("asks") > 0).withColumn("dim", F.size("v")), "rows")
     dims = {r.dim: r.n for r in data.groupBy("dim").agg(F.count("*").alias("n")).collect()}
     centres: dict[int, np.ndarray] = {}
     for dim, n in dims.items():
@@ -180,9 +184,9 @@ def top_k(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id", vector
             for dim in np.unique(size):
                 at = np.flatnonzero(size == dim)
                 shard[at], far[at] = _nearest(_matrix(b.column("v").take(pa.array(at))).reshape(len(at), dim), given.value[int(dim)])
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shard), pa.array(far)], names=["id", "v", "ask", "dim", "shard", "far"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shard), pa.array(far)], names=[*b.schema.names, "shard", "far"])
 
-    dealt = save(data.mapInArrow(deal, "id long, v array<double>, ask boolean, dim int, shard int, far double"), "vectors")
+    dealt = save(data.mapInArrow(deal, "id long, v array<double>, copies int, asks int, ask boolean, dim int, shard int, far double"), "vectors")
     sizes = {(r.dim, r.shard): r for r in dealt.groupBy("dim", "shard").agg(F.count("*").alias("n"), F.sum(F.col("ask").cast("long")).alias("asks"), F.max("far").alias("rx"), F.max(F.when(F.col("ask"), F.col("far"))).alias("rq")).collect()}  # MAX_PIVOTS rows for each length
     parts = {key: max(1, -(-r.n // cell_rows)) for key, r in sizes.items()}
     blocks = {key: max(1, -(-(r.asks or 0) // cell_queries)) for key, r in sizes.items()}
@@ -198,20 +202,21 @@ def top_k(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id", vector
         dim = table.column("dim")[0].as_py()
         v = _matrix(table.column("v")).reshape(len(table), dim)
         ids, worst = table.column("id").to_numpy(), table.column("worst").to_numpy()
-        # queries with the same id are one query of each row
-        near, score = dual_search(v[ask], ids[ask], np.nan_to_num(worst[ask], nan=-np.inf), v[~ask], ids[~ask], k)
-        q, r = np.nonzero(near >= 0)
-        return pa.table({"query_id": ids[ask][q], "vec_id": near[q, r], "score": pa.array([int(max(-_LONG - 1, min(_LONG, int(x)))) for x in score[q, r]], pa.int64()), "nth": pa.array(table.column("nth").to_numpy()[ask][q], pa.int64())})
+        times = table.column("times").to_numpy()  # of a query row: how often it asks; of a candidate: its copies
+        rows = np.repeat(np.flatnonzero(~ask), times[~ask])
+        near, score = dual_search(v[ask], ids[ask], np.nan_to_num(worst[ask], nan=-np.inf), v[rows], ids[rows], k)
+        q, r = np.nonzero(score != -np.inf)
+        return pa.table({"query_id": ids[ask][q], "times": times[ask][q], "vec_id": near[q, r], "score": pa.array([int(max(-_LONG - 1, min(_LONG, int(x)))) for x in score[q, r]], pa.int64()), "nth": pa.array(table.column("nth").to_numpy()[ask][q], pa.int64())})
 
-    result = "query_id long, vec_id long, score long, nth long"
+    result = "query_id long, times int, vec_id long, score long, nth long"
     keys = ["dim", "shard", "part", "group", "block"]
     seekers = dealt.where("ask").withColumn("nth", F.xxhash64("id", F.col("v").cast("string")))
     # First pass: a query and the part of its own shard that its id falls in.
-    home = seekers.select("dim", "shard", "part", F.col("shard").alias("group"), "block", "id", "v", F.lit(True).alias("ask"), "nth", F.lit(None).cast("double").alias("worst"))
-    blocked = dealt.select("dim", "shard", "part", F.col("shard").alias("group"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", F.lit(False).alias("ask"), F.lit(0).cast("long").alias("nth"), F.lit(None).cast("double").alias("worst"))
+    home = seekers.select("dim", "shard", "part", F.col("shard").alias("group"), "block", "id", "v", F.lit(True).alias("ask"), F.col("asks").alias("times"), "nth", F.lit(None).cast("double").alias("worst"))
+    blocked = dealt.select("dim", "shard", "part", F.col("shard").alias("group"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", F.lit(False).alias("ask"), F.col("copies").alias("times"), F.lit(0).cast("long").alias("nth"), F.lit(None).cast("double").alias("worst"))
     first = save(home.unionByName(blocked).groupBy(*keys).applyInArrow(search, result), "first")
     floor = first.groupBy("nth", F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("worst"))
-    seekers = save(seekers.join(floor, ["nth", "id"], "left").select("dim", "shard", "part", "block", "id", "v", "nth", "worst"), "seekers")
+    seekers = save(seekers.join(floor, ["nth", "id"], "left").select("dim", "shard", "part", "block", "id", "v", "asks", "nth", "worst"), "seekers")
     floors = {(r.dim, r.shard): r.worst for r in seekers.groupBy("dim", "shard").agg(F.when(F.count("worst") == F.count("*"), F.min("worst")).alias("worst")).collect()}
     pairs = []
     for (dim, group), low in floors.items():
@@ -228,13 +233,15 @@ def top_k(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id", vector
         seekers.withColumnsRenamed({"shard": "group", "part": "own"}).join(reach, ["dim", "group"])
         .select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         .where("not (shard = group and part = own)")
-        .select(*keys, "id", "v", F.lit(True).alias("ask"), "nth", F.col("worst").cast("double").alias("worst"))
+        .select(*keys, "id", "v", F.lit(True).alias("ask"), F.col("asks").alias("times"), "nth", F.col("worst").cast("double").alias("worst"))
     )
     rows = (
         dealt.drop("parts", "blocks", "block").join(reach, ["dim", "shard"])
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-        .select(*keys, "id", "v", F.lit(False).alias("ask"), F.lit(0).cast("long").alias("nth"), F.lit(None).cast("double").alias("worst"))
+        .select(*keys, "id", "v", F.lit(False).alias("ask"), F.col("copies").alias("times"), F.lit(0).cast("long").alias("nth"), F.lit(None).cast("double").alias("worst"))
     )
     second = asked.unionByName(rows).groupBy(*keys).applyInArrow(search, result)
-    order = Window.partitionBy("query_id", "nth").orderBy(F.desc("score"), "vec_id")
-    return first.unionByName(second).distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    # a query row and a candidate row meet once, so nothing is found twice
+    found = first.unionByName(second).select("query_id", "vec_id", "score", F.explode(F.sequence(F.lit(1), "times")))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

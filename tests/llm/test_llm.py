@@ -136,6 +136,25 @@ def test_top_k(spark):
     assert [(r.vec_id, r.score) for r in got.orderBy("rank").collect()] == [(3, 2**63 - 1), (2, exact(3)), (1, exact(2))]
 
 
+def test_top_k_of_repeated_rows_equals_sql(spark):
+    import duckdb
+
+    rng = random.Random(9)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(-150, 250)]
+    rows += [(7, [9.0] * 4)] * 5 + [(8, [8.0] * 4)] * 2 + [(7, [-9.0] * 4)]  # candidates stored several times, one id with two vectors
+    rows += [(-3, [20.0, 0.0, 0.0, 0.0])]  # a negative id
+    rows += [rows[150], rows[200], rows[200], (100, [0.5, -1.0, 2.0, 0.0])]  # query rows stored two and three times, a query id with two vectors
+    few = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), *((i, [float(i), 1.0]) for i in range(1, 7))]
+    for own, cell in ((rows, 100_000), (rows, 60), (rows[:3], 100_000), (few, 3), (few, 4)):
+        df = spark.createDataFrame(own, "vec_id long, embedding array<double>")
+        c = duckdb.connect()
+        c.execute("create table embeddings (vec_id bigint, embedding double[])")
+        c.executemany("insert into embeddings values (?, ?)", own)
+        want = Counter(c.sql(registry.OP2_SQL).fetchall())
+        got = topk.top_k(df, F.col("vec_id") % 50 == 0, cell_rows=cell, cell_queries=4)
+        assert Counter(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()) == want
+
+
 # --------------------------------------------------------------- token file
 
 
