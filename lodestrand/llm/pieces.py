@@ -9,13 +9,15 @@ takes segmentations from its heap in the order of their scores.
 
 No piece reaches over a border of "not a word-start mark" and "word-start
 mark", or over a line break, so a text's lattice is a chain of word lattices.
-The forward pass runs once for each distinct word of a worker; the search over
-the chain opens only the words whose cheapest detour can be among the n best.
+The forward pass and the search for the best path run once for each distinct
+word of a worker; the search for n paths opens only the words whose cheapest
+detour can be among the n best, and their paths are joined into the chain.
 
 Defined results: null and empty texts have no pieces and score 0; texts keep
 all white space (the mark U+2581 itself reads as a space, as in the model);
 among equal scores the order is that of the search, which prefers paths that
-have come further back, and then pieces found first; repeated rows each give a
+have come further back, and then pieces found first (of equal detours in two
+words, the one in the earlier word); repeated rows each give a
 row; an empty table gives no rows; columns other than doc_id and text are
 ignored.
 """
@@ -70,6 +72,8 @@ class Pieces:
         self.words: dict[str, int] = {}
         #: of the words, in order: best score, loss of the second best, best ids
         self.learnt: tuple[list[float], list[float], list[bytes]] = ([], [], [])
+        #: of words that were opened: losses and ids of the n best
+        self.opened: dict[tuple[str, int], list[tuple[float, bytes]]] = {}
 
     def edges(self, word: str, end: int) -> list[tuple[int, float, int]]:
         """(start, score, id) of the pieces that end there, longest first; id -1: no piece, one character."""
@@ -88,67 +92,82 @@ class Pieces:
             last.append(edge)
         return best, last
 
-    def n_best(self, word: str, n: int) -> list[tuple[float, list[int]]]:
-        """The n best segmentations of a word, best first, as ids."""
-        best, _ = self.forward(word)
-        heap, made, out = [(-best[-1], len(word), 0, 0.0, None)], 0, []
+    def lattice(self, word: str) -> tuple[list[float], list[list[tuple[int, float, int]]]]:
+        """What forward and edges give, from the known beginnings of pieces: best score to each position, and the edges into it."""
+        n, far, get, known, lowest = len(word), self.longest, self.prefixes.get, self.known, self.lowest
+        best, into = [0.0] + [_NONE] * n, [[] for _ in range(n + 1)]
+        for start in range(n):
+            behind = best[start]
+            for end in range(start + 1, min(n, start + far) + 1):
+                piece = get(word[start:end], _ABSENT)
+                if piece:
+                    into[end].append((start, *piece))
+                    if (s := behind + piece[0]) > best[end]:
+                        best[end] = s
+                elif piece is _ABSENT:
+                    break
+            if word[start] not in known:
+                into[start + 1].append((start, lowest, -1))
+                if (s := behind + lowest) > best[start + 1]:
+                    best[start + 1] = s
+        return best, into
+
+    def search(self, best: list[float], into: list, n: int) -> list[tuple[float, list[tuple[int, int, int]]]]:
+        """The n best paths by A* from the end, best first, as (start, end, id) in order."""
+        # for one path, edges that cost more than rounding does are never taken from the heap
+        least = best[-1] - 1e-6 - 1e-9 * abs(best[-1]) if n == 1 else _NONE
+        heap, made, out = [(-best[-1], len(best) - 1, 0, 0.0, None)], 0, []
         while heap and len(out) < n:
             cost, at, _, behind, path = heapq.heappop(heap)
             if at == 0:
-                ids = []
+                steps = []
                 while path:
-                    (start, end, i), path = path
-                    ids += [i] if i >= 0 else self.spell(word[start:end])
-                out.append((-cost, ids))
+                    step, path = path
+                    steps.append(step)
+                out.append((-cost, steps))
                 continue
-            for start, score, i in self.edges(word, at):
-                made += 1
-                heapq.heappush(heap, (-(best[start] + score + behind), start, made, score + behind, ((start, at, i), path)))
+            for start, score, i in into[at]:
+                if (whole := best[start] + score + behind) >= least:
+                    made += 1
+                    heapq.heappush(heap, (-whole, start, made, score + behind, ((start, at, i), path)))
         return out
 
+    def ids_of(self, word: str, steps: list[tuple[int, int, int]]) -> list[int]:
+        return [x for start, end, i in steps for x in ([i] if i >= 0 else self.spell(word[start:end]))]
+
+    def n_best(self, word: str, n: int) -> list[tuple[float, list[int]]]:
+        """The n best segmentations of a word, best first, as ids."""
+        return [(score, self.ids_of(word, steps)) for score, steps in self.search(*self.lattice(word), n)]
+
     def spell(self, character: str) -> list[int]:
         raw = character.encode()
         return [self.byte[b] for b in raw] if all(b in self.byte for b in raw) else [self.unknown]
 
     def _word(self, word: str) -> tuple[float, float, bytes]:
         """(best score, loss of the second best, best ids as bytes)."""
-        n, far, get, known, lowest = len(word), self.longest, self.prefixes.get, self.known, self.lowest
-        best, came, by = [0.0] + [_NONE] * n, [0] * (n + 1), [-1] * (n + 1)
-        ends, starts, scores = [], [], []
-        for start in range(n):
-            behind = best[start]
-            for end in range(start + 1, min(n, start + far) + 1):
-                piece = get(word[start:end], _ABSENT)
-                if piece:
-                    s = behind + piece[0]
-                    ends.append(end)
-                    scores.append(s)
-                    starts.append(start)
-                    if s > best[end]:
-                        best[end], came[end], by[end] = s, start, piece[1]
-                elif piece is _ABSENT:
-                    break
-            if word[start] not in known:
-                s = behind + lowest
-                ends.append(start + 1)
-                scores.append(s)
-                starts.append(start)
-                if s > best[start + 1]:
-                    best[start + 1], came[start + 1], by[start + 1] = s, start, -1
-        at, path, on = n, [], {}
-        while at:
-            on[at] = chosen = came[at]
-            path.append((by[at], word[chosen:at]))
-            at = chosen
+        best, into = self.lattice(word)
+        steps = self.search(best, into, 1)[0][1]
         # every other path leaves the best one at some position, by another edge into it
-        loss = min([best[e] - s for e, a, s in zip(ends, starts, scores) if on.get(e, a) != a], default=float("inf"))
-        ids = [i for e, w in reversed(path) for i in ([e] if e >= 0 else self.spell(w))]
+        loss = min([best[end] - best[a] - x for start, end, _ in steps for a, x, _ in into[end] if a != start], default=float("inf"))
+        ids = self.ids_of(word, steps)
         return best[-1], loss, struct.pack(f"<{len(ids)}I", *ids)
 
+    def _detours(self, word: str, n: int) -> list[tuple[float, bytes]]:
+        """(loss against the best, ids as bytes) of the n best segmentations of a word."""
+        if (word, n) not in self.opened:
+            found = self.n_best(word, n)
+            self.opened[word, n] = [(found[0][0] - s, struct.pack(f"<{len(ids)}I", *ids)) for s, ids in found]
+        return self.opened[word, n]
+
     def encode(self, text: str | None, n: int = NBEST) -> tuple[bytes, list[float]]:
         """Ids of the best segmentation (little-endian unsigned 32-bit) and the scores of the n best."""
+        made, scores = self.encode_all(text, n)
+        return made[0], scores
+
+    def encode_all(self, text: str | None, n: int = NBEST) -> tuple[list[bytes], list[float]]:
+        """Ids (little-endian unsigned 32-bit) and scores of the n best segmentations, best first."""
         if not text:
-            return b"", [0.0]
+            return [b""], [0.0]
         words = self.chain(MARK + text.replace(" ", MARK))
         for w in set(words):
             if w not in self.words:
@@ -157,13 +176,19 @@ class Pieces:
         best, loss, ids = self.learnt
         losses = np.fromiter(map(loss.__getitem__, at), float, len(at))
         total = sum(map(best.__getitem__, at))
-        scores = [0.0]  # losses against the best
         # n - 1 detours at most differ from the best path, so only the n - 1 words with the least losses matter
-        for i in np.argpartition(losses, n - 2)[: n - 1] if 1 < n <= len(at) else range(len(at) if n > 1 else 0):
-            if losses[i] < float("inf"):
-                own = [best[at[i]] - s for s, _ in self.n_best(words[i], n)]
-                scores = heapq.nsmallest(n, (a + b for a in scores for b in own))
-        return b"".join(map(ids.__getitem__, at)), [total - x for x in scores]
+        few = np.flatnonzero(losses < float("inf")) if n > 1 else losses[:0].astype(int)
+        if len(few) >= n:
+            few = few[losses[few] <= np.partition(losses[few], n - 2)[n - 2]]
+            few = np.sort(few[np.argsort(losses[few], kind="stable")][: n - 1])
+        opened = [self._detours(words[i], n) for i in few]
+        found = [(0.0, ())]  # loss against the best, and which path of each opened word
+        for own in opened:
+            found = heapq.nsmallest(n, ((a + b, (*taken, k)) for k, (b, _) in enumerate(own) for a, taken in found), key=lambda x: x[0])
+        bounds = [-1, *few.tolist(), len(at)]
+        parts = [b"".join(map(ids.__getitem__, at[i + 1 : j])) for i, j in zip(bounds, bounds[1:])]
+        made = [b"".join([parts[0], *(x for own, k, part in zip(opened, taken, parts[1:]) for x in (own[k][1], part))]) for _, taken in found]
+        return made, [total - x for x, _ in found]
 
     def _learn(self, word: str) -> None:
         best, loss, ids = self._word(word)
@@ -173,6 +198,8 @@ class Pieces:
 
     def forget(self) -> None:
         """Empty the cache, short words (which come back most) aside, once it is full."""
+        if len(self.opened) > CACHE_WORDS // 8:
+            self.opened = {}
         if len(self.words) > CACHE_WORDS:
             old, (best, loss, ids) = self.words, self.learnt
             short = [(w, i) for w, i in old.items() if len(w) < 8]
@@ -206,7 +233,7 @@ def pieces(model: str) -> Pieces:
 
 
 def encode(docs: DataFrame, model: str, n: int = NBEST) -> DataFrame:
-    """doc_id, ids (array<int>) and scores (of the n best segmentations, best first) of every document."""
+    """doc_id, ids (array<int>) of the best segmentation, scores and n_best_ids of the n best (best first) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
@@ -214,12 +241,17 @@ def encode(docs: DataFrame, model: str, n: int = NBEST) -> DataFrame:
             for i in range(0, len(b), 256):
                 part = b.slice(i, 256)
                 p.forget()
-                got = [p.encode(t, n) for t in part.column("text").to_pylist()]
-                lengths = np.array([0, *(len(x) // 4 for x, _ in got)]).cumsum()
-                ids = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.frombuffer(b"".join(x for x, _ in got), "<i4")))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, pa.array([s for _, s in got], pa.list_(pa.float64()))], names=["doc_id", "ids", "scores"])
+                got = [p.encode_all(t, n) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists([x[0] for x, _ in got]), pa.array([s for _, s in got], pa.list_(pa.float64())), nested([x for x, _ in got])], names=["doc_id", "ids", "scores", "n_best_ids"])
+
+    def lists(made: list[bytes]) -> pa.ListArray:
+        lengths = np.array([0, *(len(x) // 4 for x in made)]).cumsum()
+        return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.frombuffer(b"".join(made), "<i4")))
+
+    def nested(made: list[list[bytes]]) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.array([0, *map(len, made)]).cumsum(), pa.int32()), lists([x for own in made for x in own]))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>, scores array<double>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>, scores array<double>, n_best_ids array<array<int>>")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -235,7 +267,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, model: str, n: int = NBEST) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, best_score, n_best_scores, text_crc32 and decoded_crc32 (of the text that the ids decode to) of every document: what encode and decode give, in one pass."""
+    """doc_id, n_pieces, ids_crc32, best_score, n_best_scores, text_crc32, decoded_crc32 (of the text that the ids decode to) and n_best_crc32 (of the ids of each of the n best) of every document: what encode and decode give, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model)
@@ -243,11 +275,12 @@ def round_trip(docs: DataFrame, model: str, n: int = NBEST) -> DataFrame:
             rows = []
             for t in b.column("text").to_pylist():
                 p.forget()
-                raw, scores = p.encode(t, n)
+                made, scores = p.encode_all(t, n)
+                raw = made[0]
                 back = p.decode(np.frombuffer(raw, "<u4"))
-                rows.append((len(raw) // 4, zlib.crc32(raw), scores[0], scores, zlib.crc32((t or "").encode()), zlib.crc32(back.encode())))
-            cols = [*zip(*rows)] or [()] * 6
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["doc_id", "n_pieces", "ids_crc32", "best_score", "n_best_scores", "text_crc32", "decoded_crc32"])
+                rows.append((len(raw) // 4, zlib.crc32(raw), scores[0], scores, zlib.crc32((t or "").encode()), zlib.crc32(back.encode()), [*map(zlib.crc32, made)]))
+            cols = [*zip(*rows)] or [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, k) for c, k in zip(cols, kinds))], names=["doc_id", "n_pieces", "ids_crc32", "best_score", "n_best_scores", "text_crc32", "decoded_crc32", "n_best_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, best_score double, n_best_scores array<double>, text_crc32 long, decoded_crc32 long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, best_score double, n_best_scores array<double>, text_crc32 long, decoded_crc32 long, n_best_crc32 array<long>")

@@ -299,6 +299,31 @@ def test_pieces_round_trip(spark, awkward, none, docs):
     assert pieces.encode(none, PIECES).count() == 0
 
 
+def test_ids_of_all_n_segmentations(spark, awkward):
+    p, rng = pieces.Pieces(PIECES), random.Random(3)
+
+    def every(w):
+        return [(0.0, [])] if not w else [(s + x, i + ([k] if k >= 0 else p.spell(w[a:]))) for a, x, k in p.edges(w, len(w)) for s, i in every(w[:a])]
+
+    for _ in range(100):
+        text = "".join(rng.choice("théing. \n日") for _ in range(rng.randint(1, 8)))
+        score = {tuple(i): s for s, i in every("▁" + text.replace(" ", "▁"))}
+        made, scores = p.encode_all(text, 5)
+        ids = [tuple(np.frombuffer(m, "<u4").tolist()) for m in made]
+        assert len(set(ids)) == len(ids) == len(scores) == min(5, len(score))
+        assert [score[i] for i in ids] == pytest.approx(scores) and scores == pytest.approx(sorted(score.values(), reverse=True)[:5])
+        assert all(p.decode([*i]) == text for i in ids)
+        for w in p.chain("▁" + text.replace(" ", "▁")):  # one path for the cached ids and for the search
+            assert p._word(w)[2] == np.array(p.n_best(w, 4)[0][1], "<u4").tobytes()
+    text = "the thing is the thing that things are the things there " * 5
+    assert p.encode_all(text)[1] == pytest.approx([s for s, _ in p.encode_n(text)])
+    coded = {(r.doc_id, zlib.crc32(np.array(r.ids, "<u4").tobytes())): r for r in pieces.encode(awkward, PIECES).collect()}
+    for r in pieces.round_trip(awkward, PIECES).collect():
+        own = coded[r.doc_id, r.ids_crc32]
+        assert own.ids == own.n_best_ids[0] and len(own.n_best_ids) == len(own.scores) == len(r.n_best_scores)
+        assert [zlib.crc32(np.array(i, "<u4").tobytes()) for i in own.n_best_ids] == r.n_best_crc32
+
+
 # ------------------------------------------------------------------ mixture
 
 
