@@ -273,3 +273,156 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, see
         .where(F.col(f"{mark}n") == 1)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
+
+
+# ------------------------------------------------- near-duplicates by Jaccard
+
+#: Texts are similar when their sets of words in fives share SHARE or more.  At that share the expected distance of two 128-bit
+#: fingerprints is about 20 bits (24 for texts of a few shingles), with a deviation of 4; WIDE_RADIUS is four deviations above.
+WIDE_SHINGLE, SHARE, WIDE_RADIUS, BLOCK_ROWS = 5, 0.8, 40, 8_192
+
+
+def shingles(text: str | None, width: int = WIDE_SHINGLE) -> set[bytes]:
+    """The different word shingles of the whole text; one of fewer words is a shingle itself."""
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def wide_fingerprint(found: set[bytes]) -> bytes:
+    """128-bit SimHash of a set of shingles."""
+    if not found:
+        return bytes(16)
+    hashes, counts = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, found)), np.uint8).reshape(-1, 16), np.zeros(128, np.int64)
+    for i in range(0, len(hashes), 16_384):
+        counts += np.unpackbits(hashes[i : i + 16_384], axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(hashes)).tobytes()
+
+
+def similar(a: set[bytes], b: set[bytes], share: float = SHARE) -> bool:
+    both = len(a & b)
+    return both >= share * (len(a) + len(b) - both) - 1e-9
+
+
+def close_pairs(left: tuple, right: tuple | None, stars: bool, share: float = SHARE, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of left and right rows (fingerprints n x 2, sizes, component), or of two left rows, within the radius, of sizes that allow the share, in different components.
+
+    ``stars``: for each row only its first and its nearest partner.
+    """
+    (p, n, own), (q, m, other) = left, right or left
+    rows, cols = [], []
+    for j in range(0, len(q), BRUTE_ROWS):
+        end = min(len(q), j + BRUTE_ROWS)
+        best, near, first = np.full(end - j, 999), np.zeros(end - j, np.int64), np.full(end - j, -1)
+        for i in range(0, len(p) if right else end, BRUTE_ROWS):
+            a = slice(i, i + BRUTE_ROWS)
+            if n[a].max() < share * m[j:end].min() - 1 or n[a].min() * share > m[j:end].max() + 1:
+                continue
+            d = np.bitwise_count(p[a, None, 0] ^ q[None, j:end, 0]) + np.bitwise_count(p[a, None, 1] ^ q[None, j:end, 1])
+            x, y = np.nonzero(d <= radius)
+            keep = (np.minimum(n[x + i], m[y + j]) >= share * np.maximum(n[x + i], m[y + j]) - 1e-9) & (own[x + i] != other[y + j])
+            if not right:
+                keep &= x + i < y + j
+            x, y = x[keep], y[keep]
+            if not stars:
+                rows.append(x + i)
+                cols.append(y + j)
+                continue
+            back = np.arange(len(x))[::-1]
+            one = np.full(end - j, -1)
+            one[y[back]] = x[back] + i  # the first stands last
+            first = np.where(first < 0, one, first)
+            order = np.argsort(-d[x, y].astype(int), kind="stable")
+            least, which = np.full(end - j, 999), np.zeros(end - j, np.int64)
+            least[y[order]], which[y[order]] = d[x, y][order], x[order] + i
+            near, best = np.where(least < best, which, near), np.minimum(least, best)
+        if stars:
+            for at, found in ((first, first >= 0), (near, (best < 999) & (near != first))):
+                rows.append(at[found])
+                cols.append(np.flatnonzero(found) + j)
+    return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _verified(reps: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
+    """Those edges(a, b) of keys of reps(s, text) whose texts share enough shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [similar(shingles(x), shingles(y), share) for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist())]
+            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    pairs = save(pairs.distinct(), "pairs")
+    nodes = pairs.select(F.col("a").alias("s")).unionAll(pairs.select(F.col("b").alias("s"))).distinct()
+    texts = save(reps.join(nodes, "s", "left_semi").select("s", "text"), "texts")
+    both = pairs.join(texts.withColumnsRenamed({"s": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"s": "b", "text": "tb"}), "b")
+    return save(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+
+
+def similar_links(reps: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """edges(a, b) that join the keys of reps(s, f, n, text) into components of similar texts.
+
+    Rows are dealt to blocks by their number of shingles; two blocks meet unless their numbers rule out the share.
+    A first pass checks one or two partners of each row, so that groups of copies become one component; the second checks all pairs still apart.
+    """
+    spark, total = reps.sparkSession, reps.count()
+    want = max(1, -(-total // block_rows))
+    cuts = np.unique(np.array(reps.agg(F.percentile_approx("n", [i / want for i in range(1, want)], 10_000)).first()[0] or [], np.int64)) if want > 1 else np.zeros(0, np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.searchsorted(cuts, b.column("n").to_numpy(zero_copy_only=False)).astype(np.int32))], names=["s", "f", "n", "size"])
+
+    dealt = reps.select("s", "f", "n").mapInArrow(deal, "s long, f binary, n long, size int")
+    sizes = {r.size_: r for r in dealt.groupBy(F.col("size").alias("size_")).agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")).collect()}  # one row for each block_rows rows
+    blocks = [(z, k, r.low, r.high) for z, r in sorted(sizes.items()) for k in range(-(-r.rows // (2 * block_rows)))]
+    parts = spark.createDataFrame([(z, -(-r.rows // (2 * block_rows))) for z, r in sizes.items()], "size int, parts int")
+    cells = spark.createDataFrame([(z, k, i, j) for i, a in enumerate(blocks) for j, b in enumerate(blocks) if i <= j and b[2] * share <= a[3] + 1e-9 for z, k, *_ in ([a, b] if i < j else [a])], "size int, part int, x int, y int")
+    dealt = save(dealt.join(F.broadcast(parts), "size").withColumn("part", F.pmod(F.xxhash64("s"), F.col("parts").cast("long")).cast("int")), "blocks")
+    number = {(z, k): i for i, (z, k, *_) in enumerate(blocks)}
+
+    def search(stars: bool):
+        def run(t: pa.Table) -> pa.Table:
+            t = t.take(np.argsort(t.column("s").to_numpy()))
+            block = np.array([number[k] for k in zip(t.column("size").to_pylist(), t.column("part").to_pylist())])
+            s, f, n, own = t.column("s").to_numpy(), np.frombuffer(b"".join(t.column("f").to_pylist()), np.uint64).reshape(-1, 2), t.column("n").to_numpy(), t.column("own").to_numpy()
+            x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
+            a, b = np.flatnonzero(block == x), np.flatnonzero(block == y)
+            i, j = close_pairs((f[a], n[a], own[a]), None if x == y else (f[b], n[b], own[b]), stars, share, radius)
+            return pa.table({"a": s[a][i], "b": s[b][j]})
+
+        return run
+
+    def found(rows: DataFrame, stars: bool) -> DataFrame:
+        near = rows.join(cells, ["size", "part"]).groupBy("x", "y").applyInArrow(search(stars), "a long, b long")
+        return _verified(reps, near, share)
+
+    first = found(dealt.withColumn("own", F.col("s")), True)
+    named = dealt.join(components(first).withColumnsRenamed({"node": "s", "root": "_root"}), "s", "left").withColumn("own", F.coalesce("_root", "s")).drop("_root")
+    return first.unionAll(found(named, False))
+
+
+def drop_similar(docs: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """docs with one document of each component of texts that share ``share`` of their five-word shingles: that of the smallest doc_id (of repeated rows with it, one)."""
+    taken, mark = {c.lower() for c in docs.columns}, "m_"
+    while any(c.startswith(mark) for c in taken):
+        mark += "_"
+    s, f, n = (mark + c for c in "sfn")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingles(t) for t in b.column("text").to_pylist()]
+            same = [xxhash.xxh3_64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").translate(_LOWER).split())) for t in b.column("text").to_pylist()]
+            more = [pa.array(np.array(same, np.uint64).view(np.int64)), pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, s, f, n])
+
+    kinds = [T.StructField(s, T.LongType()), T.StructField(f, T.BinaryType()), T.StructField(n, T.LongType())]
+    marked = save(docs.mapInArrow(run, T.StructType([*docs.schema.fields, *kinds])), "fingerprints")
+    reps = save(marked.groupBy(F.col(s).alias("s")).agg(F.first(f).alias("f"), F.first(n).alias("n"), F.min("doc_id").alias("id"), F.first("text").alias("text")), "reps")
+    roots = components(similar_links(reps, share, radius, block_rows))
+    named = reps.select("s", "id").join(roots.withColumnRenamed("node", "s"), "s", "left")
+    kept = named.groupBy(F.coalesce("root", "s").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "s")).alias("k")).select(F.col("k.s").alias(f"{mark}k"), F.col("k.id").alias(f"{mark}i"))
+    first = Window.partitionBy(s).orderBy(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
+    return (
+        marked.join(kept, (F.col(s) == F.col(f"{mark}k")) & F.col("doc_id").eqNullSafe(F.col(f"{mark}i")))
+        .withColumn(f"{mark}r", F.row_number().over(first)).where(F.col(f"{mark}r") == 1)
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    )

@@ -108,6 +108,38 @@ def test_near_duplicates_and_deduplicate(spark, awkward, none, docs):
     assert simhash.deduplicate(docs).count() == len(least)
 
 
+@pytest.mark.parametrize("block", [8192, 40])
+def test_near_duplicate_stage_against_brute_force_jaccard(spark, awkward, none, block):
+    rng = random.Random(6)
+    words = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    texts = [words(rng.randint(3, 300)) for _ in range(60)]
+    for base in texts[:40]:
+        for _ in range(4):  # copies that differ in some words or have lost their end
+            t = [*base]
+            for _ in range(rng.randint(0, max(1, len(t) // 40))):
+                t[rng.randrange(len(t))] = "new%d" % rng.randrange(99)
+            texts.append(t[: max(1, len(t) - rng.randint(0, len(t) // 8))])
+    rows = [(i, " ".join(t), "s") for i, t in enumerate(texts)]
+    sets = [simhash.shingles(t) for _, t, _ in rows]
+    root, similar = list(range(len(rows))), 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                similar += sets[i] != sets[j]
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    assert similar > 50
+    kept = simhash.drop_similar(table(spark, rows), block_rows=block)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+    if block == 40:
+        return
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, table(spark, rows), DATA).collect()) == sorted(set(root))
+    kept = simhash.drop_similar(awkward)
+    assert kept.columns == awkward.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([1, 3, 6, 7, 7, 8, None])
+    assert simhash.drop_similar(none).count() == 0
+
+
 # -------------------------------------------------------------------- top-k
 
 
