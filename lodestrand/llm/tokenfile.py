@@ -25,8 +25,6 @@ doc_id and text are ignored.
 
 from __future__ import annotations
 
-import re
-import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,10 +42,12 @@ from .scratch import drop, new_path
 END_ID = 2
 #: A block holds about so many ids, of whole documents.  Ranges of doc_id follow blocks of about so many documents.
 BLOCK_IDS, RANGE_DOCS, MAX_RANGES = 1_000_000, 8_192, 65_536
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
+#: So many blocks at most (about 40 bytes each) are sent to every executor.
+BROADCAST_BLOCKS = 500_000
 MAGIC = b"TOKR0001"
 # letters whose lower case is one letter and which have no other composed form, then signs that the tokenizer splits from letters
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+_PLAIN, _SIGNS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[!-&(-/:-@\\[-`{-~]*$", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 # ------------------------------------------------------------------- format
 
@@ -91,31 +92,8 @@ def parse_raw(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 # ------------------------------------------------------------------ encoding
 
 
-class _Recent:
-    """A bounded table that forgets what was not asked for lately: two generations of about half the size each; what is found in the old one moves to the new."""
-
-    def __init__(self, size: int) -> None:
-        self.half, self.now, self.old = size // 2, {}, {}
-
-    def turn(self) -> None:
-        if len(self.now) > self.half:
-            self.old, self.now = self.now, {}
-
-    def missing(self, keys: set) -> list:
-        """Keys in neither generation; the others are in ``now`` afterwards."""
-        out = []
-        for k in keys:
-            if k not in self.now:
-                held = self.old.get(k)
-                if held is None:
-                    out.append(k)
-                else:
-                    self.now[k] = held
-        return out
-
-
 class WordEncoder:
-    """Bytes of a text's ids as little-endian unsigned 32-bit integers."""
+    """Ids of each of some texts, little-endian unsigned 32-bit."""
 
     def __init__(self, path: str) -> None:
         import os
@@ -124,7 +102,6 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.words, self.parts = _Recent(CACHE_WORDS), _Recent(CACHE_WORDS)  # bytes and str to the bytes of ids
         ids = self.tok.encode("a \t\nb", add_special_tokens=False).ids
         apart = [self.tok.encode(x, add_special_tokens=False).ids for x in "ab"]
         self.by_word = ids == apart[0] + apart[1]
@@ -134,53 +111,85 @@ class WordEncoder:
             names = self.tok.get_vocab(with_added_tokens=True)
             self.ends = np.zeros(max(names.values()) + 1, bool)
             self.ends[[i for name, i in names.items() if name.endswith(suffix)]] = True
-        self.by_part = self.by_word and self._ids(["Ab.,"]) == [self._ids(["ab"])[0] + self._ids([".,"])[0]]
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [pack_ids(*e.ids) for e, pack_ids in ((e, _PACK[len(e)]) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False))]
-
-    def _ids_of_parts(self, parts: list[str]) -> list[bytes]:
-        """As _ids, for parts that are one word to the tokenizer: many go in a text, and ids that end words part them again."""
-        if self.ends is None:
-            return self._ids(parts)
-        texts = [" ".join(parts[i : i + 32]) for i in range(0, len(parts), 32)]
-        ids = np.fromiter(chain.from_iterable(e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
-        ends = (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
-        if len(ends) != len(parts):
-            return self._ids(parts)
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _learn(self, new: list[bytes]) -> None:
-        self.parts.turn()
-        rest, cut = [], []
-        for w in new:
-            m = _PLAIN.fullmatch(w.decode()) if self.by_part else None
-            (cut.append((w, m[1].lower(), m[2])) if m else rest.append(w))
-        if lacking := self.parts.missing({p for _, a, b in cut for p in (a, b) if p}):
-            self.parts.now.update(zip(lacking, self._ids_of_parts(lacking)))
-        parts, words = self.parts.now, self.words.now
-        words.update((w, parts[a] + parts[b] if b else parts[a]) for w, a, b in cut)
-        if rest:
-            words.update(zip(rest, self._ids([w.decode() for w in rest])))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if not self.by_word:
-            return self._ids(texts)
-        self.words.turn()
-        words = [t.encode().split() for t in texts]  # of bytes: at ASCII white space alone
-        if new := self.words.missing(set().union(*words)):
-            self._learn(new)
-        return [b"".join(map(self.words.now.__getitem__, w)) for w in words]
-
-
-class _Packers(dict):
-    def __missing__(self, n: int):
-        self[n] = struct.Struct(f"<{n}I").pack
-        return self[n]
-
-
-_PACK = _Packers()
+        both = [self.tok.encode(x, add_special_tokens=False).ids for x in ("ab", ".,", "Ab.,")]
+        self.by_part = self.by_word and both[2] == both[0] + both[1]
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the table of parts: for each its number, and of the numbers their ids, joined, with where they begin and end."""
+        self.parts, self.held = {}, 0
+        self.ids, self.ends_at = np.zeros(1 << 16, "<u4"), np.zeros(1 << 16, np.int64)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Joined ids and their numbers of texts as the tokenizer gives them."""
+        found = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As _encode, for parts that are one word to the tokenizer: many go in a text, and ids that end words part them again."""
+        if self.ends is not None:
+            ids, _ = self._encode([" ".join(parts[i : i + 64]) for i in range(0, len(parts), 64)])
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(parts):
+                return ids, np.diff(ends, prepend=0)
+        return self._encode(parts)
+
+    def _hold(self, parts: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, start = len(self.parts), self.held
+        self.held += len(ids)
+        while self.held > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(parts) >= len(self.ends_at):
+            self.ends_at = np.concatenate([self.ends_at, np.zeros_like(self.ends_at)])
+        self.ids[start : self.held] = ids
+        self.ends_at[n + 1 : n + 1 + len(parts)] = start + np.cumsum(sizes)
+        self.parts.update(zip(parts, range(n, n + len(parts))))
+
+    def _numbers(self, words: pa.StringArray, whole: bool) -> np.ndarray:
+        """The numbers of these words in the table; words that the tokenizer may cut are encoded one by one (``whole``)."""
+        d = words.dictionary_encode()
+        names = d.dictionary.to_pylist()
+        found = [*map(self.parts.get, names)]
+        if lacking := [i for i, x in enumerate(found) if x is None]:
+            new, first = [names[i] for i in lacking], len(self.parts)
+            self._hold(new, *(self._encode(new) if whole else self._encode_parts(new)))
+            for n, i in enumerate(lacking, first):
+                found[i] = n
+        return np.array(found, np.int64)[d.indices.to_numpy()]
+
+    def __call__(self, texts: list[str], end_id: int | None = None) -> list[np.ndarray]:
+        """Ids of each text, with ``end_id`` after them if one is given."""
+        ids, sizes = self._by_words(texts) if self.by_word else self._encode(texts)
+        ends = np.cumsum(sizes)
+        if end_id is not None:
+            ids, ends = np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+        return np.split(ids, ends[:-1]) if len(ends) else []
+
+    def _by_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.parts) > CACHE_WORDS:
+            self.forget()
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        d = split.values.dictionary_encode()
+        words = d.dictionary
+        # a word is a part, or letters and then signs, in two parts; an empty one (at the ends of a text) is none
+        head, tail = np.full(len(words), -1), np.full(len(words), -1)
+        plain = pc.match_substring_regex(words, _PLAIN).to_numpy(zero_copy_only=False) if self.by_part else np.zeros(len(words), bool)
+        own = words.filter(pa.array(plain))
+        letters = pc.utf8_rtrim(own, _SIGNS)
+        cut = pc.binary_length(letters).to_numpy() < pc.binary_length(own).to_numpy()
+        signs = pc.replace_substring_regex(own.filter(pa.array(cut)), "^[^!-@\\[-`{-~]+", "")
+        head[plain] = self._numbers(pc.utf8_lower(letters), False)
+        tail[np.flatnonzero(plain)[cut]] = self._numbers(signs, True)
+        rest = ~plain & (pc.binary_length(words).to_numpy() > 0)
+        head[rest] = self._numbers(words.filter(pa.array(rest)), True)
+        # of each word in order its one or two numbers, then their ids
+        at = d.indices.to_numpy()
+        two = np.stack([head[at], tail[at]], 1).reshape(-1)
+        starts = 2 * split.offsets.to_numpy().astype(np.int64)
+        size = np.where(two >= 0, self.ends_at[two + 1] - self.ends_at[two], 0)
+        ends = np.cumsum(size)
+        ids = self.ids[np.repeat(self.ends_at[two] - ends + size, size) + np.arange(size.sum())]
+        return ids, np.diff(np.r_[0, ends][starts])
 
 
 @lru_cache(maxsize=2)
@@ -191,11 +200,10 @@ def encoder(path: str) -> WordEncoder:
 # ------------------------------------------------------------ writing, reading
 
 
-def _narrow(ids: bytes) -> bytes:
+def _narrow(ids: np.ndarray) -> bytes:
     """Ids for the way from task to task: 16 bits where they fit, compressed."""
-    a = np.frombuffer(ids, "<u4")
-    small = not len(a) or a.max() < 2**16
-    return (b"\x02" if small else b"\x04") + zstandard.compress(a.astype("<u2").tobytes() if small else ids, 1)
+    small = not len(ids) or ids.max() < 2**16
+    return (b"\x02" if small else b"\x04") + zstandard.compress(ids.astype("<u2" if small else "<u4").tobytes(), 1)
 
 
 def _wide(raw: bytes) -> np.ndarray:
@@ -213,14 +221,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     cuts = spark.sparkContext.broadcast(np.unique(np.array(cuts or [], float)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        make = encoder(tokenizer)
         for b in batches:
-            for i in range(0, len(b), 256):
-                part = b.slice(i, 256)
+            for i in range(0, len(b), 512):
+                part = b.slice(i, 512)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 ids = part.column("doc_id")
                 at = np.searchsorted(cuts.value, ids.fill_null(-(2**63)).to_numpy(zero_copy_only=False).astype(float)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(at), pa.array([_narrow(x + end) for x in make(texts)], pa.binary())], names=["doc_id", "range", "ids"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(at), pa.array([_narrow(x) for x in make(texts, end_id)], pa.binary())], names=["doc_id", "range", "ids"])
 
     raw_path = new_path(spark, "ids")
     encoded = docs.mapInArrow(encode, "doc_id long, range int, ids binary")
@@ -230,8 +238,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1, np.int64)
         for b in batches:
-            for x in b.column("ids").to_pylist():
-                c = np.bincount(_wide(x))
+            for i in range(0, len(b), 1024):
+                c = np.bincount(np.concatenate([_wide(x) for x in b.column("ids")[i : i + 1024].to_pylist()]))
                 if len(c) > len(seen):
                     c, seen = seen, c
                 seen[: len(c)] += c
@@ -275,14 +283,21 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 _BLOCKS = pa.schema([("range", pa.int32()), ("first", pa.int64()), ("number", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("crc", pa.int64()), ("payload", pa.binary())])
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Blocks with ``before``: the ids of all blocks before it.  The sums run over one short row for each block."""
+def read_blocks(spark: SparkSession, path: str, most: int = BROADCAST_BLOCKS) -> DataFrame:
+    """Blocks with ``before``: the ids of all blocks before it.
+
+    The sums run over the ranges (at most MAX_RANGES short rows) and then inside each range.  A table of one short row for each
+    block goes to the executors where it has ``most`` rows or fewer; else blocks and sums meet by their keys.
+    """
     rows = spark.read.parquet(f"{path}/blocks")
-    order = Window.orderBy(F.asc_nulls_first("range"), F.asc_nulls_first("first"), "number", "crc").rowsBetween(Window.unboundedPreceding, -1)
     keys = ["range", "first", "number", "crc"]
-    before = rows.select(*keys, "n_ids").withColumn("before", F.coalesce(F.sum("n_ids").over(order), F.lit(0))).drop("n_ids")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy("range").agg(F.sum("n_ids").alias("n")).select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    order = Window.partitionBy("range").orderBy(F.asc_nulls_first("first"), "number", "crc").rowsBetween(Window.unboundedPreceding, -1)
+    inside = rows.select(*keys, F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("inside"))
+    before = inside.join(F.broadcast(ranges), "range").select(*keys, (F.col("base") + F.col("inside")).alias("before"))
     on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys]
-    return rows.alias("l").join(before.alias("r"), on).select("l.*", "before")
+    return rows.alias("l").join((F.broadcast(before) if rows.count() <= most else before).alias("r"), on).select("l.*", "before")
 
 
 def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
