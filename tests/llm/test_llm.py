@@ -295,8 +295,8 @@ def test_main_text(spark):
     got = rows_of(html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(3))))
     assert len(got) == len(rows)
     by = {r["page_id"]: r["text"] for r in got}
-    for n in range(20):  # the line that all pages share belongs to the template
-        assert by[n] == f"Title {n}\nFirst&second {n} line\nbold {n} end\nx{n}\ny{n}"
+    for n in range(20):  # the line that all articles share is text of the article
+        assert by[n] == f"Title {n}\nFirst&second {n} line\nbold {n} end\nx{n}\ny{n}\nSent from our newsroom"
     assert by[100] == "Title 100\nalone\nSent from our newsroom" and by[101] == by[102] == "" and by[103] == "plain & simple"
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
