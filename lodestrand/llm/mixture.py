@@ -2,8 +2,9 @@
 
 Each source's documents are put in a seeded permuted order and cut into blocks
 of about ``block_words`` words.  A source's target becomes whole passes over
-its blocks and a last pass over the first of them; the last document of that
-pass is cut at a word, so a source's words meet its target exactly.  Source
+its blocks and a last pass over the first of them; documents are taken whole,
+the last one of that pass if at least half of it is before the target, so a
+source's words differ from its target by half a document at most.  Source
 block quotas are then split among the output shards by a binary tree: at each
 node the left half's share of every source is one multivariate-hypergeometric
 draw, so quotas add up exactly.  Shards draw disjoint runs of each source's
@@ -30,6 +31,8 @@ from .scratch import save
 
 WEIGHTS, MOST, SEED = (5.0, 2.0, 1.0), 3.0, 77
 BLOCK_WORDS, MAX_BLOCKS, SHARD_BLOCKS, MAX_SHARDS, RANGE_ROWS = 4_096, 1_000_000, 64, 65_536, 4_096
+#: So many blocks at most are sent to every executor; more meet their documents by key.
+BROADCAST_BLOCKS = 300_000
 _BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
@@ -56,18 +59,28 @@ def targets(sizes: list[int], weights: tuple[float, ...] = WEIGHTS, most: float
     return out
 
 
-def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray:
-    """shards x sources: how many blocks of each source a shard gets."""
-    rng, out = np.random.default_rng(seed), np.zeros((shards, len(quotas)), np.int64)
-    todo = [(0, shards, np.array(quotas, np.int64))]
+def split_tree(quotas: list[int], shards: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shard, source, blocks) in order of the shards: how many blocks of each source a shard gets, where it gets some."""
+    rng, found = np.random.default_rng(seed), []
+    sources = np.flatnonzero(np.array(quotas, np.int64))
+    todo = [(0, shards, sources, np.array(quotas, np.int64)[sources])]
     while todo:
-        first, n, own = todo.pop()
-        if n == 1:
-            out[first] = own
+        first, n, sources, own = todo.pop()
+        if n == 1 or not len(own):
+            found.append((np.full(len(own), first), sources, own))
             continue
-        half, total = n // 2, int(own.sum())
-        left = rng.multivariate_hypergeometric(own, total * half // n, method="marginals") if total else own * 0
-        todo += [(first + half, n - half, own - left), (first, half, left)]
+        half = n // 2
+        left = rng.multivariate_hypergeometric(own, int(own.sum()) * half // n, method="marginals")
+        for at, size, part in ((first + half, n - half, own - left), (first, half, left)):
+            todo.append((at, size, sources[part > 0], part[part > 0]))
+    return tuple(np.concatenate(x).astype(np.int64) for x in zip(*found))
+
+
+def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray:
+    """shards x sources: how many blocks of each source a shard gets."""
+    out = np.zeros((shards, len(quotas)), np.int64)
+    shard, source, n = split_tree(quotas, shards, seed)
+    out[shard, source] = n
     return out
 
 
@@ -100,19 +113,26 @@ def place(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = M
         plan.append((r.source, r.n, t, passes, quota - passes * r.n, -(-r.n // block_words), -(-(quota - passes * r.n) // block_words)))
     quotas = [passes * blocks + part for *_, passes, _, blocks, part in plan]
     shards = min(MAX_SHARDS, max(1, sum(quotas) // SHARD_BLOCKS))
-    given = split_quotas(quotas, shards, seed)
+    shard_of, source_of, given = split_tree(quotas, shards, seed)
     per_source = spark.createDataFrame(plan, "source string, source_size long, target double, passes long, rest long, blocks long, part long")
-    # Where each shard's run in a source's permuted list of blocks begins.
-    ends = np.cumsum(given, axis=0)
-    runs = spark.sparkContext.broadcast({r[0]: ends[:, i] for i, r in enumerate(plan)})
+    # Of each source the shards that draw from its permuted list of blocks, and where their runs end: no more entries than blocks.
+    order = np.argsort(source_of, kind="stable")
+    cuts = np.searchsorted(source_of[order], np.arange(len(plan) + 1))
+    own = [order[a:b] for a, b in zip(cuts, cuts[1:])]
+    runs = spark.sparkContext.broadcast({r[0]: (shard_of[i], np.cumsum(given[i])) for r, i in zip(plan, own)})
 
     def deal(batches):
         for b in batches:
             out = np.zeros(len(b), np.int32)
             source, at = b.column("source").to_pylist(), b.column("at").to_numpy()
-            for s in set(source):
-                own = np.array([x == s for x in source])
-                out[own] = np.searchsorted(runs.value[s], at[own], side="right")
+            names, which = {}, np.zeros(len(b), np.int64)
+            for i, s in enumerate(source):
+                which[i] = names.setdefault(s, len(names))
+            by_name = np.argsort(which, kind="stable")
+            ends = np.searchsorted(which[by_name], np.arange(len(names) + 1))
+            for s, k in names.items():
+                own, (shard, end) = by_name[ends[k] : ends[k + 1]], runs.value[s]
+                out[own] = shard[np.searchsorted(end, at[own], side="right")]
             yield pa.RecordBatch.from_arrays([b.column("source"), b.column("pass"), b.column("block"), pa.array(out)], names=["_s", "_p", "_b", "shard"])
 
     each = per_source.select("source", "blocks", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("passes"))).alias("pass"), "passes")
@@ -123,8 +143,7 @@ def place(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = M
 
     info = per_source.withColumnRenamed("source", "_i")
     started = _starts(rows, range_rows).join(F.broadcast(info), F.col("source").eqNullSafe(F.col("_i"))).drop("_i", "blocks", "part")
-    left = F.least(F.col("size"), F.col("rest") - F.col("start"))
-    again = F.when((left > 0) | ((left == 0) & (F.col("size") == 0) & (F.col("start") < F.col("rest"))), F.array(F.struct(F.col("passes").alias("pass"), left.alias("words"))))
+    again = F.when((F.col("start") < F.col("rest")) & (2 * (F.col("rest") - F.col("start")) >= F.col("size")), F.array(F.struct(F.col("passes").alias("pass"), F.col("size").alias("words"))))
     none = F.expr("cast(array() as array<struct<pass: bigint, words: bigint>>)")
     full = F.when(F.col("passes") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes") - 1), lambda p: F.struct(p.alias("pass"), F.col("size").alias("words")))).otherwise(none)
     taken = started.withColumn("_take", F.explode_outer(F.concat(full, F.coalesce(again, none))))
@@ -132,7 +151,7 @@ def place(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = M
     # a document lies in the block where it starts; those without words behind a source's last block go to that block
     block = F.least(F.floor(F.col("start") / block_words), F.floor(F.greatest(F.col("source_size") - 1, F.lit(0)) / block_words))
     on = F.col("source").eqNullSafe(F.col("_s")) & (F.col("pass") == F.col("_p")) & (block == F.col("_b"))
-    return flat.join(F.broadcast(blocks), on, "left").drop("_s", "_p", "_b", "start", "order")  # at most MAX_BLOCKS rows and one for each source and pass
+    return flat.join(F.broadcast(blocks) if blocks.count() <= BROADCAST_BLOCKS else blocks, on, "left").drop("_s", "_p", "_b", "start", "order")
 
 
 def _rows(docs: DataFrame, seed: int, *more: str) -> DataFrame:
@@ -147,21 +166,15 @@ def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float =
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED, block_words: int = BLOCK_WORDS, where: str | None = None) -> DataFrame:
-    """The mixture: every document as often as it is taken, the last of each source's partial pass cut to its first words (n_chars follows), dealt to shards (named in a column ``where``, if given) and shuffled in each."""
+    """The mixture: every document as often as it is taken, dealt to shards (named in a column ``where``, if given) and shuffled in each."""
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns) if c.lower() in ("row_id", "_place")}
     if names:  # clashing names step aside
         back = {v: k for k, v in names.items()}
         return mix(docs.withColumnsRenamed(names), weights, most, seed, block_words, where).withColumnsRenamed(back)
     held = save(docs.withColumn("row_id", F.monotonically_increasing_id()), "mix")
     placed = place(save(_rows(held, seed), "sizes"), weights, most, seed, block_words)
-    taken = placed.where("pass is not null").select("row_id", F.struct("words", "size", "shard", F.xxhash64(F.lit(seed + 1), "row_id", "pass").alias("at")).alias("_place"))
+    taken = placed.where("pass is not null").select("row_id", F.struct("shard", F.xxhash64(F.lit(seed + 1), "row_id", "pass").alias("at")).alias("_place"))
     joined = held.join(taken, "row_id")
-    pieces = F.slice(F.split(F.ltrim("text", F.lit(_BLANKS)), "(?<=[\\x20\\x09-\\x0D])(?=[^\\x20\\x09-\\x0D])"), F.lit(1), F.col("_place.words").cast("int"))
-    short = F.col("_place.words") < F.col("_place.size")
-    out = joined.withColumn("text", F.when(short, F.rtrim(F.array_join(pieces, ""), F.lit(_BLANKS))).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(short, F.length("text").cast("long")).otherwise(F.col("n_chars").cast("long")))
-    if where:
-        out = out.withColumn(where, F.col("_place.shard"))
+    out = joined.withColumn(where, F.col("_place.shard")) if where else joined
     shards = out.repartition(F.col("_place.shard")).sortWithinPartitions("_place.shard", "_place.at")
     return shards.select(*[F.col(f"`{c}`") for c in docs.columns], *([where] if where else []))
