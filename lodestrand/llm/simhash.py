@@ -268,7 +268,7 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, see
     kept = found.where("id <=> component_id and (id is not null or fp = root)").groupBy("root", "id").agg(F.min("fp").alias("keep")).select(F.col("keep").alias(f"{mark}k"), F.col("id").alias(f"{mark}i"))
     first = Window.partitionBy(mark).orderBy(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
     return (
-        fps.join(kept, (F.col(mark) == F.col(f"{mark}k")) & F.col("doc_id").eqNullSafe(F.col(f"{mark}i")))
+        fps.join(kept, F.col(mark) == F.col(f"{mark}k")).where(F.col("doc_id").eqNullSafe(F.col(f"{mark}i")))  # by the fingerprint alone, as the window
         .withColumn(f"{mark}n", F.row_number().over(first))
         .where(F.col(f"{mark}n") == 1)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -279,7 +279,11 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, see
 
 #: Texts are similar when their sets of words in fives share SHARE or more.  At that share the expected distance of two 128-bit
 #: fingerprints is about 20 bits (24 for texts of a few shingles), with a deviation of 4; WIDE_RADIUS is four deviations above.
-WIDE_SHINGLE, SHARE, WIDE_RADIUS, BLOCK_ROWS = 5, 0.8, 40, 8_192
+#: No cut of a vantage-point tree prunes at such a radius (distances of unlike texts are 64, give or take 6), so fingerprints meet where
+#: texts share the least of their shingles by one of KEYS hash orders: of a pair at the share, all keys differ once in 0.2 ** -KEYS = 2.4e8 pairs.
+WIDE_SHINGLE, SHARE, WIDE_RADIUS, KEYS = 5, 0.8, 40, 12
+#: A key of more rows is split by the other keys, and what is still larger is cut into blocks that meet pairwise.
+BLOCK_ROWS, SMALL_RUN = 8_192, 24
 
 
 def shingles(text: str | None, width: int = WIDE_SHINGLE) -> set[bytes]:
@@ -288,14 +292,19 @@ def shingles(text: str | None, width: int = WIDE_SHINGLE) -> set[bytes]:
     return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
 
 
-def wide_fingerprint(found: set[bytes]) -> bytes:
-    """128-bit SimHash of a set of shingles."""
+_ORDERS = np.random.default_rng(SEED).integers(0, 2**63, (KEYS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def wide_fingerprint(found: set[bytes]) -> tuple[bytes, np.ndarray]:
+    """128-bit SimHash of a set of shingles, and the least of their hashes in each order (none of an empty set)."""
     if not found:
-        return bytes(16)
+        return bytes(16), np.zeros(0, np.int64)
     hashes, counts = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, found)), np.uint8).reshape(-1, 16), np.zeros(128, np.int64)
     for i in range(0, len(hashes), 16_384):
         counts += np.unpackbits(hashes[i : i + 16_384], axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > len(hashes)).tobytes()
+    low, high = hashes.view("<u8").T
+    least = [(((low * x) ^ high) * y).min() for x, y in _ORDERS]
+    return np.packbits(counts * 2 > len(hashes)).tobytes(), np.array(least, np.uint64).view(np.int64)
 
 
 def similar(a: set[bytes], b: set[bytes], share: float = SHARE) -> bool:
@@ -303,47 +312,67 @@ def similar(a: set[bytes], b: set[bytes], share: float = SHARE) -> bool:
     return both >= share * (len(a) + len(b) - both) - 1e-9
 
 
-def close_pairs(left: tuple, right: tuple | None, stars: bool, share: float = SHARE, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of left and right rows (fingerprints n x 2, sizes, component), or of two left rows, within the radius, of sizes that allow the share, in different components.
+def close_pairs(f: np.ndarray, n: np.ndarray, own: np.ndarray, stars: bool, share: float = SHARE, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs i < j of rows (fingerprints x 2, sizes, component) within the radius, of sizes that allow the share, in different components.
 
-    ``stars``: for each row only its first and its nearest partner.
+    ``stars``: for each j only its first and its nearest partner.
     """
-    (p, n, own), (q, m, other) = left, right or left
     rows, cols = [], []
-    for j in range(0, len(q), BRUTE_ROWS):
-        end = min(len(q), j + BRUTE_ROWS)
-        best, near, first = np.full(end - j, 999), np.zeros(end - j, np.int64), np.full(end - j, -1)
-        for i in range(0, len(p) if right else end, BRUTE_ROWS):
+    for j in range(0, len(f), BRUTE_ROWS):
+        b = slice(j, j + BRUTE_ROWS)
+        best: list[tuple] = []
+        for i in range(0, j + 1, BRUTE_ROWS):
             a = slice(i, i + BRUTE_ROWS)
-            if n[a].max() < share * m[j:end].min() - 1 or n[a].min() * share > m[j:end].max() + 1:
-                continue
-            d = np.bitwise_count(p[a, None, 0] ^ q[None, j:end, 0]) + np.bitwise_count(p[a, None, 1] ^ q[None, j:end, 1])
-            x, y = np.nonzero(d <= radius)
-            keep = (np.minimum(n[x + i], m[y + j]) >= share * np.maximum(n[x + i], m[y + j]) - 1e-9) & (own[x + i] != other[y + j])
-            if not right:
-                keep &= x + i < y + j
-            x, y = x[keep], y[keep]
-            if not stars:
-                rows.append(x + i)
-                cols.append(y + j)
+            if n[a].max() < share * n[b].min() - 1 or n[a].min() * share > n[b].max() + 1:
                 continue
-            back = np.arange(len(x))[::-1]
-            one = np.full(end - j, -1)
-            one[y[back]] = x[back] + i  # the first stands last
-            first = np.where(first < 0, one, first)
-            order = np.argsort(-d[x, y].astype(int), kind="stable")
-            least, which = np.full(end - j, 999), np.zeros(end - j, np.int64)
-            least[y[order]], which[y[order]] = d[x, y][order], x[order] + i
-            near, best = np.where(least < best, which, near), np.minimum(least, best)
-        if stars:
-            for at, found in ((first, first >= 0), (near, (best < 999) & (near != first))):
-                rows.append(at[found])
-                cols.append(np.flatnonzero(found) + j)
+            x, y = np.nonzero(np.bitwise_count(f[a, None] ^ f[None, b]).sum(axis=2, dtype=np.uint8) <= radius)
+            x, y = x + i, y + j
+            keep = (x < y) & (np.minimum(n[x], n[y]) >= share * np.maximum(n[x], n[y]) - 1e-9) & (own[x] != own[y])
+            best.append(few_partners(f, x[keep], y[keep]) if stars else (x[keep], y[keep]))
+        if best:
+            x, y = (np.concatenate(z) for z in zip(*best))
+            x, y = few_partners(f, x, y) if stars else (x, y)
+            rows.append(x)
+            cols.append(y)
     return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _verified(reps: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
-    """Those edges(a, b) of keys of reps(s, text) whose texts share enough shingles."""
+def few_partners(f: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs, those of each j with its first and with its nearest partner."""
+    d = np.bitwise_count(f[i] ^ f[j]).sum(axis=1)
+    keep = []
+    for order in (np.lexsort((i, j)), np.lexsort((i, d, j))):
+        keep.append(order[np.r_[True, j[order][1:] != j[order][:-1]]] if len(order) else order)
+    keep = np.unique(np.concatenate(keep))
+    return i[keep], j[keep]
+
+
+def close_in_cells(cell: np.ndarray, f: np.ndarray, n: np.ndarray, own: np.ndarray, stars: bool, share: float = SHARE, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """close_pairs of the rows of each cell; rows are in order of their cells.  Small cells go side by side, by the distance of the two rows."""
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+    size = np.diff(np.r_[first, len(cell)])
+    run, small = np.repeat(np.arange(len(first)), size), np.repeat(size <= SMALL_RUN, size)
+    found = []
+    for step in range(1, SMALL_RUN):
+        i = np.flatnonzero(small[:-step] & (run[step:] == run[:-step]))
+        if not len(i):
+            break
+        j = i + step
+        keep = (own[i] != own[j]) & (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j]) - 1e-9)
+        i, j = i[keep], j[keep]
+        keep = np.bitwise_count(f[i] ^ f[j]).sum(axis=1) <= radius
+        found.append((i[keep], j[keep]))
+    if found and stars:
+        found = [few_partners(f, *(np.concatenate(x) for x in zip(*found)))]
+    for k in np.flatnonzero(size > SMALL_RUN):
+        at = slice(first[k], first[k] + size[k])
+        i, j = close_pairs(f[at], n[at], own[at], stars, share, radius)
+        found.append((i + first[k], j + first[k]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _verified(texts: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
+    """Those edges(a, b) of keys of texts(s, text) whose texts share enough shingles; texts of one key hold the same words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -352,51 +381,59 @@ def _verified(reps: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
 
     pairs = save(pairs.distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("s")).unionAll(pairs.select(F.col("b").alias("s"))).distinct()
-    texts = save(reps.join(nodes, "s", "left_semi").select("s", "text"), "texts")
+    texts = save(texts.join(nodes, "s", "left_semi").groupBy("s").agg(F.first("text").alias("text")), "texts")
     both = pairs.join(texts.withColumnsRenamed({"s": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"s": "b", "text": "tb"}), "b")
     return save(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
 
 
-def similar_links(reps: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """edges(a, b) that join the keys of reps(s, f, n, text) into components of similar texts.
+def meeting_cells(reps: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(cell, s, f, n): the rows of reps(s, f, n, m) under each of their keys m, so that rows that share a key meet in a cell of bounded size.
 
-    Rows are dealt to blocks by their number of shingles; two blocks meet unless their numbers rule out the share.
-    A first pass checks one or two partners of each row, so that groups of copies become one component; the second checks all pairs still apart.
+    Keys of over block_rows rows are split by the rows' other keys (as likely to agree); of what is still larger, every two blocks share a cell.
     """
-    spark, total = reps.sparkSession, reps.count()
-    want = max(1, -(-total // block_rows))
-    cuts = np.unique(np.array(reps.agg(F.percentile_approx("n", [i / want for i in range(1, want)], 10_000)).first()[0] or [], np.int64)) if want > 1 else np.zeros(0, np.int64)
+    keys = reps.select("s", "f", "n", "m", F.posexplode("m").alias("i", "v")).select("s", "f", "n", "m", "i", F.xxhash64("i", "v").alias("k"))
+
+    def with_sizes(rows: DataFrame) -> DataFrame:
+        hot = save(rows.groupBy("k").agg(F.count("*").alias("rows")).where(F.col("rows") > block_rows), "hot")
+        return rows.join(F.broadcast(hot) if hot.count() <= 500_000 else hot, "k", "left")
+
+    rows = with_sizes(keys)
+    other = F.filter(F.transform("m", lambda v, j: F.when(j != F.col("i"), F.xxhash64("k", j, v))), lambda x: x.isNotNull())
+    split = with_sizes(rows.where("rows is not null").select("s", "f", "n", F.explode(other).alias("k")))
+    blocks = F.ceil(F.coalesce("rows", F.lit(1)) / F.lit(block_rows)).cast("int")
+    mine = F.pmod(F.xxhash64("s"), F.col("blocks").cast("long")).cast("int")
+    met = (
+        split.select("s", "f", "n", "k", blocks.alias("blocks"))
+        .select("s", "f", "n", "k", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+        .select(F.xxhash64("k", F.least("mine", "with"), F.greatest("mine", "with")).alias("cell"), "s", "f", "n")
+    )
+    return rows.where("rows is null").select(F.col("k").alias("cell"), "s", "f", "n").unionAll(met)
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.searchsorted(cuts, b.column("n").to_numpy(zero_copy_only=False)).astype(np.int32))], names=["s", "f", "n", "size"])
 
-    dealt = reps.select("s", "f", "n").mapInArrow(deal, "s long, f binary, n long, size int")
-    sizes = {r.size_: r for r in dealt.groupBy(F.col("size").alias("size_")).agg(F.count("*").alias("rows"), F.min("n").alias("low"), F.max("n").alias("high")).collect()}  # one row for each block_rows rows
-    blocks = [(z, k, r.low, r.high) for z, r in sorted(sizes.items()) for k in range(-(-r.rows // (2 * block_rows)))]
-    parts = spark.createDataFrame([(z, -(-r.rows // (2 * block_rows))) for z, r in sizes.items()], "size int, parts int")
-    cells = spark.createDataFrame([(z, k, i, j) for i, a in enumerate(blocks) for j, b in enumerate(blocks) if i <= j and b[2] * share <= a[3] + 1e-9 for z, k, *_ in ([a, b] if i < j else [a])], "size int, part int, x int, y int")
-    dealt = save(dealt.join(F.broadcast(parts), "size").withColumn("part", F.pmod(F.xxhash64("s"), F.col("parts").cast("long")).cast("int")), "blocks")
-    number = {(z, k): i for i, (z, k, *_) in enumerate(blocks)}
+def similar_links(reps: DataFrame, texts: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """edges(a, b) that join the keys of reps(s, f, n, m) into components of similar texts, by texts(s, text).
+
+    A first pass checks one or two partners of each row in each of its cells, so that groups of copies become one component; the second checks all pairs still apart.
+    """
+    cells = save(meeting_cells(reps, block_rows), "cells")
+    bins = max(1, -(-cells.count() // (4 * block_rows)))
 
     def search(stars: bool):
         def run(t: pa.Table) -> pa.Table:
-            t = t.take(np.argsort(t.column("s").to_numpy()))
-            block = np.array([number[k] for k in zip(t.column("size").to_pylist(), t.column("part").to_pylist())])
-            s, f, n, own = t.column("s").to_numpy(), np.frombuffer(b"".join(t.column("f").to_pylist()), np.uint64).reshape(-1, 2), t.column("n").to_numpy(), t.column("own").to_numpy()
-            x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
-            a, b = np.flatnonzero(block == x), np.flatnonzero(block == y)
-            i, j = close_pairs((f[a], n[a], own[a]), None if x == y else (f[b], n[b], own[b]), stars, share, radius)
-            return pa.table({"a": s[a][i], "b": s[b][j]})
+            t = t.take(np.lexsort((t.column("s").to_numpy(), t.column("cell").to_numpy())))
+            cell, s, n, own = (t.column(c).to_numpy() for c in ("cell", "s", "n", "own"))
+            f = np.frombuffer(b"".join(t.column("f").to_pylist()), np.uint64).reshape(-1, 2)
+            i, j = close_in_cells(cell, f, n, own, stars, share, radius)
+            return pa.table({"a": s[i], "b": s[j]})
 
         return run
 
     def found(rows: DataFrame, stars: bool) -> DataFrame:
-        near = rows.join(cells, ["size", "part"]).groupBy("x", "y").applyInArrow(search(stars), "a long, b long")
-        return _verified(reps, near, share)
+        near = rows.groupBy(F.pmod("cell", F.lit(bins)).alias("bin")).applyInArrow(search(stars), "a long, b long")
+        return _verified(texts, near, share)
 
-    first = found(dealt.withColumn("own", F.col("s")), True)
-    named = dealt.join(components(first).withColumnsRenamed({"node": "s", "root": "_root"}), "s", "left").withColumn("own", F.coalesce("_root", "s")).drop("_root")
+    first = found(cells.withColumn("own", F.col("s")), True)
+    named = cells.join(components(first).withColumnsRenamed({"node": "s", "root": "_root"}), "s", "left").withColumn("own", F.coalesce("_root", "s")).drop("_root")
     return first.unionAll(found(named, False))
 
 
@@ -405,24 +442,26 @@ def drop_similar(docs: DataFrame, share: float = SHARE, radius: int = WIDE_RADIU
     taken, mark = {c.lower() for c in docs.columns}, "m_"
     while any(c.startswith(mark) for c in taken):
         mark += "_"
-    s, f, n = (mark + c for c in "sfn")
+    s, f, n, m = (mark + c for c in "sfnm")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingles(t) for t in b.column("text").to_pylist()]
-            same = [xxhash.xxh3_64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").translate(_LOWER).split())) for t in b.column("text").to_pylist()]
-            more = [pa.array(np.array(same, np.uint64).view(np.int64)), pa.array([wide_fingerprint(x) for x in sets], pa.binary()), pa.array([len(x) for x in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, s, f, n])
-
-    kinds = [T.StructField(s, T.LongType()), T.StructField(f, T.BinaryType()), T.StructField(n, T.LongType())]
+            texts = b.column("text").to_pylist()
+            sets = [shingles(t) for t in texts]
+            same = [xxhash.xxh3_64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").translate(_LOWER).split())) for t in texts]
+            prints = [wide_fingerprint(x) for x in sets]
+            more = [pa.array(np.array(same, np.uint64).view(np.int64)), pa.array([x for x, _ in prints], pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x for _, x in prints], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, s, f, n, m])
+
+    kinds = [T.StructField(s, T.LongType()), T.StructField(f, T.BinaryType()), T.StructField(n, T.LongType()), T.StructField(m, T.ArrayType(T.LongType()))]
     marked = save(docs.mapInArrow(run, T.StructType([*docs.schema.fields, *kinds])), "fingerprints")
-    reps = save(marked.groupBy(F.col(s).alias("s")).agg(F.first(f).alias("f"), F.first(n).alias("n"), F.min("doc_id").alias("id"), F.first("text").alias("text")), "reps")
-    roots = components(similar_links(reps, share, radius, block_rows))
+    reps = save(marked.groupBy(F.col(s).alias("s")).agg(F.first(f).alias("f"), F.first(n).alias("n"), F.first(m).alias("m"), F.min("doc_id").alias("id")), "reps")
+    roots = components(similar_links(reps, marked.select(F.col(s).alias("s"), "text"), share, radius, block_rows))
     named = reps.select("s", "id").join(roots.withColumnRenamed("node", "s"), "s", "left")
     kept = named.groupBy(F.coalesce("root", "s").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "s")).alias("k")).select(F.col("k.s").alias(f"{mark}k"), F.col("k.id").alias(f"{mark}i"))
     first = Window.partitionBy(s).orderBy(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
     return (
-        marked.join(kept, (F.col(s) == F.col(f"{mark}k")) & F.col("doc_id").eqNullSafe(F.col(f"{mark}i")))
+        marked.join(kept, F.col(s) == F.col(f"{mark}k")).where(F.col("doc_id").eqNullSafe(F.col(f"{mark}i")))  # by s alone, as the window
         .withColumn(f"{mark}r", F.row_number().over(first)).where(F.col(f"{mark}r") == 1)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

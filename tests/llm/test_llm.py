@@ -464,7 +464,14 @@ def test_pipeline_stage_by_stage(spark):
     ruled = stages["quality rules"](spark, clean, DATA).cache()
     assert {r.doc_id for r in ruled.collect()} == {r.doc_id for r in quality_rules.judge(clean).where("kept").collect()}
     single = stages["near-duplicates"](spark, ruled, DATA).cache()
-    assert {r.doc_id for r in single.collect()} == {r.component_id for r in simhash.near_duplicates(ruled).collect()}
+    sets = {r.doc_id: simhash.shingles(r.text) for r in ruled.collect()}
+    root = {i: i for i in sets}
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = {k: a if r == b else r for k, r in root.items()}
+    assert {r.doc_id for r in single.collect()} == set(root.values())
     mixed = stages["mixing"](spark, single, DATA).cache()
     assert Counter(r.doc_id for r in mixed.collect()) == Counter({r.doc_id: len([s for s in r.shards if s is not None]) for r in mixture.mixture(single).collect() if r.shards})
     for df in (clean, ruled, single, mixed):
