@@ -34,10 +34,13 @@ _BLANKS, _SYMBOLS = "\x20\x09\x0a\x0b\x0c\x0d", "#*$%&|<>"
 _SIGNED = re.compile(r"[^\x20\x09-\x0D]*(?:!!|[#*$%&<>~^=_]{2})(?![^\x20\x09-\x0D])")
 _SEPARATORS = re.compile(r"(?<![^\x20\x09-\x0D])(?:[|>»·•/\\:]|::|>>|->|=>)(?![^\x20\x09-\x0D])")
 _LETTER = re.compile(r"[^\W_]")
-# Phrases of lines that are no text of their own.
+# Phrases of lines that are no text of their own, in English, French, German and Spanish.
 _BOILERPLATE = re.compile(
     "all rights reserved|cookie policy|we use cookies|privacy policy|terms of (?:use|service)|terms and conditions|enable javascript|"
-    "lorem ipsum|subscribe to our|sign up for our|click here|powered by|skip to content|back to top|share this|follow us on|read more",
+    "lorem ipsum|subscribe to our|sign up for our|click here|powered by|skip to content|back to top|share this|follow us on|read more|"
+    "tous droits réservés|nous utilisons des cookies|politique de confidentialité|mentions légales|conditions d'utilisation|abonnez-vous à|cliquez ici|retour en haut|lire la suite|"
+    "alle rechte vorbehalten|wir verwenden cookies|datenschutzerklärung|allgemeine geschäftsbedingungen|nutzungsbedingungen|newsletter abonnieren|hier klicken|nach oben|weiterlesen|"
+    "todos los derechos reservados|utilizamos cookies|política de privacidad|aviso legal|términos y condiciones|suscríbete a|haz clic aquí|volver arriba|leer más",
     re.I,
 )
 
