@@ -13,7 +13,7 @@ def fold(id_col: str, folds: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, per_class: int, longest: int) -> tuple[list[tuple[str, int]], dict[int, int]]:
-    """(text, label) of at most per_class rows for each label outside the held-out fold, texts of at most ``longest`` characters, in a fixed pseudo-random order; and how many labelled rows there are of each label."""
+    """(text, label) of at most per_class rows for each label outside the held-out fold, texts of at most ``longest`` characters, in a fixed pseudo-random order (of an id's several texts, the first by code points); and how many labelled rows there are of each label."""
     given = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y")).where("_y in (0, 1) and _id is not null").where(fold("_id", folds) != held_out)
     known = {r["_y"]: r["count"] for r in given.groupBy("_y").count().collect()}
     # Ids are drawn before texts are joined, so that few texts move.
@@ -23,7 +23,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
         drawn = part if drawn is None else drawn.unionAll(part)
     drawn = drawn.distinct()
     texts = docs.select("doc_id", "text").where(F.length("text") <= longest)
-    rows = texts.join(F.broadcast(drawn), texts.doc_id == F.col("_id")).select("doc_id", "text", "_y").collect()  # at most 4 * per_class ids
+    rows = texts.join(F.broadcast(drawn), texts.doc_id == F.col("_id")).groupBy("doc_id", "_y").agg(F.min("text").alias("text")).collect()  # at most 4 * per_class rows
     rows.sort(key=lambda r: (hash_of(r.doc_id), r.text))
     out: list[tuple[str, int]] = []
     for y in (0, 1):

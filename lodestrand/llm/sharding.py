@@ -58,8 +58,8 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, range_ro
     spread = first.withColumn("_share", share).withColumn("_cut", F.least(F.floor(F.col("_share") * ranges), F.lit(ranges - 1))).withColumn("_one", F.lit(1))
     placed = _ranked(spread, ["_one"], "_cut", [F.col("_share"), F.col("source"), F.col("_hash"), F.col("doc_id")], "_at")
     at = F.col("_at") - 1
-    shard = F.floor(at * shards / F.lit(max(n, 1))) if n * shards < 2**52 else F.expr(f"(_at - 1) div {-(-n // shards)}")
-    start = F.ceil(F.col("shard") * F.lit(n) / F.lit(shards))
+    shard = F.expr(f"((_at - 1) * {shards}L) div {max(n, 1)}L")
+    start = F.expr(f"(shard * {n}L + {shards - 1}L) div {shards}L")  # the first place of the shard
     return placed.withColumn("shard", shard.cast("int")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", (at - start).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "source"
     )

@@ -37,6 +37,8 @@ from pyspark.sql import types as T
 from .learning import fold, labelled_sample, logistic, sigmoid
 
 FOLDS, HELD_OUT, THRESHOLD, SENTENCE_THRESHOLD = 4, 2, 0.3, 0.5
+#: Words of a trained weight of LEAST_WEIGHT or less are left out of the model, so that a text of many words that say little is not condemned by their sum.
+LEAST_WEIGHT = 0.75
 PER_CLASS, LONGEST, LEAST_DOCS, STEPS, STEMS = 2_000, 30_000, 5, 250, (4, 5, 6)
 _WORDS = re.compile(r"\w+").findall
 _SENTENCE = re.compile(r"[^.!?\n]*\w[^.!?\n]*")
@@ -126,7 +128,7 @@ def fit(sample: list[tuple[str, int]], known: dict[int, int], least_docs: int =
         w -= rate * (m / fix1) / size
         w = np.sign(w) * np.maximum(np.abs(w) - rate * shrink / size, 0.0)
         b = min(b - rate * (mb / fix1) / (np.sqrt(vb / fix2) + 1e-5), -2.0)
-    model = BagModel(float(b), {k: float(w[i]) for k, i in vocabulary.items() if abs(w[i]) > 0.75})
+    model = BagModel(float(b), {k: float(w[i]) for k, i in vocabulary.items() if abs(w[i]) > LEAST_WEIGHT})
     yr = np.array([y for _, y in rest], float)
     if 0 < yr.sum() < len(yr):
         x = np.array([model.bag(t) for t, _ in rest])
