@@ -17,6 +17,12 @@ def accession(header: Column) -> Column:
     return remove_version(F.when((F.element_at(parts, 1) == "gi") & (F.size(parts) >= 4), F.get(parts, F.lit(3))).otherwise(header))
 
 
+def versioned_accession(header: Column) -> Column:
+    """Accession of a ``gi|n|db|ACC|`` header with its version, else the header."""
+    parts = F.split(header, r"\|")
+    return F.when((F.element_at(parts, 1) == "gi") & (F.size(parts) >= 4), F.get(parts, F.lit(3))).otherwise(header)
+
+
 def accessions(header: Column) -> Column:
     """All accessions of a header that joins several by ``\\x01`` (``gnl|uv|ACC:`` too)."""
     one = lambda h: F.when(h.startswith("gnl|uv|"), F.split_part(F.split_part(h, F.lit("|"), F.lit(3)), F.lit(":"), F.lit(1))).otherwise(accession(h))
@@ -192,3 +198,13 @@ def allele_frequency(ref: Column, alt: Column, depth: Column, alleles: Column) -
     """Count of a variant's allele over the depth: the base, ``I`` + inserted or ``D`` + deleted bases."""
     key = F.when(F.length(ref) == F.length(alt), alt).when(F.length(alt) > F.length(ref), F.concat(F.lit("I"), F.substr(alt, F.lit(2)))).otherwise(F.concat(F.lit("D"), F.substr(ref, F.lit(2))))
     return F.when(depth > 0, F.coalesce(F.try_element_at(alleles, key), F.lit(0)) / depth).otherwise(0.0)
+
+
+def phred(qual: Column, offset: int = 33) -> Column:
+    """The Phred values of a quality string."""
+    return F.transform(F.regexp_extract_all(qual, F.lit("(?s)(.)"), F.lit(1)), lambda c: F.ascii(c) - offset)
+
+
+def plain_bases(seq: Column) -> Column:
+    """Ambiguity codes as the first base that they stand for, in upper case; what is no base as N."""
+    return F.regexp_replace(F.translate(F.upper(seq), "RYSWKMBDHVU", "ACCAGACAAAT"), "[^ACGTN]", "N")

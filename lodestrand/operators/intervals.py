@@ -9,13 +9,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Places are swept in bins of so many.
+BIN = 65_536
 
-def merge(rows: DataFrame) -> DataFrame:
-    """chrom, start, end of unions of intervals; touching ones merge."""
-    order = Window.partitionBy("chrom").orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    island = rows.withColumn("_new", F.when(before.isNull() | (F.col("start") > before), 1).otherwise(0)).withColumn("_id", F.sum("_new").over(order))
-    return island.groupBy("chrom", "_id").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_id")
+
+def _levels(rows: DataFrame, width: int) -> DataFrame:
+    """chrom, bin, pos, was and depth: how many intervals cover the place before pos, and pos itself, where some begin or end.
+
+    Places are swept within bins of ``width``; an interval counts once in each bin that it runs on into, so no chromosome is swept in one task.
+    """
+    ends = F.array(F.struct(F.col("start").cast("long").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("end").cast("long").alias("pos"), F.lit(-1).alias("d")))
+    whole = rows.where(F.col("start") < F.col("end"))
+    steps = whole.select("chrom", F.inline(ends)).withColumn("bin", F.floor(F.col("pos") / width)).groupBy("chrom", "bin", "pos").agg(F.sum("d").alias("d"))
+    first, last = F.floor(F.col("start") / width), F.floor(F.col("end") / width)
+    onward = whole.where(last > first).select("chrom", F.explode(F.sequence(first + 1, last)).alias("bin")).groupBy("chrom", "bin").agg(F.count("*").alias("_in"))
+    order = Window.partitionBy("chrom", "bin").orderBy("pos")
+    swept = steps.join(onward, ["chrom", "bin"], "left").withColumn("depth", F.coalesce("_in", F.lit(0)) + F.sum("d").over(order))
+    return swept.select("chrom", "bin", "pos", (F.col("depth") - F.col("d")).alias("was"), "depth")
+
+
+def _followed(points: DataFrame) -> DataFrame:
+    """points(chrom, bin, pos, …) with ``next``: the pos of the next point of the chromosome; across bins by way of a table of one row a bin."""
+    firsts = points.groupBy("chrom", "bin").agg(F.min("pos").alias("_first"))
+    later = firsts.select("chrom", "bin", F.lead("_first").over(Window.partitionBy("chrom").orderBy("bin")).alias("_later"))
+    order = Window.partitionBy("chrom", "bin").orderBy("pos")
+    return points.withColumn("_near", F.lead("pos").over(order)).join(later, ["chrom", "bin"]).withColumn("next", F.coalesce("_near", "_later")).drop("_near", "_later")
+
+
+def merge(rows: DataFrame, width: int = BIN) -> DataFrame:
+    """chrom, start, end of unions of intervals; touching ones merge, empty ones are none."""
+    turns = _levels(rows, width).where((F.col("was") == 0) != (F.col("depth") == 0))
+    return _followed(turns).where("depth > 0").select("chrom", F.col("pos").alias("start"), F.col("next").alias("end"))
 
 
 def covered(rows: DataFrame) -> DataFrame:
@@ -23,16 +47,13 @@ def covered(rows: DataFrame) -> DataFrame:
     return merge(rows).groupBy("chrom").agg(F.count("*").alias("n_islands"), F.sum(F.col("end") - F.col("start")).alias("covered"))
 
 
-def depth_runs(rows: DataFrame, genome: DataFrame) -> DataFrame:
+def depth_runs(rows: DataFrame, genome: DataFrame, width: int = BIN) -> DataFrame:
     """chrom, start, end, depth over all of genome(chrom, length): runs of equal depth, zero runs too."""
-    ends = rows.join(genome.select("chrom"), "chrom", "left_semi")
-    events = ends.select("chrom", F.col("start").alias("pos"), F.lit(1).alias("d")).unionAll(ends.select("chrom", F.col("end").alias("pos"), F.lit(-1).alias("d")))
-    events = events.unionAll(genome.select("chrom", F.lit(0).cast("long").alias("pos"), F.lit(0).alias("d")))
-    steps = events.groupBy("chrom", "pos").agg(F.sum("d").alias("d"))
-    order = Window.partitionBy("chrom").orderBy("pos")
-    level = steps.withColumn("depth", F.sum("d").over(order)).withColumn("_was", F.lag("depth").over(order)).where("_was is null or _was <> depth")
-    ranged = level.withColumn("_next", F.lead("pos").over(order)).join(genome, "chrom")
-    out = ranged.select("chrom", F.col("pos").alias("start"), F.least(F.coalesce("_next", "length"), F.col("length")).alias("end"), "depth")
+    turns = _levels(rows.join(genome.select("chrom"), "chrom", "left_semi"), width).where("was <> depth").select("chrom", "bin", "pos", "depth")
+    zero = genome.select("chrom", F.lit(0).cast("long").alias("bin"), F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("depth"))
+    points = zero.join(turns.where("pos = 0").select("chrom"), "chrom", "left_anti").unionByName(turns)
+    ranged = _followed(points).join(genome, "chrom")
+    out = ranged.select("chrom", F.col("pos").alias("start"), F.least(F.coalesce("next", "length"), F.col("length")).alias("end"), "depth")
     return out.where(F.col("start") < F.col("end"))
 
 
@@ -69,11 +90,13 @@ def best_window(rows: DataFrame, windows: DataFrame, key: str, width: int = 1024
     return overlaps(rows, windows, width).withColumn("_n", F.row_number().over(order)).where("_n = 1").select(key, F.col("r_start").alias("window_start"), "overlap")
 
 
-def clusters(points: DataFrame, gap: int, pad: int) -> DataFrame:
-    """chrom, start, end around runs of points(chrom, pos) no more than ``gap`` apart, padded."""
-    order = Window.partitionBy("chrom").orderBy("pos")
-    runs = points.distinct().withColumn("_new", F.when(F.col("pos") - F.lag("pos").over(order) <= gap, 0).otherwise(1)).withColumn("_id", F.sum("_new").over(order))
-    return runs.groupBy("chrom", "_id").agg((F.min("pos") - pad).alias("start"), (F.max("pos") + pad + 1).alias("end"), F.count("*").alias("n")).drop("_id")
+def clusters(points: DataFrame, gap: int, pad: int, width: int = BIN) -> DataFrame:
+    """chrom, start, end around runs of points(chrom, pos) no more than ``gap`` (over 0) apart, padded, and their number n of different places."""
+    places = points.select("chrom", "pos").distinct()
+    # as intervals of ``gap`` places, points of a run touch
+    runs = merge(places.select("chrom", F.col("pos").alias("start"), (F.col("pos") + gap).alias("end")), width)
+    inside = overlaps(places.select("chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end")), runs, width).groupBy("chrom", "r_start", "r_end").agg(F.count("*").alias("n"))
+    return inside.select("chrom", (F.col("r_start") - pad).alias("start"), (F.col("r_end") - gap + pad + 1).alias("end"), "n")
 
 
 def scaffold_coverage(runs: DataFrame) -> DataFrame:

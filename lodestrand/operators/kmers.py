@@ -5,13 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrand.functions import codes
 from lodestrand.functions import seq as S
-
-
-def explode(seqs: DataFrame, k: int, name: str = "name", seq: str = "seq") -> DataFrame:
-    """name, pos (0-based) and canonical k-mer; k-mers with letters other than ACGT are left out."""
-    rows = seqs.select(name, F.posexplode(S.canonical_kmers(F.upper(F.col(seq)), k)).alias("pos", "kmer"))
-    return rows.where(F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
+from lodestrand.functions.codes import explode
 
 
 def _plain(seq: str, k: int) -> Column:
@@ -20,7 +16,9 @@ def _plain(seq: str, k: int) -> Column:
 
 
 def counts(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
-    return seqs.select(F.explode(_plain(seq, k)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
+    """kmer and n over all sequences."""
+    summed = codes.counted(seqs, k, seq).groupBy("kmer").agg(F.sum("n").alias("n"))
+    return summed.select(codes.letters(F.col("kmer"), k).alias("kmer"), "n")
 
 
 def histogram(kmer_counts: DataFrame) -> DataFrame:
@@ -33,10 +31,10 @@ def unique_estimate(seqs: DataFrame, k: int) -> DataFrame:
 
 
 def match(reads: DataFrame, refs: DataFrame, k: int, least: int = 1, substitutions: int = 0) -> DataFrame:
-    """name and hits: reads with at least ``least`` k-mers of refs; with substitutions=1 the references' k-mers one substitution away count too."""
+    """name and hits: reads with at least ``least`` k-mers of refs; the references' k-mers up to so many ``substitutions`` away count too."""
     known = explode(refs, k).select("kmer").distinct()
-    if substitutions:
-        known = known.select(F.explode(S.neighbours(F.col("kmer"), k)).alias("kmer")).select(S.canonical(F.col("kmer")).alias("kmer")).distinct()
+    for _ in range(substitutions):
+        known = known.select(F.explode(codes.neighbours(F.col("kmer"), k)).alias("kmer")).select(codes.canonical(F.col("kmer"), k).alias("kmer")).distinct()
     return explode(reads, k).join(known, "kmer", "left_semi").groupBy("name").agg(F.count("*").alias("hits")).where(F.col("hits") >= least)
 
 
@@ -98,7 +96,8 @@ def compare(left: DataFrame, right: DataFrame, least: int = 1) -> DataFrame:
 def depths(seqs: DataFrame, k: int) -> DataFrame:
     """name, low, median, high (25th, 54th and 90th percentile places) and n of the depths of a read's k-mers, deepest first."""
     rows = explode(seqs, k)
-    deep = rows.join(rows.groupBy("kmer").agg(F.count("*").alias("d")), "kmer").groupBy("name").agg(F.sort_array(F.collect_list("d"), asc=False).alias("c"))
+    counted = codes.counted(seqs, k).groupBy("kmer").agg(F.sum("n").alias("d"))
+    deep = rows.join(counted, "kmer").groupBy("name").agg(F.sort_array(F.collect_list("d"), asc=False).alias("c"))
     at = lambda share: F.element_at("c", F.least(F.floor(F.size("c") * share).cast("int") + 1, F.size("c")))
     return deep.select("name", at(0.90).alias("low"), at(0.54).alias("median"), at(0.25).alias("high"), F.size("c").cast("long").alias("n"))
 
@@ -128,4 +127,4 @@ def common(seqs: DataFrame, k: int, most: int) -> DataFrame:
     """name, kmer, n: the most frequent k-mers of each sequence."""
     n = explode(seqs, k).groupBy("name", "kmer").agg(F.count("*").alias("n"))
     order = Window.partitionBy("name").orderBy(F.desc("n"), "kmer")
-    return n.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).drop("_n")
+    return n.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= most).select("name", codes.letters(F.col("kmer"), k).alias("kmer"), "n")

@@ -29,15 +29,26 @@ def without_reads(rows: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.join(blocked, trim_read_no(F.col("name")) == F.col("_id"), "left_anti")
 
 
-def pair_up(rows: DataFrame, order: str, file: str) -> DataFrame:
-    """rows(name, …) with ``mate``: 64 or 128 for neighbours of the same name in a file, else 0."""
-    name = trim_read_no(F.col("name"))
-    at = Window.partitionBy(file).orderBy(order)
-    first = rows.withColumn("_b", name).withColumn("_new", (F.coalesce(F.lag("_b").over(at), F.lit("")) != F.col("_b")).cast("int")).withColumn("_run", F.sum("_new").over(at))
-    run = Window.partitionBy(file, "_run").orderBy(order)
-    placed = first.withColumn("_n", F.row_number().over(run)).withColumn("_of", F.count("*").over(Window.partitionBy(file, "_run")))
-    odd_last = (F.col("_n") == F.col("_of")) & (F.col("_n") % 2 == 1)
-    return placed.withColumn("mate", F.when(odd_last, 0).when(F.col("_n") % 2 == 1, 64).otherwise(128)).drop("_b", "_new", "_run", "_n", "_of")
+def pair_up(rows: DataFrame, order: str, file: str, block: int = 65_536) -> DataFrame:
+    """rows(name, …) with ``mate``: 64 or 128 for neighbours of the same name in a file, else 0.  ``order`` numbers a file's rows.
+
+    A file is cut into blocks of ``block`` numbers; what a block must know of its neighbours comes from a table of one row a block.
+    """
+    cut = rows.withColumn("_b", trim_read_no(F.col("name"))).withColumn("_k", F.floor(F.col(order) / block))
+    at = Window.partitionBy(file, "_k").orderBy(order)
+    runs = cut.withColumn("_new", (~F.lag("_b").over(at).eqNullSafe(F.col("_b"))).cast("int")).withColumn("_run", F.sum("_new").over(at))
+    placed = runs.withColumn("_n", F.row_number().over(Window.partitionBy(file, "_k", "_run").orderBy(order))).withColumn("_next", F.lead("_b").over(at)).withColumn("_end", F.lead(F.lit(1)).over(at).isNull())
+    # of each block: its first and last name, the length of its last run, and whether that is the whole block
+    blocks = placed.groupBy(file, "_k").agg(F.min_by("_b", order).alias("_first"), F.max_by("_b", order).alias("_last"), F.max_by("_n", order).alias("_tail"), (F.max("_run") == 1).alias("_one"))
+    by_file = Window.partitionBy(file).orderBy("_k")
+    joined = blocks.withColumn("_goes", F.lag("_last").over(by_file).eqNullSafe(F.col("_first")) & (F.lag(F.lit(1)).over(by_file).isNotNull()))
+    chain = joined.withColumn("_c", F.sum((~(F.col("_one") & F.col("_goes"))).cast("int")).over(by_file)).withColumn("_held", F.sum("_tail").over(Window.partitionBy(file, "_c").orderBy("_k")))
+    known = chain.select(F.col(file).alias("_f"), F.col("_k").alias("_kk"), F.when(F.col("_goes"), F.lag("_held").over(by_file)).otherwise(0).alias("_before"), F.lead("_first").over(by_file).alias("_after"))
+    whole = placed.join(known, F.col(file).eqNullSafe(F.col("_f")) & (F.col("_k") == F.col("_kk")))
+    place = F.col("_n") + F.when(F.col("_run") == 1, F.col("_before")).otherwise(0)
+    last = ~F.when(F.col("_end"), F.col("_after")).otherwise(F.col("_next")).eqNullSafe(F.col("_b"))
+    mate = F.when(last & (place % 2 == 1), 0).when(place % 2 == 1, 64).otherwise(128)
+    return whole.withColumn("mate", mate).select(*rows.columns, "mate")
 
 
 def repair(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -65,14 +76,27 @@ def best_on_targets(alignments: DataFrame, targets: DataFrame) -> DataFrame:
     return alignments.withColumn("_best", best).where("score = _best").join(targets, "ref", "left_semi").select("read").distinct()
 
 
-def filter_contigs(alignments: DataFrame, least_mapq: float = 10, excluded: int = 1796) -> DataFrame:
-    """Reads to keep of alignments(read, ref, flag, mapq): unmapped, or on contigs whose mean mapping quality reaches the least; all, where no contig does."""
-    good = alignments.where((F.col("flag").bitwiseAND(4) == 0) & (F.col("flag").bitwiseAND(excluded) == 0)).groupBy("ref").agg(F.avg("mapq").alias("_q")).where(F.col("_q") >= least_mapq).select("ref", F.lit(True).alias("_ok"))
-    some = good.agg((F.count("*") > 0).alias("_some"))
+def filter_contigs(alignments: DataFrame, on_target: DataFrame, least_mapq: float = 10, excluded: int = 1796) -> DataFrame:
+    """Reads to keep of alignments(read, ref, flag, mapq) of reads on contigs: unmapped, or on a contig of on_target(ref, flag), the contigs aligned to the target region, whose mean mapping quality reaches the least; all, where no contig is aligned there."""
+    aligned = on_target.where(F.col("flag").bitwiseAND(4) == 0).select("ref").distinct()
+    quality = alignments.where(F.col("flag").bitwiseAND(excluded) == 0).groupBy("ref").agg(F.avg("mapq").alias("_q"))
+    good = aligned.join(quality, "ref", "left").where(F.coalesce("_q", F.lit(0.0)) >= least_mapq).select("ref", F.lit(True).alias("_ok"))
+    some = aligned.agg((F.count("*") > 0).alias("_some"))
     held = alignments.join(good, "ref", "left").join(F.broadcast(some), F.lit(True))  # one row
     return held.where("_ok or not _some or (flag & 4) <> 0").select("read").distinct()
 
 
+def read_targets(alignments: DataFrame, least_score: float, least_share: float) -> DataFrame:
+    """Rows of alignments(read, score, size, …) that score ``least_score`` or more, and that share of their length or more."""
+    return alignments.where((F.col("score") >= least_score) & (F.col("size") > 0) & (F.col("score") >= least_share * F.col("size")))
+
+
+def only_reads(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows(name, …) whose name is in ids(id), mate numbers aside."""
+    wanted = ids.select(trim_read_no(F.col("id")).alias("_id")).distinct()
+    return rows.join(wanted, trim_read_no(F.col("name")) == F.col("_id"), "left_semi")
+
+
 def contig_to_taxa(read_hits: DataFrame, contig_taxa: DataFrame, least: float) -> DataFrame:
     """read and taxa (array, in order of contig, repeats kept) of read_hits(read, contig, score) over ``least``, through contig_taxa(contig, tid)."""
     found = read_hits.where(F.col("score") > least).join(contig_taxa, "contig")

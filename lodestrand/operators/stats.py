@@ -20,6 +20,14 @@ def assembly(seqs: DataFrame) -> DataFrame:
     return total.join(half, F.lit(True)).select("scaffolds", "bases", "longest", "gc", "n50", l50.cast("long").alias("l50"))
 
 
+def assemblies(seqs: DataFrame, by: str) -> DataFrame:
+    """scaffolds, bases and n50 of the sequences of each file (or other column), from a table of lengths."""
+    lengths = seqs.groupBy(by, F.length("seq").cast("long").alias("len")).agg(F.count("*").alias("n"))
+    down = Window.partitionBy(by).orderBy(F.desc("len")).rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row for each length
+    run = lengths.withColumn("_b", F.sum(F.col("len") * F.col("n")).over(down)).withColumn("_t", F.sum(F.col("len") * F.col("n")).over(Window.partitionBy(by)))
+    return run.groupBy(by).agg(F.sum("n").alias("scaffolds"), F.max("_t").alias("bases"), F.max(F.when(2 * F.col("_b") >= F.col("_t"), F.col("len"))).alias("n50"))
+
+
 def length_histogram(seqs: DataFrame, width: int) -> DataFrame:
     return seqs.groupBy((F.floor(F.length("seq") / width) * width).cast("long").alias("length")).agg(F.count("*").alias("reads"), F.sum(F.length("seq")).cast("long").alias("bases"))
 
@@ -28,10 +36,12 @@ def gc_histogram(seqs: DataFrame, bins: int) -> DataFrame:
     return seqs.where(F.length("seq") > 0).groupBy(F.least(F.floor(S.count_of(F.col("seq"), "GCgc") * bins / F.length("seq")), F.lit(bins - 1)).cast("long").alias("bin")).agg(F.count("*").alias("reads"))
 
 
-def base_composition(seqs: DataFrame, places: int) -> DataFrame:
-    """pos, base, n over the first bases of all sequences (a report by position)."""
-    chars = F.transform(F.sequence(F.lit(1), F.least(F.length("seq"), F.lit(places))), lambda i: F.substr("seq", i, F.lit(1)))
-    return seqs.where(F.length("seq") > 0).select(F.posexplode(chars).alias("pos", "base")).groupBy(F.col("pos").cast("long").alias("pos"), "base").agg(F.count("*").alias("n"))
+def base_composition(seqs: DataFrame, width: int, letters: str = "ACGTN") -> DataFrame:
+    """pos (the first, from 0, of ``width`` places), base and n over whole sequences: how often each of the letters stands there; ``other``: all others."""
+    tile = F.transform(F.sequence(F.lit(0), F.length("seq") - 1, F.lit(width)), lambda s: F.struct(s.cast("long").alias("pos"), F.substr("seq", s + 1, F.lit(width)).alias("tile")))
+    counts = [F.struct(F.lit(b).alias("base"), S.count_of(F.col("tile"), b).alias("n")) for b in letters] + [F.struct(F.lit("other").alias("base"), F.length(F.translate("tile", letters, "")).cast("long").alias("n"))]
+    each = seqs.where(F.length("seq") > 0).select(F.inline(tile)).select("pos", F.inline(F.array(*counts)))
+    return each.groupBy("pos", "base").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def shared_lines(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -13,19 +13,23 @@ from lodestrand.functions.seq import lowest_rank_code
 from lodestrand.operators.work import keep
 
 
-def closure(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
-    """tid, ancestor, distance (0: itself), ancestor's rank, name and depth from the root; by doubling joins, each written, as reports use the closure many times."""
+def closure(nodes: DataFrame) -> DataFrame:
+    """tid, ancestor, distance (0: itself), ancestor's rank, name and depth from the root; by doubling joins until no node has an ancestor further up, each written, as reports use the closure many times.
+
+    A tree has a root, its own parent; a circle of parents is an error.
+    """
+    nodes = keep(nodes, "nodes")
     up = nodes.where("tid <> parent").select("tid", F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
-    reach, span = keep(up, "ancestors"), 1
-    rows = reach.count()
-    while span < max_depth:
+    reach, span, most = keep(up, "ancestors"), 1, nodes.count()
+    while True:
         # pairs up to 2 * span apart, from pairs up to span apart
-        far = reach.alias("a").join(reach.where(F.col("distance") == span).alias("b"), F.col("a.tid") == F.col("b.ancestor")).select("b.tid", "a.ancestor", (F.col("a.distance") + span).alias("distance"))
-        reach = keep(reach.unionByName(far), "ancestors")
-        was, rows = rows, reach.count()
-        if was == rows:
+        far = reach.alias("a").join(reach.where(F.col("distance") == span).alias("b"), F.col("a.tid") == F.col("b.ancestor"))
+        far = keep(far.select("b.tid", "a.ancestor", (F.col("a.distance") + span).alias("distance")), "ancestors")
+        if far.isEmpty():
             break
-        span *= 2
+        reach, span = reach.unionByName(far), span * 2
+        if span > 2 * most:
+            raise ValueError("the parents of some nodes form a circle")
     own = nodes.select("tid", F.col("tid").alias("ancestor"), F.lit(0).alias("distance"))
     every = own.unionByName(reach)
     depth = every.groupBy(F.col("tid").alias("ancestor")).agg(F.max("distance").cast("int").alias("depth"))
@@ -82,12 +86,45 @@ def report_lines(rows: DataFrame, tree: DataFrame) -> DataFrame:
     return rows.join(order, "tid").orderBy("path").select(line.alias("line"))
 
 
-def count_table(hits: DataFrame, tree: DataFrame, ranks: tuple[str, ...] = ("species", "genus", "family", "superkingdom")) -> DataFrame:
-    """rank, tid, uniq and multi: reads whose taxa at that rank are that one alone, and reads with others too."""
-    at = tree.where(F.col("rank").isin(*ranks)).select("tid", "rank", F.col("ancestor").alias("to"))
-    each = hits.select("read", "tid").distinct().join(at, "tid").select("read", "rank", "to").distinct()
-    n = F.count("*").over(Window.partitionBy("read", "rank"))
-    return each.withColumn("_n", n).groupBy("rank", F.col("to").cast("long").alias("tid")).agg(F.sum((F.col("_n") == 1).cast("long")).alias("uniq"), F.sum((F.col("_n") > 1).cast("long")).alias("multi"))
+MAIN_RANKS = ("species", "genus", "family", "superkingdom")
+
+
+def main_lineage(tree: DataFrame) -> DataFrame:
+    """tid and its uppermost ancestors of the MAIN_RANKS, null where there is none."""
+    at = lambda r: F.max(F.when(F.col("rank") == r, F.struct("distance", "ancestor")))["ancestor"].alias(r)
+    return tree.groupBy("tid").agg(*map(at, MAIN_RANKS))
+
+
+def count_table(hits: DataFrame, tree: DataFrame) -> DataFrame:
+    """rank, tid, uniq and multi: reads whose taxa at that rank are that one alone, and reads with others too.
+
+    Hits without a species do not count; one without a genus or family has an unnamed one of its own there, so that a read with it and another taxon is not unique.
+    """
+    lines = hits.select("read", "tid").distinct().join(main_lineage(tree), "tid").where("species is not null")
+    name = lambda c, mark: F.concat(F.lit(mark), F.col(c).cast("string"))
+    genus = F.coalesce(name("genus", ""), name("species", "s"))
+    family = F.coalesce(name("family", ""), F.concat(F.lit("g"), genus))
+    values = (F.col("species").cast("string"), genus, family, F.coalesce(name("superkingdom", ""), F.lit("-")))
+    each = lines.select("read", F.inline(F.array(*[F.struct(F.lit(r).alias("rank"), v.alias("to")) for r, v in zip(MAIN_RANKS, values)]))).distinct()
+    sized = each.withColumn("_n", F.count("*").over(Window.partitionBy("read", "rank"))).withColumn("tid", F.col("to").try_cast("long"))
+    one = lambda c: F.sum(c.cast("long"))
+    return sized.where("tid is not null").groupBy("rank", "tid").agg(one(F.col("_n") == 1).alias("uniq"), one(F.col("_n") > 1).alias("multi"))
+
+
+def named_count_table(counts: DataFrame, tree: DataFrame) -> DataFrame:
+    """count_table's rows with the names of each taxon's lineage (``-`` where it has none), as printed."""
+    names = tree.where("distance = 0").select(F.col("tid").alias("_t"), F.col("name").alias("_name"))
+    out = counts.join(main_lineage(tree), "tid")
+    for r in reversed(MAIN_RANKS):
+        out = out.join(names, F.col(r) == F.col("_t"), "left").withColumn(r, F.coalesce("_name", F.lit("-"))).drop("_t", "_name")
+    return out.select("rank", *reversed(MAIN_RANKS), "tid", "uniq", "multi")
+
+
+def labels(hits: DataFrame, tree: DataFrame) -> DataFrame:
+    """read and label: the lineages (rank|name from the species up) of its species, in order of their ids, joined by ``;``; hits without a species are left out."""
+    found = hits.select("read", "tid").distinct().join(at_rank(tree, "species"), "tid").select("read", F.col("to").alias("tid")).distinct()
+    upward = tree.groupBy("tid").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("distance", F.concat_ws("|", "rank", "name").alias("s")))), lambda x: x.s), ",").alias("line"))
+    return found.join(upward, "tid").groupBy("read").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tid", "line"))), lambda x: x.line), ";").alias("label"))
 
 
 def under(tree: DataFrame, names: list[str]) -> DataFrame:
@@ -124,17 +161,20 @@ def reassign(hits: DataFrame, times: float = 20, share: float = 0.05, least: flo
 
 
 def cleanup(hits: DataFrame, contaminants: DataFrame, top: float = 0.94, share: float = 0.95) -> DataFrame:
-    """hits(read, tid, score) after taking contaminants(tid) into account: a taxon explained by contaminants in over ``share`` of its reads gives way to them; elsewhere contaminant hits go where others exist."""
-    mark = hits.join(contaminants.withColumn("_dirty", F.lit(True)), "tid", "left").withColumn("_dirty", F.coalesce("_dirty", F.lit(False)))
-    per_read = Window.partitionBy("read")
-    best = F.coalesce(F.max(F.when(F.col("_dirty"), F.col("score"))).over(per_read), F.lit(0.0))
-    rows = mark.withColumn("_best", best)
-    taxa = rows.where("not _dirty").groupBy("tid").agg(F.avg((F.col("score") * top <= F.col("_best")).cast("double")).alias("_share")).where(F.col("_share") > share).select("tid", F.lit(True).alias("_gone"))
-    rows = rows.join(taxa, "tid", "left").withColumn("_gone", F.coalesce("_gone", F.lit(False)))
-    # a hit stays if it is clean and not given up; contaminant hits stay where no clean hit does
-    clean = F.max((~F.col("_dirty") & ~F.col("_gone")).cast("int")).over(per_read)
-    kept = rows.withColumn("_clean", clean).where("(not _dirty and not _gone) or (_dirty and _clean = 0) or (_gone and _clean = 0 and _best = 0)")
-    return kept.select("read", "tid", "score")
+    """hits(read, tid, score), scores over 0, after taking contaminants(tid) into account.
+
+    A contaminant explains a clean taxon if, of all reads with the taxon, over ``share`` have a hit of that contaminant that scores
+    ``top`` of the taxon's score or more.  Of a read with such a hit of an explained taxon only the contaminants that explain it stay;
+    of other reads contaminant hits go where a clean hit is left.
+    """
+    dirty = hits.join(F.broadcast(contaminants.select("tid").distinct().withColumn("_dirty", F.lit(True))), "tid", "left").withColumn("_dirty", F.coalesce("_dirty", F.lit(False)))  # a short list of taxa
+    beside = dirty.where("_dirty").select("read", F.col("tid").alias("by"), F.col("score").alias("by_score"))
+    pairs = dirty.where("not _dirty").join(beside, "read").where(F.col("score") * top <= F.col("by_score"))
+    counts = hits.groupBy("tid").agg(F.count("*").alias("_n"))
+    explained = pairs.groupBy("tid", "by").agg(F.count("*").alias("_both")).join(counts, "tid").where(F.col("_both") > share * F.col("_n")).select("tid", "by")
+    instead = pairs.join(explained, ["tid", "by"]).select("read", F.col("by").alias("tid"), F.col("by_score").alias("score")).distinct()
+    others = dirty.join(instead.select("read").distinct(), "read", "left_anti").withColumn("_clean", F.max((~F.col("_dirty")).cast("int")).over(Window.partitionBy("read")))
+    return others.where("not _dirty or _clean = 0").select("read", "tid", "score").unionByName(instead.select("read", "tid", "score"))
 
 
 def split_by_rank(hits: DataFrame, tree: DataFrame, rank: str, unknown: str = "unknown") -> DataFrame:
@@ -163,14 +203,33 @@ def taxon_accuracy(truth: DataFrame, predicted: DataFrame) -> DataFrame:
 
 
 def accuracy(truth: DataFrame, predicted: DataFrame, tree: DataFrame, ranks: tuple[str, ...] = ("species", "genus", "family")) -> DataFrame:
-    """rank, correct, wrong and unspecific reads: truth(read, tid) against the common ancestors of predicted(read, tid)."""
+    """rank, correct, wrong and unspecific reads: truth(read, tid) against the common ancestors of predicted(read, tid), over truths that have the rank.
+
+    A prediction of another or no taxon at the rank is unspecific if it lies above the truth (or is it), else wrong.
+    """
     found = common_ancestor(predicted, tree).join(truth.select("read", F.col("tid").alias("true")), "read")
+    above = tree.select(F.col("tid").alias("true"), F.col("ancestor").alias("lca"), F.lit(True).alias("_above"))
+    found = found.join(above, ["true", "lca"], "left")
     out = None
     for rank in ranks:
         to = at_rank(tree, rank)
         mine = to.select(F.col("tid").alias("lca"), F.col("to").alias("p"))
         right = to.select(F.col("tid").alias("true"), F.col("to").alias("t"))
-        rows = found.join(mine, "lca", "left").join(right, "true", "left")
-        one = rows.agg(F.lit(rank).alias("rank"), *[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(n) for n, c in (("correct", F.col("p").eqNullSafe(F.col("t")) & F.col("p").isNotNull()), ("wrong", F.col("p").isNotNull() & ~F.col("p").eqNullSafe(F.col("t"))), ("unspecific", F.col("p").isNull()))])
+        rows = found.join(mine, "lca", "left").join(right, "true").withColumn("_same", F.col("p").eqNullSafe(F.col("t")))
+        tests = (("correct", F.col("_same")), ("wrong", ~F.col("_same") & F.col("_above").isNull()), ("unspecific", ~F.col("_same") & F.col("_above").isNotNull()))
+        one = rows.agg(F.lit(rank).alias("rank"), *[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(n) for n, c in tests])
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def simplified(nodes: DataFrame, tree: DataFrame, ranks: tuple[str, ...]) -> DataFrame:
+    """nodes(tid, parent, rank, name) of the named ranks and the root alone, each under its nearest such ancestor."""
+    kept = nodes.where(F.col("rank").isin(*ranks) | (F.col("tid") == F.col("parent")))
+    near = tree.where("distance > 0").join(kept.select(F.col("tid").alias("ancestor")), "ancestor").groupBy("tid").agg(F.min_by("ancestor", "distance").alias("_up"))
+    return kept.join(near, "tid", "left").select("tid", F.coalesce("_up", "tid").alias("parent"), "rank", "name")
+
+
+def in_tree_order(rows: DataFrame, tree: DataFrame) -> DataFrame:
+    """rows(tid, …) with ``path``: the names from the root down to its taxon, by which related taxa lie together when written in its order."""
+    path = tree.groupBy("tid").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "name"))), lambda x: x["name"]).alias("path"))
+    return rows.join(path, "tid", "left")

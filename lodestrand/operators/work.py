@@ -5,16 +5,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet and read back: computed once however often it is used, and not lost with an executor."""
-    spark = df.sparkSession
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path under the shared folder that nothing has been written to."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet and read back: computed once however often it is used, and not lost with an executor."""
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -31,11 +31,18 @@ def query(sql: str):
     return add
 
 
+def _all() -> None:
+    """Load the modules whose queries stand in ``_FOUND`` beside those of this one."""
+    from lodestrand.plans import formats, tables  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _all()
     return {name: f for name, (f, _) in _FOUND.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return {name: sql for name, (_, sql) in _FOUND.items() if sql}
 
 
@@ -79,6 +86,36 @@ def _hits(spark: SparkSession, d: str) -> DataFrame:
 HITS = "hits AS (SELECT l_orderkey AS read, l_suppkey + 100000 AS tid, max(l_quantity) AS score FROM lineitem GROUP BY ALL)"
 
 
+def _bushy(spark: SparkSession, d: str) -> DataFrame:
+    """A taxonomy with gaps: a region without a superkingdom's rank, nations that are no families, genera between nations and suppliers of which some are clades, suppliers that are no species, and a strain under each supplier."""
+    region = _t(spark, d, "region").select((F.col("r_regionkey") + 1_000).cast("long").alias("tid"), F.lit(1).cast("long").alias("parent"), F.when(F.col("r_regionkey") == 4, "clade").otherwise("superkingdom").alias("rank"), F.col("r_name").alias("name"))
+    nation = _t(spark, d, "nation").select((F.col("n_nationkey") + 10_000).cast("long"), (F.col("n_regionkey") + 1_000).cast("long"), F.when(F.col("n_nationkey") % 3 == 0, "order").otherwise("family"), "n_name")
+    genus = _t(spark, d, "nation").withColumn("g", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).select((20_000 + F.col("n_nationkey") * 10 + F.col("g")).cast("long"), (F.col("n_nationkey") + 10_000).cast("long"), F.when(F.col("g") == 1, "clade").otherwise("genus"), F.concat_ws(" ", "n_name", "g"))
+    supplier = _t(spark, d, "supplier")
+    species = supplier.select((F.col("s_suppkey") + 100_000).cast("long"), (20_000 + F.col("s_nationkey") * 10 + F.col("s_suppkey") % 3).cast("long"), F.when(F.col("s_suppkey") % 7 == 0, "no").otherwise("species"), "s_name")
+    strain = supplier.select((F.col("s_suppkey") + 200_000).cast("long"), (F.col("s_suppkey") + 100_000).cast("long"), F.lit("no"), F.concat_ws(" ", "s_name", F.lit("strain")))
+    root = spark.createDataFrame([(1, 1, "no", "root")], "tid long, parent long, rank string, name string")
+    return root.unionAll(region).unionAll(nation).unionAll(genus).unionAll(species).unionAll(strain)
+
+
+BUSHY = TREE.replace(NODES, """nodes AS (
+    SELECT 1::BIGINT AS tid, 1::BIGINT AS parent, 'no' AS rank, 'root' AS name
+    UNION ALL SELECT r_regionkey + 1000, 1, CASE WHEN r_regionkey = 4 THEN 'clade' ELSE 'superkingdom' END, r_name FROM region
+    UNION ALL SELECT n_nationkey + 10000, n_regionkey + 1000, CASE WHEN n_nationkey % 3 = 0 THEN 'order' ELSE 'family' END, n_name FROM nation
+    UNION ALL SELECT 20000 + n_nationkey * 10 + g, n_nationkey + 10000, CASE WHEN g = 1 THEN 'clade' ELSE 'genus' END, n_name || ' ' || g FROM nation, (SELECT unnest([0, 1, 2]) AS g)
+    UNION ALL SELECT s_suppkey + 100000, 20000 + s_nationkey * 10 + s_suppkey % 3, CASE WHEN s_suppkey % 7 = 0 THEN 'no' ELSE 'species' END, s_name FROM supplier
+    UNION ALL SELECT s_suppkey + 200000, s_suppkey + 100000, 'no', s_name || ' strain' FROM supplier)""")
+
+
+def _bushy_hits(spark: SparkSession, d: str) -> DataFrame:
+    """read, tid, score: suppliers hit by orders, every third line its strain."""
+    tid = F.col("l_suppkey") + F.when(F.col("l_linenumber") % 3 == 0, 200_000).otherwise(100_000)
+    return _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("read"), tid.alias("tid")).agg(F.max("l_quantity").alias("score"))
+
+
+BUSHY_HITS = "hits AS (SELECT l_orderkey AS read, l_suppkey + CASE WHEN l_linenumber % 3 = 0 THEN 200000 ELSE 100000 END AS tid, max(l_quantity) AS score FROM lineitem GROUP BY ALL)"
+
+
 def _skewed(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("read"), F.floor(F.log2(F.col("l_suppkey") + 1)).cast("long").alias("tid"), F.col("l_quantity").alias("score"))
     return rows.groupBy("read", "tid").agg(F.max("score").alias("score"))
@@ -197,11 +234,41 @@ def taxonomy_report(spark, d):
     return rows.join(F.broadcast(total), F.lit(True)).withColumn("percent", F.round(F.col("clade") * 100.0 / F.col("n"), 2)).drop("n")  # one row
 
 
-@query(f"""WITH RECURSIVE {TREE}, {HITS}, e AS (SELECT DISTINCT read, rank, ancestor AS tid FROM (SELECT DISTINCT read, tid FROM hits) JOIN tree USING (tid) WHERE rank IN ('species', 'family', 'superkingdom')),
-m AS (SELECT *, count(*) OVER (PARTITION BY read, rank) AS n FROM e)
-SELECT rank, CAST(tid AS BIGINT) AS tid, CAST(sum((n = 1)::INT) AS BIGINT) AS uniq, CAST(sum((n > 1)::INT) AS BIGINT) AS multi FROM m GROUP BY ALL""")
+COUNTED = f"""{BUSHY}, {BUSHY_HITS}, up4 AS (SELECT tid, arg_max(ancestor, distance) FILTER (rank = 'species') AS sp, arg_max(ancestor, distance) FILTER (rank = 'genus') AS g, arg_max(ancestor, distance) FILTER (rank = 'family') AS f, arg_max(ancestor, distance) FILTER (rank = 'superkingdom') AS sk FROM tree GROUP BY tid),
+own AS (SELECT read, sp, coalesce(g, -sp) AS g, f, sk FROM hits JOIN up4 USING (tid) WHERE sp IS NOT NULL),
+line AS (SELECT DISTINCT read, unnest([{{'r': 'species', 't': sp}}, {{'r': 'genus', 't': g}}, {{'r': 'family', 't': coalesce(f, CASE WHEN g > 0 THEN -g - 1000000 ELSE g - 2000000 END)}}, {{'r': 'superkingdom', 't': coalesce(sk, -1)}}]) AS u FROM own),
+n AS (SELECT read, u.r AS rank, u.t AS tid, count(*) OVER (PARTITION BY read, u.r) AS n FROM line),
+ct AS (SELECT rank, CAST(tid AS BIGINT) AS tid, CAST(sum((n = 1)::INT) AS BIGINT) AS uniq, CAST(sum((n > 1)::INT) AS BIGINT) AS multi FROM n WHERE tid > 0 GROUP BY ALL)"""
+
+
+@query(f"WITH RECURSIVE {COUNTED} SELECT * FROM ct")
 def count_table(spark, d):
-    return taxonomy.count_table(_hits(spark, d), _tree(spark, d))
+    return taxonomy.count_table(_bushy_hits(spark, d), taxonomy.closure(_bushy(spark, d)))
+
+
+@query(f"""WITH RECURSIVE {COUNTED}, nm AS (SELECT up4.tid, coalesce(a.name, '-') AS superkingdom, coalesce(b.name, '-') AS family, coalesce(c.name, '-') AS genus, coalesce(e.name, '-') AS species
+FROM up4 LEFT JOIN nodes a ON a.tid = sk LEFT JOIN nodes b ON b.tid = f LEFT JOIN nodes c ON c.tid = g LEFT JOIN nodes e ON e.tid = sp) SELECT rank, superkingdom, family, genus, species, tid, uniq, multi FROM ct JOIN nm USING (tid)""")
+def count_table_with_names(spark, d):
+    tree = taxonomy.closure(_bushy(spark, d))
+    return taxonomy.named_count_table(taxonomy.count_table(_bushy_hits(spark, d), tree), tree)
+
+
+@query(f"""WITH RECURSIVE {BUSHY}, {BUSHY_HITS}, sp AS (SELECT DISTINCT read, ancestor AS tid FROM hits JOIN tree USING (tid) WHERE rank = 'species'),
+ln AS (SELECT tid, string_agg(rank || '|' || name, ',' ORDER BY distance) AS line FROM tree GROUP BY tid) SELECT read, string_agg(line, ';' ORDER BY tid) AS label FROM sp JOIN ln USING (tid) GROUP BY read""")
+def read_labels(spark, d):
+    return taxonomy.labels(_bushy_hits(spark, d), taxonomy.closure(_bushy(spark, d)))
+
+
+@query(f"""WITH RECURSIVE {BUSHY}, k AS (SELECT * FROM nodes WHERE rank IN ('species', 'genus', 'superkingdom') OR tid = parent)
+SELECT tid, coalesce((SELECT arg_min(t.ancestor, t.distance) FROM tree t WHERE t.tid = k.tid AND t.distance > 0 AND t.ancestor IN (SELECT tid FROM k)), tid) AS parent, rank, name FROM k""")
+def simplified_tree(spark, d):
+    nodes = _bushy(spark, d)
+    return taxonomy.simplified(nodes, taxonomy.closure(nodes), ("species", "genus", "superkingdom"))
+
+
+@query(f"WITH RECURSIVE {BUSHY}, {BUSHY_HITS} SELECT read, hits.tid, list_reverse(list(tree.name ORDER BY distance)) AS path FROM hits JOIN tree USING (tid) GROUP BY read, hits.tid")
+def taxon_paths(spark, d):
+    return taxonomy.in_tree_order(_bushy_hits(spark, d).select("read", "tid"), taxonomy.closure(_bushy(spark, d)))
 
 
 @query(f"""WITH RECURSIVE {TREE}, {HITS} SELECT read, tid, score FROM hits WHERE tid NOT IN (SELECT tid FROM tree WHERE name IN ('ASIA', 'EUROPE'))""")
@@ -233,21 +300,23 @@ def reassign_strict(spark, d):
     return taxonomy.reassign(_skewed(spark, d), 2, 0.05, 40)
 
 
-@query(f"""WITH {SKEWED}, r AS (SELECT *, tid = 6 AS dirty, coalesce(max(CASE WHEN tid = 6 THEN score END) OVER (PARTITION BY read), 0) AS best FROM hits),
-g AS (SELECT tid FROM r WHERE NOT dirty GROUP BY tid HAVING avg((score * 0.94 <= best)::INT) > 0.3),
-m AS (SELECT *, tid IN (SELECT tid FROM g) AS gone FROM r), o AS (SELECT *, max((NOT dirty AND NOT gone)::INT) OVER (PARTITION BY read) AS clean FROM m)
-SELECT read, tid, score FROM o WHERE (NOT dirty AND NOT gone) OR (dirty AND clean = 0) OR (gone AND clean = 0 AND best = 0)""")
+@query(f"""WITH {SKEWED}, n AS (SELECT tid, count(*) AS n FROM hits GROUP BY tid), dirty AS (SELECT unnest([4, 6]) AS c),
+o AS (SELECT h.tid, x.tid AS c, count(*) AS k FROM hits h JOIN hits x ON x.read = h.read WHERE x.tid IN (4, 6) AND h.tid NOT IN (4, 6) AND h.score * 0.94 <= x.score GROUP BY ALL),
+ex AS (SELECT o.tid, c FROM o JOIN n ON n.tid = o.tid WHERE k > n * 0.3),
+by_read AS (SELECT DISTINCT h.read, x.tid, x.score FROM hits h JOIN ex ON ex.tid = h.tid JOIN hits x ON x.read = h.read AND x.tid = ex.c WHERE h.score * 0.94 <= x.score),
+rest AS (SELECT *, count(*) OVER (PARTITION BY read) AS size, sum((tid IN (4, 6))::INT) OVER (PARTITION BY read) AS soiled FROM hits WHERE read NOT IN (SELECT read FROM by_read))
+SELECT read, tid, score FROM by_read UNION ALL SELECT read, tid, score FROM rest WHERE NOT (size > soiled AND tid IN (4, 6))""")
 def cleanup(spark, d):
-    return taxonomy.cleanup(_skewed(spark, d), spark.createDataFrame([(6,)], "tid long"), share=0.3)
+    return taxonomy.cleanup(_skewed(spark, d), spark.createDataFrame([(4,), (6,)], "tid long"), share=0.3)
 
 
-@query(f"""WITH RECURSIVE {TREE}, {HITS}, {LCA}, truth AS (SELECT l_orderkey AS read, min(l_suppkey) + 100000 AS t FROM lineitem GROUP BY 1),
-j AS (SELECT lca, t FROM lca JOIN truth USING (read)), rk AS (SELECT unnest(['species', 'family', 'superkingdom']) AS rank),
-x AS (SELECT rk.rank, p.ancestor AS p, q.ancestor AS q FROM j CROSS JOIN rk LEFT JOIN tree p ON p.tid = lca AND p.rank = rk.rank LEFT JOIN tree q ON q.tid = t AND q.rank = rk.rank)
-SELECT rank, CAST(sum((p IS NOT NULL AND p = q)::INT) AS BIGINT) AS correct, CAST(sum((p IS NOT NULL AND p IS DISTINCT FROM q)::INT) AS BIGINT) AS wrong, CAST(sum((p IS NULL)::INT) AS BIGINT) AS unspecific FROM x GROUP BY rank""")
+@query(f"""WITH RECURSIVE {BUSHY}, {BUSHY_HITS}, {LCA}, truth AS (SELECT l_orderkey AS read, min(l_suppkey) + 100000 AS t FROM lineitem GROUP BY 1),
+j AS (SELECT lca, t FROM lca JOIN truth USING (read)), rk AS (SELECT unnest(['species', 'genus', 'family']) AS rank),
+x AS (SELECT rk.rank, p.ancestor AS p, q.ancestor AS q, EXISTS (SELECT 1 FROM tree a WHERE a.tid = t AND a.ancestor = lca) AS above FROM j CROSS JOIN rk LEFT JOIN tree p ON p.tid = lca AND p.rank = rk.rank JOIN tree q ON q.tid = t AND q.rank = rk.rank)
+SELECT rank, CAST(sum((p IS NOT DISTINCT FROM q)::INT) AS BIGINT) AS correct, CAST(sum((p IS DISTINCT FROM q AND NOT above)::INT) AS BIGINT) AS wrong, CAST(sum((p IS DISTINCT FROM q AND above)::INT) AS BIGINT) AS unspecific FROM x GROUP BY rank""")
 def accuracy(spark, d):
     truth = _t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("read")).agg((F.min("l_suppkey") + 100_000).alias("tid"))
-    return taxonomy.accuracy(truth, _hits(spark, d), _tree(spark, d), ("species", "family", "superkingdom"))
+    return taxonomy.accuracy(truth, _bushy_hits(spark, d), taxonomy.closure(_bushy(spark, d)))
 
 
 # -------------------------------------------------------------------- reads
@@ -291,11 +360,25 @@ def best_on_targets(spark, d):
     return reads.best_on_targets(_hits(spark, d).withColumnRenamed("tid", "ref"), targets)
 
 
-@query(f"""WITH {ALN}, g AS (SELECT rname FROM aln WHERE flag & 1796 = 0 GROUP BY rname HAVING avg(mapq) >= 25)
-SELECT DISTINCT qname AS read FROM aln WHERE rname IN (SELECT rname FROM g) OR (SELECT count(*) FROM g) = 0 OR flag & 4 <> 0""")
+@query(f"""WITH {ALN}, region AS (SELECT s_suppkey AS c FROM supplier WHERE s_acctbal > 0 AND s_nationkey % 5 <> 0), g AS (SELECT c FROM region JOIN aln ON rname = c WHERE flag & 1796 = 0 GROUP BY c HAVING avg(mapq) >= 25)
+SELECT DISTINCT qname AS read FROM aln WHERE rname IN (SELECT c FROM g) OR (SELECT count(*) FROM region) = 0 OR flag & 4 <> 0""")
 def filter_contigs(spark, d):
     rows = _alignments(spark, d).select(F.col("qname").alias("read"), F.col("rname").alias("ref"), "flag", "mapq")
-    return reads.filter_contigs(rows, 25)
+    target = _t(spark, d, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("ref"), F.when(F.col("s_nationkey") % 5 == 0, 4).otherwise(0).alias("flag"))
+    return reads.filter_contigs(rows, target, 25)
+
+
+@query(f"""WITH {ALN} SELECT qname, line FROM aln WHERE mapq >= 20 AND q + x + 2 > 0 AND mapq >= 0.9 * (q + x + 2)""")
+def read_targets(spark, d):
+    x = F.round(F.col("l_discount") * 100).cast("int")
+    rows = _t(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("qname"), F.col("l_linenumber").alias("line"), F.col("l_quantity").cast("int").alias("score"), (F.col("l_quantity").cast("int") + x + 2).alias("size"))
+    return reads.read_targets(rows, 20, 0.9).select("qname", "line")
+
+
+@query("""SELECT l_orderkey || '/' || (1 + l_linenumber % 2) AS name, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""")
+def only_reads(spark, d):
+    rows = _t(spark, d, "lineitem").select(F.concat("l_orderkey", F.lit("/"), 1 + F.col("l_linenumber") % 2).alias("name"), "l_partkey")
+    return reads.only_reads(rows, _t(spark, d, "orders").where("o_orderstatus = 'F'").select(F.concat("o_orderkey", F.lit("/2")).alias("id")))
 
 
 @query("""SELECT l_orderkey AS read, list(l_suppkey % 7 ORDER BY l_suppkey, l_suppkey % 7) AS taxa FROM lineitem WHERE l_quantity > 20 GROUP BY 1""")
@@ -310,11 +393,12 @@ def one_of_each(spark, d):
     return reads.one_of_each(_t(spark, d, "customer"), "c_nationkey", "c_custkey").select("c_nationkey", "c_custkey")
 
 
-@query("""WITH p AS (SELECT conv_id, turn, (turn - min(turn) OVER (PARTITION BY conv_id)) AS k, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations)
-SELECT conv_id, turn, CAST(CASE WHEN n % 2 = 1 AND k = n - 1 THEN 0 WHEN k % 2 = 0 THEN 64 ELSE 128 END AS INT) AS mate FROM p""")
+@query("""WITH f AS (SELECT l_orderkey, l_linenumber, l_orderkey * 10 + l_linenumber AS place FROM lineitem), p AS (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY place) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM f)
+SELECT l_orderkey, l_linenumber, CAST(CASE WHEN n % 2 = 1 AND k = n THEN 0 WHEN k % 2 = 1 THEN 64 ELSE 128 END AS INT) AS mate FROM p""")
 def pair_up(spark, d):
-    rows = _t(spark, d, "conversations").select("conv_id", "turn", F.concat(F.lit("conv"), "conv_id").alias("name"), F.lit("f").alias("file"), (F.col("conv_id") * 100_000 + F.col("turn")).alias("at"))
-    return reads.pair_up(rows, "at", "conv_id").select("conv_id", "turn", "mate")
+    """All line items as one file, in blocks of 700 numbers."""
+    rows = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.concat("l_orderkey", F.lit("/"), 1 + F.col("l_linenumber") % 2).alias("name"), F.lit("f").alias("file"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("at"))
+    return reads.pair_up(rows, "at", "file", 700).select("l_orderkey", "l_linenumber", "mate")
 
 
 # ---------------------------------------------------------------- intervals
@@ -366,18 +450,19 @@ def point_clusters(spark, d):
     return intervals.clusters(_intervals(spark, d).select("chrom", F.col("start").alias("pos")), 5, 2)
 
 
-@query(f"""WITH q AS (SELECT DISTINCT l_suppkey AS chrom, l_partkey AS "start", l_partkey + CAST(l_quantity AS BIGINT) AS "end" FROM lineitem WHERE l_quantity > 25), w AS (SELECT s_suppkey AS chrom, unnest(generate_series(0, 20000, 40)) AS ws FROM supplier),
+@query(f"""WITH q AS (SELECT DISTINCT l_suppkey AS chrom, l_partkey AS "start", l_partkey + CAST(l_quantity AS BIGINT) AS "end" FROM lineitem), e AS (SELECT chrom, max("end") AS e FROM q GROUP BY chrom), w AS (SELECT chrom, unnest(generate_series(0, e, 40)) AS ws FROM e),
 p AS (SELECT q.*, ws, least("end", ws + 50) - greatest("start", ws) AS overlap FROM q JOIN w ON q.chrom = w.chrom AND "start" < ws + 50 AND ws < "end")
 SELECT chrom, "start", "end", ws AS window_start, overlap FROM (SELECT *, row_number() OVER (PARTITION BY chrom, "start", "end" ORDER BY overlap DESC, ws) AS n FROM p) WHERE n = 1""")
 def best_window(spark, d):
-    rows = _t(spark, d, "lineitem").where("l_quantity > 25").select(F.col("l_suppkey").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + F.col("l_quantity").cast("long")).alias("end")).distinct().withColumn("key", F.struct("chrom", "start", "end"))
-    w = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("chrom"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(20_000).cast("long"), F.lit(40).cast("long"))).alias("start")).withColumn("end", F.col("start") + 50)
+    rows = _intervals(spark, d).select("chrom", "start", "end").distinct().withColumn("key", F.struct("chrom", "start", "end"))
+    w = rows.groupBy("chrom").agg(F.max("end").alias("e")).select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), "e", F.lit(40).cast("long"))).alias("start")).withColumn("end", F.col("start") + 50)
     return intervals.best_window(rows, w, "key").select("key.*", "window_start", "overlap")
 
 
-@query("""SELECT l_suppkey AS ref, 2050 AS length, count(*) AS reads, round(count(*) * 1e9 / (2050 * (SELECT count(*) FROM lineitem)), 6) AS rpkm FROM lineitem GROUP BY 1""")
+@query("""SELECT l_suppkey AS ref, (SELECT count(*) + 50 FROM part) AS length, count(*) AS reads, round(count(*) * 1e9 / ((SELECT count(*) + 50 FROM part) * (SELECT count(*) FROM lineitem)), 6) AS rpkm FROM lineitem GROUP BY 1""")
 def rpkm(spark, d):
-    return intervals.rpkm(_t(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("ref")).agg(F.lit(2050).alias("length"), F.count("*").alias("reads")))
+    counts = _t(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("ref")).agg(F.count("*").alias("reads"))
+    return intervals.rpkm(counts.join(_genome(spark, d).withColumnRenamed("chrom", "ref"), "ref").select("ref", "length", "reads"))
 
 
 # ---------------------------------------------------------------- sequences
@@ -483,7 +568,7 @@ def gc_histogram(spark, d):
     return stats.gc_histogram(_seqs(spark, d), 50)
 
 
-@query(f"WITH {SEQS}, e AS (SELECT seq, unnest(generate_series(1, least(length(seq), 100))) AS i FROM seqs) SELECT CAST(i - 1 AS BIGINT) AS pos, substr(seq, i, 1) AS base, count(*) AS n FROM e GROUP BY ALL")
+@query(f"WITH {SEQS}, e AS (SELECT seq, unnest(generate_series(1, length(seq))) AS i FROM seqs) SELECT CAST((i - 1) // 100 * 100 AS BIGINT) AS pos, substr(seq, i, 1) AS base, count(*) AS n FROM e GROUP BY ALL")
 def base_composition(spark, d):
     return stats.base_composition(_seqs(spark, d), 100)
 
@@ -541,11 +626,19 @@ def cigar_scores(spark, d):
     return _alignments(spark, d).select("qname", "line", S.cigar_length(c, "M=XDN").alias("ref_len"), S.cigar_length(c, "M=XIS").alias("query_len"), S.cigar_score(c, F.lit(40)).alias("score"))
 
 
-@query(f"""WITH {ALN}, s AS (SELECT qname, line, flag, rname, pos, CASE WHEN flag & 16 <> 0 THEN pos + 3 * q + x + 1 ELSE pos END AS five FROM aln WHERE line <= 2)
+def _paired(spark: SparkSession, d: str) -> DataFrame:
+    """Alignments of which every two lines of an order are a pair; the last of an odd number has no mate."""
+    name = F.concat_ws("-", "qname", F.floor((F.col("line") - 1) / 2).cast("string"))
+    return _alignments(spark, d).withColumn("qname", name).drop("rnext").withColumn("rname", F.col("rname").cast("string"))
+
+
+PAIRED = f"""{ALN}, s AS (SELECT qname || '-' || (line - 1) // 2 AS qname, line, flag, rname, pos, CASE WHEN flag & 16 <> 0 THEN pos + 3 * q + x + 1 ELSE pos END AS five FROM aln)"""
+
+
+@query(f"""WITH {PAIRED}
 SELECT a.qname, a.line, coalesce(b.pos, 0) AS pnext, CASE WHEN a.rname = b.rname THEN b.five - a.five ELSE 0 END AS tlen FROM s a LEFT JOIN s b ON a.qname = b.qname AND a.flag & 192 <> b.flag & 192""")
 def fix_mates(spark, d):
-    rows = _alignments(spark, d).where("line <= 2").drop("rnext").withColumn("rname", F.col("rname").cast("string"))
-    return sam.fix_mates(rows).select("qname", "line", "pnext", "tlen")
+    return sam.fix_mates(_paired(spark, d)).select("qname", "line", "pnext", "tlen")
 
 
 @query(f"""WITH {ALN} SELECT rname AS chrom, pos - 1 AS "start", pos - 1 + 3 * q + x + 2 AS "end", qname || CASE WHEN flag & 64 <> 0 THEN '/1' ELSE '/2' END AS name, mapq AS score, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand FROM aln WHERE flag & 4 = 0""")
@@ -610,17 +703,17 @@ def kmer_positions(spark, d):
     return rearrange.hit_positions(_seqs(spark, d), _refs(spark, d), K)
 
 
-@query(f"""WITH {ALN}, s AS (SELECT qname, flag, rname, CASE WHEN flag & 16 <> 0 THEN pos + 3 * q + x + 1 ELSE pos END AS five FROM aln WHERE line <= 2),
+@query(f"""WITH {PAIRED},
 t AS (SELECT CASE WHEN a.rname = b.rname THEN b.five - a.five ELSE 0 END AS tlen FROM s a JOIN s b ON a.qname = b.qname AND a.flag & 192 <> b.flag & 192) SELECT tlen AS size, count(*) AS pairs FROM t WHERE tlen > 0 GROUP BY tlen""")
 def insert_sizes(spark, d):
-    return rearrange.insert_sizes(sam.fix_mates(_alignments(spark, d).where("line <= 2").drop("rnext").withColumn("rname", F.col("rname").cast("string"))))
+    return rearrange.insert_sizes(sam.fix_mates(_paired(spark, d)))
 
 
 @query(f"""WITH {SEQS}, f AS (SELECT name, frame, CASE WHEN frame > 2 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS s FROM seqs, (SELECT unnest(generate_series(0, 5)) AS frame))
 SELECT name, CAST(frame AS INT) AS frame, md5(array_to_string(list_transform(generate_series(frame % 3 + 1, length(s) - 2, 3), lambda i:
-    substr('{S.AMINO_ACIDS}', CAST(16 * strpos('ACGT', substr(s, i, 1)) + 4 * strpos('ACGT', substr(s, i + 1, 1)) + strpos('ACGT', substr(s, i + 2, 1)) - 20 AS BIGINT), 1)), '')) AS protein FROM f WHERE s IS NOT NULL""")
+    substr('{S.AMINO_ACIDS}', CAST(16 * strpos('ACGT', substr(s, i, 1)) + 4 * strpos('ACGT', substr(s, i + 1, 1)) + strpos('ACGT', substr(s, i + 2, 1)) - 20 AS BIGINT), 1)), '')) AS protein FROM f""")
 def six_frames(spark, d):
-    return rearrange.six_frames(_seqs(spark, d).where("seq is not null")).select("name", "frame", F.md5("protein").alias("protein"))
+    return rearrange.six_frames(_seqs(spark, d)).select("name", "frame", F.md5("protein").alias("protein"))
 
 
 @query(f"WITH {SEQS} SELECT name, CAST(floor(coalesce(sum(length(seq)) OVER (ORDER BY name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 5000) AS BIGINT) AS chunk FROM seqs")
@@ -635,11 +728,10 @@ HITS15 = f"""{SEQS}, {REFS}, {_kmer_sql('km', 'seqs', 15)}, {_kmer_sql('rk', 're
 
 
 @query(f"""WITH {HITS15}, c AS (SELECT name, i - 1 AS i, substr(seq, i, 1) AS base FROM (SELECT name, seq, unnest(generate_series(1, length(seq))) AS i FROM seqs WHERE name IN (SELECT name FROM hit))),
-m AS (SELECT DISTINCT name, pos + unnest(generate_series(0, 14)) AS i FROM hit)
-SELECT name, md5(string_agg(CASE WHEN m.i IS NULL THEN base ELSE 'N' END, '' ORDER BY c.i)) AS seq FROM c LEFT JOIN m USING (name, i) GROUP BY name""")
+m AS (SELECT DISTINCT name, pos + unnest(generate_series(0, 14)) AS i FROM hit), n AS (SELECT name, string_agg(CASE WHEN m.i IS NULL THEN base ELSE 'N' END, '' ORDER BY c.i) AS masked FROM c LEFT JOIN m USING (name, i) GROUP BY name)
+SELECT seqs.name, md5(coalesce(masked, seq)) AS seq FROM seqs LEFT JOIN n ON n.name = seqs.name""")
 def kmer_mask(spark, d):
-    masked = kmers.mask(_seqs(spark, d).select("name", "seq"), _refs(spark, d), 15)
-    return masked.where("seq like '%N%'").select("name", F.md5("seq").alias("seq"))
+    return kmers.mask(_seqs(spark, d).select("name", "seq"), _refs(spark, d), 15).select("name", F.md5("seq").alias("seq"))
 
 
 @query(f"WITH {HITS15}, f AS (SELECT name, min(pos) AS a FROM hit GROUP BY name) SELECT name, md5(substr(seq, 1, coalesce(a, length(seq)))) AS seq FROM seqs LEFT JOIN f USING (name)")
@@ -683,10 +775,12 @@ def mask_lower_case(spark, d):
     return _t(spark, d, "part").select("p_partkey", S.mask_runs(F.col("p_name"), 4).alias("masked"))
 
 
-@query("""WITH m AS (SELECT l_orderkey AS k, l_linenumber AS n, l_partkey AS p FROM lineitem) SELECT coalesce(a.k, b.k)::VARCHAR AS name, a.p::VARCHAR AS seq1, b.p::VARCHAR AS seq2 FROM (SELECT * FROM m WHERE n = 2) a FULL JOIN (SELECT * FROM m WHERE n = 4 OR n = 1 AND k % 3 = 0) b ON a.k = b.k""")
+@query("""WITH m AS (SELECT l_orderkey || '-' || (l_linenumber - 1) // 2 AS k, l_linenumber % 2 AS odd, l_partkey AS p FROM lineitem)
+SELECT coalesce(a.k, b.k) AS name, a.p::VARCHAR AS seq1, b.p::VARCHAR AS seq2 FROM (SELECT * FROM m WHERE odd = 1) a FULL JOIN (SELECT * FROM m WHERE odd = 0) b ON a.k = b.k""")
 def repair_mates(spark, d):
-    rows = _t(spark, d, "lineitem").select(F.concat("l_orderkey", F.lit("/"), 1 + F.col("l_linenumber") % 2).alias("name"), F.col("l_partkey").cast("string").alias("seq"), "l_linenumber", "l_orderkey")
-    return reads.repair(rows.where("l_linenumber = 2"), rows.where("l_linenumber = 4 or l_linenumber = 1 and l_orderkey % 3 = 0"))
+    name = F.concat_ws("-", "l_orderkey", F.floor((F.col("l_linenumber") - 1) / 2).cast("string"))
+    rows = _t(spark, d, "lineitem").select(F.concat(name, F.lit("/"), 2 - F.col("l_linenumber") % 2).alias("name"), F.col("l_partkey").cast("string").alias("seq"), "l_linenumber")
+    return reads.repair(rows.where("l_linenumber % 2 = 1"), rows.where("l_linenumber % 2 = 0"))
 
 
 @query(f"""WITH {ALN}, s AS (SELECT *, translate(md5(qname || '-' || line), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq, md5(qname || '-' || line) AS qual FROM aln)

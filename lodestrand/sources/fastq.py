@@ -1,8 +1,10 @@
 """FASTQ as a Spark data source: ``spark.read.format("fastq").load(path)``.
 
 Records may run over several lines; a file (gz too) is one partition, read as
-a stream.  Columns: file, number (from 0 in the file), name, comment, seq and
-qual (null for FASTA records).  A quality of another length than its sequence
+a stream.  Plain files whose records have four lines can be read in ranges:
+the option ``splitBytes`` says how many bytes a partition takes.  Columns:
+file, number (from 0 in the file; in ranges, a growing number), name, comment,
+seq and qual (null for FASTA records).  A quality of another length than its sequence
 is an error.
 """
 
@@ -11,7 +13,9 @@ from __future__ import annotations
 import gzip
 import io
 from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -43,29 +47,70 @@ def parse(lines: Iterator[str]) -> Iterator[tuple[str, str, str, str | None]]:
 
 
 class FilePart(InputPartition):
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, path: str, start: int = 0, end: int | None = None) -> None:
+        self.path, self.start, self.end = path, start, end
+
+
+def _first_record(raw, start: int, size: int) -> int:
+    """Where the first four-line record at or behind start begins (size, where none does)."""
+    raw.seek(max(0, start - 1))
+    if start and raw.read(1) != b"\n":
+        raw.readline()
+    ahead: list[tuple[int, bytes]] = []
+    while True:
+        while len(ahead) < 4:
+            at, line = raw.tell(), raw.readline()
+            if not line:
+                return size
+            ahead.append((at, line.rstrip(b"\r\n")))
+        (at, head), (_, seq), (_, plus), (_, qual) = ahead[:4]
+        # a quality line may begin with @ as well, but is not followed by a sequence, + and as long a quality
+        if head[:1] == b"@" and plus[:1] == b"+" and len(seq) == len(qual):
+            return at
+        ahead.pop(0)
 
 
 class FastqReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.where = options["path"]
+        self.where, self.bytes = options["path"], int(options.get("splitbytes", options.get("splitBytes", 0)))
+
+    def _fs(self) -> tuple[pafs.FileSystem, str]:
+        return pafs.FileSystem.from_uri(self.where) if "://" in self.where else (pafs.LocalFileSystem(), self.where)
 
     def partitions(self) -> list[FilePart]:
-        fs, path = pafs.FileSystem.from_uri(self.where) if "://" in self.where else (pafs.LocalFileSystem(), self.where)
+        fs, path = self._fs()
         info = fs.get_file_info(path)
         if info.type == pafs.FileType.Directory:
-            found = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(path)) if f.type == pafs.FileType.File and not f.base_name.startswith(("_", ".")))
+            found = sorted((f for f in fs.get_file_info(pafs.FileSelector(path)) if f.type == pafs.FileType.File and not f.base_name.startswith(("_", "."))), key=lambda f: f.path)
         else:
-            found = [path]
-        return [FilePart(p) for p in found]
-
-    def read(self, part: FilePart) -> Iterator[tuple]:
-        fs = pafs.FileSystem.from_uri(self.where)[0] if "://" in self.where else pafs.LocalFileSystem()
+            found = [info]
+        parts = []
+        for f in found:
+            step = self.bytes if self.bytes and not f.path.endswith(".gz") else 0
+            parts += [FilePart(f.path, at, at + step) for at in range(0, f.size, step)] if step else [FilePart(f.path)]
+        return parts
+
+    def _records(self, part: FilePart) -> Iterator[tuple[int, tuple]]:
+        fs = self._fs()[0]
+        if part.end is not None:
+            with fs.open_input_file(part.path) as file:
+                size, raw = file.size(), io.BufferedReader(file)
+                at, end = _first_record(raw, part.start, size), _first_record(raw, part.end, size) if part.end < size else size
+                raw.seek(at)
+                # numbers grow with the place in the file
+                for n, record in enumerate(parse(iter(raw.read(max(0, end - at)).decode("utf-8").splitlines(keepends=True)))):
+                    yield part.start + n, record
+            return
         with fs.open_input_stream(part.path, compression=None) as raw:
-            stream = gzip.open(raw) if part.path.endswith(".gz") else raw
-            for n, (name, comment, seq, qual) in enumerate(parse(iter(io.TextIOWrapper(io.BufferedReader(stream) if stream is raw else stream, "utf-8")))):
-                yield part.path, n, name, comment, seq, qual
+            stream = gzip.open(raw) if part.path.endswith(".gz") else io.BufferedReader(raw)
+            yield from enumerate(parse(iter(io.TextIOWrapper(stream, "utf-8"))))
+
+    def read(self, part: FilePart) -> Iterator[pa.RecordBatch]:
+        records = self._records(part)
+        while rows := list(islice(records, 8_192)):
+            names, comments, seqs, quals = zip(*(r for _, r in rows))
+            columns = [[part.path] * len(rows), [n for n, _ in rows], names, comments, seqs, quals]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), *[pa.string()] * 4))], names=["file", "number", "name", "comment", "seq", "qual"])
 
 
 class FastqSource(DataSource):

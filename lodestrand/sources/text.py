@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestrand.functions import seq as S
+from lodestrand.operators.tools import numbered
 
 
 def _columns(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -18,9 +19,10 @@ def _at(i: int, kind: str = "string") -> Column:
 
 
 def accession2taxid(spark: SparkSession, path: str) -> DataFrame:
-    """acc (no version) and tid; of repeated accessions, the last version in order."""
-    rows = _columns(spark, path).select(S.remove_version(_at(1)).alias("acc"), _at(1).alias("v"), _at(2, "long").alias("tid"))
-    return rows.where("tid is not null").groupBy("acc").agg(F.max_by("tid", "v").alias("tid"))
+    """acc (no version) and tid; of repeated accessions, the last line (files in order of their paths)."""
+    lines = spark.read.text(path).select("value", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
+    rows = lines.withColumn("c", F.split(F.trim("value"), r"\s+")).select(S.remove_version(_at(1)).alias("acc"), _at(2, "long").alias("tid"), "at")
+    return rows.where("acc is not null and tid is not null").groupBy("acc").agg(F.max_by("tid", "at").alias("tid"))
 
 
 def nodes(spark: SparkSession, path: str) -> DataFrame:
@@ -37,7 +39,7 @@ def names(spark: SparkSession, path: str) -> DataFrame:
 def lsam(spark: SparkSession, path: str) -> DataFrame:
     """name, flag, score, seq, qual, hits (array of score and ref) and tags."""
     rows = _columns(spark, path).where(F.size("c") >= 6)
-    return rows.select(_at(0).alias("name"), _at(1, "int").alias("flag"), _at(2, "double").alias("score"), _at(3).alias("seq"), _at(4).alias("qual"), S.hits(_at(5)).alias("hits"), F.slice("c", 7, 1_000).alias("tags"))
+    return rows.select(_at(0).alias("name"), _at(1, "int").alias("flag"), _at(2, "double").alias("score"), _at(3).alias("seq"), _at(4).alias("qual"), S.hits(_at(5)).alias("hits"), F.slice("c", F.lit(7), F.size("c")).alias("tags"))
 
 
 def m8(spark: SparkSession, path: str) -> DataFrame:
@@ -60,7 +62,7 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     """Alignment rows of SAM text with their tags as map<string, string>."""
     rows = _columns(spark, path).where(~F.col("line").startswith("@"))
     named = ("qname", "string"), ("flag", "int"), ("rname", "string"), ("pos", "long"), ("mapq", "int"), ("cigar", "string"), ("rnext", "string"), ("pnext", "long"), ("tlen", "long"), ("seq", "string"), ("qual", "string")
-    tags = F.map_from_entries(F.transform(F.slice("c", 12, 1_000), lambda t: F.struct(F.substr(t, F.lit(1), F.lit(2)), F.substr(t, F.lit(6)))))
+    tags = F.map_from_entries(F.transform(F.slice("c", F.lit(12), F.size("c")), lambda t: F.struct(F.substr(t, F.lit(1), F.lit(2)), F.substr(t, F.lit(6)))))
     return rows.select(*[_at(i, k).alias(n) for i, (n, k) in enumerate(named)], tags.alias("tags"))
 
 
@@ -107,3 +109,58 @@ def write_fastx(rows: DataFrame, path: str, by: str | None = None) -> None:
     fa = F.concat_ws("\n", F.concat(F.lit(">"), "name"), "seq")
     out = rows.select(F.coalesce(fq, fa).alias("value"), *([by] if by else []))
     (out.write.partitionBy(by) if by else out.write).text(path)
+
+
+def genome(spark: SparkSession, path: str) -> DataFrame:
+    """chrom and length."""
+    return _columns(spark, path, r"\s+").select(_at(0).alias("chrom"), _at(1, "long").alias("length"))
+
+
+def genomecov(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, start, end (half-open) and depth."""
+    return _columns(spark, path, r"\s+").select(_at(0).alias("chrom"), _at(1, "long").alias("start"), _at(2, "long").alias("end"), _at(3, "long").alias("depth"))
+
+
+def aligned_taxa(spark: SparkSession, path: str, tid: int = 4, aligned: int = 8) -> DataFrame:
+    """line (a growing number), tid and aligned of comma-separated rows under a header line, by the places of their columns from 0."""
+    lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id()).where("value <> ''").withColumn("c", F.split("value", ","))
+    return lines.select("line", _at(tid, "long").alias("tid"), _at(aligned, "long").alias("aligned")).where("tid is not null and aligned is not null")
+
+
+def write_table(rows: DataFrame, path: str, header: list[str] | None = None) -> None:
+    """Columns as text joined by tabs, nulls as ``.``; header lines stand first in every file."""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(".")) for c in rows.columns]).alias("value")
+    out = rows.select(line)
+    if header:
+        # a file's header goes before its first row
+        first = F.row_number().over(Window.partitionBy(F.spark_partition_id()).orderBy(F.monotonically_increasing_id())) == 1
+        out = out.select(F.when(first, F.concat(F.lit("\n".join(header) + "\n"), "value")).otherwise(F.col("value")).alias("value"))
+    out.write.text(path)
+
+
+def write_sam(rows: DataFrame, path: str, header: list[str] | None = None) -> None:
+    """Alignment rows (qname, flag, rname, pos, mapq, cigar, rnext, pnext, tlen, seq, qual, tags: map of two letters to text) as SAM lines."""
+    names = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual"]
+    tags = F.array_join(F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(e.key, F.lit(":Z:"), e.value)), "\t")
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("*")) for c in names], F.when(F.size("tags") > 0, tags))
+    write_table(rows.select(line.alias("value")), path, header)
+
+
+def write_vcf(rows: DataFrame, path: str, header: list[str] | None = None) -> None:
+    """Variant rows (chrom, pos, id, ref, alt, qual, filter, info, format, sample) as VCF lines under the header."""
+    names = ["chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "format", "sample"]
+    write_table(rows.select(*names), path, header or ["##fileformat=VCFv4.2", "#" + "\t".join([*[n.upper() for n in names[:9]], "sample"])])
+
+
+def phylip(spark: SparkSession, path: str) -> DataFrame:
+    """name and seq of one interleaved PHYLIP file: a line ``rows columns``, then blocks of a line a sequence, of which the first block's lines begin with the name."""
+    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id()).where(F.trim("value") != "")
+    counted = numbered(lines, "at")
+    rows = F.split(F.trim("value"), r"\s+")[0].cast("long")
+    head = counted.where("number = 0").select(rows.alias("_rows"))
+    body = counted.where("number > 0").join(F.broadcast(head), F.lit(True)).withColumn("row", F.pmod(F.col("number") - 1, "_rows"))  # one row
+    named = F.col("number") <= F.col("_rows")
+    name = F.when(named, F.regexp_extract("value", r"^\s*(\S+)", 1))
+    seq = F.regexp_replace(F.when(named, F.regexp_extract("value", r"^\s*\S+\s+(.*)$", 1)).otherwise(F.col("value")), r"\s", "")
+    held = body.select("row", "number", name.alias("name"), seq.alias("seq")).groupBy("row")
+    return held.agg(F.max("name").alias("name"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "seq"))), lambda x: x.seq), "").alias("seq")).select("name", "seq")
