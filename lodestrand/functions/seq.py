@@ -208,3 +208,24 @@ def phred(qual: Column, offset: int = 33) -> Column:
 def plain_bases(seq: Column) -> Column:
     """Ambiguity codes as the first base that they stand for, in upper case; what is no base as N."""
     return F.regexp_replace(F.translate(F.upper(seq), "RYSWKMBDHVU", "ACCAGACAAAT"), "[^ACGTN]", "N")
+
+
+def simulated_origin(name: Column, comment: Column) -> Column:
+    """Accession (no version) that a simulated read comes from: of its comment, or else of its name up to the first -, | or /."""
+    own = accession(F.regexp_extract(name, r"^([^-|/]*)", 1))
+    return F.when(F.coalesce(comment, F.lit("")) != "", accession(comment)).otherwise(own)
+
+
+def species_field(line: Column) -> Column:
+    """What stands behind ``species--`` in the first tab-separated field that begins so; null where none does."""
+    found = F.filter(F.split(line, "\t"), lambda x: x.startswith("species--"))
+    return F.substr(F.get(found, F.lit(0)), F.lit(10))
+
+
+def allele_json(alleles: Column) -> Column:
+    return F.to_json(alleles)
+
+
+def alleles_of(text: Column) -> Column:
+    """map<string, int> of JSON text."""
+    return F.from_json(text, "map<string,int>")

@@ -128,3 +128,40 @@ def roc(rows: DataFrame) -> DataFrame:
     each = rows.groupBy("mapq").agg(F.sum(F.col("correct").cast("long")).alias("r"), F.sum((~F.col("correct")).cast("long")).alias("w"))
     down = Window.orderBy(F.desc("mapq")).rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a row for each quality
     return each.select("mapq", F.sum("r").over(down).alias("right"), F.sum("w").over(down).alias("wrong"))
+
+
+def fetch(rows: DataFrame, chrom, start: int, end: int) -> DataFrame:
+    """Mapped rows that overlap [start, end) of a contig, places from 0."""
+    last = F.col("pos") - 1 + S.cigar_length(F.col("cigar"), "M=XDN")
+    return rows.where(~flag(4) & (F.col("rname") == F.lit(chrom)) & (F.col("pos") - 1 < end) & (last > start))
+
+
+def sorted_by_place(rows: DataFrame) -> DataFrame:
+    """rows in order of contig, place and name, to be written so: each partition a range of it."""
+    return rows.repartitionByRange("rname", "pos", "qname").sortWithinPartitions("rname", "pos", "qname")
+
+
+def renamed_contigs(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """rows with the contigs of names(old, new) renamed; others stay."""
+    to = names.select(F.col("old").alias("_o"), F.col("new").alias("_n"))
+    return rows.join(to, rows.rname == F.col("_o"), "left").withColumn("rname", F.coalesce("_n", F.col("rname").cast("string"))).drop("_o", "_n")
+
+
+def bases(rows: DataFrame) -> DataFrame:
+    """rname, pos (from 1) and base of every aligned place of rows(rname, pos, cigar, seq): the read's letter, or - where it is deleted."""
+    start = F.struct(F.col("pos").cast("int").alias("at"), F.lit(1).alias("read"), F.array().cast("array<struct<at:int,read:int,n:int>>").alias("on"))
+
+    def step(s: Column, x: Column) -> Column:
+        aligned, gone = x.op.isin("M", "=", "X"), x.op == "D"
+        part = F.struct(s.at.alias("at"), F.when(aligned, s.read).otherwise(0).alias("read"), x.n.alias("n"))
+        return F.struct(F.when(aligned | x.op.isin("D", "N"), s.at + x.n).otherwise(s.at).alias("at"), F.when(aligned | x.op.isin("I", "S"), s.read + x.n).otherwise(s.read).alias("read"), F.when(aligned | gone, F.concat(s.on, F.array(part))).otherwise(s.on).alias("on"))
+
+    parts = rows.select("rname", "seq", F.inline(F.aggregate(S.cigar_ops(F.col("cigar")), start, step, lambda s: s.on)))
+    each = parts.select("rname", "seq", "at", "read", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    return each.select("rname", (F.col("at") + F.col("i")).alias("pos"), F.when(F.col("read") > 0, F.substr("seq", F.col("read") + F.col("i"), F.lit(1))).otherwise("-").alias("base"))
+
+
+def pileup(rows: DataFrame, mapq: int = 0) -> DataFrame:
+    """rname, pos, depth and alleles (base and count, in order of base) of rows that pass the usual flags and quality; counted before they are gathered."""
+    n = bases(view(rows, exclude=0x704, mapq=mapq)).groupBy("rname", "pos", "base").agg(F.count("*").alias("n"))
+    return n.groupBy("rname", "pos").agg(F.sum("n").alias("depth"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("base", "n"))), lambda x: F.concat(x.base, x.n.cast("string"))), "").alias("alleles"))
