@@ -35,14 +35,14 @@ _SIGNED = re.compile(r"[^\x20\x09-\x0D]*(?:!!|[#*$%&<>~^=_]{2})(?![^\x20\x09-\x0
 _SEPARATORS = re.compile(r"(?<![^\x20\x09-\x0D])(?:[|>»·•/\\:]|::|>>|->|=>)(?![^\x20\x09-\x0D])")
 _LETTER = re.compile(r"[^\W_]")
 # Phrases of lines that are no text of their own, in English, French, German and Spanish.
-_BOILERPLATE = re.compile(
+PHRASES = (
     "all rights reserved|cookie policy|we use cookies|privacy policy|terms of (?:use|service)|terms and conditions|enable javascript|"
     "lorem ipsum|subscribe to our|sign up for our|click here|powered by|skip to content|back to top|share this|follow us on|read more|"
     "tous droits réservés|nous utilisons des cookies|politique de confidentialité|mentions légales|conditions d'utilisation|abonnez-vous à|cliquez ici|retour en haut|lire la suite|"
     "alle rechte vorbehalten|wir verwenden cookies|datenschutzerklärung|allgemeine geschäftsbedingungen|nutzungsbedingungen|newsletter abonnieren|hier klicken|nach oben|weiterlesen|"
-    "todos los derechos reservados|utilizamos cookies|política de privacidad|aviso legal|términos y condiciones|suscríbete a|haz clic aquí|volver arriba|leer más",
-    re.I,
+    "todos los derechos reservados|utilizamos cookies|política de privacidad|aviso legal|términos y condiciones|suscríbete a|haz clic aquí|volver arriba|leer más"
 )
+_BOILERPLATE = re.compile(PHRASES, re.I)
 
 
 def line_fails(line: str) -> bool:
@@ -120,7 +120,7 @@ def clean(docs: DataFrame, loss_percent: int = LOSS_PERCENT) -> DataFrame:
     has_chars = "n_chars" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(i, 512) for whole in batches for i in range(0, len(whole), 512)):
             rows = [measure(t) for t in b.column("text").to_pylist()]
             keep = pa.array([not r[5] and 100 * r[6] <= loss_percent * r[4] for r in rows], pa.bool_())
             b = b.set_column(b.schema.get_field_index("text"), "text", pa.array([r[8] if r[7] else t for r, t in zip(rows, b.column("text").to_pylist())], pa.string()))

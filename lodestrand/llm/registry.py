@@ -71,7 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL}
+    return {"op2_exact_top_k": OP2_SQL, "op9_quality_rules": OP9_SQL, "op10_stratified_sharding": OP10_SQL}
 
 
 OP2_SQL = """
@@ -88,3 +88,40 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+_PHRASES = quality_rules.PHRASES.replace("'", "''")
+OP9_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, i, ws[i] AS w FROM (SELECT r, ws, unnest(generate_series(1, len(ws))) AS i FROM (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d))),
+v AS (SELECT r, i, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT r, i, count(*) OVER (PARTITION BY r, w, w2, w3) AS times FROM v WHERE w3 IS NOT NULL),
+rep AS (SELECT r, count(DISTINCT place) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM g WHERE times > 1) GROUP BY r),
+n AS (SELECT r, count(*) AS n_words, sum(length(w)) AS word_chars FROM w GROUP BY r),
+l AS (SELECT r, i, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM (SELECT r, ls[i] AS line, i FROM (SELECT r, ls, unnest(generate_series(1, len(ls))) AS i FROM (SELECT r, string_split(text, chr(10)) AS ls FROM d)))),
+j AS (SELECT r, len(ws) AS size, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again,
+    10 * len(list_filter(ws, lambda x: regexp_matches(x, '(!!|[#*$%&<>~^=_][#*$%&<>~^=_])$'))) > 3 * len(ws) OR NOT regexp_matches(line, '[\p{{L}}\p{{N}}]')
+    OR len(list_filter(ws, lambda x: regexp_full_match(x, '[|>»·•/\\:]|::|>>|->|=>'))) >= 3 AND 5 * len(list_filter(ws, lambda x: regexp_full_match(x, '[|>»·•/\\:]|::|>>|->|=>'))) >= len(ws)
+    OR len(ws) <= 40 AND regexp_matches(line, '{_PHRASES}', 'i') AS fails FROM l WHERE len(ws) > 0),
+m AS (SELECT r, CAST(sum(again::INT) AS BIGINT) AS n_dup_lines, CAST(sum(CASE WHEN again OR fails THEN size ELSE 0 END) AS BIGINT) AS lost_words, CAST(sum((again OR fails)::INT) AS BIGINT) AS failed_lines FROM j GROUP BY r),
+s AS (SELECT d.r, doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost_words, 0) AS lost_words, coalesce(failed_lines, 0) AS failed_lines
+    FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN rep ON rep.r = d.r LEFT JOIN m ON m.r = d.r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * lost_words <= 40 * n_words AS kept, lost_words, failed_lines FROM s
+"""
+
+#: crc32 byte by byte, with its table made by its rule.
+OP10_SQL = f"""
+WITH t AS (
+    SELECT list_transform(generate_series(0, 255), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab
+), d AS (
+    SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)), lambda a, x: xor(a >> 8, tab[1 + (xor(a, x) & 255)])), 4294967295) AS crc
+    FROM documents, t
+), h AS (
+    SELECT *, ('0x' || substr(md5(concat('{sharding.SEED}/', doc_id, '/', crc)), 1, 15))::BIGINT AS h, (('0x' || substr(md5(concat('{sharding.SEED + 1}/', source)), 1, 7))::BIGINT % 1000003 + 0.5::DOUBLE) / 1000003 AS u FROM d
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST, size) AS rank, count(*) OVER (PARTITION BY source) AS cnt, count(*) OVER () AS n FROM h
+), p AS (
+    SELECT *, row_number() OVER (ORDER BY (rank - u) / cnt, source NULLS FIRST, h, doc_id NULLS FIRST) - 1 AS place FROM r
+)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(place * 40 // n AS INT) AS shard, place - (place * 40 // n * n + 39) // 40 AS slot, CAST(NULL AS INT) AS grown_shard, source FROM p
+"""

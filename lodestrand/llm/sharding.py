@@ -28,6 +28,12 @@ SHARDS, SEED, OVERHEAD = 40, 20_240, 16
 RANGE_ROWS = 4_096
 
 
+def _draw(digits: int, *parts: Column) -> Column:
+    """A number by so many hexadecimal digits of the md5 of the parts, joined by strokes (nulls as nothing)."""
+    joined = F.concat(*[x for p in parts for x in (F.lit("/"), F.coalesce(p.cast("string"), F.lit("")))][1:])
+    return F.conv(F.substr(F.md5(joined), F.lit(1), F.lit(digits)), 16, 10).cast("long")
+
+
 def _ranked(df: DataFrame, by: list[str], part: str, order: list[Column], rank: str) -> DataFrame:
     """df with ``rank`` (from 1) in the order of ``part``, then ``order``, within ``by``; parts are small, and their counts are summed up over a table of parts."""
     sizes = df.groupBy(*by, part).agg(F.count("*").alias("_n"))
@@ -43,17 +49,17 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, range_ro
     bytes_of = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(
         "doc_id", "source", F.octet_length(bytes_of).cast("long").alias("_bytes"), F.crc32(bytes_of).alias("text_crc32")
-    ).select("doc_id", "source", (F.col("_bytes") + OVERHEAD).alias("size"), "text_crc32", F.xxhash64(F.lit(seed), "doc_id", "text_crc32").alias("_hash"))
+    ).select("doc_id", "source", (F.col("_bytes") + OVERHEAD).alias("size"), "text_crc32", _draw(15, F.lit(seed), F.col("doc_id"), F.col("text_crc32")).alias("_hash"))
     rows = save(rows, "rows")
     counts = rows.groupBy("source").agg(F.count("*").alias("_of")).withColumn("_ranges", F.ceil(F.col("_of") / range_rows))
     total = counts.agg(F.coalesce(F.sum("_of"), F.lit(0)).alias("_all"))
     with_counts = rows.alias("l").join(counts.withColumnRenamed("source", "_s").alias("r"), F.col("l.source").eqNullSafe(F.col("_s"))).drop("_s")
     # the hash as a fraction of its range says which part of the shuffle a row falls in
-    part = F.least(F.floor((F.col("_hash").cast("double") / 2.0**64 + 0.5) * F.col("_ranges")), F.col("_ranges") - 1)
+    part = F.least(F.floor(F.col("_hash").cast("double") / 2.0**60 * F.col("_ranges")), F.col("_ranges") - 1)
     first = _ranked(with_counts.withColumn("_part", part), ["source"], "_part", [F.col("_hash"), F.col("doc_id"), F.col("size")], "_rank")
     n = total.first()["_all"]
     ranges = max(1, -(-n // range_rows))
-    offset = (F.pmod(F.xxhash64(F.lit(seed + 1), "source"), F.lit(1_000_003)) + 0.5) / 1_000_003
+    offset = (_draw(7, F.lit(seed + 1), F.col("source")) % 1_000_003 + 0.5) / 1_000_003
     share = (F.col("_rank") - offset) / F.col("_of")
     spread = first.withColumn("_share", share).withColumn("_cut", F.least(F.floor(F.col("_share") * ranges), F.lit(ranges - 1))).withColumn("_one", F.lit(1))
     placed = _ranked(spread, ["_one"], "_cut", [F.col("_share"), F.col("source"), F.col("_hash"), F.col("doc_id")], "_at")
