@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 #: So many bases are coded at once; longer sequences go in pieces.
 PIECE = 1 << 20
+_LETTERS = np.frombuffer(b"ACGT", np.uint8)
 _DIGIT = np.full(256, 4, np.uint8)
 _DIGIT[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3] * 2
 
@@ -88,6 +90,31 @@ def counted(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
     return seqs.select(seq).mapInArrow(run, "kmer long, n long")
 
 
+def smallest_hashes(seqs: DataFrame, k: int, size: int) -> DataFrame:
+    """name and h: the ``size`` smallest md5 values of the different k-mers of each piece of a sequence, so that no more than these are shuffled."""
+    check(k)
+    shifts = 2 * np.arange(k - 1, -1, -1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for rows, _, code in _pieces(b, "seq", k):
+                owners, found = [], []
+                for row, own in zip(*_by_row(rows, code)):
+                    words = _LETTERS[np.unique(own)[:, None] >> shifts & 3].view(f"S{k}").reshape(-1).tolist()
+                    least = sorted({md5(w).hexdigest() for w in words})[:size]
+                    owners += [row] * len(least)
+                    found += least
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owners, pa.int64())), pa.array(found, pa.string())], names=["name", "h"])
+
+    return seqs.select("name", "seq").mapInArrow(run, T.StructType([seqs.schema["name"], T.StructField("h", T.StringType())]))
+
+
+def _by_row(rows: np.ndarray, code: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """The different rows (which come in order) and the codes of each."""
+    cuts = np.flatnonzero(rows[1:] != rows[:-1]) + 1
+    return rows[np.r_[0, cuts]].tolist() if len(rows) else [], np.split(code, cuts) if len(rows) else []
+
+
 def check(k: int) -> None:
     if not 0 < k <= 31:
         raise ValueError("codes hold k-mers of 1 to 31 bases")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrand.functions import codes
@@ -10,11 +10,6 @@ from lodestrand.functions import seq as S
 from lodestrand.functions.codes import explode
 
 
-def _plain(seq: str, k: int) -> Column:
-    """The canonical k-mers of ACGT only, without their places."""
-    return S.canonical_kmers(F.upper(F.col(seq)), k, "[ACGT]")
-
-
 def counts(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
     """kmer and n over all sequences."""
     summed = codes.counted(seqs, k, seq).groupBy("kmer").agg(F.sum("n").alias("n"))
@@ -79,9 +74,7 @@ def reference_stats(best: DataFrame) -> DataFrame:
 
 def sketch(seqs: DataFrame, k: int, size: int) -> DataFrame:
     """name and hashes: the ``size`` smallest md5 values of a sequence's distinct k-mers, in order."""
-    # a row's smallest values are enough of it, so that no more than these are shuffled
-    own = F.slice(F.sort_array(F.transform(F.array_distinct(_plain("seq", k)), lambda x: F.md5(x))), 1, size)
-    each = seqs.select("name", F.explode(own).alias("h")).distinct()
+    each = codes.smallest_hashes(seqs, k, size).distinct()
     order = Window.partitionBy("name").orderBy("h")
     return each.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= size).groupBy("name").agg(F.array_sort(F.collect_list("h")).alias("hashes"))
 

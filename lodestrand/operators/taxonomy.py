@@ -6,7 +6,7 @@ Ancestor closures are small (nodes times depth) and joined by key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrand.functions.seq import lowest_rank_code
@@ -18,7 +18,6 @@ def closure(nodes: DataFrame) -> DataFrame:
 
     A tree has a root, its own parent; a circle of parents is an error.
     """
-    nodes = keep(nodes, "nodes")
     up = nodes.where("tid <> parent").select("tid", F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
     reach, span, most = keep(up, "ancestors"), 1, nodes.count()
     while True:
@@ -60,15 +59,16 @@ def paths(tree: DataFrame) -> DataFrame:
     return tree.groupBy("tid").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "ancestor"))), lambda x: x.ancestor).alias("path"))
 
 
-def common_ancestor(sets: DataFrame, tree: DataFrame) -> DataFrame:
-    """read and lca of sets(read, tid): the deepest node above all taxa of the read (itself for one); reads with taxa of different roots, or out of the tree, have none.
+def common_ancestor(sets: DataFrame, tree: DataFrame, *more: Column) -> DataFrame:
+    """read and lca of sets(read, tid, …): the deepest node above all taxa of the read (itself for one); reads with taxa of different roots, or out of the tree, have none.  ``more``: other aggregates of a read's rows, by name.
 
     What the least and the greatest path of a read have in common, all of its paths have; so each hit moves once, whatever its depth.
     """
-    ends = sets.select("read", "tid").join(paths(tree), "tid", "left").groupBy("read").agg(F.min("path").alias("a"), F.max("path").alias("b"), F.count("*").alias("_n"), F.count("path").alias("_in"))
+    ends = sets.join(paths(tree), "tid", "left").groupBy("read").agg(F.min("path").alias("a"), F.max("path").alias("b"), F.count("*").alias("_n"), F.count("path").alias("_in"), *more)
+    others = [c for c in ends.columns if c not in ("read", "a", "b", "_n", "_in")]
     differ = F.array_position(F.zip_with("a", "b", lambda x, y: x == y), F.lit(False))
     shared = F.when(differ == 0, F.least(F.size("a"), F.size("b"))).otherwise(differ - 1).cast("int")
-    return ends.where("_n = _in").withColumn("_shared", shared).where("_shared > 0").select("read", F.element_at("a", F.col("_shared")).cast("long").alias("lca"))
+    return ends.where("_n = _in").withColumn("_shared", shared).where("_shared > 0").select("read", F.element_at("a", F.col("_shared")).cast("long").alias("lca"), *others)
 
 
 def report(lcas: DataFrame, tree: DataFrame, total: int | F.Column) -> DataFrame:

@@ -228,9 +228,8 @@ FROM stay JOIN tree USING (tid) GROUP BY ancestor, name, rank, depth""")
 def taxonomy_report(spark, d):
     """Reads whose best score reaches 40, by common ancestor, summed up the tree."""
     tree, hits = _tree(spark, d), _hits(spark, d)
-    total = hits.agg(F.count_distinct("read").alias("n"))
-    good = hits.groupBy("read").agg(F.max("score").alias("s")).where("s >= 40").select("read")
-    rows = taxonomy.report(taxonomy.common_ancestor(hits.join(good, "read", "left_semi"), tree), tree, 1)
+    total = _t(spark, d, "lineitem").agg(F.count_distinct("l_orderkey").alias("n"))
+    rows = taxonomy.report(taxonomy.common_ancestor(hits, tree, F.max("score").alias("best")).where("best >= 40"), tree, 1)
     return rows.join(F.broadcast(total), F.lit(True)).withColumn("percent", F.round(F.col("clade") * 100.0 / F.col("n"), 2)).drop("n")  # one row
 
 
