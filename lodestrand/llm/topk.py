@@ -77,10 +77,15 @@ def _bound(q: Node, x: Node) -> float:
     return top + 1e-9 * (abs(top) + q.norm * x.norm + q.radius * x.norm + x.radius * q.norm + 1)
 
 
+def _below(scores: np.ndarray) -> np.ndarray:
+    """Lower bounds of whole scores held as doubles, which round beyond 2**53."""
+    return np.where(np.abs(scores) >= 2.0**53, np.nextafter(scores, -np.inf), scores)
+
+
 def dual_search(queries: np.ndarray, query_ids: np.ndarray, worst: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, scores), each queries x k, best first; scores of -inf (and -1 ids, which may also be real ones) where there are fewer. ``worst``: a lower bound of each query's k-th score; only scores at or over it are looked for. Components are whole numbers held as doubles."""
     exact = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1]) < 2**53
-    best, ids, worst = np.full((len(queries), k), -np.inf if exact else None, float if exact else object), np.full((len(queries), k), -1, np.int64), worst.astype(float).copy()
+    best, ids, worst = np.full((len(queries), k), -np.inf if exact else None, float if exact else object), np.full((len(queries), k), -1, np.int64), _below(worst.astype(float))
     if not exact:
         best[:] = -np.inf
 
@@ -112,7 +117,7 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, worst: np.ndarray, r
             s, new = np.take_along_axis(s, order, 1), np.take_along_axis(new, order, 1)
             order = np.argsort(-s, axis=1, kind="stable")[:, :k]
             best[mine], ids[mine] = np.take_along_axis(s, order, 1), np.take_along_axis(new, order, 1)
-            worst[mine] = np.maximum(worst[mine], best[mine, -1].astype(float))
+            worst[mine] = np.maximum(worst[mine], _below(best[mine, -1].astype(float)))
 
     if len(queries) and len(rows):
         a, b = cover_tree(queries), cover_tree(rows)
