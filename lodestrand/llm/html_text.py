@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import save
+from .scratch import save, settle
 
 #: A template needs so many different pages of its host; a class so many tokens, on so many pages and such a share of the host's.
 MIN_PAGES, MIN_CLASS, MIN_SUPPORT, MAIN_SHARE = 8, 3, 0.3, 0.6
@@ -343,7 +343,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN
     """page_id, url and text of every page."""
     host = F.lower(F.coalesce(F.try_parse_url("url", F.lit("HOST")), F.lit("")))
     rows = pages.select("page_id", "url", "html", host.alias("host"))
-    found = save(templates(rows, min_pages, min_class, min_support), "templates")
+    found = settle(lambda: templates(rows, min_pages, min_class, min_support), "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Template | None] = {}

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .scratch import save
+from .scratch import release, save, settle
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: The upper tree is fitted on at most so many fingerprints; a shard aims at SHARD_ROWS rows and is cut into blocks beyond 4 times that.
@@ -58,6 +58,11 @@ def fingerprint(text: str | None, width: int = SHINGLE, seed: int = SEED) -> int
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def slices(batch: pa.RecordBatch, rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of few rows, so that what is made of its texts is not held for all of them at once."""
+    return (batch.slice(i, rows) for i in range(0, len(batch), rows))
+
+
 def fingerprints(docs: DataFrame, width: int = SHINGLE, seed: int = SEED, out: str = "fp") -> DataFrame:
     """All columns of docs plus ``out``: the fingerprint as a signed long."""
 
@@ -196,8 +201,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = downward(large)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        now = save(downward(small), "edges")
+        before, now = now, save(downward(small), "edges")
         was, seen = seen, mark(now)
+        release(before)
         if was == seen:
             break
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
@@ -238,7 +244,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROW
 def classes(fps: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """For each distinct fp of fps(doc_id, fp): id (its smallest doc_id), component_id (the smallest in its component) and root (one fp of the component)."""
     reps = save(fps.groupBy("fp").agg(F.min("doc_id").alias("id")), "reps")
-    roots = components(links(reps.select("fp"), radius, shard_rows))
+    roots = settle(lambda: components(links(reps.select("fp"), radius, shard_rows)), "roots")
     named = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     least = named.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
     return named.join(least, "root", "left").select(
@@ -283,7 +289,7 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, see
 #: texts share the least of their shingles by one of KEYS hash orders: of a pair at the share, all keys differ once in 0.2 ** -KEYS = 2.4e8 pairs.
 WIDE_SHINGLE, SHARE, WIDE_RADIUS, KEYS = 5, 0.8, 40, 12
 #: A key of more rows is split by the other keys, and what is still larger is cut into blocks that meet pairwise.
-BLOCK_ROWS, SMALL_RUN = 8_192, 24
+BLOCK_ROWS, SMALL_RUN = 4_096, 24
 
 
 def shingles(text: str | None, width: int = WIDE_SHINGLE) -> set[bytes]:
@@ -307,83 +313,64 @@ def wide_fingerprint(found: set[bytes]) -> tuple[bytes, np.ndarray]:
     return np.packbits(counts * 2 > len(hashes)).tobytes(), np.array(least, np.uint64).view(np.int64)
 
 
-def similar(a: set[bytes], b: set[bytes], share: float = SHARE) -> bool:
-    both = len(a & b)
-    return both >= share * (len(a) + len(b) - both) - 1e-9
-
+def _close(f: np.ndarray, n: np.ndarray, a: slice, b: slice, share: float, radius: int) -> np.ndarray:
+    """Whether rows a and b (fingerprints x 2, sizes) are within the radius, and of sizes that allow the share."""
+    near = np.bitwise_count(f[a, None] ^ f[None, b]).sum(axis=2, dtype=np.uint8) <= radius
+    return near & (np.minimum(n[a, None], n[None, b]) >= share * np.maximum(n[a, None], n[None, b]) - 1e-9)
 
-def close_pairs(f: np.ndarray, n: np.ndarray, own: np.ndarray, stars: bool, share: float = SHARE, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i < j of rows (fingerprints x 2, sizes, component) within the radius, of sizes that allow the share, in different components.
 
-    ``stars``: for each j only its first and its nearest partner.
-    """
-    rows, cols = [], []
-    for j in range(0, len(f), BRUTE_ROWS):
-        b = slice(j, j + BRUTE_ROWS)
-        best: list[tuple] = []
-        for i in range(0, j + 1, BRUTE_ROWS):
-            a = slice(i, i + BRUTE_ROWS)
-            if n[a].max() < share * n[b].min() - 1 or n[a].min() * share > n[b].max() + 1:
-                continue
-            x, y = np.nonzero(np.bitwise_count(f[a, None] ^ f[None, b]).sum(axis=2, dtype=np.uint8) <= radius)
-            x, y = x + i, y + j
-            keep = (x < y) & (np.minimum(n[x], n[y]) >= share * np.maximum(n[x], n[y]) - 1e-9) & (own[x] != own[y])
-            best.append(few_partners(f, x[keep], y[keep]) if stars else (x[keep], y[keep]))
-        if best:
-            x, y = (np.concatenate(z) for z in zip(*best))
-            x, y = few_partners(f, x, y) if stars else (x, y)
-            rows.append(x)
-            cols.append(y)
-    return (np.concatenate(rows), np.concatenate(cols)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-def few_partners(f: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs, those of each j with its first and with its nearest partner."""
-    d = np.bitwise_count(f[i] ^ f[j]).sum(axis=1)
-    keep = []
-    for order in (np.lexsort((i, j)), np.lexsort((i, d, j))):
-        keep.append(order[np.r_[True, j[order][1:] != j[order][:-1]]] if len(order) else order)
-    keep = np.unique(np.concatenate(keep))
-    return i[keep], j[keep]
-
-
-def close_in_cells(cell: np.ndarray, f: np.ndarray, n: np.ndarray, own: np.ndarray, stars: bool, share: float = SHARE, radius: int = WIDE_RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """close_pairs of the rows of each cell; rows are in order of their cells.  Small cells go side by side, by the distance of the two rows."""
+def _runs(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row and size of each run of equal cells."""
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-    size = np.diff(np.r_[first, len(cell)])
-    run, small = np.repeat(np.arange(len(first)), size), np.repeat(size <= SMALL_RUN, size)
-    found = []
+    return first, np.diff(np.r_[first, len(cell)])
+
+
+def has_partner(cell: np.ndarray, f: np.ndarray, n: np.ndarray, share: float = SHARE, radius: int = WIDE_RADIUS) -> np.ndarray:
+    """Which rows, in order of their cells, have a close one in their cell.  Small cells go side by side, by the distance of the two rows."""
+    first, size = _runs(cell)
+    run, small, out = np.repeat(np.arange(len(first)), size), np.repeat(size <= SMALL_RUN, size), np.zeros(len(cell), bool)
     for step in range(1, SMALL_RUN):
         i = np.flatnonzero(small[:-step] & (run[step:] == run[:-step]))
         if not len(i):
             break
-        j = i + step
-        keep = (own[i] != own[j]) & (np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j]) - 1e-9)
-        i, j = i[keep], j[keep]
-        keep = np.bitwise_count(f[i] ^ f[j]).sum(axis=1) <= radius
-        found.append((i[keep], j[keep]))
-    if found and stars:
-        found = [few_partners(f, *(np.concatenate(x) for x in zip(*found)))]
+        i = i[(np.minimum(n[i], n[i + step]) >= share * np.maximum(n[i], n[i + step]) - 1e-9) & (np.bitwise_count(f[i] ^ f[i + step]).sum(axis=1) <= radius)]
+        out[i] = out[i + step] = True
     for k in np.flatnonzero(size > SMALL_RUN):
-        at = slice(first[k], first[k] + size[k])
-        i, j = close_pairs(f[at], n[at], own[at], stars, share, radius)
-        found.append((i + first[k], j + first[k]))
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
-def _verified(texts: DataFrame, pairs: DataFrame, share: float) -> DataFrame:
-    """Those edges(a, b) of keys of texts(s, text) whose texts share enough shingles; texts of one key hold the same words."""
+        end = first[k] + size[k]
+        for i in range(first[k], end, BRUTE_ROWS):
+            for j in range(i, end, BRUTE_ROWS):
+                a, b = slice(i, min(end, i + BRUTE_ROWS)), slice(j, min(end, j + BRUTE_ROWS))
+                near = _close(f, n, a, b, share, radius)
+                if i == j:
+                    np.fill_diagonal(near, False)
+                out[a] |= near.any(axis=1)
+                out[b] |= near.any(axis=0)
+    return out
+
+
+def _share_of(a: np.ndarray, b: np.ndarray, share: float) -> bool:
+    """Whether two sets of hashes, in order, share enough."""
+    a, b = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.searchsorted(b, a)
+    both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+    return both >= share * (len(a) + len(b) - both) - 1e-9
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = [similar(shingles(x), shingles(y), share) for x, y in zip(b.column("ta").to_pylist(), b.column("tb").to_pylist())]
-            yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    pairs = save(pairs.distinct(), "pairs")
-    nodes = pairs.select(F.col("a").alias("s")).unionAll(pairs.select(F.col("b").alias("s"))).distinct()
-    texts = save(texts.join(nodes, "s", "left_semi").groupBy("s").agg(F.first("text").alias("text")), "texts")
-    both = pairs.join(texts.withColumnsRenamed({"s": "a", "text": "ta"}), "a").join(texts.withColumnsRenamed({"s": "b", "text": "tb"}), "b")
-    return save(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+def link_cell(f: np.ndarray, n: np.ndarray, sets: list[np.ndarray], share: float = SHARE, radius: int = WIDE_RADIUS) -> np.ndarray:
+    """Of the rows of one cell the first row of each row's component, by their whole sets of shingle hashes.  Close rows are compared unless they are in one component by then."""
+    root = np.arange(len(f))
+    for j in range(0, len(f), BRUTE_ROWS):
+        for i in range(0, j + 1, BRUTE_ROWS):
+            near = _close(f, n, slice(i, min(len(f), i + BRUTE_ROWS)), slice(j, min(len(f), j + BRUTE_ROWS)), share, radius)
+            for y in np.flatnonzero(near.any(axis=0)) + j:
+                xs = np.flatnonzero(near[:, y - j]) + i
+                xs = xs[xs < y]
+                while len(xs := xs[root[xs] != root[y]]):
+                    x, xs = xs[0], xs[1:]
+                    if _share_of(sets[x], sets[y], share):
+                        low, high = sorted((root[x], root[y]))
+                        root[root == high] = low
+    return root
 
 
 def meeting_cells(reps: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -411,30 +398,40 @@ def meeting_cells(reps: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
 
 
 def similar_links(reps: DataFrame, texts: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """edges(a, b) that join the keys of reps(s, f, n, m) into components of similar texts, by texts(s, text).
+    """edges(a, b) that join the keys of reps(s, f, n, m) into components of similar texts, by texts(s, text), of which those of one key hold the same words.
 
-    A first pass checks one or two partners of each row in each of its cells, so that groups of copies become one component; the second checks all pairs still apart.
+    First short rows meet in their cells and tell which of them have a close one there.  Only these go to the same cells again, with
+    the hashes of all their shingles, where they are compared; a cell gives one edge a row, never all pairs.
     """
     cells = save(meeting_cells(reps, block_rows), "cells")
     bins = max(1, -(-cells.count() // (4 * block_rows)))
-
-    def search(stars: bool):
-        def run(t: pa.Table) -> pa.Table:
-            t = t.take(np.lexsort((t.column("s").to_numpy(), t.column("cell").to_numpy())))
-            cell, s, n, own = (t.column(c).to_numpy() for c in ("cell", "s", "n", "own"))
-            f = np.frombuffer(b"".join(t.column("f").to_pylist()), np.uint64).reshape(-1, 2)
-            i, j = close_in_cells(cell, f, n, own, stars, share, radius)
-            return pa.table({"a": s[i], "b": s[j]})
-
-        return run
-
-    def found(rows: DataFrame, stars: bool) -> DataFrame:
-        near = rows.groupBy(F.pmod("cell", F.lit(bins)).alias("bin")).applyInArrow(search(stars), "a long, b long")
-        return _verified(texts, near, share)
-
-    first = found(cells.withColumn("own", F.col("s")), True)
-    named = cells.join(components(first).withColumnsRenamed({"node": "s", "root": "_root"}), "s", "left").withColumn("own", F.coalesce("_root", "s")).drop("_root")
-    return first.unionAll(found(named, False))
+    dealt = F.pmod("cell", F.lit(bins)).alias("bin")
+
+    def find(t: pa.Table) -> pa.Table:
+        t = t.take(np.argsort(t.column("cell").to_numpy(), kind="stable"))
+        f = np.frombuffer(b"".join(t.column("f").to_pylist()), np.uint64).reshape(-1, 2)
+        return t.filter(pa.array(has_partner(t.column("cell").to_numpy(), f, t.column("n").to_numpy(), share, radius))).select(["cell", "s", "f", "n"])
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (part for whole in batches for part in slices(whole)):
+            sets = [np.sort(np.array([xxhash.xxh3_64_intdigest(x) for x in shingles(t)], np.uint64)).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("s"), pa.array(sets, pa.binary())], names=["s", "hashes"])
+
+    def link(t: pa.Table) -> pa.Table:
+        t = t.take(np.lexsort((t.column("s").to_numpy(), t.column("cell").to_numpy())))
+        s, n, f = t.column("s").to_numpy(), t.column("n").to_numpy(), np.frombuffer(b"".join(t.column("f").to_pylist()), np.uint64).reshape(-1, 2)
+        sets, root = [np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()], np.arange(len(s))
+        for first, size in zip(*_runs(t.column("cell").to_numpy())):
+            own = slice(first, first + size)
+            root[own] = link_cell(f[own], n[own], sets[own], share, radius) + first
+        to = np.flatnonzero(root != np.arange(len(s)))
+        return pa.table({"a": s[to], "b": s[root[to]]})
+
+    close = save(cells.groupBy(dealt).applyInArrow(find, "cell long, s long, f binary, n long"), "close")
+    sets = texts.join(close.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.first("text").alias("text")).mapInArrow(hashes, "s long, hashes binary")
+    found = save(close.join(sets, "s").groupBy(dealt).applyInArrow(link, "a long, b long"), "links")
+    release(cells, close)
+    return found
 
 
 def drop_similar(docs: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -445,7 +442,7 @@ def drop_similar(docs: DataFrame, share: float = SHARE, radius: int = WIDE_RADIU
     s, f, n, m = (mark + c for c in "sfnm")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole)):
             texts = b.column("text").to_pylist()
             sets = [shingles(t) for t in texts]
             same = [xxhash.xxh3_64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").translate(_LOWER).split())) for t in texts]
@@ -456,7 +453,7 @@ def drop_similar(docs: DataFrame, share: float = SHARE, radius: int = WIDE_RADIU
     kinds = [T.StructField(s, T.LongType()), T.StructField(f, T.BinaryType()), T.StructField(n, T.LongType()), T.StructField(m, T.ArrayType(T.LongType()))]
     marked = save(docs.mapInArrow(run, T.StructType([*docs.schema.fields, *kinds])), "fingerprints")
     reps = save(marked.groupBy(F.col(s).alias("s")).agg(F.first(f).alias("f"), F.first(n).alias("n"), F.first(m).alias("m"), F.min("doc_id").alias("id")), "reps")
-    roots = components(similar_links(reps, marked.select(F.col(s).alias("s"), "text"), share, radius, block_rows))
+    roots = settle(lambda: components(similar_links(reps, marked.select(F.col(s).alias("s"), "text"), share, radius, block_rows)), "roots")
     named = reps.select("s", "id").join(roots.withColumnRenamed("node", "s"), "s", "left")
     kept = named.groupBy(F.coalesce("root", "s").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "s")).alias("k")).select(F.col("k.s").alias(f"{mark}k"), F.col("k.id").alias(f"{mark}i"))
     first = Window.partitionBy(s).orderBy(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))

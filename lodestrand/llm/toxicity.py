@@ -175,7 +175,7 @@ def keep_clean(docs: DataFrame, model: BagModel, threshold: float = THRESHOLD) -
     given = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(i, 1_024) for whole in batches for i in range(0, len(whole), 1_024)):
             yield b.filter(pa.array(given.value.scores(b.column("text").to_pylist()) < threshold))
 
     return docs.mapInArrow(run, T.StructType(docs.schema.fields))
