@@ -155,12 +155,13 @@ def trim_by_overlap(pairs: DataFrame) -> DataFrame:
 
 def window_trim(reads: DataFrame, window: int, least: float, offset: int = 33) -> DataFrame:
     """reads cut before the first window of ``window`` bases whose mean error probability exceeds that of the quality ``least``; reads shorter than a window stay."""
-    p = S.error_rates(F.col("qual"), offset)
     limit = window * 10.0 ** (-least / 10)
-    bad = F.filter(F.sequence(F.lit(1), F.length("qual") - window + 1), lambda i: F.aggregate(F.slice("_p", i, window), F.lit(0.0), lambda a, x: a + x) > limit)
-    held = reads.withColumn("_p", p).withColumn("_at", F.when(F.length("qual") >= window, F.get(bad, F.lit(0))))
+    over = lambda p: F.filter(F.sequence(F.lit(1), F.size(p) - window + 1), lambda i: F.aggregate(F.slice(p, i, window), F.lit(0.0), lambda a, x: a + x) > limit)
+    # a one-element array keeps the probabilities from being computed anew for each window
+    first = F.element_at(F.transform(F.array(S.error_rates(F.col("qual"), offset)), lambda p: F.get(over(p), F.lit(0))), 1)
+    held = reads.withColumn("_at", F.when(F.length("qual") >= window, first))
     part = lambda c: F.when(F.col("_at").isNull(), F.col(c)).otherwise(F.substr(c, F.lit(1), F.col("_at") - 1))
-    return held.withColumn("seq", part("seq")).withColumn("qual", part("qual")).drop("_p", "_at")
+    return held.withColumn("seq", part("seq")).withColumn("qual", part("qual")).drop("_at")
 
 
 # ---------------------------------------------------------- names and numbers
