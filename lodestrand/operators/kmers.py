@@ -34,7 +34,7 @@ def match(reads: DataFrame, refs: DataFrame, k: int, least: int = 1, substitutio
 
 
 def mask(reads: DataFrame, refs: DataFrame, k: int) -> DataFrame:
-    """reads(name, seq) with every base under a k-mer of refs as N."""
+    """reads(name, seq) with every base under a k-mer of refs as N, and of quality 0 (``!``) if there is a qual."""
     hit = explode(reads, k).join(explode(refs, k).select("kmer").distinct(), "kmer", "left_semi").groupBy("name").agg(F.array_sort(F.collect_list("pos")).alias("_at"))
     at, far = F.col("_at"), lambda a, b: F.coalesce(b - a > k, F.lit(True))
     # runs of hits no more than k apart, and the text between them
@@ -44,9 +44,31 @@ def mask(reads: DataFrame, refs: DataFrame, k: int) -> DataFrame:
     until = lambda i: F.when(i == 0, 0).otherwise(F.get("_to", i - 1))
     pieces = F.transform("_from", lambda p, i: F.concat(F.substr("seq", until(i) + 1, p - until(i)), F.repeat(F.lit("N"), F.get("_to", i) - p)))
     masked = F.concat(F.array_join(pieces, ""), F.substr("seq", F.element_at("_to", -1) + 1))
+    if "qual" in reads.columns:
+        flat = F.transform("_from", lambda p, i: F.concat(F.substr("qual", until(i) + 1, p - until(i)), F.repeat(F.lit("!"), F.get("_to", i) - p)))
+        low = F.concat(F.array_join(flat, ""), F.substr("qual", F.element_at("_to", -1) + 1))
+        held = held.withColumn("qual", F.when(at.isNull(), F.col("qual")).otherwise(low))
     return held.withColumn("seq", F.when(at.isNull(), F.col("seq")).otherwise(masked)).drop("_at", "_from", "_to")
 
 
+def match_long(reads: DataFrame, refs: DataFrame, k: int, long: int, least: int = 1) -> DataFrame:
+    """name and hits: how many stretches of ``long`` bases of a read have all their k-mers among those of refs (for words too long for a code)."""
+    hit = explode(reads, k).join(explode(refs, k).select("kmer").distinct(), "kmer", "left_semi").select("name", "pos")
+    # places of a run differ from their rank by one number
+    run = hit.withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy("name").orderBy("pos")))
+    runs = run.groupBy("name", "_run").agg(F.count("*").alias("_n")).where(F.col("_n") > long - k)
+    return runs.groupBy("name").agg(F.sum(F.col("_n") - (long - k)).alias("hits")).where(F.col("hits") >= least)
+
+
+def trim_tips(reads: DataFrame, refs: DataFrame, shortest: int, longest: int) -> DataFrame:
+    """reads without the longest end (of ``shortest`` to ``longest`` bases) that is the beginning of a sequence of refs."""
+    sizes = F.sequence(F.lit(shortest), F.lit(longest))
+    heads = refs.select(F.explode(F.transform(sizes, lambda m: F.when(F.length("seq") >= m, F.substr("seq", F.lit(1), m)))).alias("_tip")).where("_tip is not null").distinct()
+    ends = reads.select("name", F.explode(F.transform(sizes, lambda m: F.when(F.length("seq") >= m, F.right("seq", m)))).alias("_tip")).where("_tip is not null").distinct()
+    cut = ends.join(heads, "_tip", "left_semi").groupBy("name").agg(F.max(F.length("_tip")).alias("_cut"))
+    return reads.join(cut, "name", "left").withColumn("seq", F.when(F.col("_cut").isNull(), F.col("seq")).otherwise(F.substr("seq", F.lit(1), F.length("seq") - F.col("_cut")))).drop("_cut")
+
+
 def trim(reads: DataFrame, refs: DataFrame, k: int, side: str = "right") -> DataFrame:
     """reads cut at their first reference k-mer (right) or after their last (left)."""
     hit = explode(reads, k).join(explode(refs, k).select("kmer").distinct(), "kmer", "left_semi").groupBy("name").agg(F.min("pos").alias("_a"), F.max("pos").alias("_b"))

@@ -85,6 +85,13 @@ def merged_bases(seqs: DataFrame, other: DataFrame) -> DataFrame:
     return held.select("name", F.when(F.length("a") > 0, F.array_join(bases, "")).otherwise("").alias("seq"))
 
 
+def masked_by(seqs: DataFrame, masks: DataFrame, mark: str = "X") -> DataFrame:
+    """seqs with N where the sequence of the same name in masks has the mark; places beyond the mask stay."""
+    held = seqs.join(masks.select("name", F.col("seq").alias("_m")), "name", "left")
+    new = F.array_join(F.transform(F.sequence(F.lit(1), F.length("seq")), lambda i: F.when(F.substr("_m", i, F.lit(1)) == mark, "N").otherwise(F.substr("seq", i, F.lit(1)))), "")
+    return held.withColumn("seq", F.when(F.col("_m").isNull() | (F.length("seq") == 0), F.col("seq")).otherwise(new)).drop("_m")
+
+
 def ambiguous_sites(seqs: DataFrame) -> DataFrame:
     """name, pos (from 0) and code of the bases that stand for two."""
     two = "".join(k for k, v in IUPAC.items() if len(v) == 2)

@@ -130,6 +130,20 @@ def roc(rows: DataFrame) -> DataFrame:
     return each.select("mapq", F.sum("r").over(down).alias("right"), F.sum("w").over(down).alias("wrong"))
 
 
+def mean_quality(rows: DataFrame, excluded: int = 0x704) -> DataFrame:
+    """rname and mapq: the mean mapping quality of a contig's rows without the excluded flags."""
+    return rows.where(F.col("flag").bitwiseAND(excluded) == 0).groupBy("rname").agg(F.avg("mapq").alias("mapq"))
+
+
+def remove_pair_duplicates(rows: DataFrame, quality: str) -> DataFrame:
+    """Both rows of the best pair (by the sum of their qualities, ties by name) of those that lie on the same contigs and places with the same strands; rows(qname, flag, rname, pos, …) of pairs with both mates mapped."""
+    end = F.struct(F.col("rname").cast("string").alias("c"), F.col("pos"), flag(16).alias("back"), F.when(flag(0x40), 1).otherwise(2).alias("side"))
+    pairs = rows.groupBy("qname").agg(F.array_sort(F.collect_list(end)).alias("_ends"), F.sum(quality).alias("_q"))
+    order = Window.partitionBy("_ends").orderBy(F.desc("_q"), "qname")
+    best = pairs.withColumn("_n", F.row_number().over(order)).where("_n = 1").select("qname")
+    return rows.join(best, "qname", "left_semi")
+
+
 def fetch(rows: DataFrame, chrom, start: int, end: int) -> DataFrame:
     """Mapped rows that overlap [start, end) of a contig, places from 0."""
     last = F.col("pos") - 1 + S.cigar_length(F.col("cigar"), "M=XDN")

@@ -28,6 +28,14 @@ def assemblies(seqs: DataFrame, by: str) -> DataFrame:
     return run.groupBy(by).agg(F.sum("n").alias("scaffolds"), F.max("_t").alias("bases"), F.max(F.when(2 * F.col("_b") >= F.col("_t"), F.col("len"))).alias("n50"))
 
 
+def gaps(seqs: DataFrame, least: int = 1) -> DataFrame:
+    """name, gaps (runs of ``least`` N or more), gap_bases, contigs (what lies between) and longest contig."""
+    runs = F.regexp_extract_all(F.upper("seq"), F.lit(f"(N{{{least},}})"), F.lit(1))
+    parts = F.filter(F.split(F.upper("seq"), f"N{{{least},}}"), lambda x: x != "")
+    total = lambda a: F.aggregate(a, F.lit(0), lambda n, x: n + F.length(x))
+    return seqs.select("name", F.size(runs).alias("gaps"), total(runs).cast("long").alias("gap_bases"), F.size(parts).alias("contigs"), F.coalesce(F.array_max(F.transform(parts, lambda x: F.length(x))), F.lit(0)).cast("long").alias("longest"))
+
+
 def length_histogram(seqs: DataFrame, width: int) -> DataFrame:
     return seqs.groupBy((F.floor(F.length("seq") / width) * width).cast("long").alias("length")).agg(F.count("*").alias("reads"), F.sum(F.length("seq")).cast("long").alias("bases"))
 

@@ -92,6 +92,13 @@ def filter_lines(lines: DataFrame, words: DataFrame, include: bool = True, subst
     return lines.join(F.broadcast(found), F.lit(True)).where(hit if include else ~hit).select(*lines.columns)
 
 
+def demux_by_name(reads: DataFrame, words: DataFrame, unknown: str = "unknown") -> DataFrame:
+    """reads with ``file``: the first (in order) word of words(word), a short list, that their names hold."""
+    listed = words.agg(F.array_sort(F.collect_set("word")).alias("_words"))  # the user's list
+    held = F.get(F.filter("_words", lambda w: F.contains(F.col("name"), w)), F.lit(0))
+    return reads.join(F.broadcast(listed), F.lit(True)).withColumn("file", F.coalesce(held, F.lit(unknown))).drop("_words")
+
+
 # ------------------------------------------------------------------- barcodes
 
 
