@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -146,7 +148,8 @@ def optimal_trim(qual: Column, average_error: float, offset: int = 33) -> Column
         run = F.when(fresh, 0.0).otherwise(s.run) + (average_error - p)
         begin = F.when(fresh, s.at).otherwise(s["from"])
         size = s.at + 1 - begin
-        better = (run > s.best) | ((run == s.best) & (run > 0) & (size > s.size))
+        # sums that differ by rounding alone are equal
+        better = (run > s.best + 1e-12) | ((F.abs(run - s.best) <= 1e-12) & (run > 0) & (size > s.size))
         return F.struct(run.alias("run"), begin.alias("from"), F.when(better, run).otherwise(s.best).alias("best"), F.when(better, begin).otherwise(s.start).alias("start"), F.when(better, size).otherwise(s["size"]).alias("size"), (s.at + 1).alias("at"))
 
     return F.aggregate(error_rates(qual, offset), state, step, lambda s: F.struct(s.start.alias("start"), s["size"].alias("size")))
@@ -163,16 +166,28 @@ def force_trim(seq: Column, left: int = 0, right: int | None = None, tail: int =
 
 def entropy(seq: Column, window: int = 50, k: int = 5) -> Column:
     """Mean over all windows of the entropy of their k-mers, scaled to [0, 1]; N counts as A. One for sequences shorter than a window."""
-    s, per = F.translate(F.upper(seq), "N", "A"), window - k + 1
-    n = F.length(s)
-
-    def one(i: Column) -> Column:
-        words = F.transform(F.sequence(F.lit(0), F.lit(per - 1)), lambda j: F.substr(s, i + j, F.lit(k)))
-        counts = F.transform(F.array_distinct(words), lambda w: F.size(F.filter(words, lambda x: x == w)))
-        return F.aggregate(counts, F.lit(0.0), lambda a, c: a - (c / per) * F.log(c / per)) / F.log(F.lit(float(per)))
-
-    total = F.aggregate(F.transform(F.sequence(F.lit(1), n - window + 1), one), F.lit(0.0), lambda a, x: a + x)
-    return F.when(n >= window, total / (n - window + 1)).otherwise(1.0)
+    per = window - k + 1
+
+    def of(text: str | None) -> float | None:
+        if text is None:
+            return None
+        raw = np.frombuffer(text.upper().replace("N", "A").encode("latin-1", "replace"), np.uint8).astype(np.int64)
+        if len(raw) < window:
+            return 1.0
+        words = sum(raw[i : len(raw) - k + 1 + i] << 8 * i for i in range(k))
+        total, count = 0.0, len(raw) - window + 1
+        for first in range(0, count, 16_384):
+            rows = np.sort(np.lib.stride_tricks.sliding_window_view(words[first : first + 16_384 + per - 1], per), axis=1)
+            begins = np.flatnonzero(np.c_[np.ones(len(rows), bool), rows[:, 1:] != rows[:, :-1]])
+            share = np.diff(np.r_[begins, rows.size]) / per
+            total -= float((share * np.log(share)).sum())
+        return total / np.log(per) / count
+
+    @F.pandas_udf("double")
+    def run(column: pd.Series) -> pd.Series:
+        return column.map(of, na_action="ignore").astype(float)
+
+    return run(seq)
 
 
 #: Amino acids of the standard code, codons in the order of A, C, G, T at each place.

@@ -136,3 +136,28 @@ def masked_by_other(spark, d):
 def names_by_word(spark, d):
     words = spark.createDataFrame([("small",), ("cold",), ("gadget",)], "word string")
     return tools.demux_by_name(_t(spark, d, "part").select("p_partkey", F.col("p_name").alias("name")), words).select("p_partkey", "file")
+
+
+@query(f"""WITH {SEQS}, s AS (SELECT name, substr(seq, 1, 40) AS s FROM seqs WHERE seq IS NOT NULL), p AS (SELECT name, i, 0.0437 - CASE substr(s, i, 1) WHEN 'A' THEN 1e-4 WHEN 'C' THEN 1e-2 WHEN 'G' THEN 0.1 ELSE pow(10, -0.2) END AS gain FROM (SELECT name, s, unnest(generate_series(1, length(s))) AS i FROM s)),
+c AS (SELECT name, i, sum(gain) OVER (PARTITION BY name ORDER BY i) AS t FROM p UNION ALL SELECT name, 0, 0 FROM s), b AS (SELECT a.name, a.i AS start, z.i - a.i AS size, z.t - a.t AS gain FROM c a JOIN c z ON z.name = a.name AND z.i > a.i),
+m AS (SELECT name, start, size FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY round(gain, 12) DESC, size DESC, start) AS n FROM b WHERE gain > 0) WHERE n = 1) SELECT s.name, coalesce(substr(s, CAST(start + 1 AS BIGINT), CAST(size AS BIGINT)), '') AS seq FROM s LEFT JOIN m ON m.name = s.name""")
+def optimal_trimmed(spark, d):
+    """The first 40 bases of each sequence, cut to the stretch of most gain."""
+    head = F.substr("seq", F.lit(1), F.lit(40))
+    rows = _seqs(spark, d).where("seq is not null").select("name", head.alias("seq"), F.translate(head, "ACGT", "I5+#").alias("qual"))
+    return qc.quality_trim(rows, 0.0437).select("name", "seq")
+
+
+@query(f"""WITH {SEQS}, s AS (SELECT name, substr(seq, 1, 70) AS s FROM seqs WHERE seq IS NOT NULL), w AS (SELECT name, s, unnest(generate_series(1, length(s) - 49)) AS w FROM s WHERE length(s) >= 50), k AS (SELECT name, w, substr(s, w + j, 5) AS k FROM (SELECT name, s, w, unnest(generate_series(0, 45)) AS j FROM w)),
+c AS (SELECT name, w, k, count(*) / 46.0::DOUBLE AS p FROM k GROUP BY ALL), e AS (SELECT name, w, -sum(p * ln(p)) / ln(46) AS e FROM c GROUP BY ALL) SELECT s.name, round(coalesce(avg(e), 1.0), 9) AS entropy FROM s LEFT JOIN e ON e.name = s.name GROUP BY s.name""")
+def entropies(spark, d):
+    """Of the first 70 bases of each sequence."""
+    return _seqs(spark, d).where("seq is not null").select("name", F.round(S.entropy(F.substr("seq", F.lit(1), F.lit(70))), 9).alias("entropy"))
+
+
+@query(f"WITH {SEQS}, {_kmer_sql('km', 'seqs', 11)} SELECT count(DISTINCT kmer) AS kmers, true AS close FROM km")
+def distinct_kmers(spark, d):
+    """The exact number of k-mers, and whether the estimate is within a tenth of it."""
+    exact = kmers.counts(_seqs(spark, d), 11).agg(F.count("*").alias("exact"))
+    both = exact.join(kmers.unique_estimate(_seqs(spark, d), 11), F.lit(True))  # one row each
+    return both.select(F.col("exact").alias("kmers"), (F.abs(F.col("kmers") - F.col("exact")) <= 0.1 * F.col("exact")).alias("close"))
