@@ -21,6 +21,7 @@ text are ignored by the query and carried through by ``deduplicate``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -288,8 +289,8 @@ def deduplicate(docs: DataFrame, radius: int = RADIUS, width: int = SHINGLE, see
 #: No cut of a vantage-point tree prunes at such a radius (distances of unlike texts are 64, give or take 6), so fingerprints meet where
 #: texts share the least of their shingles by one of KEYS hash orders: of a pair at the share, all keys differ once in 0.2 ** -KEYS = 2.4e8 pairs.
 WIDE_SHINGLE, SHARE, WIDE_RADIUS, KEYS = 5, 0.8, 40, 12
-#: A key of more rows is split by the other keys, and what is still larger is cut into blocks that meet pairwise.
-BLOCK_ROWS, SMALL_RUN = 4_096, 24
+#: A key of more rows is cut into blocks that meet pairwise; one of over MANY_BLOCKS is split by the other keys before.
+BLOCK_ROWS, MANY_BLOCKS, SMALL_RUN = 4_096, 64, 24
 
 
 def shingles(text: str | None, width: int = WIDE_SHINGLE) -> set[bytes]:
@@ -313,39 +314,63 @@ def wide_fingerprint(found: set[bytes]) -> tuple[bytes, np.ndarray]:
     return np.packbits(counts * 2 > len(hashes)).tobytes(), np.array(least, np.uint64).view(np.int64)
 
 
-def _close(f: np.ndarray, n: np.ndarray, a: slice, b: slice, share: float, radius: int) -> np.ndarray:
-    """Whether rows a and b (fingerprints x 2, sizes) are within the radius, and of sizes that allow the share."""
-    near = np.bitwise_count(f[a, None] ^ f[None, b]).sum(axis=2, dtype=np.uint8) <= radius
-    return near & (np.minimum(n[a, None], n[None, b]) >= share * np.maximum(n[a, None], n[None, b]) - 1e-9)
-
-
-def _runs(cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First row and size of each run of equal cells."""
-    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-    return first, np.diff(np.r_[first, len(cell)])
-
-
-def has_partner(cell: np.ndarray, f: np.ndarray, n: np.ndarray, share: float = SHARE, radius: int = WIDE_RADIUS) -> np.ndarray:
-    """Which rows, in order of their cells, have a close one in their cell.  Small cells go side by side, by the distance of the two rows."""
-    first, size = _runs(cell)
-    run, small, out = np.repeat(np.arange(len(first)), size), np.repeat(size <= SMALL_RUN, size), np.zeros(len(cell), bool)
-    for step in range(1, SMALL_RUN):
-        i = np.flatnonzero(small[:-step] & (run[step:] == run[:-step]))
-        if not len(i):
-            break
-        i = i[(np.minimum(n[i], n[i + step]) >= share * np.maximum(n[i], n[i + step]) - 1e-9) & (np.bitwise_count(f[i] ^ f[i + step]).sum(axis=1) <= radius)]
-        out[i] = out[i + step] = True
-    for k in np.flatnonzero(size > SMALL_RUN):
-        end = first[k] + size[k]
-        for i in range(first[k], end, BRUTE_ROWS):
-            for j in range(i, end, BRUTE_ROWS):
-                a, b = slice(i, min(end, i + BRUTE_ROWS)), slice(j, min(end, j + BRUTE_ROWS))
-                near = _close(f, n, a, b, share, radius)
-                if i == j:
-                    np.fill_diagonal(near, False)
-                out[a] |= near.any(axis=1)
-                out[b] |= near.any(axis=0)
-    return out
+class Cells:
+    """Rows in order of their cells: fingerprints (x 2), sizes, 32 bits of each key (x KEYS), the key that the cell is of, a second one that split it (or -1), and the row's block."""
+
+    def __init__(self, t: pa.Table) -> None:
+        column = lambda c: t.column(c).to_numpy()
+        self.cell, self.size, self.key, self.second, self.block = map(column, ("cell", "n", "i", "j", "b"))
+        self.print, self.keys = (np.frombuffer(b"".join(t.column(c).to_pylist()), kind).reshape(len(t), -1) for c, kind in (("f", np.uint64), ("w", np.uint32)))
+        self.first = np.flatnonzero(np.r_[True, self.cell[1:] != self.cell[:-1]]) if len(t) else np.zeros(0, np.int64)
+        self.rows = np.diff(np.r_[self.first, len(t)])
+
+    def close(self, x: np.ndarray, y: np.ndarray, share: float, radius: int) -> np.ndarray:
+        """Which pairs of rows of one cell are within the radius, and of sizes that allow the share."""
+        n, m = self.size[x], self.size[y]
+        return (np.minimum(n, m) >= share * np.maximum(n, m) - 1e-9) & (np.bitwise_count(self.print[x] ^ self.print[y]).sum(axis=1, dtype=np.uint8) <= radius)
+
+    def belongs(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which pairs are this cell's, of all the cells that they share: that of their first shared key (and the next one, where that split it), and of two blocks, if theirs differ."""
+        same = self.keys[x] == self.keys[y]
+        key, second = self.key[x], self.second[x]
+        ok = same.argmax(axis=1) == key
+        split = second >= 0
+        if split.any():
+            same[np.arange(len(x)), key] = False
+            ok &= ~split | (same.argmax(axis=1) == second)
+        return ok
+
+    def pairs(self, share: float, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Close pairs x < y of all cells, each pair in one cell: those of small cells by the distance of the two rows, those of large ones by blocks."""
+        run, small = np.repeat(np.arange(len(self.first)), self.rows), np.repeat(self.rows <= SMALL_RUN, self.rows)
+        for step in range(1, SMALL_RUN):
+            x = np.flatnonzero(small[:-step] & (run[step:] == run[:-step]))
+            if not len(x):
+                break
+            yield from self._chosen(x, x + step, share, radius)
+        for k in np.flatnonzero(self.rows > SMALL_RUN):
+            own = np.arange(self.first[k], self.first[k] + self.rows[k])
+            for i in range(0, len(own), BRUTE_ROWS):
+                for j in range(i, len(own), BRUTE_ROWS):
+                    a, b = own[i : i + BRUTE_ROWS], own[j : j + BRUTE_ROWS]
+                    near = np.bitwise_count(self.print[a, None] ^ self.print[None, b]).sum(axis=2, dtype=np.uint8) <= radius
+                    x, y = np.nonzero(near)
+                    x, y = a[x], b[y]
+                    yield from self._chosen(x[x < y], y[x < y], share, radius)
+
+    def _chosen(self, x: np.ndarray, y: np.ndarray, share: float, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        # a cell of two blocks has none of the pairs within one of them
+        ok = self.close(x, y, share, radius)
+        x, y = x[ok], y[ok]
+        ok = self.belongs(x, y) & ((self.block[x] != self.block[y]) | (self.alone[x]))
+        if ok.any():
+            yield x[ok], y[ok]
+
+    @cached_property
+    def alone(self) -> np.ndarray:
+        """Whether the cell of a row is of one block."""
+        least, most = np.minimum.reduceat(self.block, self.first), np.maximum.reduceat(self.block, self.first)
+        return np.repeat(least == most, self.rows)
 
 
 def _share_of(a: np.ndarray, b: np.ndarray, share: float) -> bool:
@@ -356,61 +381,68 @@ def _share_of(a: np.ndarray, b: np.ndarray, share: float) -> bool:
     return both >= share * (len(a) + len(b) - both) - 1e-9
 
 
-def link_cell(f: np.ndarray, n: np.ndarray, sets: list[np.ndarray], share: float = SHARE, radius: int = WIDE_RADIUS) -> np.ndarray:
-    """Of the rows of one cell the first row of each row's component, by their whole sets of shingle hashes.  Close rows are compared unless they are in one component by then."""
-    root = np.arange(len(f))
-    for j in range(0, len(f), BRUTE_ROWS):
-        for i in range(0, j + 1, BRUTE_ROWS):
-            near = _close(f, n, slice(i, min(len(f), i + BRUTE_ROWS)), slice(j, min(len(f), j + BRUTE_ROWS)), share, radius)
-            for y in np.flatnonzero(near.any(axis=0)) + j:
-                xs = np.flatnonzero(near[:, y - j]) + i
-                xs = xs[xs < y]
-                while len(xs := xs[root[xs] != root[y]]):
-                    x, xs = xs[0], xs[1:]
-                    if _share_of(sets[x], sets[y], share):
-                        low, high = sorted((root[x], root[y]))
-                        root[root == high] = low
-    return root
+def similar_rows(cells: Cells, sets: list[np.ndarray], share: float = SHARE, radius: int = WIDE_RADIUS) -> list[tuple[int, int]]:
+    """Pairs of rows, similar by their whole sets of shingle hashes, that join all rows that are: close rows are compared unless pairs before join them."""
+    run, root, found = np.repeat(np.arange(len(cells.first)), cells.rows), np.arange(len(cells.cell)), []
+    for x, y in cells.pairs(share, radius):
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+        order = np.argsort(y, kind="stable")
+        for part in np.split(order, np.flatnonzero(np.diff(y[order])) + 1):
+            if not len(part):
+                continue
+            xs, to = x[part], y[part[0]]
+            own = slice(cells.first[run[to]], cells.first[run[to]] + cells.rows[run[to]])
+            while len(xs := xs[root[xs] != root[to]]):
+                at, xs = xs[0], xs[1:]
+                if _share_of(sets[at], sets[to], share):
+                    found.append((at, to))
+                    part_of = root[own]
+                    part_of[part_of == root[to]] = root[at]
+    return found
 
 
-def meeting_cells(reps: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(cell, s, f, n): the rows of reps(s, f, n, m) under each of their keys m, so that rows that share a key meet in a cell of bounded size.
+def meeting_cells(reps: DataFrame, block_rows: int = BLOCK_ROWS, many: int = MANY_BLOCKS) -> DataFrame:
+    """(cell, i, j, b, s, f, n, w): the rows of reps(s, f, n, m, w) under each of their keys m, so that rows that share a key meet in a cell of bounded size.
 
-    Keys of over block_rows rows are split by the rows' other keys (as likely to agree); of what is still larger, every two blocks share a cell.
+    Keys of over ``many`` blocks are split by the rows' other keys (as likely to agree); of every key with more rows than a block, any two
+    blocks share a cell.
     """
-    keys = reps.select("s", "f", "n", "m", F.posexplode("m").alias("i", "v")).select("s", "f", "n", "m", "i", F.xxhash64("i", "v").alias("k"))
+    keys = reps.select("s", "f", "n", "m", "w", F.posexplode("m").alias("i", "v")).select("s", "f", "n", "m", "w", "i", F.lit(-1).alias("j"), F.xxhash64("i", "v").alias("k"))
 
     def with_sizes(rows: DataFrame) -> DataFrame:
         hot = save(rows.groupBy("k").agg(F.count("*").alias("rows")).where(F.col("rows") > block_rows), "hot")
         return rows.join(F.broadcast(hot) if hot.count() <= 500_000 else hot, "k", "left")
 
     rows = with_sizes(keys)
-    other = F.filter(F.transform("m", lambda v, j: F.when(j != F.col("i"), F.xxhash64("k", j, v))), lambda x: x.isNotNull())
-    split = with_sizes(rows.where("rows is not null").select("s", "f", "n", F.explode(other).alias("k")))
+    huge = F.coalesce("rows", F.lit(0)) > block_rows * many
+    split = rows.where(huge).select("s", "f", "n", "w", "i", "k", F.posexplode("m").alias("j", "v")).where("i <> j").select("s", "f", "n", "w", "i", "j", F.xxhash64("k", "j", "v").alias("k"))
+    columns = ["k", "rows", "i", "j", "s", "f", "n", "w"]
     blocks = F.ceil(F.coalesce("rows", F.lit(1)) / F.lit(block_rows)).cast("int")
     mine = F.pmod(F.xxhash64("s"), F.col("blocks").cast("long")).cast("int")
-    met = (
-        split.select("s", "f", "n", "k", blocks.alias("blocks"))
-        .select("s", "f", "n", "k", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
-        .select(F.xxhash64("k", F.least("mine", "with"), F.greatest("mine", "with")).alias("cell"), "s", "f", "n")
-    )
-    return rows.where("rows is null").select(F.col("k").alias("cell"), "s", "f", "n").unionAll(met)
+    dealt = rows.where(~huge).select(*columns).unionAll(with_sizes(split).select(*columns)).withColumn("blocks", blocks)
+    met = dealt.select("k", "i", "j", mine.alias("b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"), "s", "f", "n", "w")
+    return met.select(F.xxhash64("k", F.least("b", "with"), F.greatest("b", "with")).alias("cell"), "i", "j", "b", "s", "f", "n", "w")
 
 
-def similar_links(reps: DataFrame, texts: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """edges(a, b) that join the keys of reps(s, f, n, m) into components of similar texts, by texts(s, text), of which those of one key hold the same words.
+def similar_links(reps: DataFrame, texts: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS, many: int = MANY_BLOCKS) -> DataFrame:
+    """edges(a, b) that join the keys of reps(s, f, n, m, w) into components of similar texts, by texts(s, text), of which those of one key hold the same words.
 
-    First short rows meet in their cells and tell which of them have a close one there.  Only these go to the same cells again, with
-    the hashes of all their shingles, where they are compared; a cell gives one edge a row, never all pairs.
+    First short rows meet in their cells and tell which of them have a close one there; a pair counts in one of the cells that it shares.
+    Only these rows go to the same cells again, with the hashes of all their shingles, where they are compared; a cell gives one edge a
+    row at most, never all pairs.
     """
-    cells = save(meeting_cells(reps, block_rows), "cells")
+    cells = save(meeting_cells(reps, block_rows, many), "cells")
     bins = max(1, -(-cells.count() // (4 * block_rows)))
     dealt = F.pmod("cell", F.lit(bins)).alias("bin")
+    schema = "cell long, i int, j int, b int, s long, f binary, n long, w binary"
 
     def find(t: pa.Table) -> pa.Table:
-        t = t.take(np.argsort(t.column("cell").to_numpy(), kind="stable"))
-        f = np.frombuffer(b"".join(t.column("f").to_pylist()), np.uint64).reshape(-1, 2)
-        return t.filter(pa.array(has_partner(t.column("cell").to_numpy(), f, t.column("n").to_numpy(), share, radius))).select(["cell", "s", "f", "n"])
+        t = t.take(np.lexsort((t.column("s").to_numpy(), t.column("cell").to_numpy()))).select(["cell", "i", "j", "b", "s", "f", "n", "w"])
+        ok = np.zeros(len(t), bool)
+        for x, y in Cells(t).pairs(share, radius):
+            ok[x] = ok[y] = True
+        return t.filter(pa.array(ok))
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for whole in batches for part in slices(whole)):
@@ -419,27 +451,24 @@ def similar_links(reps: DataFrame, texts: DataFrame, share: float = SHARE, radiu
 
     def link(t: pa.Table) -> pa.Table:
         t = t.take(np.lexsort((t.column("s").to_numpy(), t.column("cell").to_numpy())))
-        s, n, f = t.column("s").to_numpy(), t.column("n").to_numpy(), np.frombuffer(b"".join(t.column("f").to_pylist()), np.uint64).reshape(-1, 2)
-        sets, root = [np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()], np.arange(len(s))
-        for first, size in zip(*_runs(t.column("cell").to_numpy())):
-            own = slice(first, first + size)
-            root[own] = link_cell(f[own], n[own], sets[own], share, radius) + first
-        to = np.flatnonzero(root != np.arange(len(s)))
-        return pa.table({"a": s[to], "b": s[root[to]]})
-
-    close = save(cells.groupBy(dealt).applyInArrow(find, "cell long, s long, f binary, n long"), "close")
+        pairs = similar_rows(Cells(t), [np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()], share, radius)
+        a, b = np.array(pairs, np.int64).reshape(-1, 2).T
+        s = t.column("s").to_numpy()
+        return pa.table({"a": s[a], "b": s[b]})
+
+    close = save(cells.groupBy(dealt).applyInArrow(find, schema), "close")
     sets = texts.join(close.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.first("text").alias("text")).mapInArrow(hashes, "s long, hashes binary")
     found = save(close.join(sets, "s").groupBy(dealt).applyInArrow(link, "a long, b long"), "links")
     release(cells, close)
     return found
 
 
-def drop_similar(docs: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def drop_similar(docs: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS, many: int = MANY_BLOCKS) -> DataFrame:
     """docs with one document of each component of texts that share ``share`` of their five-word shingles: that of the smallest doc_id (of repeated rows with it, one)."""
     taken, mark = {c.lower() for c in docs.columns}, "m_"
     while any(c.startswith(mark) for c in taken):
         mark += "_"
-    s, f, n, m = (mark + c for c in "sfnm")
+    s, f, n, m, w = (mark + c for c in "sfnmw")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for whole in batches for part in slices(whole)):
@@ -447,13 +476,13 @@ def drop_similar(docs: DataFrame, share: float = SHARE, radius: int = WIDE_RADIU
             sets = [shingles(t) for t in texts]
             same = [xxhash.xxh3_64_intdigest(b" ".join((t or "").encode("utf-8", "surrogatepass").translate(_LOWER).split())) for t in texts]
             prints = [wide_fingerprint(x) for x in sets]
-            more = [pa.array(np.array(same, np.uint64).view(np.int64)), pa.array([x for x, _ in prints], pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x for _, x in prints], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, s, f, n, m])
+            more = [pa.array(np.array(same, np.uint64).view(np.int64)), pa.array([x for x, _ in prints], pa.binary()), pa.array([len(x) for x in sets], pa.int64()), pa.array([x for _, x in prints], pa.list_(pa.int64())), pa.array([x.astype(np.uint32).tobytes() for _, x in prints], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*b.schema.names, s, f, n, m, w])
 
-    kinds = [T.StructField(s, T.LongType()), T.StructField(f, T.BinaryType()), T.StructField(n, T.LongType()), T.StructField(m, T.ArrayType(T.LongType()))]
+    kinds = [T.StructField(s, T.LongType()), T.StructField(f, T.BinaryType()), T.StructField(n, T.LongType()), T.StructField(m, T.ArrayType(T.LongType())), T.StructField(w, T.BinaryType())]
     marked = save(docs.mapInArrow(run, T.StructType([*docs.schema.fields, *kinds])), "fingerprints")
-    reps = save(marked.groupBy(F.col(s).alias("s")).agg(F.first(f).alias("f"), F.first(n).alias("n"), F.first(m).alias("m"), F.min("doc_id").alias("id")), "reps")
-    roots = settle(lambda: components(similar_links(reps, marked.select(F.col(s).alias("s"), "text"), share, radius, block_rows)), "roots")
+    reps = save(marked.groupBy(F.col(s).alias("s")).agg(F.first(f).alias("f"), F.first(n).alias("n"), F.first(m).alias("m"), F.first(w).alias("w"), F.min("doc_id").alias("id")), "reps")
+    roots = settle(lambda: components(similar_links(reps, marked.select(F.col(s).alias("s"), "text"), share, radius, block_rows, many)), "roots")
     named = reps.select("s", "id").join(roots.withColumnRenamed("node", "s"), "s", "left")
     kept = named.groupBy(F.coalesce("root", "s").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "s")).alias("k")).select(F.col("k.s").alias(f"{mark}k"), F.col("k.id").alias(f"{mark}i"))
     first = Window.partitionBy(s).orderBy(F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
