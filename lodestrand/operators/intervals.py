@@ -42,6 +42,15 @@ def merge(rows: DataFrame, width: int = BIN) -> DataFrame:
     return _followed(turns).where("depth > 0").select("chrom", F.col("pos").alias("start"), F.col("next").alias("end"))
 
 
+def closed_coverage(rows: DataFrame) -> DataFrame:
+    """ref, islands (``first,last`` in order, joined by ``;``) and covered places of alignments(ref, first, last), both ends in them and in either order; islands that only touch stay apart."""
+    # twice the places, so that last and the next first are not neighbours, and a single place is no empty interval
+    wide = rows.select(F.col("ref").alias("chrom"), (2 * F.least("first", "last")).alias("start"), (2 * F.greatest("first", "last") + 1).alias("end"))
+    found = merge(wide, 2 * BIN).select(F.col("chrom").alias("ref"), F.floor(F.col("start") / 2).alias("a"), F.floor(F.col("end") / 2).alias("b"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("a", "b"))), lambda x: F.concat_ws(",", x.a.cast("string"), x.b.cast("string"))), ";")
+    return found.groupBy("ref").agg(text.alias("islands"), F.sum(F.col("b") - F.col("a") + 1).alias("covered"))
+
+
 def covered(rows: DataFrame) -> DataFrame:
     """chrom, n_islands and covered bases."""
     return merge(rows).groupBy("chrom").agg(F.count("*").alias("n_islands"), F.sum(F.col("end") - F.col("start")).alias("covered"))

@@ -23,6 +23,21 @@ def extract_pairs(mates: DataFrame, cut: float, wanted: Column | None = None) ->
     return held.where("_low = 1 or _want = 1").select(*mates.columns)
 
 
+def extract_unmapped(mates: DataFrame, cut: float, wanted: Column | None = None, mark: bool = False, skip_marked: bool = False) -> DataFrame:
+    """name (with its mate number), comment, seq and qual of the pairs of mates(name, mate, score, seq, qual, tag) in which one scores under the cut or is wanted.
+
+    ``mark``: mates that reach the cut get the comment IGNORE; ``skip_marked``: mates whose tag is IGNORE are left out.
+    """
+    pair = Window.partitionBy("name")
+    low = F.max((F.col("score") < cut).cast("int")).over(pair)
+    want = F.max(F.coalesce(wanted, F.lit(False)).cast("int")).over(pair) if wanted is not None else F.lit(0)
+    held = mates.withColumn("_low", low).withColumn("_want", want).where("_low = 1 or _want = 1")
+    if skip_marked:
+        held = held.where(~F.col("tag").eqNullSafe(F.lit("IGNORE")))
+    comment = F.when(F.col("score") >= cut, "IGNORE").otherwise("") if mark else F.lit("")
+    return held.select(F.concat(F.col("name").cast("string"), F.lit("/"), F.col("mate").cast("string")).alias("name"), comment.alias("comment"), "seq", "qual")
+
+
 def without_reads(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """rows(name, …) whose name, without mate number, is not in ids(id)."""
     blocked = ids.select(trim_read_no(F.col("id")).alias("_id")).distinct()

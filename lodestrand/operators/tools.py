@@ -196,6 +196,13 @@ def with_known_accessions(records: DataFrame, acc_to_tid: DataFrame, banned: Dat
     return records.join(kept, "header").select("name", "seq")
 
 
+def without_taxa(records: DataFrame, acc_to_tid: DataFrame, banned: DataFrame) -> DataFrame:
+    """records(header, seq) of which no accession of the header has a taxon of banned(tid)."""
+    each = records.select("header", F.explode(S.accessions(F.col("header"))).alias("acc"))
+    bad = each.join(acc_to_tid, "acc").join(banned.select("tid").distinct(), "tid", "left_semi").select("header").distinct()
+    return records.join(bad, "header", "left_anti")
+
+
 def unpivoted(matrix: DataFrame, key: str, value: str) -> DataFrame:
     """row, column and value of a square matrix with a key column."""
     others = [c for c in matrix.columns if c != key]

@@ -161,3 +161,29 @@ def distinct_kmers(spark, d):
     exact = kmers.counts(_seqs(spark, d), 11).agg(F.count("*").alias("exact"))
     both = exact.join(kmers.unique_estimate(_seqs(spark, d), 11), F.lit(True))  # one row each
     return both.select(F.col("exact").alias("kmers"), (F.abs(F.col("kmers") - F.col("exact")) <= 0.1 * F.col("exact")).alias("close"))
+
+
+@query("""WITH m AS (SELECT l_orderkey || '-' || (l_linenumber - 1) // 2 AS pair, 2 - l_linenumber % 2 AS mate, l_quantity AS score, CASE WHEN l_tax > 0.06 THEN 'IGNORE' WHEN l_suppkey = 3 THEN 'Viruses' END AS tag FROM lineitem),
+w AS (SELECT *, min(score) OVER (PARTITION BY pair) < 10 OR bool_or(coalesce(tag = 'Viruses', false)) OVER (PARTITION BY pair) AS taken FROM m) SELECT pair || '/' || mate AS name, CASE WHEN score >= 10 THEN 'IGNORE' ELSE '' END AS comment, 'AC' AS seq, 'II' AS qual FROM w WHERE taken AND tag IS DISTINCT FROM 'IGNORE'""")
+def unmapped_and_wanted(spark, d):
+    pair = F.concat("l_orderkey", F.lit("-"), F.floor((F.col("l_linenumber") - 1) / 2).cast("string"))
+    tag = F.when(F.col("l_tax") > 0.06, "IGNORE").when(F.col("l_suppkey") == 3, "Viruses")
+    mates = _t(spark, d, "lineitem").select(pair.alias("name"), (2 - F.col("l_linenumber") % 2).alias("mate"), F.col("l_quantity").alias("score"), F.lit("AC").alias("seq"), F.lit("II").alias("qual"), tag.alias("tag"))
+    return reads.extract_unmapped(mates, 10, F.col("tag") == "Viruses", mark=True, skip_marked=True)
+
+
+@query("""WITH r AS (SELECT l_suppkey * 100 + CAST(l_quantity AS BIGINT) AS ref, least(l_partkey, l_partkey + l_linenumber - 3) AS a, greatest(l_partkey, l_partkey + l_linenumber - 3) AS b FROM lineitem),
+o AS (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY ref ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM r), i AS (SELECT *, sum(new) OVER (PARTITION BY ref ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS id FROM o),
+m AS (SELECT ref, min(a) AS a, max(b) AS b FROM i GROUP BY ref, id) SELECT ref, string_agg(a || ',' || b, ';' ORDER BY a) AS islands, CAST(sum(b - a + 1) AS BIGINT) AS covered FROM m GROUP BY ref""")
+def alignment_islands(spark, d):
+    rows = _t(spark, d, "lineitem").select((F.col("l_suppkey") * 100 + F.col("l_quantity").cast("long")).alias("ref"), F.col("l_partkey").alias("first"), (F.col("l_partkey") + F.col("l_linenumber") - 3).alias("last"))
+    return intervals.closed_coverage(rows)
+
+
+@query("""WITH p AS (SELECT p_partkey // 3 AS rec, p_size AS tid FROM part) SELECT 'S' || rec AS seq FROM p GROUP BY rec HAVING NOT bool_or(tid IN (5, 6, 7) AND tid % 4 <> 0)""")
+def references_without_taxa(spark, d):
+    p = _t(spark, d, "part")
+    header = F.concat(F.lit("gi|"), "p_partkey", F.lit("|ref|ACC"), "p_partkey", F.lit(".1|"))
+    records = p.groupBy(F.floor(F.col("p_partkey") / 3).alias("rec")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", header.alias("h")))), lambda x: x.h), "\x01").alias("header")).select("header", F.concat(F.lit("S"), "rec").alias("seq"))
+    known = p.where("p_size % 4 <> 0").select(F.concat(F.lit("ACC"), "p_partkey").alias("acc"), F.col("p_size").alias("tid"))
+    return tools.without_taxa(records, known, spark.createDataFrame([(5,), (6,), (7,)], "tid int")).select("seq")
