@@ -117,6 +117,24 @@ def scaffold_coverage(runs: DataFrame) -> DataFrame:
     return runs.groupBy("chrom").agg(F.sum(F.col("end") - F.col("start")).alias("length"), F.sum((F.col("end") - F.col("start")) * F.col("depth")).alias("bases"), F.round(mean, 6).alias("mean"), F.round(F.sqrt(F.greatest(square - mean * mean, F.lit(0.0))), 4).alias("deviation"), F.round(100 * F.sum(F.when(F.col("depth") > 0, w).otherwise(0.0)) / n, 6).alias("covered_percent"), F.max("depth").alias("most"))
 
 
+def window_means(runs: DataFrame, width: int) -> DataFrame:
+    """chrom, start and mean: the mean depth of each ``width`` places of depth runs (of what there is of the last ones)."""
+    parts = runs.withColumn("_k", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor((F.col("end") - 1) / width))))
+    size = F.least(F.col("end"), (F.col("_k") + 1) * width) - F.greatest(F.col("start"), F.col("_k") * width)
+    return parts.groupBy("chrom", (F.col("_k") * width).alias("start")).agg((F.sum(size * F.col("depth")) / F.sum(size)).alias("mean"))
+
+
+def region_depths(runs: DataFrame, regions: DataFrame, width: int = 1024) -> DataFrame:
+    """chrom, start, end, mean and covered (the share of places with any depth) of different regions(chrom, start, end), by depth runs over their chromosomes."""
+    wanted = regions.select("chrom", "start", "end").distinct()
+    deep = runs.where("depth > 0").select("chrom", F.col("start"), F.col("end"), "depth")
+    pairs = _bins(wanted, width).join(_bins(deep, width).withColumnsRenamed({"start": "r_start", "end": "r_end"}), ["chrom", "_bin"]).where("start < r_end and r_start < end")
+    once = pairs.where(F.col("_bin") == F.floor(F.greatest("start", "r_start") / width)).withColumn("_o", F.least("end", "r_end") - F.greatest("start", "r_start"))
+    sums = once.groupBy("chrom", "start", "end").agg(F.sum(F.col("_o") * F.col("depth")).alias("_d"), F.sum("_o").alias("_c"))
+    size, zero = F.col("end") - F.col("start"), F.lit(0)
+    return wanted.join(sums, ["chrom", "start", "end"], "left").select("chrom", "start", "end", (F.coalesce("_d", zero) / size).alias("mean"), (F.coalesce("_c", zero) / size).alias("covered"))
+
+
 def rpkm(counts: DataFrame) -> DataFrame:
     """counts(ref, length, reads) with ``rpkm``."""
     total = counts.agg(F.sum("reads").alias("_all"))

@@ -130,6 +130,19 @@ def roc(rows: DataFrame) -> DataFrame:
     return each.select("mapq", F.sum("r").over(down).alias("right"), F.sum("w").over(down).alias("wrong"))
 
 
+def indel_lengths(rows: DataFrame) -> DataFrame:
+    """kind (I or D), size and n of the insertions and deletions of mapped rows."""
+    ops = F.filter(S.cigar_ops(F.col("cigar")), lambda x: x.op.isin("I", "D"))
+    return rows.where(~flag(4)).select(F.inline(ops)).groupBy(F.col("op").alias("kind"), F.col("n").alias("size")).agg(F.count("*").alias("n"))
+
+
+def identities(rows: DataFrame, bins: int = 100) -> DataFrame:
+    """bin and reads of mapped rows(cigar, nm): the share of aligned, inserted and deleted places without an edit, in so many bins."""
+    places = S.cigar_length(F.col("cigar"), "M=XID")
+    share = F.greatest(places - F.col("nm"), F.lit(0))
+    return rows.where(~flag(4)).where(places > 0).groupBy(F.least(F.floor(share * bins / places), F.lit(bins - 1)).cast("long").alias("bin")).agg(F.count("*").alias("reads"))
+
+
 def mean_quality(rows: DataFrame, excluded: int = 0x704) -> DataFrame:
     """rname and mapq: the mean mapping quality of a contig's rows without the excluded flags."""
     return rows.where(F.col("flag").bitwiseAND(excluded) == 0).groupBy("rname").agg(F.avg("mapq").alias("mapq"))

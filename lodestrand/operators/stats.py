@@ -52,6 +52,12 @@ def base_composition(seqs: DataFrame, width: int, letters: str = "ACGTN") -> Dat
     return each.groupBy("pos", "base").agg(F.sum("n").alias("n")).where("n > 0")
 
 
+def quality_by_place(reads: DataFrame, width: int, offset: int = 33) -> DataFrame:
+    """pos (the first, from 0, of ``width`` places), bases and mean quality over whole reads."""
+    each = reads.where(F.length("qual") > 0).select(F.posexplode(S.phred(F.col("qual"), offset)).alias("p", "q"))
+    return each.groupBy((F.floor(F.col("p") / width) * width).alias("pos")).agg(F.count("*").alias("bases"), F.avg("q").alias("quality"))
+
+
 def shared_lines(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct lines in both tables(line)."""
     return left.select("line").intersect(right.select("line"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrand.functions import seq as S
 from lodestrand.operators import intervals, kmers, masking, qc, reads, sam, stats, tools
-from lodestrand.plans.registry import ALN, INTERVALS, MERGED, PAIRED, REFS, SEQS, _alignments, _intervals, _kmer_sql, _paired, _refs, _seqs, _t, query
+from lodestrand.plans.registry import ALN, INTERVALS, MERGED, PAIRED, REFS, RUNS, SEQS, _alignments, _genome, _intervals, _kmer_sql, _paired, _refs, _seqs, _t, query
 
 
 @query(f"WITH {SEQS}, c AS (SELECT name, seq, least(length(seq), 81, length(seq) - 2, length(seq) - length(seq) % 4) AS e FROM seqs) SELECT name, CASE WHEN e > 3 THEN substr(seq, 4, e - 3) WHEN seq IS NOT NULL THEN '' END AS seq FROM c")
@@ -187,3 +187,34 @@ def references_without_taxa(spark, d):
     records = p.groupBy(F.floor(F.col("p_partkey") / 3).alias("rec")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", header.alias("h")))), lambda x: x.h), "\x01").alias("header")).select("header", F.concat(F.lit("S"), "rec").alias("seq"))
     known = p.where("p_size % 4 <> 0").select(F.concat(F.lit("ACC"), "p_partkey").alias("acc"), F.col("p_size").alias("tid"))
     return tools.without_taxa(records, known, spark.createDataFrame([(5,), (6,), (7,)], "tid int")).select("seq")
+
+
+@query(f"""WITH {RUNS}, k AS (SELECT chrom, "start", "end", depth, unnest(generate_series("start" // 30, ("end" - 1) // 30)) AS k FROM runs), o AS (SELECT chrom, k, depth, least("end", (k + 1) * 30) - greatest("start", k * 30) AS o FROM k)
+SELECT chrom, k * 30 AS "start", round(sum(o * depth) / sum(o), 9) AS mean FROM o GROUP BY chrom, k""")
+def window_depths(spark, d):
+    return intervals.window_means(intervals.depth_runs(_intervals(spark, d), _genome(spark, d)), 30).withColumn("mean", F.round("mean", 9))
+
+
+@query(f"""WITH {RUNS}, g AS (SELECT DISTINCT l_suppkey AS chrom, l_partkey AS "start", l_partkey + 15 AS "end" FROM lineitem),
+o AS (SELECT g.chrom, g."start", g."end", depth, least(g."end", r."end") - greatest(g."start", r."start") AS o FROM g JOIN runs r ON r.chrom = g.chrom AND g."start" < r."end" AND r."start" < g."end" WHERE depth > 0)
+SELECT g.chrom, g."start", g."end", round(coalesce(sum(o * depth), 0) / 15, 9) AS mean, round(coalesce(sum(o), 0) / 15, 9) AS covered FROM g LEFT JOIN o ON o.chrom = g.chrom AND o."start" = g."start" GROUP BY g.chrom, g."start", g."end" """)
+def region_depths(spark, d):
+    regions = _t(spark, d, "lineitem").select(F.col("l_suppkey").alias("chrom"), F.col("l_partkey").alias("start"), (F.col("l_partkey") + 15).alias("end"))
+    found = intervals.region_depths(intervals.depth_runs(_intervals(spark, d), _genome(spark, d)), regions)
+    return found.withColumn("mean", F.round("mean", 9)).withColumn("covered", F.round("covered", 9))
+
+
+@query(f"WITH {ALN}, o AS (SELECT 'I' AS kind, x + 1 AS size FROM aln WHERE flag & 4 = 0 UNION ALL SELECT 'D', x + 2 FROM aln WHERE flag & 4 = 0) SELECT kind, size, count(*) AS n FROM o GROUP BY ALL")
+def indel_lengths(spark, d):
+    return sam.indel_lengths(_alignments(spark, d))
+
+
+@query(f"WITH {ALN} SELECT least(CAST(floor(greatest(3 * q + 2 * x + 3 - mapq, 0) * 50 / (3 * q + 2 * x + 3)) AS BIGINT), 49) AS bin, count(*) AS reads FROM aln WHERE flag & 4 = 0 GROUP BY 1")
+def identities(spark, d):
+    return sam.identities(_alignments(spark, d).withColumn("nm", F.col("mapq")), 50)
+
+
+@query(f"WITH {SEQS}, e AS (SELECT i, CASE substr(seq, i, 1) WHEN 'A' THEN 40 WHEN 'C' THEN 20 WHEN 'G' THEN 10 ELSE 2 END AS q FROM (SELECT seq, unnest(generate_series(1, length(seq))) AS i FROM seqs)) SELECT CAST((i - 1) // 200 * 200 AS BIGINT) AS pos, count(*) AS bases, round(avg(q), 9) AS quality FROM e GROUP BY 1")
+def quality_by_place(spark, d):
+    rows = _seqs(spark, d).select("name", F.translate("seq", "ACGT", "I5+#").alias("qual"))
+    return stats.quality_by_place(rows, 200).withColumn("quality", F.round("quality", 9))
