@@ -247,8 +247,9 @@ def classes(fps: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS)
     reps = save(fps.groupBy("fp").agg(F.min("doc_id").alias("id")), "reps")
     roots = settle(lambda: components(links(reps.select("fp"), radius, shard_rows)), "roots")
     named = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    least = named.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
-    return named.join(least, "root", "left").select(
+    least = save(named.where("root is not null").groupBy("root").agg(F.min("id").alias("least")), "least")
+    # a component may hold a third of all rows, so that its root is no key to deal rows by where the roots are few
+    return named.join(F.broadcast(least) if least.count() <= 500_000 else least, "root", "left").select(
         "fp", "id", F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
 
