@@ -149,10 +149,12 @@ def reassign(hits: DataFrame, times: float = 20, share: float = 0.05, least: flo
     unique reads exceed ``times`` those of b, and its reads without b exceed
     ``share`` of its reads; a explains b if nothing weakly explains a.
     """
-    strong = hits.where(F.col("score") >= least).select("read", "tid").distinct()
-    sized = strong.withColumn("_n", F.count("*").over(Window.partitionBy("read")))
-    counts = sized.groupBy("tid").agg(F.count("*").alias("n"), F.sum((F.col("_n") == 1).cast("long")).alias("u"))
-    inter = strong.alias("x").join(strong.alias("y"), F.expr("x.read = y.read and x.tid <> y.tid")).groupBy(F.col("x.tid").alias("a"), F.col("y.tid").alias("b")).agg(F.count("*").alias("both"))
+    # many reads have the same set of taxa; pairs are made of each set once, with its number of reads
+    sets = hits.where(F.col("score") >= least).groupBy("read").agg(F.array_sort(F.collect_set("tid")).alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    sets = keep(sets, "sets")
+    counts = sets.select("n", (F.size("s") == 1).alias("_one"), F.explode("s").alias("tid")).groupBy("tid").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("_one"), F.col("n")).otherwise(0)).alias("u"))
+    pairs = sets.where(F.size("s") > 1).select("n", "s", F.explode("s").alias("a")).select("n", "a", F.explode("s").alias("b")).where("a <> b")
+    inter = pairs.groupBy("a", "b").agg(F.sum("n").alias("both"))
     a, b = counts.select(F.col("tid").alias("a"), F.col("n").alias("na"), F.col("u").alias("ua")), counts.select(F.col("tid").alias("b"), F.col("u").alias("ub"))
     weak = inter.join(a, "a").join(b, "b").where((F.col("ua") > times * F.col("ub")) & (F.col("na") - F.col("both") > share * F.col("na"))).select("a", "b")
     explains = weak.join(weak.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
