@@ -129,7 +129,7 @@ def mask_region(seq: Column, start: Column, size: Column) -> Column:
 
 def error_rates(qual: Column, offset: int = 33) -> Column:
     """Error probability of each base of a quality string."""
-    return F.transform(F.split(F.regexp_replace(qual, "(?<=.)(?=.)", "\x00"), "\x00"), lambda c: F.pow(F.lit(10.0), -(F.ascii(c) - offset) / 10.0))
+    return F.transform(each_letter(qual), lambda c: F.pow(F.lit(10.0), -(F.ascii(c) - offset) / 10.0))
 
 
 def average_quality(qual: Column, offset: int = 33) -> Column:
@@ -144,12 +144,12 @@ def optimal_trim(qual: Column, average_error: float, offset: int = 33) -> Column
     state = F.struct(zero.alias("run"), whole.alias("from"), zero.alias("best"), whole.alias("start"), whole.alias("size"), whole.alias("at"))
 
     def step(s: Column, p: Column) -> Column:
-        fresh = s.run < 0
+        fresh = s.run < -1e-9
         run = F.when(fresh, 0.0).otherwise(s.run) + (average_error - p)
         begin = F.when(fresh, s.at).otherwise(s["from"])
         size = s.at + 1 - begin
         # sums that differ by rounding alone are equal
-        better = (run > s.best + 1e-12) | ((F.abs(run - s.best) <= 1e-12) & (run > 0) & (size > s.size))
+        better = (run > s.best + 1e-9) | ((F.abs(run - s.best) <= 1e-9) & (run > 1e-9) & (size > s.size))
         return F.struct(run.alias("run"), begin.alias("from"), F.when(better, run).otherwise(s.best).alias("best"), F.when(better, begin).otherwise(s.start).alias("start"), F.when(better, size).otherwise(s["size"]).alias("size"), (s.at + 1).alias("at"))
 
     return F.aggregate(error_rates(qual, offset), state, step, lambda s: F.struct(s.start.alias("start"), s["size"].alias("size")))
@@ -215,9 +215,14 @@ def allele_frequency(ref: Column, alt: Column, depth: Column, alleles: Column) -
     return F.when(depth > 0, F.coalesce(F.try_element_at(alleles, key), F.lit(0)) / depth).otherwise(0.0)
 
 
+def each_letter(seq: Column) -> Column:
+    """The letters of a text as an array, in one pass; null for a null one."""
+    return F.regexp_extract_all(seq, F.lit("(?s)(.)"), F.lit(1))
+
+
 def phred(qual: Column, offset: int = 33) -> Column:
     """The Phred values of a quality string."""
-    return F.transform(F.regexp_extract_all(qual, F.lit("(?s)(.)"), F.lit(1)), lambda c: F.ascii(c) - offset)
+    return F.transform(each_letter(qual), lambda c: F.ascii(c) - offset)
 
 
 def plain_bases(seq: Column) -> Column:

@@ -77,46 +77,46 @@ def parse_region(text: Column) -> Column:
 
 
 def merged_bases(seqs: DataFrame, other: DataFrame) -> DataFrame:
-    """name and seq of two tables of equal-length sequences: the base where both agree, its ambiguity code where they differ in A, C, G and T, N else."""
+    """name and seq of two tables of sequences, where these are of one length: the base where both agree, its ambiguity code where they differ in A, C, G and T, N else."""
     code = {frozenset(v): k for k, v in IUPAC.items() if len(v) == 2}
     pairs = F.create_map(*[F.lit(x) for a in "ACGT" for b in "ACGT" for x in (a + b, a if a == b else code[frozenset(a + b)])])
     held = seqs.select("name", F.upper("seq").alias("a")).join(other.select("name", F.upper("seq").alias("b")), "name").where(F.length("a") == F.length("b"))
-    bases = F.transform(F.sequence(F.lit(1), F.length("a")), lambda i: F.coalesce(F.try_element_at(pairs, F.concat(F.substr("a", i, F.lit(1)), F.substr("b", i, F.lit(1)))), F.lit("N")))
-    return held.select("name", F.when(F.length("a") > 0, F.array_join(bases, "")).otherwise("").alias("seq"))
+    bases = F.zip_with(S.each_letter(F.col("a")), S.each_letter(F.col("b")), lambda a, b: F.coalesce(F.try_element_at(pairs, F.concat(a, b)), F.lit("N")))
+    return held.select("name", F.array_join(bases, "").alias("seq"))
 
 
 def masked_by(seqs: DataFrame, masks: DataFrame, mark: str = "X") -> DataFrame:
     """seqs with N where the sequence of the same name in masks has the mark; places beyond the mask stay."""
     held = seqs.join(masks.select("name", F.col("seq").alias("_m")), "name", "left")
-    new = F.array_join(F.transform(F.sequence(F.lit(1), F.length("seq")), lambda i: F.when(F.substr("_m", i, F.lit(1)) == mark, "N").otherwise(F.substr("seq", i, F.lit(1)))), "")
-    return held.withColumn("seq", F.when(F.col("_m").isNull() | (F.length("seq") == 0), F.col("seq")).otherwise(new)).drop("_m")
+    new = F.zip_with(S.each_letter(F.col("seq")), F.slice(S.each_letter(F.col("_m")), F.lit(1), F.length("seq")), lambda b, m: F.when(m == mark, "N").otherwise(b))
+    return held.withColumn("seq", F.when(F.col("_m").isNull(), F.col("seq")).otherwise(F.array_join(new, ""))).drop("_m")
 
 
 def ambiguous_sites(seqs: DataFrame) -> DataFrame:
     """name, pos (from 0) and code of the bases that stand for two."""
     two = "".join(k for k, v in IUPAC.items() if len(v) == 2)
-    at = F.filter(F.transform(F.sequence(F.lit(1), F.length("seq")), lambda i: F.struct((i - 1).cast("long").alias("pos"), F.upper(F.substr("seq", i, F.lit(1))).alias("code"))), lambda x: F.instr(F.lit(two), x.code) > 0)
-    return seqs.where(F.upper("seq").rlike(f"[{two}]")).select("name", F.inline(at))
+    each = seqs.select("name", F.posexplode(S.each_letter(F.upper("seq"))).alias("pos", "code"))
+    return each.where(F.instr(F.lit(two), F.col("code")) > 0).select("name", F.col("pos").cast("long").alias("pos"), "code")
 
 
 def random_bases(seqs: DataFrame, seed: str = "1") -> DataFrame:
     """seqs with a base that each ambiguity code stands for, by a seeded hash of name and place."""
     options = F.create_map(*[F.lit(x) for k, v in IUPAC.items() for x in (k, v)])
-    def one(i: Column) -> Column:
-        base = F.upper(F.substr("seq", i, F.lit(1)))
-        choice = F.try_element_at(options, base)
-        coin = F.conv(F.substr(F.md5(F.concat_ws("/", F.lit(seed), F.col("name").cast("string"), i.cast("string"))), F.lit(1), F.lit(7)), 16, 10).cast("long")
-        return F.when(choice.isNull(), F.substr("seq", i, F.lit(1))).otherwise(F.substr(choice, (coin % F.length(choice) + 1).cast("int"), F.lit(1)))
 
-    return seqs.withColumn("seq", F.when(F.length("seq") > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.length("seq")), one), "")).otherwise(F.col("seq")))
+    def one(letter: Column, at: Column) -> Column:
+        choice = F.try_element_at(options, F.upper(letter))
+        coin = F.conv(F.substr(F.md5(F.concat_ws("/", F.lit(seed), F.col("name").cast("string"), (at + 1).cast("string"))), F.lit(1), F.lit(7)), 16, 10).cast("long")
+        return F.when(choice.isNull(), letter).otherwise(F.substr(choice, (coin % F.length(choice) + 1).cast("int"), F.lit(1)))
+
+    return seqs.withColumn("seq", F.array_join(F.transform(S.each_letter(F.col("seq")), one), ""))
 
 
 def mutate(seqs: DataFrame, changes: DataFrame) -> DataFrame:
     """seqs(name, seq) with the bases of changes(name, pos from 0, base), one change a place."""
     own = changes.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct(F.col("pos").cast("int"), "base"))).alias("_c"))
     held = seqs.join(own, "name", "left")
-    new = F.array_join(F.transform(F.sequence(F.lit(1), F.length("seq")), lambda i: F.coalesce(F.try_element_at(F.col("_c"), i - 1), F.substr("seq", i, F.lit(1)))), "")
-    return held.withColumn("seq", F.when(F.col("_c").isNull() | (F.length("seq") == 0), F.col("seq")).otherwise(new)).drop("_c")
+    new = F.array_join(F.transform(S.each_letter(F.col("seq")), lambda b, i: F.coalesce(F.try_element_at(F.col("_c"), i), b)), "")
+    return held.withColumn("seq", F.when(F.col("_c").isNull(), F.col("seq")).otherwise(new)).drop("_c")
 
 
 def heterozygosity(seqs: DataFrame, width: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,11 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def once(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at path; it is made and written there unless a run before has finished it (its ``_SUCCESS`` mark is there)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrand.operators import intervals, sam, taxonomy
-from lodestrand.operators.work import new_folder
+from lodestrand.operators.work import new_folder, once
 from lodestrand.plans.registry import ALN, BUSHY, BUSHY_HITS, INTERVALS, LCA, RUNS, SEQS, _alignments, _bushy, _bushy_hits, _genome, _intervals, _seqs, _t, query
 from lodestrand.sources import fastq, text
 from lodestrand.streaming import events as windows
@@ -222,3 +222,50 @@ def table_folder(spark, d):
     path = new_folder(spark, "table")
     text.write_table(_intervals(spark, d).select("chrom", "start", "end"), path, ["#chrom\tstart\tend"])
     return spark.read.text(path).where(~F.col("value").startswith("#")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {SEQS} SELECT 'r' || name AS name, coalesce(seq, '') AS seq, translate(coalesce(seq, ''), 'ACGT', 'I5+#') AS qual FROM seqs")
+def quality_files(spark, d):
+    """Each sequence, and its qualities as numbers in lines of 30."""
+    fa, qual = new_folder(spark, "fasta"), new_folder(spark, "qual")
+    rows = _seqs(spark, d).select(F.concat(F.lit("r"), "name").alias("name"), F.coalesce("seq", F.lit("")).alias("seq"))
+    text.write_fastx(rows, fa)
+    values = F.regexp_replace(F.regexp_replace(F.translate("seq", "ACGT", "abcd"), "(.{30})", "$1\n"), "([abcd])", "$1 ")
+    for letter, value in zip("abcd", ("40", "20", "10", "2")):
+        values = F.replace(values, F.lit(letter), F.lit(value))
+    rows.select(F.concat(F.lit(">"), "name", F.lit("\n"), values).alias("value")).write.text(qual)
+    return text.fasta_with_quality(spark, fa, qual)
+
+
+@query("SELECT 'm:' || o_orderkey || ':1' AS name, 'ACGT' AS seq, 'I5+#' AS qual FROM orders")
+def scarf_files(spark, d):
+    path = new_folder(spark, "scarf")
+    _t(spark, d, "orders").select(F.concat(F.lit("m:"), "o_orderkey", F.lit(":1:ACGT:I5+#")).alias("value")).write.text(path)
+    return text.scarf(spark, path)
+
+
+@query("SELECT p_partkey AS gi, CAST(p_size AS BIGINT) AS tid FROM part")
+def gi_files(spark, d):
+    path = new_folder(spark, "gi")
+    text.write_table(_t(spark, d, "part").select("p_partkey", "p_size"), path)
+    return text.gi_taxids(spark, path)
+
+
+@query("SELECT 'nt' AS source, 'A' || n_nationkey AS accessions FROM nation UNION ALL SELECT 'uv', 'U' || r_regionkey FROM region")
+def united_references(spark, d):
+    nt = _t(spark, d, "nation").select(F.concat(F.lit("gi|"), "n_nationkey", F.lit("|ref|A"), "n_nationkey", F.lit(".2|")).alias("header"), F.lit("AC").alias("seq"))
+    uv = _t(spark, d, "region").select(F.concat(F.lit("gnl|uv|U"), "r_regionkey", F.lit(":1-9 name")).alias("header"), F.lit("GT").alias("seq"))
+    return text.united_references({"nt": nt, "uv": uv}).select("source", F.array_join("accessions", ",").alias("accessions"))
+
+
+@query("SELECT r_regionkey, 1 AS runs FROM region")
+def finished_stages(spark, d):
+    """A stage that is asked for twice is made once."""
+    path, made = new_folder(spark, "stage"), []
+
+    def stage() -> DataFrame:
+        made.append(1)
+        return _t(spark, d, "region")
+
+    once(spark, path, stage)
+    return once(spark, path, stage).select("r_regionkey", F.lit(len(made)).alias("runs"))

@@ -45,9 +45,9 @@ def thresholded(spark, d):
     return reads.threshold(rows, 30).select("read", "score", F.size("hits").cast("long").alias("n"))
 
 
-@query(f"WITH {SEQS} SELECT source AS file, md5(string_agg(seq, 'NNNNN' ORDER BY name)) AS seq FROM seqs WHERE seq IS NOT NULL GROUP BY source")
+@query(f"WITH {SEQS} SELECT source AS file, md5(coalesce(string_agg(seq, 'NNNNN' ORDER BY name), '')) AS seq FROM seqs GROUP BY source")
 def fused(spark, d):
-    return stats.fuse(_seqs(spark, d).where("seq is not null").withColumnRenamed("source", "file"), 5, "file", "name").withColumn("seq", F.md5("seq"))
+    return stats.fuse(_seqs(spark, d).withColumnRenamed("source", "file"), 5, "file", "name").withColumn("seq", F.md5("seq"))
 
 
 @query("WITH r AS (SELECT l_suppkey % 4 AS unit, CAST(l_partkey + 1 AS BIGINT) AS length, l_quantity AS mean FROM lineitem) SELECT unit, CAST(sum(length) AS BIGINT) AS length, round(sum(mean * length) / sum(length), 9) AS mean FROM r GROUP BY unit")
@@ -119,10 +119,10 @@ def pair_duplicates(spark, d):
     return sam.remove_pair_duplicates(rows, "mapq").select("qname", "line")
 
 
-@query("""WITH s AS (SELECT doc_id AS name, upper(regexp_replace(text, '[^acgtACGT]', 'N', 'g')) AS seq FROM documents WHERE text IS NOT NULL), p AS (SELECT name, regexp_extract_all(seq, 'N{4,}') AS g, list_filter(regexp_split_to_array(seq, 'N{4,}'), lambda x: x <> '') AS c FROM s)
-SELECT name, CAST(len(g) AS INT) AS gaps, CAST(coalesce(list_sum(list_transform(g, lambda x: length(x))), 0) AS BIGINT) AS gap_bases, CAST(len(c) AS INT) AS contigs, CAST(coalesce(list_max(list_transform(c, lambda x: length(x))), 0) AS BIGINT) AS longest FROM p""")
+@query("""WITH s AS (SELECT doc_id AS name, upper(regexp_replace(text, '[^acgtACGT]', 'N', 'g')) AS seq FROM documents), p AS (SELECT name, seq, regexp_extract_all(seq, 'N{4,}') AS g, list_filter(regexp_split_to_array(seq, 'N{4,}'), lambda x: x <> '') AS c FROM s)
+SELECT name, CAST(len(g) AS INT) AS gaps, CASE WHEN seq IS NOT NULL THEN CAST(coalesce(list_sum(list_transform(g, lambda x: length(x))), 0) AS BIGINT) END AS gap_bases, CAST(len(c) AS INT) AS contigs, CAST(coalesce(list_max(list_transform(c, lambda x: length(x))), 0) AS BIGINT) AS longest FROM p""")
 def gap_statistics(spark, d):
-    rows = _t(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]", "N")).alias("seq"))
+    rows = _t(spark, d, "documents").select(F.col("doc_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]", "N")).alias("seq"))
     return stats.gaps(rows, 4)
 
 
@@ -138,21 +138,20 @@ def names_by_word(spark, d):
     return tools.demux_by_name(_t(spark, d, "part").select("p_partkey", F.col("p_name").alias("name")), words).select("p_partkey", "file")
 
 
-@query(f"""WITH {SEQS}, s AS (SELECT name, substr(seq, 1, 40) AS s FROM seqs WHERE seq IS NOT NULL), p AS (SELECT name, i, 0.0437 - CASE substr(s, i, 1) WHEN 'A' THEN 1e-4 WHEN 'C' THEN 1e-2 WHEN 'G' THEN 0.1 ELSE pow(10, -0.2) END AS gain FROM (SELECT name, s, unnest(generate_series(1, length(s))) AS i FROM s)),
-c AS (SELECT name, i, sum(gain) OVER (PARTITION BY name ORDER BY i) AS t FROM p UNION ALL SELECT name, 0, 0 FROM s), b AS (SELECT a.name, a.i AS start, z.i - a.i AS size, z.t - a.t AS gain FROM c a JOIN c z ON z.name = a.name AND z.i > a.i),
-m AS (SELECT name, start, size FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY round(gain, 12) DESC, size DESC, start) AS n FROM b WHERE gain > 0) WHERE n = 1) SELECT s.name, coalesce(substr(s, CAST(start + 1 AS BIGINT), CAST(size AS BIGINT)), '') AS seq FROM s LEFT JOIN m ON m.name = s.name""")
+@query(f"""WITH {SEQS}, p AS (SELECT name, i, CASE substr(seq, i, 1) WHEN 'A' THEN 436 WHEN 'C' THEN 337 WHEN 'G' THEN -563 ELSE -9563 END AS gain FROM (SELECT name, seq, unnest(generate_series(1, length(seq))) AS i FROM seqs)),
+c AS (SELECT name, i, sum(gain) OVER (PARTITION BY name ORDER BY i) AS t FROM p UNION ALL SELECT name, 0, 0 FROM seqs), f AS (SELECT name, i, t, min({{'t': t, 'i': i}}) OVER (PARTITION BY name ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low FROM c),
+m AS (SELECT name, start, size FROM (SELECT name, low.i AS start, i - low.i AS size, row_number() OVER (PARTITION BY name ORDER BY t - low.t DESC, i - low.i DESC, low.i) AS n FROM f WHERE t > low.t) WHERE n = 1)
+SELECT seqs.name, md5(CASE WHEN seq IS NULL THEN NULL ELSE coalesce(substr(seq, start + 1, size), '') END) AS seq FROM seqs LEFT JOIN m ON m.name = seqs.name""")
 def optimal_trimmed(spark, d):
-    """The first 40 bases of each sequence, cut to the stretch of most gain."""
-    head = F.substr("seq", F.lit(1), F.lit(40))
-    rows = _seqs(spark, d).where("seq is not null").select("name", head.alias("seq"), F.translate(head, "ACGT", "I5+#").alias("qual"))
-    return qc.quality_trim(rows, 0.0437).select("name", "seq")
+    """Each sequence cut to the stretch of most gain, a base gaining 0.0437 less its error probability."""
+    rows = _seqs(spark, d).select("name", "seq", F.translate("seq", "ACGT", "I5+!").alias("qual"))
+    return qc.quality_trim(rows, 0.0437).select("name", F.md5("seq").alias("seq"))
 
 
-@query(f"""WITH {SEQS}, s AS (SELECT name, substr(seq, 1, 70) AS s FROM seqs WHERE seq IS NOT NULL), w AS (SELECT name, s, unnest(generate_series(1, length(s) - 49)) AS w FROM s WHERE length(s) >= 50), k AS (SELECT name, w, substr(s, w + j, 5) AS k FROM (SELECT name, s, w, unnest(generate_series(0, 45)) AS j FROM w)),
-c AS (SELECT name, w, k, count(*) / 46.0::DOUBLE AS p FROM k GROUP BY ALL), e AS (SELECT name, w, -sum(p * ln(p)) / ln(46) AS e FROM c GROUP BY ALL) SELECT s.name, round(coalesce(avg(e), 1.0), 9) AS entropy FROM s LEFT JOIN e ON e.name = s.name GROUP BY s.name""")
+@query(f"""WITH {SEQS}, w AS (SELECT name, seq, unnest(generate_series(1, length(seq) - 49)) AS w FROM seqs WHERE length(seq) >= 50), k AS (SELECT name, w, substr(seq, w + j, 5) AS k FROM (SELECT name, seq, w, unnest(generate_series(0, 45)) AS j FROM w)),
+c AS (SELECT name, w, k, count(*) / 46.0::DOUBLE AS p FROM k GROUP BY ALL), e AS (SELECT name, w, -sum(p * ln(p)) / ln(46) AS e FROM c GROUP BY ALL), m AS (SELECT name, avg(e) AS e FROM e GROUP BY name) SELECT seqs.name, CASE WHEN seq IS NOT NULL THEN round(coalesce(e, 1.0), 9) END AS entropy FROM seqs LEFT JOIN m ON m.name = seqs.name""")
 def entropies(spark, d):
-    """Of the first 70 bases of each sequence."""
-    return _seqs(spark, d).where("seq is not null").select("name", F.round(S.entropy(F.substr("seq", F.lit(1), F.lit(70))), 9).alias("entropy"))
+    return _seqs(spark, d).select("name", F.round(S.entropy(F.col("seq")), 9).alias("entropy"))
 
 
 @query(f"WITH {SEQS}, {_kmer_sql('km', 'seqs', 11)} SELECT count(DISTINCT kmer) AS kmers, true AS close FROM km")

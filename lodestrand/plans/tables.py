@@ -174,11 +174,11 @@ def trim_by_overlap(spark, d):
     return tools.trim_by_overlap(_t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", mate(1), mate(2), F.col("l_quantity").cast("int").alias("insert"))).drop("insert")
 
 
-@query(f"""WITH {SEQS}, q AS (SELECT name, seq, list_transform(string_split(seq, ''), lambda b: CASE b WHEN 'A' THEN 1e-4 WHEN 'C' THEN 1e-2 WHEN 'G' THEN 0.1 ELSE pow(10, -0.2) END) AS p FROM seqs WHERE seq IS NOT NULL),
+@query(f"""WITH {SEQS}, q AS (SELECT name, seq, list_transform(string_split(seq, ''), lambda b: CASE b WHEN 'A' THEN 1e-4 WHEN 'C' THEN 1e-2 WHEN 'G' THEN 0.1 ELSE pow(10, -0.2) END) AS p FROM seqs),
 c AS (SELECT name, seq, CASE WHEN length(seq) >= 4 THEN list_filter(generate_series(1, length(seq) - 3), lambda i: p[i] + p[i + 1] + p[i + 2] + p[i + 3] > 4 * pow(10, -0.25))[1] END AS cut FROM q)
 SELECT name, CASE WHEN cut IS NULL THEN seq ELSE substr(seq, 1, cut - 1) END AS seq FROM c""")
 def window_trim(spark, d):
-    rows = _seqs(spark, d).where("seq is not null").select("name", "seq", F.translate("seq", "ACGT", "I5+#").alias("qual"))
+    rows = _seqs(spark, d).select("name", "seq", F.translate("seq", "ACGT", "I5+#").alias("qual"))
     return tools.window_trim(rows, 4, 2.5).select("name", "seq")
 
 
@@ -279,19 +279,18 @@ def parsed_regions(spark, d):
     return _t(spark, d, "part").select("p_partkey", masking.parse_region(text).alias("r")).select("p_partkey", "r.*")
 
 
-TWO = "two AS (SELECT name, list_reduce(list_prepend('', list_transform(generate_series(1, least(60, length(seq))), lambda i: substr('AMRWMCSYRSGKWYKT', CAST(4 * strpos('ACGT', substr(seq, i, 1)) + strpos('ACGT', substr(seq, least(60, length(seq)) + 1 - i, 1)) - 4 AS BIGINT), 1))), lambda a, b: a || b) AS seq FROM seqs WHERE seq IS NOT NULL)"
+TWO = """two AS (SELECT seqs.name, coalesce(x.seq, '') AS seq FROM seqs LEFT JOIN (SELECT name, string_agg(substr('AMRWMCSYRSGKWYKT', CAST(4 * strpos('ACGT', substr(seq, i, 1)) + strpos('ACGT', substr(seq, length(seq) + 1 - i, 1)) - 4 AS BIGINT), 1), '' ORDER BY i) AS seq FROM (SELECT name, seq, unnest(generate_series(1, length(seq))) AS i FROM seqs) GROUP BY name) x ON x.name = seqs.name WHERE seqs.seq IS NOT NULL)"""
 
 
 def _ambiguous(spark: SparkSession, d: str) -> DataFrame:
-    head = F.substr("seq", F.lit(1), F.lit(60))
-    s = _seqs(spark, d).where("seq is not null")
-    return masking.merged_bases(s.select("name", head.alias("seq")), s.select("name", F.reverse(head).alias("seq")))
+    s = _seqs(spark, d)
+    return masking.merged_bases(s.select("name", "seq"), s.select("name", F.reverse("seq").alias("seq")))
 
 
-@query(f"WITH {SEQS}, {TWO} SELECT * FROM two")
+@query(f"WITH {SEQS}, {TWO} SELECT name, md5(seq) AS seq FROM two")
 def merged_bases(spark, d):
-    """The first 60 bases of each sequence against the same read backward."""
-    return _ambiguous(spark, d)
+    """Each sequence against itself read backward."""
+    return _ambiguous(spark, d).withColumn("seq", F.md5("seq"))
 
 
 @query(f"WITH {SEQS}, {TWO}, e AS (SELECT name, i - 1 AS pos, substr(seq, i, 1) AS code FROM (SELECT name, seq, unnest(generate_series(1, length(seq))) AS i FROM two)) SELECT name, CAST(pos // 10 * 10 AS BIGINT) AS start, count(*) AS sites FROM e WHERE code IN ('R', 'Y', 'S', 'W', 'K', 'M') GROUP BY ALL")
@@ -301,9 +300,9 @@ def heterozygous_sites(spark, d):
 
 @query(f"""WITH {SEQS}, {TWO}, e AS (SELECT name, i, substr(seq, i, 1) AS code, CAST('0x' || substr(md5('1/' || name || '/' || i), 1, 7) AS BIGINT) AS h FROM (SELECT name, seq, unnest(generate_series(1, length(seq))) AS i FROM two)),
 o AS (SELECT *, CASE code WHEN 'R' THEN 'AG' WHEN 'Y' THEN 'CT' WHEN 'S' THEN 'CG' WHEN 'W' THEN 'AT' WHEN 'K' THEN 'GT' WHEN 'M' THEN 'AC' ELSE code END AS opt FROM e)
-SELECT two.name, coalesce(x.seq, '') AS seq FROM two LEFT JOIN (SELECT name, string_agg(substr(opt, h % length(opt) + 1, 1), '' ORDER BY i) AS seq FROM o GROUP BY name) x ON x.name = two.name""")
+SELECT two.name, md5(coalesce(x.seq, '')) AS seq FROM two LEFT JOIN (SELECT name, string_agg(substr(opt, h % length(opt) + 1, 1), '' ORDER BY i) AS seq FROM o GROUP BY name) x ON x.name = two.name""")
 def random_bases(spark, d):
-    return masking.random_bases(_ambiguous(spark, d))
+    return masking.random_bases(_ambiguous(spark, d)).withColumn("seq", F.md5("seq"))
 
 
 @query(f"""WITH {SEQS}, m AS (SELECT l_suppkey AS name, l_partkey AS i, min(['A', 'C', 'G', 'T'][l_linenumber % 4 + 1]) AS new FROM lineitem GROUP BY ALL), c AS (SELECT name, i - 1 AS i, substr(seq, i, 1) AS base FROM (SELECT name, seq, unnest(generate_series(1, length(seq))) AS i FROM seqs WHERE name IN (SELECT name FROM m))),

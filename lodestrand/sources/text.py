@@ -164,3 +164,32 @@ def phylip(spark: SparkSession, path: str) -> DataFrame:
     seq = F.regexp_replace(F.when(named, F.regexp_extract("value", r"^\s*\S+\s+(.*)$", 1)).otherwise(F.col("value")), r"\s", "")
     held = body.select("row", "number", name.alias("name"), seq.alias("seq")).groupBy("row")
     return held.agg(F.max("name").alias("name"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "seq"))), lambda x: x.seq), "").alias("seq")).select("name", "seq")
+
+
+def fasta_with_quality(spark: SparkSession, path: str, qualities: str, offset: int = 33) -> DataFrame:
+    """name, seq and qual of FASTA files and of files that give the Phred values of the same names as numbers."""
+    rows = spark.read.option("lineSep", "\n>").text(qualities).select(F.regexp_replace("value", "^>", "").alias("v")).where("v <> ''")
+    values = F.split(F.trim(F.regexp_replace(F.regexp_replace("v", "^[^\n]*\n?", ""), r"\s+", " ")), " ")
+    qual = F.array_join(F.transform(F.filter(values, lambda x: x != ""), lambda x: F.char(x.cast("int") + offset)), "")
+    named = rows.select(F.regexp_extract(F.split_part("v", F.lit("\n"), F.lit(1)), r"^(\S*)", 1).alias("name"), qual.alias("qual"))
+    return fasta(spark, path).select("name", "seq").join(named, "name")
+
+
+def scarf(spark: SparkSession, path: str) -> DataFrame:
+    """name, seq and qual of lines of which the last two of the fields between colons are bases and quality signs (which hold no colon)."""
+    rows = spark.read.text(path).where("value <> ''")
+    return rows.select(*[F.regexp_extract("value", r"^(.*):([^:]*):([^:]*)$", i).alias(n) for i, n in ((1, "name"), (2, "seq"), (3, "qual"))])
+
+
+def gi_taxids(spark: SparkSession, path: str) -> DataFrame:
+    """gi and tid of lines of two numbers."""
+    return _columns(spark, path, r"\s+").select(_at(0, "long").alias("gi"), _at(1, "long").alias("tid")).where("gi is not null and tid is not null")
+
+
+def united_references(collections: dict[str, DataFrame]) -> DataFrame:
+    """header, seq, source and accessions (without versions) of several collections of records(header, seq)."""
+    out = None
+    for source, rows in collections.items():
+        one = rows.select("header", "seq", F.lit(source).alias("source"), S.accessions(F.col("header")).alias("accessions"))
+        out = one if out is None else out.unionByName(one)
+    return out
