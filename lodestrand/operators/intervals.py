@@ -68,10 +68,11 @@ def depth_runs(rows: DataFrame, genome: DataFrame, width: int = BIN) -> DataFram
 
 def spikes(runs: DataFrame, deviations: float) -> DataFrame:
     """Runs deeper than the length-weighted mean plus ``deviations`` population standard deviations of their chromosome."""
-    w = F.col("end") - F.col("start")
-    mean = runs.groupBy("chrom").agg((F.sum(w * F.col("depth")) / F.sum(w)).alias("_mean"))
-    spread = runs.join(mean, "chrom").groupBy("chrom").agg(F.first("_mean").alias("_mean"), F.sqrt(F.sum(w * F.pow(F.col("depth") - F.col("_mean"), 2)) / F.sum(w)).alias("_sd"))
-    return runs.join(spread, "chrom").where(F.col("depth") > F.col("_mean") + deviations * F.col("_sd")).select("chrom", "start", "end", "depth")
+    w, d = F.col("end") - F.col("start"), F.col("depth")
+    sums = runs.groupBy("chrom").agg(F.sum(w).cast("double").alias("_w"), F.sum(w * d).cast("double").alias("_d"), F.sum(w * d * d).cast("double").alias("_q"))
+    # of whole numbers, so that little is lost in the difference
+    limits = sums.select("chrom", (F.col("_d") / F.col("_w") + deviations * F.sqrt(F.greatest(F.col("_w") * F.col("_q") - F.col("_d") * F.col("_d"), F.lit(0.0))) / F.col("_w")).alias("_limit"))
+    return runs.join(limits, "chrom").where(d > F.col("_limit")).select("chrom", "start", "end", "depth")
 
 
 def _bins(rows: DataFrame, width: int) -> DataFrame:
