@@ -42,7 +42,7 @@ from .scratch import drop, new_path
 END_ID = 2
 #: A block holds about so many ids, of whole documents.  Ranges of doc_id follow blocks of about so many documents.
 BLOCK_IDS, RANGE_DOCS, MAX_RANGES = 1_000_000, 8_192, 65_536
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 #: So many blocks at most (about 40 bytes each) are sent to every executor.
 BROADCAST_BLOCKS = 500_000
 MAGIC = b"TOKR0001"
@@ -223,8 +223,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = encoder(tokenizer)
         for b in batches:
-            for i in range(0, len(b), 512):
-                part = b.slice(i, 512)
+            for i in range(0, len(b), 384):
+                part = b.slice(i, 384)
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 ids = part.column("doc_id")
                 at = np.searchsorted(cuts.value, ids.fill_null(-(2**63)).to_numpy(zero_copy_only=False).astype(float)).astype(np.int32)
