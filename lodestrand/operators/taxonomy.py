@@ -19,16 +19,17 @@ def closure(nodes: DataFrame) -> DataFrame:
     A tree has a root, its own parent; a circle of parents is an error.
     """
     up = nodes.where("tid <> parent").select("tid", F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
-    reach, span, most = keep(up, "ancestors"), 1, nodes.count()
+    reach, span = up, 1
     while True:
         # pairs up to 2 * span apart, from pairs up to span apart
         far = reach.alias("a").join(reach.where(F.col("distance") == span).alias("b"), F.col("a.tid") == F.col("b.ancestor"))
         far = keep(far.select("b.tid", "a.ancestor", (F.col("a.distance") + span).alias("distance")), "ancestors")
-        if far.isEmpty():
+        found = far.agg(F.count("*").alias("n"), F.max((F.col("tid") == F.col("ancestor")).cast("int")).alias("circle")).first()
+        if found.circle:
+            raise ValueError("the parents of some nodes form a circle")
+        if not found.n:
             break
         reach, span = reach.unionByName(far), span * 2
-        if span > 2 * most:
-            raise ValueError("the parents of some nodes form a circle")
     own = nodes.select("tid", F.col("tid").alias("ancestor"), F.lit(0).alias("distance"))
     every = own.unionByName(reach)
     depth = every.groupBy(F.col("tid").alias("ancestor")).agg(F.max("distance").cast("int").alias("depth"))
