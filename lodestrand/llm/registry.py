@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, mixture, pieces, quality_model, quality_rules, sharding, simhash, tokenfile, topk, toxicity
+from . import html_text, mixture, pieces, quality_model, quality_rules, resampling, sharding, simhash, tokenfile, topk, toxicity
 from .scratch import new_path
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -62,16 +62,21 @@ def op10_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_simhash_near_dedup, op2_exact_top_k, op3_token_file, op4_quality_classifier, op5_toxicity,
         op6_html_main_text, op7_sentencepiece_n_best, op8_source_mixture, op9_quality_rules, op10_stratified_sharding,
+        op13_importance_resampling,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL, "op9_quality_rules": OP9_SQL, "op10_stratified_sharding": OP10_SQL}
+    return {"op2_exact_top_k": OP2_SQL, "op9_quality_rules": OP9_SQL, "op10_stratified_sharding": OP10_SQL, "op13_importance_resampling": OP13_SQL}
 
 
 OP2_SQL = """
@@ -125,3 +130,30 @@ WITH t AS (
 )
 SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(place * 40 // n AS INT) AS shard, place - (place * 40 // n * n + 39) // 40 AS slot, CAST(NULL AS INT) AS grown_shard, source FROM p
 """
+
+OP13_SQL = f"""
+WITH t AS (
+    SELECT list_transform(generate_series(0, 255), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tab
+), d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{resampling._UPPER}', '{resampling._LOWER}'), '{resampling.WORD}') AS ws FROM documents
+), f AS (SELECT r, unnest(ws) AS w FROM d),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{resampling._UPPER}', '{resampling._LOWER}'), '{resampling.WORD}')) AS w FROM benchmark),
+v AS (
+    SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(w)), '..'), lambda h: ('0x' || h)::BIGINT)), lambda a, x: xor(a >> 8, tab[1 + (xor(a, x) & 255)])), 4294967295) % {resampling.BUCKETS} AS k
+    FROM (SELECT w FROM f UNION SELECT w FROM b), t
+), s AS (SELECT k, count(*) AS s FROM f JOIN v USING (w) GROUP BY k), u AS (SELECT k, count(*) AS t FROM b JOIN v USING (w) GROUP BY k),
+g AS (
+    SELECT k, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT count(*) FROM f) + {resampling.BUCKETS}) AS DOUBLE) / CAST((coalesce(s, 0) + 1) * ((SELECT count(*) FROM b) + {resampling.BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain
+    FROM (SELECT DISTINCT k FROM v) LEFT JOIN s USING (k) LEFT JOIN u USING (k)
+), e AS (SELECT r, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total FROM f JOIN v USING (w) JOIN g USING (k) GROUP BY r),
+w AS (
+    SELECT d.r, doc_id, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE 0 END AS weight,
+        CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256(concat('{resampling.SEED}:', doc_id)), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS noise
+    FROM d LEFT JOIN e ON d.r = e.r
+), z AS (
+    SELECT doc_id, n_features, weight, weight + noise AS score, n_features >= {resampling.LEAST_WORDS} AS fit FROM w
+), o AS (
+    SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place, sum(fit::INT) OVER () AS n FROM z
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= {resampling.PERCENT} * n // 100 THEN place END AS rank FROM o
+"""
