@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, mixture, pieces, quality_model, quality_rules, resampling, sharding, simhash, tokenfile, topk, toxicity
+from . import hard_negatives, html_text, mixture, pieces, quality_model, quality_rules, resampling, sharding, simhash, tokenfile, topk, toxicity
 from .scratch import new_path
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -62,6 +62,10 @@ def op10_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % hard_negatives.EVERY == 0, hard_negatives.relabelled())
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -70,13 +74,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_simhash_near_dedup, op2_exact_top_k, op3_token_file, op4_quality_classifier, op5_toxicity,
         op6_html_main_text, op7_sentencepiece_n_best, op8_source_mixture, op9_quality_rules, op10_stratified_sharding,
-        op13_importance_resampling,
+        op11_hard_negatives, op13_importance_resampling,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL, "op9_quality_rules": OP9_SQL, "op10_stratified_sharding": OP10_SQL, "op13_importance_resampling": OP13_SQL}
+    return {"op2_exact_top_k": OP2_SQL, "op9_quality_rules": OP9_SQL, "op10_stratified_sharding": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op13_importance_resampling": OP13_SQL}
 
 
 OP2_SQL = """
@@ -157,3 +161,23 @@ w AS (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= {resampling.PERCENT} * n // 100 THEN place END AS rank FROM o
 """
+
+OP11_SQL = """
+WITH v AS (
+    SELECT row_number() OVER () AS r, * FROM (
+        SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    )
+), s AS (
+    SELECT a.r, a.vec_id AS anchor_id, a.label = d.label AS same, d.vec_id AS vec_id, CAST(list_inner_product(a.v, d.v) AS BIGINT) AS score
+    FROM v a JOIN v d ON a.vec_id <> d.vec_id AND len(a.v) = len(d.v)
+    WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT * FROM (SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5
+), n AS (
+    SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.r, place ORDER BY s.score DESC, s.vec_id) AS rank
+    FROM p JOIN s ON s.r = p.r AND NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""

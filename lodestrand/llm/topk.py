@@ -26,10 +26,11 @@ or candidates gives no rows; columns other than the two named are ignored.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .scratch import save
@@ -37,6 +38,8 @@ from .scratch import save
 K, SCALE, EVERY = 5, 256.0, 50
 #: A task compares at most CELL_QUERIES queries with CELL_ROWS rows.  Pivots: one for each CELL_ROWS rows, MAX_PIVOTS at most.
 CELL_ROWS, CELL_QUERIES, MAX_PIVOTS, LEAF, FANOUT = 16_384, 4_096, 1_024, 256, 16
+#: A plan of so many pairs of cells is sent to every executor.
+PLAN_ROWS = 200_000
 _LONG = 2**63 - 1
 
 
@@ -167,6 +170,38 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 0))
 
 
+def plan_rows(spark: SparkSession, rows: list[tuple] | pa.Table, schema: str) -> DataFrame:
+    """A table of the driver's plan, broadcast while it has PLAN_ROWS rows or fewer; beyond that it meets other tables by its keys."""
+    made = spark.createDataFrame(rows, schema)
+    return F.broadcast(made) if len(rows) <= PLAN_ROWS else made
+
+
+def pairs_in_reach(groups: np.ndarray, low: np.ndarray, rq: np.ndarray, shards: np.ndarray, rx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(groups, shards) whose greatest possible inner product is not under the group's floor, by one product of their centres."""
+    norm_q, norm_x = np.sqrt((groups**2).sum(1)), np.sqrt((shards**2).sum(1))
+    top = groups @ shards.T + rq[:, None] * norm_x + norm_q[:, None] * rx + rq[:, None] * rx
+    slack = 1e-9 * (np.abs(top) + norm_q[:, None] * norm_x + rq[:, None] * norm_x + norm_q[:, None] * rx + 1)
+    return np.nonzero(~(top + slack < low[:, None]))
+
+
+def reached(spark: SparkSession, sizes: Iterable[Row], centres: dict[int, np.ndarray], floors: dict[tuple[int, int], float | None], cell_rows: int, cell_queries: int) -> DataFrame:
+    """dim, group, shard, parts and blocks of the pairs of cells whose bound reaches the group's floor (none: all pairs). sizes: dim, shard, n, asks, rx and rq of each cell."""
+    found = {name: [] for name in ("dim", "group", "shard", "parts", "blocks")}
+    for dim, c in centres.items():
+        own = sorted((r for r in sizes if r.dim == dim), key=lambda r: r.shard)
+        asking = [r for r in own if (dim, r.shard) in floors]
+        if not asking:
+            continue
+        low = np.array([-np.inf if floors[dim, r.shard] is None else floors[dim, r.shard] for r in asking], float)
+        g, s = pairs_in_reach(c[[r.shard for r in asking]], low, np.array([r.rq or 0.0 for r in asking]), c[[r.shard for r in own]], np.array([r.rx for r in own]))
+        group, shard = np.array([r.shard for r in asking]), np.array([r.shard for r in own])
+        parts, blocks = np.array([max(1, -(-r.n // cell_rows)) for r in own]), np.array([max(1, -(-(r.asks or 0) // cell_queries)) for r in asking])
+        for name, values in (("dim", np.full(len(g), dim)), ("group", group[g]), ("shard", shard[s]), ("parts", parts[s]), ("blocks", blocks[g])):
+            found[name].append(values.astype(np.int32))
+    rows = pa.table({name: pa.array(np.concatenate(v) if v else [], pa.int32()) for name, v in found.items()})
+    return plan_rows(spark, rows, "dim int, group int, shard int, parts int, blocks int")
+
+
 def top_k(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, cell_rows: int = CELL_ROWS, cell_queries: int = CELL_QUERIES, seed: int = 5) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k best other rows of each row that is_query holds for, against all rows."""
     spark = vectors.sparkSession
@@ -196,10 +231,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id", vector
     parts = {key: max(1, -(-r.n // cell_rows)) for key, r in sizes.items()}
     blocks = {key: max(1, -(-(r.asks or 0) // cell_queries)) for key, r in sizes.items()}
 
-    def plan(rows: list[tuple], names: str) -> DataFrame:
-        return F.broadcast(spark.createDataFrame(rows, names)) if rows else spark.createDataFrame([], names)
-
-    shape = plan([(d, s, parts[d, s], blocks[d, s]) for d, s in sizes], "dim int, shard int, parts int, blocks int")
+    shape = plan_rows(spark, [(d, s, parts[d, s], blocks[d, s]) for d, s in sizes], "dim int, shard int, parts int, blocks int")
     dealt = dealt.join(shape, ["dim", "shard"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts").cast("long")).cast("int")).withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks").cast("long")).cast("int"))
 
     def search(table: pa.Table) -> pa.Table:
@@ -223,17 +255,7 @@ def top_k(vectors: DataFrame, is_query: F.Column, id_col: str = "vec_id", vector
     floor = first.groupBy("nth", F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, F.min("score")).alias("worst"))
     seekers = save(seekers.join(floor, ["nth", "id"], "left").select("dim", "shard", "part", "block", "id", "v", "asks", "nth", "worst"), "seekers")
     floors = {(r.dim, r.shard): r.worst for r in seekers.groupBy("dim", "shard").agg(F.when(F.count("worst") == F.count("*"), F.min("worst")).alias("worst")).collect()}
-    pairs = []
-    for (dim, group), low in floors.items():
-        c = centres[dim]
-        for (d, s), r in sizes.items():
-            if d == dim:
-                norm = np.sqrt((c**2).sum(1))
-                rq, rx = sizes[dim, group].rq or 0.0, r.rx
-                top = c[group] @ c[s] + rq * norm[s] + rx * norm[group] + rq * rx
-                if low is None or top + 1e-9 * (abs(top) + norm[s] * norm[group] + 1) >= low:
-                    pairs.append((dim, group, s, parts[d, s], blocks[dim, group]))
-    reach = plan(pairs, "dim int, group int, shard int, parts int, blocks int")  # pivots x pivots at most
+    reach = reached(spark, sizes.values(), centres, floors, cell_rows, cell_queries)
     asked = (
         seekers.withColumnsRenamed({"shard": "group", "part": "own"}).join(reach, ["dim", "group"])
         .select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
