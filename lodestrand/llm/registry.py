@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hard_negatives, html_text, mixture, pieces, quality_model, quality_rules, resampling, sharding, simhash, tokenfile, topk, toxicity
+from . import hard_negatives, html_text, mixture, pieces, quality_model, quality_rules, resampling, sanitising, sharding, simhash, tokenfile, topk, toxicity
 from .scratch import new_path
 
 WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -66,6 +66,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % hard_negatives.EVERY == 0, hard_negatives.relabelled())
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitising.find(_table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -74,13 +78,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_simhash_near_dedup, op2_exact_top_k, op3_token_file, op4_quality_classifier, op5_toxicity,
         op6_html_main_text, op7_sentencepiece_n_best, op8_source_mixture, op9_quality_rules, op10_stratified_sharding,
-        op11_hard_negatives, op13_importance_resampling,
+        op11_hard_negatives, op12_personal_data, op13_importance_resampling,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_top_k": OP2_SQL, "op9_quality_rules": OP9_SQL, "op10_stratified_sharding": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op13_importance_resampling": OP13_SQL}
+    return {"op2_exact_top_k": OP2_SQL, "op9_quality_rules": OP9_SQL, "op10_stratified_sharding": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op12_personal_data": OP12_SQL, "op13_importance_resampling": OP13_SQL}
 
 
 OP2_SQL = """
@@ -181,3 +185,53 @@ WITH v AS (
 )
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
+
+_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+_FINDS = [_EMAIL, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", r"[0-9](?:[\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+_MATCHES = " UNION ALL ".join(f"SELECT r, {n} AS kind, regexp_extract_all(text, '{p}') AS ms, string_split_regex(text, '{p}') AS gs FROM d" for n, p in enumerate(_FINDS))
+_A_TO_Z = f"'{sanitising._UPPER}', '{sanitising._LOWER}'"
+
+
+def _near_sql(fragment: str) -> str:
+    return f"list_filter(regexp_extract_all(translate(regexp_replace({fragment}, '{_EMAIL}', ' ', 'g'), {_A_TO_Z}), '{sanitising.WORD}'), lambda x: length(x) >= {sanitising.MIN_LETTERS})"
+
+
+_LEFT = rf"CASE WHEN length(a) > {sanitising.NEAR_CHARS} THEN regexp_replace(right(a, {sanitising.NEAR_CHARS}), '^[^\x20\x09-\x0D]*', '') ELSE a END"
+_RIGHT = rf"CASE WHEN length(b) > {sanitising.NEAR_CHARS} THEN regexp_replace(left(b, {sanitising.NEAR_CHARS}), '[^\x20\x09-\x0D]*\z', '') ELSE b END"
+OP12_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+raw AS ({_MATCHES}),
+m AS (
+    SELECT r, kind, ms[i] AS value, gs[i] AS a, gs[i + 1] AS b, sum(length(gs[i]) + length(ms[i])) OVER (PARTITION BY r, kind ORDER BY i) AS e
+    FROM (SELECT r, kind, ms, gs, unnest(generate_series(1, len(ms))) AS i FROM raw)
+), v AS (
+    SELECT r, kind, CAST(e - length(value) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, a, b, CASE kind WHEN 0 THEN translate(value, {_A_TO_Z}) WHEN 1 THEN value ELSE regexp_replace(value, '[^0-9]', '', 'g') END AS value FROM m
+), ok AS (
+    SELECT * FROM v WHERE CASE kind WHEN 0 THEN true
+        WHEN 1 THEN len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR TRY_CAST(p AS HUGEINT) > 255)) = 0
+        WHEN 2 THEN length(value) BETWEEN 12 AND 19 AND list_sum(list_transform(generate_series(1, length(value)), lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(value), i, 1) AS INT)
+            ELSE 2 * CAST(substr(reverse(value), i, 1) AS INT) // 10 + 2 * CAST(substr(reverse(value), i, 1) AS INT) % 10 END)) % 10 = 0
+        ELSE length(value) BETWEEN 9 AND 15 END
+), near AS (
+    SELECT r, kind, value, list_concat(list_reverse({_near_sql(_LEFT)})[:{sanitising.NEAR}], ({_near_sql(_RIGHT)})[:{sanitising.NEAR}]) AS ws FROM ok
+), p AS (
+    SELECT r, kind, value, t, min(md5(array_to_string(list_filter(ws, lambda x: x <> t), ' '))) AS context FROM (SELECT r, kind, value, ws, unnest(list_distinct(ws)) AS t FROM near) GROUP BY ALL
+), j AS (SELECT kind, value, t, count(*) AS n_both FROM p GROUP BY ALL HAVING count(DISTINCT context) >= {sanitising.MIN_CONTEXTS}),
+ne AS (SELECT kind, value, count(DISTINCT r) AS n_entity FROM ok GROUP BY ALL),
+w AS (SELECT DISTINCT r, unnest({_near_sql("text")}) AS t FROM d),
+nt AS (SELECT t, count(*) AS n_term FROM w GROUP BY t),
+told AS (
+    SELECT kind, value, t FROM j JOIN ne USING (kind, value) JOIN nt USING (t), (SELECT count(*) AS n_all FROM d)
+    WHERE n_entity < n_all AND round(ln(n_both::DOUBLE * n_all / (n_entity::DOUBLE * n_term)) / ln(n_all::DOUBLE / n_entity), 9) >= {sanitising.GENERALISE}
+), hit AS (SELECT DISTINCT r, t FROM p JOIN told USING (kind, value, t)),
+tok AS (SELECT r, regexp_extract_all(translate(text, {_A_TO_Z}), '{_EMAIL}|{sanitising.WORD}') AS ms, string_split_regex(translate(text, {_A_TO_Z}), '{_EMAIL}|{sanitising.WORD}') AS gs FROM d WHERE r IN (SELECT r FROM hit)),
+found AS (SELECT r, ms[i] AS t, sum(length(gs[i]) + length(ms[i])) OVER (PARTITION BY r ORDER BY i) AS e FROM (SELECT r, ms, gs, unnest(generate_series(1, len(ms))) AS i FROM tok)),
+spans AS (SELECT r, kind, s, e FROM ok UNION ALL SELECT r, 4, CAST(e - length(t) AS BIGINT), CAST(e AS BIGINT) FROM found JOIN hit USING (r, t)),
+named AS (SELECT r, kind, s, concat(['email', 'ip', 'card', 'phone', 'term'][kind + 1], ':', s, ':', e) AS x FROM spans),
+g AS (
+    SELECT r, count(*) FILTER (kind = 0) AS n_email, count(*) FILTER (kind = 1) AS n_ip, count(*) FILTER (kind = 2) AS n_card, count(*) FILTER (kind = 3) AS n_phone, count(*) FILTER (kind = 4) AS n_term,
+        string_agg(x, ',' ORDER BY s, kind) FILTER (kind < 4) AS base, string_agg(x, ',' ORDER BY s, kind) AS spans FROM named GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone, coalesce(n_term, 0) AS n_term, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (r)
+"""

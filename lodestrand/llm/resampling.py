@@ -47,7 +47,7 @@ def buckets(words: str, max_run: int = MAX_RUN, of: int = BUCKETS) -> Column:
     runs = F.col(words)
     for n in range(2, max_run + 1):
         starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        runs = F.concat(runs, F.transform(starts, lambda i, n=n: F.array_join(F.slice(F.col(words), i, n), " ")))
+        runs = F.concat(runs, F.transform(starts, lambda i: F.array_join(F.slice(F.col(words), i, n), " ")))
     return F.transform(runs, lambda x: (F.crc32(x.cast("binary")) % of).cast("int"))
 
 
