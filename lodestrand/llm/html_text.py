@@ -18,11 +18,12 @@ same pass sums the slot text under each template element:
 * texts of the template that stand directly in an element with slots (a
   paragraph that all articles end with) are text of the article and stay.
 
-Menus, page headers and footers, asides, forms, dialogs, scripts and styles are
-known by their elements, roles and hidden marks.  Elements whose class or id
+Menus, page headers and footers, asides, dialogs, scripts and styles are
+known by their elements, roles and hidden marks; forms too, but for one that
+wraps the page (half of its text, paragraphs among it).  Elements whose class or id
 says advert, notice or comments in all of its words are left out only where
-they hold under half of the host's slot text.  Hosts without a template (under
-MIN_PAGES different pages) are read page by page by the same rules, with all of
+they hold under half of the host's slot text.  Hosts without a template (one
+page, or copies of one with hardly a difference) are read page by page by the same rules, with all of
 a page's text as its slots.
 
 Blocks end at structural tags; white space inside a block (line-break elements
@@ -50,8 +51,9 @@ from pyspark.sql import functions as F
 
 from .scratch import save, settle
 
-#: A template needs so many different pages of its host; a class so many tokens, on so many pages and such a share of the host's.
-MIN_PAGES, MIN_CLASS, MIN_SUPPORT, MAIN_SHARE = 8, 3, 0.3, 0.6
+#: A template needs two different pages of its host to compare, and slots that hold MIN_SLOTS of the host's text (copies of one page with little changed tell
+#: nothing of what is template); a class so many tokens, on such a share of the host's pages.
+MIN_PAGES, MIN_SLOTS, MIN_CLASS, MIN_SUPPORT, MAIN_SHARE = 2, 0.25, 3, 0.3, 0.6
 #: Templates of so many tokens in all are sent to every executor; more are joined by host.
 BROADCAST_TOKENS = 500_000
 
@@ -62,7 +64,7 @@ _INLINE = frozenset(
     "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 _RAW = "script style noscript template textarea title svg annotation iframe object canvas select option datalist xmp"
-_LEFT_OUT = frozenset("nav footer aside form button dialog menu head fieldset".split())
+_LEFT_OUT = frozenset("nav footer aside button dialog menu head fieldset".split())
 _CONTAINERS = frozenset("div section ul ol dl table figure details center header blockquote".split())
 # Words of class and id names, and roles, that mark what is no article text, and words that say nothing beside them.
 _LEFT_OUT_NAMES = frozenset(
@@ -74,13 +76,15 @@ _NEUTRAL_NAMES = frozenset(
     "site page main global top bottom left right side inner outer block box bar area wrapper wrap container content list item items links link section region slot unit row col column group panel header head text post posts article articles reader user the of and js sticky fixed".split()
 )
 _LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
-_ENDED_BY_ARTICLE = _LEFT_OUT | {"header", "ul", "ol", "li", "p"}
-
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW.replace(' ', '|')})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>",
-    re.S | re.I,
-)
+_ENDED_BY_ARTICLE = _LEFT_OUT | {"form", "header", "ul", "ol", "li", "p"}
+
+_RAW_NAMES = frozenset(_RAW.split())
+#: A tag whose quoted attributes hold no < or >: most tags, read in one step.
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:]*+)(?!-)([^<>\"']*+(?:\"[^<>\"]*+\"[^<>\"']*+)*+)>")
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_RAW_TAG = re.compile(rf"<({_RAW.replace(' ', '|')})\b", re.I)
+_ENDS = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in _RAW_NAMES}
+_SPECIAL = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
@@ -113,19 +117,77 @@ def _named(attributes: str) -> tuple[str, bool, bool]:
 class Element:
     """A structural element: its place among the page's elements, its parent's, the hash of its path, and what its tag and attributes say."""
 
-    __slots__ = ("at", "parent", "key", "tag", "depth", "out", "marked", "article")
+    __slots__ = ("at", "parent", "key", "tag", "depth", "out", "marked", "article", "form")
 
     def __init__(self, at: int, parent: Element | None, key: int, tag: str, out: bool, marked: bool) -> None:
         self.at, self.key, self.tag, self.marked = at, key, tag, marked
         self.parent, self.depth = (parent.at, parent.depth + 1) if parent else (-1, 0)
         self.article = bool(parent) and (parent.article or parent.tag in ("article", "main"))
         self.out = out or bool(parent) and parent.out
+        self.form = parent.form if parent and parent.form >= 0 else at if tag == "form" else -1  # the outermost form it stands in
 
 
 def _signed(key: int) -> int:
     return key - 2**63
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name in small letters, whether it ends an element, attributes) of the tags of a page; of comments, declarations and elements read as a whole (scripts and such) the name is '', and the attributes are ' ' where a space stands for them.
+
+    Every tag ends at the first > outside of quotes or, where quotes do not
+    close, at the first >.  Where a scan for that end came by is kept, and
+    behind the last > of a page there are no tags, so broken markup is not read
+    again from each of its signs.
+    """
+    last, known, at = page.rfind(">"), {}, page.find("<")
+
+    def tag_end(i: int) -> int:
+        """The first > at or behind i outside of quotes, -1 for none."""
+        path, found = [], -1
+        m = _SPECIAL.search(page, i)
+        while m:
+            j = m.start()
+            if page[j] == ">" or j in known:
+                found = known.get(j, j)
+                break
+            path.append(j)
+            j = page.find(page[j], j + 1)
+            m = _SPECIAL.search(page, j + 1) if j >= 0 else None
+        known.update(dict.fromkeys(path, found))
+        return found
+
+    while at >= 0:
+        end = at + 1
+        m = _PLAIN_TAG.match(page, at)
+        if m and m[2].lower() not in _RAW_NAMES and ":" not in m[2]:
+            end = m.end()
+            yield at, end, m[2].lower(), bool(m[1]), m[3]
+        elif page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = end + 3 if end >= 0 else len(page)
+            yield at, end, "", False, ""
+        elif at > last:
+            if (at := page.find("<!--", at)) >= 0:
+                continue
+            return
+        elif (m := _RAW_TAG.match(page, at)) and (close := tag_end(m.end())) >= 0:
+            ended = _ENDS[m[1].lower()].search(page, close + 1)
+            end = ended.end() if ended else len(page)
+            yield at, end, "", False, "" if m[1].lower() == "textarea" else " "
+        elif m := _TAG.match(page, at):
+            close = tag_end(m.end())
+            close = close if close >= 0 else page.find(">", m.end())
+            end = close + 1
+            yield at, end, m[2].lower(), bool(m[1]), page[m.end() : close]
+        elif page[at + 1 : at + 2] in ("!", "?", "/"):
+            end = page.find(">", at + 2) + 1
+            if not end:
+                end = at + 1
+            else:
+                yield at, end, "", False, ""
+        at = page.find("<", end)
+
+
 def parse(page: str | None) -> tuple[list[Element], list[tuple[int, int, str]]]:
     """The structural elements (0: the page) and the tokens in order: (element, key, text, or '' for its start tag)."""
     top = Element(0, None, 0, "", False, False)
@@ -148,16 +210,14 @@ def parse(page: str | None) -> tuple[list[Element], list[tuple[int, int, str]]]:
                 pop()
             pop()
 
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            text.append(page[at : m.start()])
-        at = m.end()
-        tag = (m[3] or m[6] or "").lower()
+    for start, end, tag, ending, attributes in tags(page):
+        if start > at:
+            text.append(page[at:start])
+        at = end
         if not tag:
-            if m[1] and m[1].lower() != "textarea":
+            if attributes:
                 text.append(" ")
             continue
-        ending, attributes = m[2] or m[5], m[4] if m[3] else m[7] or ""
         names, marked, out = _named(attributes) if attributes and not ending else ("", False, False)
         if tag in _INLINE and not out and not marked:
             if ending and opened[tag] > 0 and stack[-1].tag == tag:  # an inline element that was marked
@@ -190,9 +250,25 @@ def parse(page: str | None) -> tuple[list[Element], list[tuple[int, int, str]]]:
         text.append(page[at:])
     if text:
         block()
+    if any(e.form >= 0 for e in elements):
+        _leave_out_forms(elements, found)
     return elements, found
 
 
+def _leave_out_forms(elements: list[Element], found: list[tuple[int, int, str]]) -> None:
+    """Forms go, but for those that wrap a page: they hold half of its text or more, paragraphs or an article among it."""
+    size, prose, total = Counter(), set(), 0
+    for at, _, text in found:
+        e = elements[at]
+        if text and not e.out:
+            total += len(text)
+            size[e.form] += len(text)
+            if e.tag == "p" or e.article or e.tag in ("article", "main"):
+                prose.add(e.form)
+    for e in elements:
+        e.out = e.out or e.form >= 0 and not (e.form in prose and 2 * size[e.form] >= total)
+
+
 def slot_text(elements: list[Element], found: list[tuple[int, int, str]], template: set[int]) -> list[int]:
     """Of each element, the characters of the slot texts (those outside the template) in it and below, elements that are left out aside."""
     amount = [0] * len(elements)
@@ -267,6 +343,10 @@ def _with_hosts(rows: DataFrame, found: DataFrame, tokens: str) -> DataFrame:
     return rows.join(F.broadcast(found) if size <= BROADCAST_TOKENS else found, "host", "left")
 
 
+#: Stands for no element: a row that holds the characters of all text of a host's pages.
+_ALL_TEXT = 1
+
+
 class _Observed:
     """What the pages of a task say of the candidate classes of their hosts."""
 
@@ -293,18 +373,20 @@ class _Observed:
             was = self.classes.setdefault((host, c), [print_, print_, low, high])
             was[:] = min(was[0], print_), max(was[1], print_), min(was[2], low), max(was[3], high)
         amount = slot_text(elements, found, own)
+        everything = self.elements.setdefault((host, _ALL_TEXT), [0, 0, 0])
+        everything[0] += sum(len(text) for at, _, text in found if not elements[at].out)
         for e in elements:
             if e.at == 0 or e.key in own and not e.out:
                 was = self.elements.setdefault((host, e.key), [0, e.depth, e.marked | 2 * (e.tag in ("article", "main"))])
                 was[0] += amount[e.at]
 
     def rows(self) -> pa.RecordBatch:
-        made = [(h, 0, c, *v) for (h, c), v in self.classes.items()] + [(h, 1, _signed(k) if k else 0, *v, 0) for (h, k), v in self.elements.items()]
+        made = [(h, 0, c, *v) for (h, c), v in self.classes.items()] + [(h, 2 if k == _ALL_TEXT else 1, _signed(k) if k > _ALL_TEXT else 0, *v, 0) for (h, k), v in self.elements.items()]
         cols = [*zip(*made)] or [()] * 7
         return pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(cols)], names=["host", "kind", "key", "a", "b", "c", "d"])
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS, min_support: float = MIN_SUPPORT, main_share: float = MAIN_SHARE) -> DataFrame:
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS, min_support: float = MIN_SUPPORT, main_share: float = MAIN_SHARE, min_slots: float = MIN_SLOTS) -> DataFrame:
     """host, tokens, fixed, much and main of the hosts of pages(host, html) that have a template."""
     found = save(candidates(pages, min_pages, min_class, min_support), "classes")
 
@@ -324,11 +406,12 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN
 
     told = _with_hosts(pages.select("host", "html"), found, "own").select("host", "html", "own").mapInArrow(observe, "host string, kind long, key long, a long, b long, c long, d long")
     # of a class: its orders and gaps, least and greatest; of an element: its slot text, depth and marks
-    told = told.groupBy("host", "kind", "key").agg(F.min("a").alias("low"), F.max("b").alias("high"), F.min("c").alias("first"), F.max("d").alias("last"), F.sum(F.when(F.col("kind") == 1, F.col("a"))).alias("text"), F.max("b").alias("depth"), F.max("c").alias("marks"))
+    told = told.groupBy("host", "kind", "key").agg(F.min("a").alias("low"), F.max("b").alias("high"), F.min("c").alias("first"), F.max("d").alias("last"), F.sum(F.when(F.col("kind") >= 1, F.col("a"))).alias("text"), F.max("b").alias("depth"), F.max("c").alias("marks"))
     told = save(told, "observed")
-    valid = told.where("kind = 0 and low = high and first = last").select("host", F.col("key").cast("int").alias("class"))
-    tokens = found.select("host", F.inline("own")).join(valid, ["host", "class"]).select("host", "token")
     total = told.where("kind = 1 and key = 0").select("host", F.col("text").alias("whole"))
+    telling = told.where("kind = 2").select("host", F.col("text").alias("every")).join(total, "host").where(F.col("whole") >= min_slots * F.col("every")).select("host")
+    valid = told.where("kind = 0 and low = high and first = last").select("host", F.col("key").cast("int").alias("class")).join(telling, "host")
+    tokens = found.select("host", F.inline("own")).join(valid, ["host", "class"]).select("host", "token")
     parts = told.where("kind = 1 and key <> 0").join(total, "host").join(tokens.withColumnRenamed("token", "key"), ["host", "key"])
     big = F.when((F.col("text") >= main_share * F.col("whole")) & (F.col("text") > 0), F.struct((F.col("marks") >= 2).alias("article"), "depth", F.col("text"), "key"))
     known = parts.groupBy("host").agg(

@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 
 MIN_WORDS, REPEAT_PERCENT, LOSS_PERCENT = 50, 50, 40
 _BLANKS, _SYMBOLS = "\x20\x09\x0a\x0b\x0c\x0d", "#*$%&|<>"
-_SIGNED = re.compile(r"[^\x20\x09-\x0D]*(?:!!|[#*$%&<>~^=_]{2})(?![^\x20\x09-\x0D])")
+# a word's last two signs; nothing is read again, however long the word
+_SIGNED = re.compile(r"(?:!!|[#*$%&<>~^=_]{2})(?![^\x20\x09-\x0D])")
 _SEPARATORS = re.compile(r"(?<![^\x20\x09-\x0D])(?:[|>»·•/\\:]|::|>>|->|=>)(?![^\x20\x09-\x0D])")
 _LETTER = re.compile(r"[^\W_]")
 # Phrases of lines that are no text of their own, in English, French, German and Spanish.

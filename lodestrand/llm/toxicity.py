@@ -41,7 +41,12 @@ FOLDS, HELD_OUT, THRESHOLD, SENTENCE_THRESHOLD = 4, 2, 0.3, 0.5
 LEAST_WEIGHT = 0.75
 PER_CLASS, LONGEST, LEAST_DOCS, STEPS, STEMS = 2_000, 30_000, 5, 250, (4, 5, 6)
 _WORDS = re.compile(r"\w+").findall
-_SENTENCE = re.compile(r"[^.!?\n]*\w[^.!?\n]*")
+_PART, _LETTER = re.compile(r"[^.!?\n]+"), re.compile(r"\w")
+
+
+def _sentences(text: str) -> list[str]:
+    """The parts between .!? and line breaks that have a letter or digit (each part is looked at once)."""
+    return [s for s in _PART.findall(text) if _LETTER.search(s)]
 
 
 def _features(words: list[str]) -> set[str]:
@@ -61,10 +66,10 @@ class BagModel:
     def bag(self, text: str) -> float:
         """log(-log(1 - noisy-or)) of the text's sentences; -50 for none."""
         low = text.lower()
-        sentences = len(_SENTENCE.findall(low))
-        total = sentences * np.logaddexp(0.0, self.base)
+        parts = _sentences(low)
+        total = len(parts) * np.logaddexp(0.0, self.base)
         if not self.weights.keys().isdisjoint(_features(_WORDS(low))):
-            for s in _SENTENCE.findall(low):
+            for s in parts:
                 if hit := self.weights.keys() & _features(_WORDS(s)):
                     total += np.logaddexp(0.0, self.base + sum(self.weights[w] for w in sorted(hit))) - np.logaddexp(0.0, self.base)
         return float(np.log(max(total, 1e-22)))
@@ -77,7 +82,9 @@ class BagModel:
     def sentences(self, text: str | None, least: float = SENTENCE_THRESHOLD) -> list[tuple[int, int, float]]:
         """(start, end, probability) of the sentences at or over ``least``."""
         out = []
-        for m in _SENTENCE.finditer(text or ""):
+        for m in _PART.finditer(text or ""):
+            if not _LETTER.search(m[0]):
+                continue
             hit = self.weights.keys() & _features(_WORDS(m[0].lower()))
             p = float(sigmoid(np.array(self.base + sum(self.weights[w] for w in sorted(hit)))))
             if hit and p >= least:
@@ -89,7 +96,7 @@ class BagModel:
 def fit(sample: list[tuple[str, int]], known: dict[int, int], least_docs: int = LEAST_DOCS, steps: int = STEPS, shrink: float = 2e-4, rate: float = 0.15) -> BagModel:
     total = sum(known.values())
     prior = known.get(1, 0) / total if total else 0.0
-    kept = [(t, y) for t, y in sample if _SENTENCE.search(t)]
+    kept = [(t, y) for t, y in sample if _sentences(t)]
     train, rest = [x for i, x in enumerate(kept) if i % 4], kept[::4]
     if len({y for _, y in train}) < 2:
         return BagModel(fixed=prior)
@@ -101,7 +108,7 @@ def fit(sample: list[tuple[str, int]], known: dict[int, int], least_docs: int =
     # sentences in a row; word occurrences point at their sentence, sentences at their document
     doc, sent, word = array("i"), array("i"), array("i")
     for d, (t, _) in enumerate(train):
-        for s in _SENTENCE.findall(t.lower()):
+        for s in _sentences(t.lower()):
             hit = sorted(vocabulary[w] for w in _features(_WORDS(s)) if w in vocabulary)
             sent.extend([len(doc)] * len(hit))
             word.extend(hit)

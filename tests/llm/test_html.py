@@ -102,3 +102,27 @@ def test_deep_pages_take_linear_time(tail):
     start = time.process_time()
     assert html_text.extract("<div class=abcdef>" * 100_000 + "x" + tail * 100_000) == "x"
     assert time.process_time() - start < 5
+
+
+def test_forms():
+    wrapped = "<body><form><div><p>Whole page in a form.</p></div></form></body>"
+    assert html_text.extract(wrapped) == "Whole page in a form."
+    assert html_text.extract("<body><p>A text of some length stands here.</p><form><p>Your mail</p><input><button>Go</button></form></body>") == "A text of some length stands here."
+    assert html_text.extract("<body><form><label>Name</label><input></form></body>") == ""
+    assert html_text.extract("<body><form><article><p>Within.</p></article><nav>Menu</nav></form></body>") == "Within."
+
+
+@pytest.mark.parametrize("n", [2, 3, 7, 8])
+def test_few_pages_of_a_host_make_a_template(spark, n):
+    rng = random.Random(5)
+    rows = [(i, f"http://few.org/{i}", site(i, rng)) for i in range(n)]
+    texts = [r.text for r in html_text.main_text(frame(spark, rows)).collect()]
+    assert len(texts) == n
+    assert not any(line in t.split("\n") for t in texts for line in ("Home", "World", "Sport", "All rights", "Contact us"))
+    assert all(len(t.split("\n")[1].split()) == 60 for t in texts)
+
+
+def test_copies_of_a_page_make_no_template(spark):
+    page = "<html><body><div class=qa><div>Home</div><div>World</div></div><div class=qb><h1>Title</h1><p>{}</p><p>The article itself.</p><p>And its end.</p></div></body></html>"
+    rows = [(i, f"http://same.org/{i}", page.format(i)) for i in range(9)]
+    assert all("The article itself." in r.text for r in html_text.main_text(frame(spark, rows)).collect())
