@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,12 +127,43 @@ def heterozygosity(seqs: DataFrame, width: int) -> DataFrame:
     return ambiguous_sites(seqs).groupBy("name", (F.floor(F.col("pos") / width) * width).alias("start")).agg(F.count("*").alias("sites"))
 
 
+def pileup_reads(bases: str) -> list[tuple[str, str]]:
+    """(base, insertion or deletion behind it) of each read in a pileup's base column, in its order: indels (+ or -, a number of any length, so many letters) belong to the read before them; marks of begins (with their quality sign) and ends are no reads."""
+    out: list[tuple[str, str]] = []
+    at, end = 0, len(bases)
+    while at < end:
+        sign = bases[at]
+        at += 1
+        if sign == "^":
+            at += 1
+        elif sign in "+-":
+            start = at
+            while at < end and bases[at].isdigit():
+                at += 1
+            size = int(bases[start:at] or 0)
+            if out:
+                out[-1] = (out[-1][0], sign + bases[at : at + size].upper())
+            at += size
+        elif sign in ".,*#" or sign.upper() in "ACGTN=":
+            out.append((sign.upper(), ""))
+    return out
+
+
+def _alleles(bases: str | None) -> list[dict[str, object]] | None:
+    if bases is None:
+        return None
+    n: Counter[str] = Counter()
+    for base, indel in pileup_reads(bases):
+        n[{",": ".", "#": "*"}.get(base, base)] += 1
+        if indel:
+            n[("I" if indel[0] == "+" else "D") + indel[1:]] += 1
+    return [{"allele": a, "n": n[a]} for a in sorted(n)]
+
+
 def reads_of_pileup(bases: Column) -> Column:
-    """array<struct<allele, n>> of a pileup's base column: marks of begins and ends left out, reverse strand as forward; matches are ``.``, insertions I + bases, deletions D + bases, and * and # are gone bases."""
-    bare = F.regexp_replace(F.regexp_replace(F.upper(bases), r"\^.", ""), r"[$]", "")
-    # the length of an insertion or deletion says how many letters belong to it, up to two digits
-    marked = bare
-    cut = F.regexp_extract_all(marked, F.lit(r"([+-](?:1[A-Z=.,]|2[A-Z]{2}|3[A-Z]{3}|4[A-Z]{4}|5[A-Z]{5}|6[A-Z]{6}|7[A-Z]{7}|8[A-Z]{8}|9[A-Z]{9})|[ACGTN.,*#])"), F.lit(1))
-    name = lambda x: F.when(x.startswith("+"), F.concat(F.lit("I"), F.substr(x, F.lit(3)))).when(x.startswith("-"), F.concat(F.lit("D"), F.substr(x, F.lit(3)))).when(x == ",", ".").when(x == "#", "*").otherwise(x)
-    named = F.transform(cut, name)
-    return F.transform(F.array_sort(F.array_distinct(named)), lambda a: F.struct(a.alias("allele"), F.size(F.filter(named, lambda x: x == a)).alias("n")))
+    """array<struct<allele, n>> of a pileup's base column: reverse strand as forward; matches are ``.``, insertions I + bases, deletions D + bases, and * and # are gone bases."""
+
+    def parsed(column: pd.Series) -> pd.Series:
+        return column.map(_alleles)
+
+    return F.pandas_udf(parsed, "array<struct<allele:string,n:int>>")(bases)

@@ -66,11 +66,11 @@ def pair_up(rows: DataFrame, order: str, file: str, block: int = 65_536) -> Data
     return whole.withColumn("mate", mate).select(*rows.columns, "mate")
 
 
-def repair(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Mates of two disordered tables(name, seq) side by side; singles have a null side."""
-    a = left.select(trim_read_no(F.col("name")).alias("name"), F.col("seq").alias("seq1"))
-    b = right.select(trim_read_no(F.col("name")).alias("name"), F.col("seq").alias("seq2"))
-    return a.join(b, "name", "full_outer")
+def repair(left: DataFrame, right: DataFrame, order: str = "seq") -> DataFrame:
+    """Mates of two disordered tables(name, seq) side by side: of a name, the n-th rows (in ``order``) of both tables are a pair; singles have a null side."""
+    n = F.row_number().over(Window.partitionBy("name").orderBy("_o"))
+    a, b = (df.select(trim_read_no(F.col("name")).alias("name"), F.col("seq").alias(seq), F.col(order).alias("_o")).withColumn("_n", n).drop("_o") for df, seq in ((left, "seq1"), (right, "seq2")))
+    return a.join(b, ["name", "_n"], "full_outer").drop("_n")
 
 
 def top_share(hits: DataFrame, share: float) -> DataFrame:

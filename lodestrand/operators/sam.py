@@ -43,16 +43,23 @@ def remove_duplicates(rows: DataFrame, key: list[str], quality: str, tie: str) -
     return rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
-def fix_mates(rows: DataFrame) -> DataFrame:
-    """rows with rnext, pnext and tlen from the other row of the same name (pairs of one first and one second read)."""
-    end = F.col("pos") + S.cigar_length(F.col("cigar"), "M=XDN") - 1
-    five = F.when(flag(16), end).otherwise(F.col("pos"))
-    held = rows.withColumn("_five", five)
-    mate = held.select("qname", F.when(flag(0x40), 0x80).when(flag(0x80), 0x40).alias("_side"), F.col("rname").alias("_rname"), F.col("pos").alias("_pos"), F.col("_five").alias("_mate"))
+def fix_mates(rows: DataFrame, order: tuple[str, ...] = ("rname", "pos")) -> DataFrame:
+    """rows with flag, rnext, pnext and tlen from their mates: of a name, the n-th first read and the n-th second read in ``order`` are a pair, so every row has one mate at most.
+
+    A row takes the mate's strand (0x20), and where the mate is unmapped 0x8 in place of 0x2; a paired row without a mate is marked
+    as that of an unmapped one.  tlen is that of pairs on one reference with no unmapped side, between the ends their sequencing began at.
+    """
+    five = F.col("pos") - 1 + F.when(flag(16), S.cigar_length(F.col("cigar"), "M=XDN")).otherwise(0)
     side = F.when(flag(0x40), 0x40).when(flag(0x80), 0x80)
-    out = held.withColumn("_side", side).join(mate, ["qname", "_side"], "left")
-    same = F.col("rname") == F.col("_rname")
-    return out.withColumn("rnext", F.coalesce("_rname", F.lit("*"))).withColumn("pnext", F.coalesce("_pos", F.lit(0))).withColumn("tlen", F.when(same, F.col("_mate") - F.col("_five")).otherwise(0)).drop("_five", "_mate", "_rname", "_pos", "_side")
+    held = rows.withColumn("_five", five).withColumn("_side", side).withColumn("_n", F.row_number().over(Window.partitionBy("qname", "_side").orderBy(*order)))
+    mate = held.where("_side is not null").select("qname", (F.lit(0xC0) - F.col("_side")).alias("_side"), "_n", F.col("rname").alias("_rname"), F.col("pos").alias("_pos"), F.col("_five").alias("_mate"), F.col("flag").alias("_flag"))
+    both = held.join(mate, ["qname", "_side", "_n"], "left")
+    whole = (F.col("rname") == F.col("_rname")) & ~flag(12) & (F.col("_flag").bitwiseAND(12) == 0)
+    clear, lost = (lambda c, bits: c.bitwiseAND(F.lit(~bits & 0xFFFF))), F.col("_flag").bitwiseAND(4) != 0
+    strand = clear(F.col("flag"), 0x20).bitwiseOR(F.when(F.col("_flag").bitwiseAND(16) != 0, 0x20).otherwise(0))
+    alone = F.when(flag(1), clear(F.col("flag"), 0x22).bitwiseOR(F.lit(8))).otherwise(F.col("flag"))
+    new = F.when(F.col("_flag").isNull(), alone).when(lost, clear(strand, 2).bitwiseOR(F.lit(8))).otherwise(strand)
+    return both.withColumns({"flag": new, "rnext": F.coalesce("_rname", F.lit("*")), "pnext": F.coalesce("_pos", F.lit(0)), "tlen": F.when(whole, F.col("_mate") - F.col("_five")).otherwise(0)}).drop("_five", "_mate", "_rname", "_pos", "_side", "_n", "_flag")
 
 
 def spans(rows: DataFrame) -> DataFrame:

@@ -631,13 +631,17 @@ def _paired(spark: SparkSession, d: str) -> DataFrame:
     return _alignments(spark, d).withColumn("qname", name).drop("rnext").withColumn("rname", F.col("rname").cast("string"))
 
 
-PAIRED = f"""{ALN}, s AS (SELECT qname || '-' || (line - 1) // 2 AS qname, line, flag, rname, pos, CASE WHEN flag & 16 <> 0 THEN pos + 3 * q + x + 1 ELSE pos END AS five FROM aln)"""
+#: The n-th first and second reads of a name, by line, place and reference, are mates; five is where sequencing began (from 0).
+PAIRED = f"""{ALN}, s AS (SELECT qname || '-' || (line - 1) // 2 AS qname, line, flag, rname, pos, pos - 1 + CASE WHEN flag & 16 <> 0 THEN 3 * q + x + 2 ELSE 0 END AS five FROM aln),
+n AS (SELECT *, row_number() OVER (PARTITION BY qname, flag & 192 ORDER BY line, pos, rname::VARCHAR, flag) AS nth FROM s),
+f AS (SELECT a.qname, a.line, a.flag, b.flag AS other, b.pos AS pnext, CASE WHEN a.rname = b.rname AND a.flag & 12 = 0 AND b.flag & 12 = 0 THEN b.five - a.five ELSE 0 END AS tlen
+    FROM n a LEFT JOIN n b ON a.qname = b.qname AND a.nth = b.nth AND a.flag & 192 <> b.flag & 192)"""
 
 
-@query(f"""WITH {PAIRED}
-SELECT a.qname, a.line, coalesce(b.pos, 0) AS pnext, CASE WHEN a.rname = b.rname THEN b.five - a.five ELSE 0 END AS tlen FROM s a LEFT JOIN s b ON a.qname = b.qname AND a.flag & 192 <> b.flag & 192""")
+@query(f"""WITH {PAIRED}, m AS (SELECT *, (flag - (flag & 32)) + CASE WHEN other & 16 <> 0 THEN 32 ELSE 0 END AS turned FROM f)
+SELECT qname, line, CASE WHEN other IS NULL THEN (flag - (flag & 34)) | 8 WHEN other & 4 <> 0 THEN (turned - (turned & 2)) | 8 ELSE turned END AS flag, coalesce(pnext, 0) AS pnext, tlen FROM m""")
 def fix_mates(spark, d):
-    return sam.fix_mates(_paired(spark, d)).select("qname", "line", "pnext", "tlen")
+    return sam.fix_mates(_paired(spark, d), ("line", "pos", "rname", "flag")).select("qname", "line", "flag", "pnext", "tlen")
 
 
 @query(f"""WITH {ALN} SELECT rname AS chrom, pos - 1 AS "start", pos - 1 + 3 * q + x + 2 AS "end", qname || CASE WHEN flag & 64 <> 0 THEN '/1' ELSE '/2' END AS name, mapq AS score, CASE WHEN flag & 16 <> 0 THEN '-' ELSE '+' END AS strand FROM aln WHERE flag & 4 = 0""")
@@ -702,10 +706,9 @@ def kmer_positions(spark, d):
     return rearrange.hit_positions(_seqs(spark, d), _refs(spark, d), K)
 
 
-@query(f"""WITH {PAIRED},
-t AS (SELECT CASE WHEN a.rname = b.rname THEN b.five - a.five ELSE 0 END AS tlen FROM s a JOIN s b ON a.qname = b.qname AND a.flag & 192 <> b.flag & 192) SELECT tlen AS size, count(*) AS pairs FROM t WHERE tlen > 0 GROUP BY tlen""")
+@query(f"WITH {PAIRED} SELECT tlen AS size, count(*) AS pairs FROM f WHERE tlen > 0 GROUP BY tlen")
 def insert_sizes(spark, d):
-    return rearrange.insert_sizes(sam.fix_mates(_paired(spark, d)))
+    return rearrange.insert_sizes(sam.fix_mates(_paired(spark, d), ("line", "pos", "rname", "flag")))
 
 
 @query(f"""WITH {SEQS}, f AS (SELECT name, frame, CASE WHEN frame > 2 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS s FROM seqs, (SELECT unnest(generate_series(0, 5)) AS frame))
@@ -774,8 +777,8 @@ def mask_lower_case(spark, d):
     return _t(spark, d, "part").select("p_partkey", S.mask_runs(F.col("p_name"), 4).alias("masked"))
 
 
-@query("""WITH m AS (SELECT l_orderkey || '-' || (l_linenumber - 1) // 2 AS k, l_linenumber % 2 AS odd, l_partkey AS p FROM lineitem)
-SELECT coalesce(a.k, b.k) AS name, a.p::VARCHAR AS seq1, b.p::VARCHAR AS seq2 FROM (SELECT * FROM m WHERE odd = 1) a FULL JOIN (SELECT * FROM m WHERE odd = 0) b ON a.k = b.k""")
+@query("""WITH m AS (SELECT l_orderkey || '-' || (l_linenumber - 1) // 2 AS k, l_linenumber % 2 AS odd, l_partkey::VARCHAR AS p FROM lineitem), n AS (SELECT *, row_number() OVER (PARTITION BY k, odd ORDER BY p) AS nth FROM m)
+SELECT coalesce(a.k, b.k) AS name, a.p AS seq1, b.p AS seq2 FROM (SELECT * FROM n WHERE odd = 1) a FULL JOIN (SELECT * FROM n WHERE odd = 0) b ON a.k = b.k AND a.nth = b.nth""")
 def repair_mates(spark, d):
     name = F.concat_ws("-", "l_orderkey", F.floor((F.col("l_linenumber") - 1) / 2).cast("string"))
     rows = _t(spark, d, "lineitem").select(F.concat(name, F.lit("/"), 2 - F.col("l_linenumber") % 2).alias("name"), F.col("l_partkey").cast("string").alias("seq"), "l_linenumber")

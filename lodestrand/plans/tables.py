@@ -313,13 +313,14 @@ def mutated(spark, d):
     return masking.mutate(_seqs(spark, d).select("name", "seq"), changes).select("name", F.md5("seq").alias("seq"))
 
 
-PILEUP = [(".", "."), (",", "."), ("A", "A"), (".+2AG", "."), ("c-1t", "C"), ("*", "*"), ("^].", "."), ("g$", "G")]
+#: Pieces of a pileup's base column: what the base is read as, and the indel behind it.
+PILEUP = [(".", ".", None), (",", ".", None), ("A", "A", None), (".+12AGAGAGAGAGAG", ".", "I" + "AG" * 6), ("c-1t", "C", "DT"), ("*", "*", None), ("^+.", ".", None), ("g$", "G", None), (",-100" + "acgtt" * 20, ".", "D" + "ACGTT" * 20)]
 
 
-@query(f"""WITH p AS (SELECT l_suppkey, l_partkey, l_linenumber % 8 AS k FROM lineitem), a AS (SELECT l_suppkey, l_partkey, {[x for _, x in PILEUP]}[k + 1] AS allele FROM p UNION ALL SELECT l_suppkey, l_partkey, CASE k WHEN 3 THEN 'IAG' ELSE 'DT' END FROM p WHERE k IN (3, 4))
-SELECT l_suppkey, l_partkey, allele, CAST(count(*) AS INT) AS n FROM a GROUP BY ALL""")
+@query(f"""WITH p AS (SELECT l_suppkey, l_partkey, (l_orderkey + l_linenumber) % {len(PILEUP)} AS k FROM lineitem), a AS (SELECT l_suppkey, l_partkey, {[x for _, x, _ in PILEUP]}[k + 1] AS allele FROM p UNION ALL SELECT l_suppkey, l_partkey, {[x or '' for _, _, x in PILEUP]}[k + 1] FROM p)
+SELECT l_suppkey, l_partkey, allele, CAST(count(*) AS INT) AS n FROM a WHERE allele <> '' GROUP BY ALL""")
 def pileup_alleles(spark, d):
-    piece = F.element_at(F.array(*[F.lit(p) for p, _ in PILEUP]), (F.col("l_linenumber") % 8 + 1).cast("int"))
+    piece = F.element_at(F.array(*[F.lit(p) for p, _, _ in PILEUP]), ((F.col("l_orderkey") + F.col("l_linenumber")) % len(PILEUP) + 1).cast("int"))
     piles = _t(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.array_join(F.collect_list(piece), "").alias("bases"))
     return piles.select("l_suppkey", "l_partkey", F.inline(masking.reads_of_pileup(F.col("bases"))))
 
