@@ -53,7 +53,8 @@ def buckets(words: str, max_run: int = MAX_RUN, of: int = BUCKETS) -> Column:
 
 def bucket_counts(texts: DataFrame, text: str = "text", max_run: int = MAX_RUN, of: int = BUCKETS) -> dict[int, int]:
     """How many features of all texts fall in each bucket (``of`` numbers at most)."""
-    listed = texts.select(words(text).alias("_w")).select(F.explode(buckets("_w", max_run, of)).alias("_b"))
+    # explode would make the array twice, the second time for a filter by its size
+    listed = texts.select(words(text).alias("_w")).select(F.explode_outer(buckets("_w", max_run, of)).alias("_b")).where("_b is not null")
     return {r["_b"]: r["count"] for r in listed.groupBy("_b").count().collect()}
 
 

@@ -19,11 +19,12 @@ removed.  Documents without an entity stay as they are.
 All of it is DataFrame functions.  Where a match starts is a running sum over
 lengths of gaps and matches, taken in log2(n) rounds of a higher-order function
 (n log n, no list is copied once an element).  Patterns do not go back over what
-they have read, so a word or number of a megabyte takes linear time.  Texts with
+they have read, so a word or number of a megabyte takes linear time.  Arrays are
+unfolded with explode_outer: explode would have its array made twice, once for
+a filter by its size that is pushed below the steps it is made in.  Texts with
 an entity are written once; only entities, pairs and narrow rows are shuffled,
-counts summed up before.  Terms are counted in all documents; only candidates
-are counted where these are few enough to be broadcast, else all words are
-counted and then joined.
+counts summed up before.  Terms are counted in all documents, by task before
+they are shuffled.
 
 Defined results: null texts are empty; repeated rows are documents of their own
 and each counts; entities are compared by lower-cased address, or digits; an entity that
@@ -41,7 +42,7 @@ from .scratch import save
 
 KINDS = ("email", "ip", "card", "phone", "term")
 MIN_LETTERS, NEAR, NEAR_CHARS, MIN_CONTEXTS, GENERALISE, REMOVE = 3, 8, 120, 3, 0.9, 0.98
-#: Candidate terms, and hits, of so many rows are sent to every executor; more meet the other side by key.
+#: Disclosing terms, and hits, of so many rows are sent to every executor; more meet the other side by key.
 BROADCAST_ROWS = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANK = r"\x20\x09-\x0D"
@@ -157,7 +158,7 @@ def _pairs(found: DataFrame) -> DataFrame:
         before = F.get("_p", i - 1)
         return (i > 0) & (before["kind"] == x["kind"]) & (before["value"] == x["value"]) & (before["term"] == x["term"])
 
-    return rows.select("rid", F.explode(F.filter("_p", lambda x, i: ~F.coalesce(again(x, i), F.lit(False)))).alias("_x")).select("rid", "_x.*")
+    return rows.select("rid", F.explode_outer(F.filter("_p", lambda x, i: ~F.coalesce(again(x, i), F.lit(False)))).alias("_x")).where("_x is not null").select("rid", "_x.*")
 
 
 def _broadcast_if_small(df: DataFrame) -> tuple[DataFrame, bool]:
@@ -166,14 +167,12 @@ def _broadcast_if_small(df: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """term, n_term: of the given terms, in how many documents each stands outside of addresses."""
+    """term, n_term: of the given different terms, in how many documents each stands outside of addresses. Words are counted before they meet the terms, so a frequent one is a row a task."""
     text = F.coalesce(F.col("text"), F.lit(""))
     outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, EMAIL, " ")).otherwise(text)
-    listed = docs.select(F.explode(F.array_distinct(_words(outside))).alias("term"))
-    terms, small = _broadcast_if_small(terms)
-    if small:
-        return listed.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    return listed.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term", "left_semi")
+    listed = docs.select(F.explode_outer(F.array_distinct(_words(outside))).alias("term")).where("term is not null")
+    # a semi join would be pushed below the aggregation again, to every single word
+    return listed.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term")
 
 
 def disclosing(docs: DataFrame, found: DataFrame, min_contexts: int = MIN_CONTEXTS, generalise: float = GENERALISE) -> DataFrame:
@@ -202,7 +201,7 @@ def _term_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     rids, _ = _broadcast_if_small(hits.select("rid").distinct())
     texts = found.select("rid", _lowered(F.col("text")).alias("_text")).join(rids, "rid", "left_semi")
     tokens = _located(texts, "_text", {"tokens": f"{EMAIL}|{WORD}"})
-    tokens = tokens.select("rid", F.explode("tokens").alias("_t")).select("rid", F.col("_t.start").alias("start"), F.col("_t.end").alias("end"), F.col("_t.value").alias("term"))
+    tokens = tokens.select("rid", F.explode_outer("tokens").alias("_t")).where("_t is not null").select("rid", F.col("_t.start").alias("start"), F.col("_t.end").alias("end"), F.col("_t.value").alias("term"))
     marked = tokens.join(small, ["rid", "term"])
     # of one document, its own words only
     return marked.groupBy("rid").agg(F.collect_list(F.struct("start", F.lit(4).alias("kind"), "end", (F.col("disclosure") >= REMOVE).alias("removed"))).alias("terms"))
