@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import md5
 
 import numpy as np
@@ -20,10 +20,21 @@ _DIGIT[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3] * 2
 
 def canonical_codes(raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(place, code) of all k-mers of A, C, G and T in raw bytes; the code is the greater one of both strands."""
+    at, forward, back = _both_codes(raw, k)
+    return at, np.maximum(forward, back)
+
+
+def stranded_codes(raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As canonical_codes, but each code is doubled, plus one where it is that of the strand given."""
+    at, forward, back = _both_codes(raw, k)
+    return at, np.maximum(forward, back) << 1 | (forward > back)
+
+
+def _both_codes(raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     digits = _DIGIT[raw]
     n = len(digits) - k + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     bad = np.cumsum(np.r_[0, digits > 3])
     at = np.flatnonzero(bad[k:] == bad[:-k])
     forward, back = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -31,16 +42,16 @@ def canonical_codes(raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         part = digits[i : i + n].astype(np.int64)
         forward = forward << 2 | part & 3
         back |= (3 - part & 3) << 2 * i
-    return at, np.maximum(forward, back)[at]
+    return at, forward[at], back[at]
 
 
-def _pieces(batch: pa.RecordBatch, seq: str, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pieces(batch: pa.RecordBatch, seq: str, k: int, codes_of: Callable = canonical_codes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, place, code) of a batch's sequences, some of them joined or in pieces."""
     column = batch.column(batch.schema.get_field_index(seq))
     raw, held, size = [], [], 0
 
     def done() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at, code = canonical_codes(np.frombuffer(b"N".join(raw), np.uint8), k)
+        at, code = codes_of(np.frombuffer(b"N".join(raw), np.uint8), k)
         lengths = np.array([len(r) for r in raw])
         starts = np.cumsum(lengths + 1) - lengths - 1
         own = np.searchsorted(starts, at, side="right") - 1
@@ -77,6 +88,25 @@ def explode(seqs: DataFrame, k: int, name: str = "name", seq: str = "seq") -> Da
     return seqs.select(name, seq).mapInArrow(run, T.StructType([seqs.schema[name], T.StructField("pos", T.IntegerType()), T.StructField("kmer", T.LongType())]))
 
 
+def places(seqs: DataFrame, k: int, ends: bool = False) -> DataFrame:
+    """name, pos, kmer and forward (whether the code is that of the strand given) of seqs(name, seq); with ``ends`` those of the first and the last k bases alone. k is odd, so that no k-mer is its own complement."""
+    check(k)
+    if k % 2 == 0 or k > 29:
+        raise ValueError("the strand of a k-mer is known for odd k up to 29 only")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = b.column(0)
+            sizes = np.array([len(x) if x else 0 for x in b.column(1).to_pylist()]) if ends else None
+            for rows, at, code in _pieces(b, "seq", k, stranded_codes):
+                if ends:
+                    tip = (at == 0) | (at == sizes[rows] - k)
+                    rows, at, code = rows[tip], at[tip], code[tip]
+                yield pa.RecordBatch.from_arrays([names.take(pa.array(rows)), pa.array(at.astype(np.int32)), pa.array(code >> 1), pa.array((code & 1).astype(bool))], names=["name", "pos", "kmer", "forward"])
+
+    return seqs.select("name", "seq").mapInArrow(run, T.StructType([seqs.schema["name"], T.StructField("pos", T.IntegerType()), T.StructField("kmer", T.LongType()), T.StructField("forward", T.BooleanType())]))
+
+
 def counted(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
     """kmer (code) and n, summed up within pieces of batches: add them up by kmer."""
     check(k)

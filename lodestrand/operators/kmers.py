@@ -129,15 +129,6 @@ def exact_duplicates(seqs: DataFrame) -> DataFrame:
     return seqs.groupBy(S.strand_key(F.upper("seq")).alias("_k")).agg(F.min("name").alias("name"), F.count("*").alias("copies")).drop("_k")
 
 
-def contained(seqs: DataFrame, least: int = 100, block: int = 32) -> DataFrame:
-    """Names of seqs(name, seq) of at least ``least`` bases that lie within no other on either strand (of equal ones, the smaller name stays).  Candidates share the first block of one with a block of another."""
-    rows = seqs.where(F.length("seq") >= least).select("name", F.upper("seq").alias("seq"))
-    heads = rows.select("name", "seq", F.explode(F.array(F.col("seq"), S.reverse_complement(F.col("seq")))).alias("strand")).withColumn("kmer", F.substr("strand", F.lit(1), F.lit(block)))
-    bodies = rows.select(F.col("name").alias("o"), F.col("seq").alias("whole"), F.explode(F.array_distinct(S.kmers(F.col("seq"), block))).alias("kmer"))
-    inside = heads.join(bodies, "kmer").where("name <> o and locate(strand, whole) > 0 and (length(whole) > length(seq) or o < name)").select("name").distinct()
-    return rows.join(inside, "name", "left_anti").select("name")
-
-
 def common(seqs: DataFrame, k: int, most: int) -> DataFrame:
     """name, kmer, n: the most frequent k-mers of each sequence."""
     n = explode(seqs, k).groupBy("name", "kmer").agg(F.count("*").alias("n"))

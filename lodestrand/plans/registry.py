@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrand.functions import seq as S
-from lodestrand.operators import intervals, kmers, qc, reads, rearrange, sam, stats, taxonomy, variants
+from lodestrand.operators import intervals, kmers, overlaps, qc, reads, rearrange, sam, stats, taxonomy, variants
 from lodestrand.sources import text as sources
 from lodestrand.streaming import events as windows
 
@@ -762,7 +762,18 @@ def reference_stats(spark, d):
 @query(f"""WITH {SEQS}, r AS (SELECT name, seq, length(seq) AS n FROM seqs WHERE length(seq) >= 100)
 SELECT name FROM r WHERE NOT EXISTS (SELECT 1 FROM r b WHERE b.name <> r.name AND (b.n > r.n OR b.name < r.name) AND b.n >= r.n AND (contains(b.seq, r.seq) OR contains(b.seq, reverse(translate(r.seq, 'ACGT', 'TGCA')))))""")
 def without_contained(spark, d):
-    return kmers.contained(_seqs(spark, d).select("name", "seq"))
+    return overlaps.contained(_seqs(spark, d).select("name", "seq"))
+
+
+@query(f"""WITH {SEQS}, s AS (SELECT min(name) AS name, min_by(seq, name) AS seq FROM seqs WHERE length(seq) >= 50 GROUP BY greatest(seq, reverse(translate(seq, 'ACGT', 'TGCA')))),
+k AS (SELECT name, n, pos, w, greatest(w, reverse(translate(w, 'ACGT', 'TGCA'))) AS c FROM (SELECT name, length(seq) AS n, i - 1 AS pos, substr(seq, i, 29) AS w FROM (SELECT name, seq, unnest(generate_series(1, length(seq) - 28)) AS i FROM s))),
+m AS (SELECT a.name AS x, b.name AS y, a.n AS nx, b.n AS ny, (a.w = a.c) <> (b.w = b.c) AS reverse, CASE WHEN (a.w = a.c) <> (b.w = b.c) THEN b.pos - (a.n - a.pos - 29) ELSE b.pos - a.pos END AS o FROM k a JOIN k b ON a.c = b.c AND a.name <> b.name WHERE a.pos = 0 OR a.pos = a.n - 29),
+e AS (SELECT DISTINCT least(x, y) AS a, greatest(x, y) AS b, reverse, CASE WHEN x < y THEN o WHEN reverse THEN nx - ny + o ELSE -o END AS "offset", CASE WHEN x < y THEN nx ELSE ny END AS na, CASE WHEN x < y THEN ny ELSE nx END AS nb FROM m),
+l AS (SELECT *, greatest("offset", 0) AS st, least("offset" + na, nb) - greatest("offset", 0) AS length FROM e)
+SELECT a, b, l.reverse, l."offset", l.length, CASE WHEN l."offset" >= 0 AND l."offset" + na <= nb THEN 'inner' WHEN l."offset" <= 0 AND l."offset" + na >= nb THEN 'outer' ELSE 'end' END AS kind
+FROM l JOIN s p ON p.name = a JOIN s q ON q.name = b WHERE l.length >= 50 AND substr(CASE WHEN l.reverse THEN reverse(translate(p.seq, 'ACGT', 'TGCA')) ELSE p.seq END, st - l."offset" + 1, l.length) = substr(q.seq, st + 1, l.length)""")
+def overlap_edges(spark, d):
+    return overlaps.edges(_seqs(spark, d).select("name", "seq")).drop("mismatches")
 
 
 @query(f"""WITH {SEQS}, q AS (SELECT name, seq, CAST(length(seq) AS DOUBLE) AS n, length(replace(seq, 'A', '')) AS na, length(replace(seq, 'C', '')) AS nc, length(replace(seq, 'G', '')) AS ng, length(replace(seq, 'T', '')) AS nt FROM seqs)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrand.functions import seq as S
-from lodestrand.operators import intervals, kmers, qc, reads, sam, taxonomy
+from lodestrand.operators import intervals, kmers, overlaps, qc, reads, sam, taxonomy
 from lodestrand.sources import fastq, text
 
 
@@ -127,7 +127,7 @@ def test_kmer_filters(spark):
     assert {r.name: r.seq for r in kmers.trim(rd, ref, k).collect()} == {"a": "TTTT", "b": "TTTTTTTTTT", "c": ""}
     assert kmers.match(spark.createDataFrame([("x", "ACGAACG")], "name string, seq string"), ref, k, substitutions=1).count() == 1
     inner = spark.createDataFrame([("long", "ACGTTGCA" * 20 + "GGATC"), ("part", ("ACGTTGCA" * 20)[3:120]), ("short", "ACGT")], "name string, seq string")
-    assert [r.name for r in kmers.contained(inner).collect()] == ["long"]
+    assert [r.name for r in overlaps.contained(inner).collect()] == ["long"]
 
 
 def test_quality_control(spark):
