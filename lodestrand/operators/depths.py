@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,3 +92,61 @@ def recalibrated(qualities: DataFrame, measured: DataFrame) -> DataFrame:
     """qualities(quality, …) with ``new``: the measured quality of the same stated one, rounded, else the stated one; a row for each quality."""
     table = measured.select("quality", F.round("measured").cast("int").alias("_m"))
     return qualities.join(F.broadcast(table), "quality", "left").withColumn("new", F.coalesce("_m", F.col("quality").cast("int"))).drop("_m")
+
+
+def merged_peaks(points: list[tuple[int, int]], least_height: int, least_depth: int, least_rise: float) -> list[dict[str, int]]:
+    """centre, height, start, stop (the valleys beside it) and volume of the peaks of (depth, kmers) in order.
+
+    A peak is a rise and fall. While there is one that does not stand ``least_rise`` times over the higher of its two valleys, the one that
+    rises least is merged with the neighbour behind that valley, until all stand out; then those under ``least_height`` go.
+    """
+    held = [(d, n) for d, n in points if d >= least_depth]
+    n, tops, i = [x for _, x in held], [], 0
+    while i < len(n):
+        j = i
+        while j + 1 < len(n) and n[j + 1] == n[i]:
+            j += 1
+        if (i == 0 or n[i - 1] < n[i]) and (j + 1 == len(n) or n[j + 1] < n[i]):
+            tops.append(i)
+        i = j + 1
+    # the lowest place between two tops, the first of several, parts them
+    cuts = [min(range(a, b), key=lambda x: (n[x], x)) for a, b in zip(tops, tops[1:])]
+    found = [[a, c, z] for a, c, z in zip([0, *cuts], tops, [*cuts, len(n) - 1])]
+    while len(found) > 1:
+        def valley(j: int) -> tuple[int, int]:
+            """(height of the higher valley of peak j, the neighbour behind it)"""
+            sides = [(n[found[j][0]], j - 1)] * (j > 0) + [(n[found[j][2]], j + 1)] * (j + 1 < len(found))
+            return max(sides, key=lambda s: (s[0], -s[1]))
+
+        rise, j = min((n[p[1]] / max(1, valley(j)[0]), j) for j, p in enumerate(found))
+        if rise >= least_rise:
+            break
+        a, b = sorted((j, valley(j)[1]))
+        centre = max(found[a][1], found[b][1], key=lambda i: (n[i], -i))
+        found[a : b + 1] = [[found[a][0], centre, found[b][2]]]
+    out = [{"centre": held[c][0], "height": held[c][1], "start": held[a][0], "stop": held[z][0], "volume": sum(n[a:z] if z + 1 < len(n) else n[a:])} for a, c, z in found]
+    return [p for p in out if p["height"] >= least_height]
+
+
+def called_peaks(histogram: DataFrame, least_height: int = 2, least_depth: int = 2, least_rise: float = 1.2) -> DataFrame:
+    """merged_peaks of histogram(depth, kmers), which has a row for each depth and is read in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points = sorted((d, n) for b in batches for d, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        yield pa.RecordBatch.from_pylist(merged_peaks(points, least_height, least_depth, least_rise) if points else [], schema=pa.schema([(c, pa.int64()) for c in ("centre", "height", "start", "stop", "volume")]))
+
+    rows = histogram.select(F.col("depth").cast("long").alias("depth"), F.col("kmers").cast("long").alias("kmers")).coalesce(1)
+    return rows.mapInArrow(run, "centre long, height long, start long, stop long, volume long")
+
+
+def genome_traits(peaks: DataFrame, k: int) -> DataFrame:
+    """main (the centre of the peak of greatest volume), half (the highest peak at 0.4 to 0.6 of it, if any), ploidy (2 where there is one, else 1), size (k-mers under all peaks, each as often as its depth is of the main one) and heterozygosity (the rate of changed bases that puts the half peak's share of k-mers into it)."""
+    main = peaks.agg(F.max_by("centre", F.struct("volume", -F.col("centre"))).alias("main"))
+    held = peaks.join(F.broadcast(main), F.lit(True))  # one row
+    half = (F.col("centre") >= 0.4 * F.col("main")) & (F.col("centre") <= 0.6 * F.col("main"))
+    copies = F.greatest(F.round(F.col("centre") / F.col("main")), F.lit(1.0))
+    sums = held.groupBy("main").agg(F.max_by(F.when(half, F.col("centre")), F.when(half, F.col("height"))).alias("half"), F.sum(F.when(half, F.col("volume"))).alias("_h"), F.sum(F.when(F.col("centre") == F.col("main"), F.col("volume"))).alias("_m"), F.sum(F.when(~half, F.col("volume") * copies)).alias("_rest"))
+    # a changed place makes k k-mers of each copy different: half of the half peak's k-mers are of each
+    odd = F.coalesce(F.col("_h"), F.lit(0)) / 2
+    rate = 1 - F.pow(F.col("_m") / (F.col("_m") + odd), F.lit(1.0 / k))
+    return sums.select("main", "half", F.when(F.col("half").isNull(), 1).otherwise(2).alias("ploidy"), F.floor(F.col("_rest") + odd).alias("size"), F.round(rate, 8).alias("heterozygosity"))

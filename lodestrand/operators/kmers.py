@@ -102,10 +102,29 @@ def sketch(seqs: DataFrame, k: int, size: int) -> DataFrame:
 
 
 def compare(left: DataFrame, right: DataFrame, least: int = 1) -> DataFrame:
-    """a, b and shared: sketches with at least that many hashes in common, by a join on hashes."""
-    a = left.select(F.col("name").alias("a"), F.explode("hashes").alias("h"))
-    b = right.select(F.col("name").alias("b"), F.explode("hashes").alias("h"))
-    return a.join(b, "h").groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+    """a, b and shared of sketches(name, hashes: in order, different) with at least that many hashes in common.
+
+    Hashes of both sides are ordered by how often they occur. Two sketches that share ``least`` of them share one of all but the
+    last ``least`` - 1 of each in that order, so they meet under those alone and frequent hashes lie behind; what met is then compared whole.
+    """
+    each = left.select(F.explode("hashes").alias("h")).unionAll(right.select(F.explode("hashes").alias("h"))).groupBy("h").agg(F.count("*").alias("n"))
+
+    def rare(side: DataFrame, name: str) -> DataFrame:
+        listed = side.where(F.size("hashes") >= least).select("name", F.size("hashes").alias("size"), F.explode("hashes").alias("h")).join(each, "h")
+        own = Window.partitionBy("name").orderBy("n", "h")
+        return listed.withColumn("_at", F.row_number().over(own)).where(F.col("_at") <= F.col("size") - (least - 1)).select(F.col("name").alias(name), "h")
+
+    met = rare(left, "a").join(rare(right, "b"), "h").select("a", "b").distinct()
+    both = met.join(left.select(F.col("name").alias("a"), F.col("hashes").alias("_a")), "a").join(right.select(F.col("name").alias("b"), F.col("hashes").alias("_b")), "b")
+    return both.select("a", "b", F.size(F.array_intersect("_a", "_b")).cast("long").alias("shared")).where(F.col("shared") >= least)
+
+
+def similarity(compared: DataFrame, left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+    """compare's rows with containment (the part of a's hashes that b has), jaccard and identity (what k-mers unchanged in that part leave of a base, containment ** (1 / k))."""
+    a, b = left.select(F.col("name").alias("a"), F.size("hashes").alias("_a")), right.select(F.col("name").alias("b"), F.size("hashes").alias("_b"))
+    held = compared.join(a, "a").join(b, "b")
+    inside = F.col("shared") / F.col("_a")
+    return held.select("a", "b", "shared", F.round(inside, 6).alias("containment"), F.round(F.col("shared") / (F.col("_a") + F.col("_b") - F.col("shared")), 6).alias("jaccard"), F.round(F.pow(inside, F.lit(1.0 / k)), 6).alias("identity"))
 
 
 def depths(seqs: DataFrame, k: int) -> DataFrame:
