@@ -37,11 +37,19 @@ def _both_codes(raw: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.nda
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     bad = np.cumsum(np.r_[0, digits > 3])
     at = np.flatnonzero(bad[k:] == bad[:-k])
+    # codes of 1, 2, 4, ... bases from two of half as many; those that k is the sum of are put one behind the other
+    one = (digits & 3).astype(np.int64)
+    ahead, behind, size, done = one, 3 - one, 1, 0
     forward, back = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for i in range(k):
-        part = digits[i : i + n].astype(np.int64)
-        forward = forward << 2 | part & 3
-        back |= (3 - part & 3) << 2 * i
+    while True:
+        if k & size:
+            forward = forward << 2 * size | ahead[done : done + n]
+            back |= behind[done : done + n] << 2 * done
+            done += size
+        if done == k:
+            break
+        ahead, behind = ahead[:-size] << 2 * size | ahead[size:], behind[:-size] | behind[size:] << 2 * size
+        size *= 2
     return at, forward[at], back[at]
 
 

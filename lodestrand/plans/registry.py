@@ -125,11 +125,11 @@ SKEWED = "hits AS (SELECT l_orderkey AS read, CAST(floor(log2(l_suppkey + 1)) AS
 
 
 def _seqs(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "documents").select(F.col("doc_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]", "")).alias("seq"), "source")
+    return _t(spark, d, "documents").select(F.col("doc_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]+", "")).alias("seq"), "source")
 
 
 def _refs(spark: SparkSession, d: str) -> DataFrame:
-    return _t(spark, d, "benchmark").select(F.col("item_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]", "")).alias("seq"))
+    return _t(spark, d, "benchmark").select(F.col("item_id").alias("name"), F.upper(F.regexp_replace("text", "[^acgtACGT]+", "")).alias("seq"))
 
 
 SEQS = "seqs AS (SELECT doc_id AS name, upper(regexp_replace(text, '[^acgtACGT]', '', 'g')) AS seq, source FROM documents)"
