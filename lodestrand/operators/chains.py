@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrand.functions import codes
-from lodestrand.operators.work import keep
+from lodestrand.operators.work import discard, keep, settled
 
 
 def _ends(node: Column, k: int) -> tuple[Column, Column]:
@@ -46,7 +46,9 @@ def ranked(nodes: DataFrame, before: DataFrame) -> DataFrame:
     while open_:
         shown = now.select(F.col("node").alias("at"), F.col("at").alias("_at"), F.col("place").alias("_place"), F.col("done").alias("_done"), F.col("least").alias("_least"))
         moved = now.where("not done").join(shown, "at").select("node", F.col("_at").alias("at"), (F.col("place") + F.col("_place")).alias("place"), F.col("_done").alias("done"), F.least("least", "_least").alias("least"))
-        now, was = keep(now.where("done").unionByName(moved), "chains"), open_
+        new, was = keep(now.where("done").unionByName(moved), "chains"), open_
+        discard(now)
+        now = new
         open_ = now.where("not done").count()
         if open_ == was:
             # a round without a new arrival: pointers have gone around, all that is open are circles
@@ -61,10 +63,10 @@ def _circles(nodes: DataFrame, before: DataFrame) -> DataFrame:
     held = keep(nodes.join(before, "node").select("node", F.col("before").alias("at"), F.least("node", "before").alias("least")), "circles")
     while True:
         shown = held.select(F.col("node").alias("at"), F.col("at").alias("_at"), F.col("least").alias("_least"))
-        new = keep(held.join(shown, "at").select("node", F.col("_at").alias("at"), F.least("least", "_least").alias("least"), (F.col("_least") < F.col("least")).alias("moved")), "circles")
-        stirred = not new.where("moved").isEmpty()
-        held = new.drop("moved")
-        if not stirred:
+        new = keep(held.drop("moved").join(shown, "at").select("node", F.col("_at").alias("at"), F.least("least", "_least").alias("least"), (F.col("_least") < F.col("least")).alias("moved")), "circles")
+        discard(held)
+        held = new
+        if held.where("moved").isEmpty():
             break
     cut = before.join(held.select("node", "least"), "node").where("node <> least").select("node", "before")
     return ranked(nodes, cut)
@@ -78,8 +80,12 @@ def compressed(seqs: DataFrame, k: int = 21, least: int = 1, most: int | None =
     if most is not None:
         counted = counted.where(F.col("n") <= most)
     both = F.explode(F.array(F.shiftleft("kmer", 1), F.shiftleft("kmer", 1).bitwiseOR(F.lit(1).cast("long"))))
-    nodes = keep(counted.select(both.alias("node")), "nodes")
-    placed = ranked(nodes, keep(links(nodes, k), "links"))
+
+    def place() -> DataFrame:
+        nodes = keep(counted.select(both.alias("node")), "nodes")
+        return ranked(nodes, keep(links(nodes, k), "links"))
+
+    placed = settled(place, "places")
     code = F.shiftright("node", 1)
     read = F.when(F.col("node").bitwiseAND(F.lit(1)) == 1, code).otherwise(codes.complement(code, k))
     # of a chain and its complement, the one in which the smallest k-mer stands as its code

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lodestrand.functions import codes
 from lodestrand.functions import seq as S
 from lodestrand.operators import kmers
-from lodestrand.operators.work import keep
+from lodestrand.operators.work import discard, keep, settled
 
 
 def depth_classes(seqs: DataFrame, k: int, low: int, high: int) -> DataFrame:
@@ -44,7 +44,11 @@ def clusters(seqs: DataFrame, k: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and root (the smallest node) of edges(a, b): every node takes the least of its neighbours' roots, roots follow their own roots; each round a written table, until nothing changes."""
+    """node and root (the smallest node) of edges(a, b): every node takes the least of its neighbours' roots, roots follow their own roots; each round a written table, until nothing changes; the tables of rounds that are over are deleted."""
+    return settled(lambda: _rooted(edges), "components")
+
+
+def _rooted(edges: DataFrame) -> DataFrame:
     both = keep(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     now = keep(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("root")), "roots")
     while True:
@@ -55,6 +59,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = keep(jump, "roots")
         if new.join(now.withColumnRenamed("root", "_was"), "node").where("root <> _was").isEmpty():
             return new
+        discard(now)
         now = new
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrand.functions.seq import lowest_rank_code
-from lodestrand.operators.work import keep
+from lodestrand.operators.work import keep, settled
 
 
 def closure(nodes: DataFrame) -> DataFrame:
@@ -18,6 +18,10 @@ def closure(nodes: DataFrame) -> DataFrame:
 
     A tree has a root, its own parent; a circle of parents is an error.
     """
+    return settled(lambda: _closed(nodes), "tree")
+
+
+def _closed(nodes: DataFrame) -> DataFrame:
     up = nodes.where("tid <> parent").select("tid", F.col("parent").alias("ancestor"), F.lit(1).alias("distance"))
     reach, span = up, 1
     while True:
@@ -34,7 +38,7 @@ def closure(nodes: DataFrame) -> DataFrame:
     every = own.unionByName(reach)
     depth = every.groupBy(F.col("tid").alias("ancestor")).agg(F.max("distance").cast("int").alias("depth"))
     info = nodes.select(F.col("tid").alias("ancestor"), "rank", "name")
-    return keep(every.join(info, "ancestor").join(depth, "ancestor").select("tid", "ancestor", "distance", "rank", "name", "depth"), "tree")
+    return every.join(info, "ancestor").join(depth, "ancestor").select("tid", "ancestor", "distance", "rank", "name", "depth")
 
 
 def at_rank(tree: DataFrame, rank: str) -> DataFrame:
