@@ -1,7 +1,8 @@
 """Mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
 Each source's documents are put in a seeded permuted order and cut into blocks
-of about ``block_words`` words.  A source's target becomes whole passes over
+of about a ``blocks``-th of all words, so there are as many blocks and shards
+at any size of the input (or, if ``block_words`` is given, of that many words).  A source's target becomes whole passes over
 its blocks and a last pass over the first of them; documents are taken whole,
 the last one of that pass if at least half of it is before the target, so a
 source's words differ from its target by half a document at most.  Source
@@ -11,8 +12,8 @@ draw, so quotas add up exactly.  Shards draw disjoint runs of each source's
 permuted list of blocks and shuffle their documents locally.
 
 Orders come from sums over hash ranges and sums inside each range, so no
-source is ordered in one task.  The table of sources (one row each) is handled
-by the driver; there are at most about MAX_BLOCKS blocks, whatever the input.
+source is ordered in one task.  The table of sources (one row each) and the
+number of blocks of each are handled by the driver.
 
 Defined results: a null text has no words; sources go by code point, null
 last; documents without words are taken with 0 words; all targets are 0 where
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 from .scratch import save
 
 WEIGHTS, MOST, SEED = (5.0, 2.0, 1.0), 3.0, 77
-BLOCK_WORDS, MAX_BLOCKS, SHARD_BLOCKS, MAX_SHARDS, RANGE_ROWS = 4_096, 1_000_000, 64, 65_536, 4_096
-#: So many blocks at most are sent to every executor; more meet their documents by key.
+#: Blocks that the words of all sources are cut into (each pass of a source draws its own anew), shards they go to, and rows of a range of an order.
+BLOCKS, SHARDS, RANGE_ROWS = 65_536, 64, 4_096
+#: So many blocks (of all passes) at most are sent to every executor; more meet their documents by key.
 BROADCAST_BLOCKS = 300_000
 _BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -97,22 +99,21 @@ def _starts(rows: DataFrame, range_rows: int) -> DataFrame:
     return run.join(base, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_cut") == F.col("_c"))).withColumn("start", F.col("_base") + F.col("_to") - F.col("size")).drop("_cut", "_to", "_s", "_c", "_base")
 
 
-def place(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED, block_words: int = BLOCK_WORDS, range_rows: int = RANGE_ROWS) -> DataFrame:
+def place(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED, block_words: int | None = None, range_rows: int = RANGE_ROWS, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
     """rows(row_id, source, size, order, ...), a row for each time that a document is taken: source_size, target, pass, shard and words (null pass, shard and 0 words for documents that are not taken)."""
     spark = rows.sparkSession
     sums = rows.groupBy("source").agg(F.sum("size").alias("n")).collect()  # one row for each source
     sums = sorted(sums, key=lambda r: (r.source is None, r.source or ""))
     sizes = [r.n for r in sums]
     total = sum(sizes)
-    block_words = max(block_words, -(-total // MAX_BLOCKS))
+    block_words = block_words or max(1, -(-total // blocks))
     goal = targets(sizes, weights, most)
     plan = []
     for r, t in zip(sums, goal):
         quota = min(int(t + 0.5), int(most * r.n))
         passes = quota // r.n if r.n else 0
         plan.append((r.source, r.n, t, passes, quota - passes * r.n, -(-r.n // block_words), -(-(quota - passes * r.n) // block_words)))
-    quotas = [passes * blocks + part for *_, passes, _, blocks, part in plan]
-    shards = min(MAX_SHARDS, max(1, sum(quotas) // SHARD_BLOCKS))
+    quotas = [passes * whole + part for *_, passes, _, whole, part in plan]
     shard_of, source_of, given = split_tree(quotas, shards, seed)
     per_source = spark.createDataFrame(plan, "source string, source_size long, target double, passes long, rest long, blocks long, part long")
     # Of each source the shards that draw from its permuted list of blocks, and where their runs end: no more entries than blocks.
@@ -139,7 +140,7 @@ def place(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = M
     last = F.when(F.col("pass") < F.col("passes"), F.col("blocks")).otherwise(F.col("part"))
     listed = each.withColumn("_n", last).where("_n > 0").select("source", "pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("block"))
     shuffled = Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "source", "pass", "block"), "pass", "block")
-    blocks = save(listed.withColumn("at", F.row_number().over(shuffled).cast("long") - 1).mapInArrow(deal, "_s string, _p long, _b long, shard int"), "blocks")
+    drawn = save(listed.withColumn("at", F.row_number().over(shuffled).cast("long") - 1).mapInArrow(deal, "_s string, _p long, _b long, shard int"), "blocks")
 
     info = per_source.withColumnRenamed("source", "_i")
     started = _starts(rows, range_rows).join(F.broadcast(info), F.col("source").eqNullSafe(F.col("_i"))).drop("_i", "blocks", "part")
@@ -151,30 +152,30 @@ def place(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = M
     # a document lies in the block where it starts; those without words behind a source's last block go to that block
     block = F.least(F.floor(F.col("start") / block_words), F.floor(F.greatest(F.col("source_size") - 1, F.lit(0)) / block_words))
     on = F.col("source").eqNullSafe(F.col("_s")) & (F.col("pass") == F.col("_p")) & (block == F.col("_b"))
-    return flat.join(F.broadcast(blocks) if blocks.count() <= BROADCAST_BLOCKS else blocks, on, "left").drop("_s", "_p", "_b", "start", "order")
+    return flat.join(F.broadcast(drawn) if drawn.count() <= BROADCAST_BLOCKS else drawn, on, "left").drop("_s", "_p", "_b", "start", "order")
 
 
 def _rows(docs: DataFrame, seed: int, *more: str) -> DataFrame:
     return docs.select("row_id", *more, F.col("source").cast("string").alias("source"), words("text").alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary"))).alias("order"))
 
 
-def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED, block_words: int = BLOCK_WORDS) -> DataFrame:
+def mixture(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED, block_words: int | None = None, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, source_size, target, taken, source and shards (where its copies go) of every document."""
     rows = save(_rows(docs.select("doc_id", "text", "source", F.monotonically_increasing_id().alias("row_id")), seed, "doc_id"), "sizes")
-    placed = place(rows, weights, most, seed, block_words)
+    placed = place(rows, weights, most, seed, block_words, RANGE_ROWS, blocks, shards)
     return placed.groupBy("row_id", "doc_id", "source", "size", "source_size", "target").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list("shard")).alias("shards")).drop("row_id")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED, block_words: int = BLOCK_WORDS, where: str | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: int = SEED, block_words: int | None = None, where: str | None = None, blocks: int = BLOCKS, shards: int = SHARDS) -> DataFrame:
     """The mixture: every document as often as it is taken, dealt to shards (named in a column ``where``, if given) and shuffled in each."""
     names = {c: f"_c{i}" for i, c in enumerate(docs.columns) if c.lower() in ("row_id", "_place")}
     if names:  # clashing names step aside
         back = {v: k for k, v in names.items()}
-        return mix(docs.withColumnsRenamed(names), weights, most, seed, block_words, where).withColumnsRenamed(back)
+        return mix(docs.withColumnsRenamed(names), weights, most, seed, block_words, where, blocks, shards).withColumnsRenamed(back)
     held = save(docs.withColumn("row_id", F.monotonically_increasing_id()), "mix")
-    placed = place(save(_rows(held, seed), "sizes"), weights, most, seed, block_words)
+    placed = place(save(_rows(held, seed), "sizes"), weights, most, seed, block_words, RANGE_ROWS, blocks, shards)
     taken = placed.where("pass is not null").select("row_id", F.struct("shard", F.xxhash64(F.lit(seed + 1), "row_id", "pass").alias("at")).alias("_place"))
     joined = held.join(taken, "row_id")
     out = joined.withColumn(where, F.col("_place.shard")) if where else joined
-    shards = out.repartition(F.col("_place.shard")).sortWithinPartitions("_place.shard", "_place.at")
-    return shards.select(*[F.col(f"`{c}`") for c in docs.columns], *([where] if where else []))
+    dealt = out.repartition(F.col("_place.shard")).sortWithinPartitions("_place.shard", "_place.at")
+    return dealt.select(*[F.col(f"`{c}`") for c in docs.columns], *([where] if where else []))

@@ -23,18 +23,19 @@ def test_operator_equals_sql(spark, name):
     pd.testing.assert_frame_equal(ours, theirs, check_dtype=False, rtol=1e-9)
 
 
-@pytest.mark.parametrize("block_words", [50, 4096])
+@pytest.mark.parametrize("block_words", [50, 4096, None])
 def test_mixture_by_brute_force(spark, block_words):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").withColumn("row_id", F.monotonically_increasing_id()).cache()
     rows = mixture._rows(docs, mixture.SEED, "doc_id").collect()
     names = sorted({r.source for r in rows}, key=lambda s: (s is None, s or ""))
     sizes = [sum(r.size for r in rows if r.source == s) for s in names]
-    goal, plan = mixture.targets(sizes), []
+    goal, plan, asked = mixture.targets(sizes), [], block_words
+    block_words = block_words or -(-sum(sizes) // mixture.BLOCKS)
     for s, n, t in zip(names, sizes, goal):
         passes, rest = divmod(min(int(t + 0.5), 3 * n), n) if n else (0, 0)
         plan.append((passes, rest, -(-n // block_words), -(-rest // block_words)))
     quotas = [p * b + part for p, _, b, part in plan]
-    shards = max(1, sum(quotas) // mixture.SHARD_BLOCKS)
+    shards = mixture.SHARDS
     split, want = mixture.split_quotas(quotas, shards), Counter()
     for i, (s, n, (passes, rest, blocks, part)) in enumerate(zip(names, sizes, plan)):
         listed = [(s, p, b) for p in range(passes) for b in range(blocks)] + [(s, passes, b) for b in range(part)]
@@ -51,5 +52,5 @@ def test_mixture_by_brute_force(spark, block_words):
             block = min(start // block_words, max(n - 1, 0) // block_words)
             want[r.doc_id, r.size, n, round(goal[i], 6), len(takes) * r.size, tuple(sorted(shard_of[p, block] for p in takes))] += 1
             start += r.size
-    got = mixture.mixture(docs, block_words=block_words).collect()
+    got = mixture.mixture(docs, block_words=asked).collect()
     assert Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken, tuple(x for x in r.shards if x is not None)) for r in got) == want
