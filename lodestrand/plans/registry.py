@@ -33,7 +33,7 @@ def query(sql: str):
 
 def _all() -> None:
     """Load the modules whose queries stand in ``_FOUND`` beside those of this one."""
-    from lodestrand.plans import formats, indexed, measured, quality, results, streams, tables  # noqa: F401
+    from lodestrand.plans import formats, indexed, measured, quality, results, sites, streams, tables  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
