@@ -486,12 +486,13 @@ def test_queries_keep_their_contracts(spark):
         "op1": ["doc_id", "fingerprint", "component_id"], "op2": ["query_id", "rank", "vec_id", "score"], "op3": ["doc_id", "start", "n_tokens", "ids_crc32"], "op4": ["doc_id", "held_out", "score", "predicted"],
         "op5": ["doc_id", "held_out", "score", "predicted"], "op6": ["page_id", "url", "text", "n_chars"], "op8": ["doc_id", "size", "source_size", "target", "taken"],
         "op9": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"], "op10": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
+        "op11": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"], "op12": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"], "op13": ["doc_id", "n_features", "weight", "score", "rank"],
     }
     found = registry.queries()
-    assert sorted(found) == sorted(n for n in found if n.split("_")[0] in {*columns, "op7"}) and len(found) == 10
+    assert sorted(found) == sorted(n for n in found if n.split("_")[0] in {*columns, "op7"}) and len(found) == 13
     for name, f in found.items():
         df = f(spark, DATA)
         for c in columns.get(name.split("_")[0], []):
             assert c in df.columns
         kinds = {f.name: f.dataType for f in df.schema}
-        assert all(kinds[c] == T.LongType() for c in kinds if c in ("doc_id", "n_tokens", "start", "taken", "size", "slot", "text_crc32", "ids_crc32", "n_words", "score") and not (c == "score" and name[:3] in ("op4", "op5")))
+        assert all(kinds[c] == T.LongType() for c in kinds if c in ("doc_id", "n_tokens", "start", "taken", "size", "slot", "text_crc32", "ids_crc32", "n_words", "score", "anchor_id", "positive_id", "negative_id", "positive_score", "negative_score", "n_email", "n_ip", "n_card", "n_phone", "n_features", "weight") and not (c == "score" and name[:3] in ("op4", "op5")))

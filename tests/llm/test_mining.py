@@ -107,12 +107,16 @@ def test_base_spans_equal_plain_ones(spark):
         assert ([r.n_email, r.n_ip, r.n_card, r.n_phone], r.spans, r.n_term, r.base_sha256) == (counts, spans, 0, hashlib.sha256(spans.encode()).hexdigest()), t
 
 
-@pytest.mark.parametrize("text", ["x" * 400_000, "1" * 400_000, "1." * 200_000, "a." * 200_000, "+1 " * 130_000, "a@b" + ".c" * 200_000, "4111 1111 1111 1111, " * 20_000, "a@b.cd " * 50_000, "(" * 400_000], ids=range(9))
-def test_long_texts_take_linear_time(spark, text):
+LONG = ["x" * 400_000, "1" * 400_000, "1." * 200_000, "a." * 200_000, "+1 " * 130_000, "a@b" + ".c" * 200_000, "4111 1111 1111 1111, " * 20_000, "a@b.cd " * 50_000, "(" * 400_000]
+
+
+def test_long_texts_take_linear_time(spark):
     start = time.time()
-    r = sanitising.find(documents(spark, [(1, text)])).collect()[0]
+    got = {r.doc_id: r for r in sanitising.find(documents(spark, list(enumerate(LONG)))).collect()}
     took = time.time() - start
-    assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == plain_counts(text) and took < 40
+    for i, text in enumerate(LONG):
+        assert [got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone] == plain_counts(text), i
+    assert took < 100  # some seconds by itself; other work may share the machine
 
 
 def plain_counts(text):
