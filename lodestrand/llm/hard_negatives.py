@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import save
+from .scratch import save, settle
 from .topk import _matrix, _nearest, plan_rows, reached, whole
 
 K, LOW_PERCENT, EVERY, SHIFT_EVERY, LABELS = 5, 80, 100, 7, 10
@@ -149,7 +149,11 @@ def relabelled(label: str = "label", id_col: str = "vec_id", every: int = SHIFT_
 
 
 def mine(vectors: DataFrame, is_anchor: Column, label: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K, percent: int = LOW_PERCENT, cell_rows: int = CELL_ROWS, cell_anchors: int = CELL_ANCHORS, seed: int = 11) -> DataFrame:
-    """anchor_id, positive_id, rank, negative_id, positive_score and negative_score: for each anchor and positive the first k negatives."""
+    """anchor_id, positive_id, rank, negative_id, positive_score and negative_score: for each anchor and positive the first k negatives; what was written on the way is deleted."""
+    return settle(lambda: _mined(vectors, is_anchor, label, id_col, vector_col, k, percent, cell_rows, cell_anchors, seed), "negatives")
+
+
+def _mined(vectors: DataFrame, is_anchor: Column, label: Column, id_col: str, vector_col: str, k: int, percent: int, cell_rows: int, cell_anchors: int, seed: int) -> DataFrame:
     spark = vectors.sparkSession
     data = vectors.select(F.col(id_col).cast("long").alias("id"), label.cast("long").alias("label"), whole(vector_col).alias("v"), F.coalesce(is_anchor, F.lit(False)).alias("ask"))
     data = save(data.where("id is not null and label is not null and v is not null").distinct().withColumn("dim", F.size("v")), "rows")

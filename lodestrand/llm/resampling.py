@@ -28,7 +28,7 @@ from math import floor, log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import save
+from .scratch import save, settle
 
 BUCKETS, MAX_RUN, LEAST_WORDS, PERCENT, SEED, SCALE = 10_000, 1, 20, 10, 2024, 1000
 #: Rows of a range of the order of drawn documents.
@@ -88,7 +88,11 @@ def _last_score(rows: DataFrame, wanted: int) -> int | None:
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, max_run: int = MAX_RUN, of: int = BUCKETS, seed: int = SEED, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """doc_id, n_features, weight, score and rank (null unless drawn) of every document; floor(percent / 100 of those with least_words words) are drawn."""
+    """doc_id, n_features, weight, score and rank (null unless drawn) of every document; floor(percent / 100 of those with least_words words) are drawn. What was written on the way is deleted."""
+    return settle(lambda: _ranked(docs, target, percent, least_words, max_run, of, seed, range_rows), "ranked")
+
+
+def _ranked(docs: DataFrame, target: DataFrame, percent: int, least_words: int, max_run: int, of: int, seed: int, range_rows: int) -> DataFrame:
     gain = gains(bucket_counts(docs, max_run=max_run, of=of), bucket_counts(target, max_run=max_run, of=of), of)
     rows = save(scored(docs, gain, max_run, seed), "scores")
     long_enough = rows.where(F.col("n_words") >= least_words)

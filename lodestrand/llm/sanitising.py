@@ -38,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import save
+from .scratch import save, settle
 
 KINDS = ("email", "ip", "card", "phone", "term")
 MIN_LETTERS, NEAR, NEAR_CHARS, MIN_CONTEXTS, GENERALISE, REMOVE = 3, 8, 120, 3, 0.9, 0.98
@@ -213,7 +213,11 @@ def _joined(spans: Column) -> Column:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, n_term, base_sha256 and spans of every document."""
+    """doc_id, n_email, n_ip, n_card, n_phone, n_term, base_sha256 and spans of every document; what was written on the way is deleted."""
+    return settle(lambda: _all_spans(docs), "spans")
+
+
+def _all_spans(docs: DataFrame) -> DataFrame:
     found = _found(docs)
     rows = found.select("rid", "doc_id", *[f"n_{k}" for k in KINDS[:4]], "spans").join(_term_spans(docs, found), "rid", "left")
     none = F.coalesce(F.col("terms"), F.array().cast("array<struct<start:int,kind:int,end:int,removed:boolean>>"))
