@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrand.operators.work import new_folder
 from lodestrand.plans.registry import SEQS, _intervals, _seqs, query
-from lodestrand.sources import faidx, fastq, writers
+from lodestrand.sources import fastq, regions, writers
 
 WIDTH = 60
 
@@ -26,12 +26,12 @@ SELECT chrom::VARCHAR AS name, s AS "start", least(e, length(seq)) AS "end", sub
 def fetched_regions(spark, d):
     path = _fasta(spark, d)
     wanted = _intervals(spark, d).select(F.col("chrom").cast("string").alias("name"), "start", "end").distinct()
-    return faidx.fetch(faidx.build_index(spark, path, 100_000), wanted, path).select("name", "start", "end", "seq")
+    return regions.fetch(regions.build_index(spark, path, 100_000), wanted, path).select("name", "start", "end", "seq")
 
 
 @query(f"""WITH {SEQS} SELECT name::VARCHAR AS name, coalesce(length(seq), 0) AS length, least({WIDTH}, coalesce(length(seq), 0)) AS line_bases, CASE WHEN length(seq) > 0 THEN least({WIDTH}, length(seq)) + 1 ELSE 0 END AS line_width, true AS even FROM seqs""")
 def fasta_index(spark, d):
-    return faidx.build_index(spark, _fasta(spark, d), 50_000).select("name", "length", "line_bases", "line_width", "even")
+    return regions.build_index(spark, _fasta(spark, d), 50_000).select("name", "length", "line_bases", "line_width", "even")
 
 
 @query(f"WITH {SEQS} SELECT 'r' || name || ' m' || name % 3 AS name, coalesce(seq, '') AS seq, translate(coalesce(seq, ''), 'ACGT', 'I5+#') AS qual, name % 3 AS mate FROM seqs")

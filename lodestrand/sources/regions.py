@@ -8,7 +8,7 @@ table of one row a range.
 
 ``fetch`` joins regions with the index, turns them into byte ranges by
 arithmetic, deals them to tasks in file order and reads just these bytes; its
-column ``bytes`` counts them.  ``spark.read.format("faidx")`` does the same for
+column ``bytes`` counts them.  ``spark.read.format("fasta_regions")`` does the same for
 a list of regions in an option, from a ``.fai`` file beside the FASTA file.
 
 Defined results: a region is cut to its sequence; one of an unknown name or
@@ -199,7 +199,7 @@ def parse_region(text: str) -> tuple[str, int, int | None]:
     return name, int(low) - 1, int(high) if high else None
 
 
-class FaidxReader(DataSourceReader):
+class RegionReader(DataSourceReader):
     """``regions`` (separated by blanks) of the FASTA file at ``path``, by the index at ``index`` (default: path with .fai behind)."""
 
     def __init__(self, options: dict) -> None:
@@ -241,17 +241,17 @@ class FaidxReader(DataSourceReader):
                 yield name, start, end, file.read(last - first).translate(None, b"\r\n").decode("utf-8", "replace")
 
 
-class FaidxSource(DataSource):
+class RegionSource(DataSource):
     @classmethod
     def name(cls) -> str:
-        return "faidx"
+        return "fasta_regions"
 
     def schema(self) -> str:
         return "name string, start long, end long, seq string"
 
-    def reader(self, schema) -> FaidxReader:
-        return FaidxReader(self.options)
+    def reader(self, schema) -> RegionReader:
+        return RegionReader(self.options)
 
 
 def register(spark: SparkSession) -> None:
-    spark.dataSource.register(FaidxSource)
+    spark.dataSource.register(RegionSource)

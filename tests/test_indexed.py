@@ -9,7 +9,7 @@ import textwrap
 
 import pytest
 
-from lodestrand.sources import faidx, fastq, writers
+from lodestrand.sources import fastq, regions, writers
 
 ODD = {
     "a.fa": b">one first\nACGTACGT\nACGTACGT\nACG\n>two\n\n>three\r\nAC\r\nGT\r\nA\r\n>four\nACGTAC",
@@ -42,14 +42,14 @@ def odd(tmp_path):
 @pytest.mark.parametrize("split", [5, 9, 23, 10_000])
 def test_index_and_fetch(spark, odd, split):
     want = plain(odd)
-    index = faidx.build_index(spark, str(odd), split).cache()
+    index = regions.build_index(spark, str(odd), split).cache()
     got = {r.name: r for r in index.collect()}
     assert {n: r.length for n, r in got.items()} == {n: len(s) for n, s in want.items()}
     assert {n for n, r in got.items() if not r.even} == {"uneven", "gap", "mixed", "short"}
     assert (got["three"].line_bases, got["three"].line_width, got["one"].line_bases, got["one"].line_width) == (2, 4, 8, 9)
-    regions = [(n, s, e) for n in [*want, "nobody"] for s in range(-1, 20, 3) for e in (s, s + 1, s + 6, 99)]
-    rows = faidx.fetch(index, spark.createDataFrame(regions, "name string, start int, end int"), str(odd)).collect()
-    expected = sorted((n, max(s, 0), min(e, len(want[n])), want[n][max(s, 0) : e]) for n, s, e in regions if n in want and max(s, 0) < min(e, len(want[n])))
+    wanted = [(n, s, e) for n in [*want, "nobody"] for s in range(-1, 20, 3) for e in (s, s + 1, s + 6, 99)]
+    rows = regions.fetch(index, spark.createDataFrame(wanted, "name string, start int, end int"), str(odd)).collect()
+    expected = sorted((n, max(s, 0), min(e, len(want[n])), want[n][max(s, 0) : e]) for n, s, e in wanted if n in want and max(s, 0) < min(e, len(want[n])))
     assert sorted((r.name, r.start, r.end, r.seq) for r in rows) == expected
 
 
@@ -58,23 +58,23 @@ def test_few_bytes_are_read_for_few_regions(spark, tmp_path):
     seqs = {f"c{i}": "".join(rng.choices("ACGT", k=200_000)) for i in range(5)}
     path = tmp_path / "large.fa"
     path.write_text("".join(f">{n}\n" + "\n".join(s[i : i + 70] for i in range(0, len(s), 70)) + "\n" for n, s in seqs.items()))
-    index = faidx.build_index(spark, str(path), 64_000)
-    regions = [(f"c{i}", at, at + 500) for i in range(5) for at in (0, 99_990, 199_700)]
-    rows = faidx.fetch(index, spark.createDataFrame(regions, "name string, start long, end long"), str(path), 1_000).collect()
+    index = regions.build_index(spark, str(path), 64_000)
+    wanted = [(f"c{i}", at, at + 500) for i in range(5) for at in (0, 99_990, 199_700)]
+    rows = regions.fetch(index, spark.createDataFrame(wanted, "name string, start long, end long"), str(path), 1_000).collect()
     assert len(rows) == 15 and all(r.seq == seqs[r.name][r.start : r.end] for r in rows)
     assert sum(r.bytes for r in rows) < path.stat().st_size / 100
-    faidx.write_fai(index, str(tmp_path / "large.fa.fai"))
-    faidx.register(spark)
-    some = spark.read.format("faidx").option("regions", "c1:101-1,200 c3 c4:199991 none:1-2").option("taskBytes", 5_000).load(str(path)).collect()
+    regions.write_fai(index, str(tmp_path / "large.fa.fai"))
+    regions.register(spark)
+    some = spark.read.format("fasta_regions").option("regions", "c1:101-1,200 c3 c4:199991 none:1-2").option("taskBytes", 5_000).load(str(path)).collect()
     assert {(r.name, r.start, r.end): r.seq for r in some} == {("c1", 100, 1200): seqs["c1"][100:1200], ("c3", 0, 200_000): seqs["c3"], ("c4", 199_990, 200_000): seqs["c4"][-10:]}
 
 
 def test_no_index_of_compressed_files(spark, tmp_path):
     (tmp_path / "x.fa.gz").write_bytes(gzip.compress(b">a\nA\n"))
     with pytest.raises(ValueError, match="compressed"):
-        faidx.build_index(spark, str(tmp_path))
+        regions.build_index(spark, str(tmp_path))
     (tmp_path / "empty").mkdir()
-    assert faidx.build_index(spark, str(tmp_path / "empty")).count() == 0
+    assert regions.build_index(spark, str(tmp_path / "empty")).count() == 0
 
 
 def test_layouts(spark, tmp_path):
