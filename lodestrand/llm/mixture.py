@@ -12,7 +12,8 @@ draw, so quotas add up exactly.  Shards draw disjoint runs of each source's
 permuted list of blocks and shuffle their documents locally.
 
 Orders come from sums over hash ranges and sums inside each range, so no
-source is ordered in one task.  The table of sources (one row each) and the
+source is ordered in one task; nor is a shard, which is shuffled in parts by
+ranges of the hash that orders it.  The table of sources (one row each) and the
 number of blocks of each are handled by the driver.
 
 Defined results: a null text has no words; sources go by code point, null
@@ -33,6 +34,8 @@ from .scratch import save
 WEIGHTS, MOST, SEED = (5.0, 2.0, 1.0), 3.0, 77
 #: Blocks that the words of all sources are cut into (each pass of a source draws its own anew), shards they go to, and rows of a range of an order.
 BLOCKS, SHARDS, RANGE_ROWS = 65_536, 64, 4_096
+#: A shard is shuffled in parts of about so many words, each in one task.
+PART_WORDS = 500_000
 #: So many blocks (of all passes) at most are sent to every executor; more meet their documents by key.
 BROADCAST_BLOCKS = 300_000
 _BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -173,9 +176,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOS
         back = {v: k for k, v in names.items()}
         return mix(docs.withColumnsRenamed(names), weights, most, seed, block_words, where, blocks, shards).withColumnsRenamed(back)
     held = save(docs.withColumn("row_id", F.monotonically_increasing_id()), "mix")
-    placed = place(save(_rows(held, seed), "sizes"), weights, most, seed, block_words, RANGE_ROWS, blocks, shards)
+    sizes = save(_rows(held, seed), "sizes")
+    placed = place(sizes, weights, most, seed, block_words, RANGE_ROWS, blocks, shards)
+    total = sizes.agg(F.sum("size")).first()[0] or 0
     taken = placed.where("pass is not null").select("row_id", F.struct("shard", F.xxhash64(F.lit(seed + 1), "row_id", "pass").alias("at")).alias("_place"))
     joined = held.join(taken, "row_id")
     out = joined.withColumn(where, F.col("_place.shard")) if where else joined
-    dealt = out.repartition(F.col("_place.shard")).sortWithinPartitions("_place.shard", "_place.at")
+    # the hash that a shard is ordered by also says which part of the shard a row is in
+    parts = max(1, -(-total // (shards * PART_WORDS)))
+    part = F.floor((F.col("_place.at").cast("double") / 2.0**64 + 0.5) * parts)
+    dealt = out.repartition(F.col("_place.shard"), part).sortWithinPartitions("_place.shard", "_place.at")
     return dealt.select(*[F.col(f"`{c}`") for c in docs.columns], *([where] if where else []))
