@@ -454,7 +454,7 @@ p AS (SELECT q.*, ws, least("end", ws + 50) - greatest("start", ws) AS overlap F
 SELECT chrom, "start", "end", ws AS window_start, overlap FROM (SELECT *, row_number() OVER (PARTITION BY chrom, "start", "end" ORDER BY overlap DESC, ws) AS n FROM p) WHERE n = 1""")
 def best_window(spark, d):
     rows = _intervals(spark, d).select("chrom", "start", "end").distinct().withColumn("key", F.struct("chrom", "start", "end"))
-    w = rows.groupBy("chrom").agg(F.max("end").alias("e")).select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), "e", F.lit(40).cast("long"))).alias("start")).withColumn("end", F.col("start") + 50)
+    w = intervals.tiles(rows, 40, 50)
     return intervals.best_window(rows, w, "key").select("key.*", "window_start", "overlap")
 
 
