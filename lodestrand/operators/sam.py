@@ -181,8 +181,8 @@ def renamed_contigs(rows: DataFrame, names: DataFrame) -> DataFrame:
     return rows.join(to, rows.rname == F.col("_o"), "left").withColumn("rname", F.coalesce("_n", F.col("rname").cast("string"))).drop("_o", "_n")
 
 
-def bases(rows: DataFrame) -> DataFrame:
-    """rname, pos (from 1) and base of every aligned place of rows(rname, pos, cigar, seq): the read's letter, or - where it is deleted."""
+def pieces(rows: DataFrame) -> DataFrame:
+    """rname, seq, at (from 1), read and n of every aligned or deleted stretch of rows(rname, pos, cigar, seq): n places from at on, and where in seq they begin (0: deleted)."""
     start = F.struct(F.col("pos").cast("int").alias("at"), F.lit(1).alias("read"), F.array().cast("array<struct<at:int,read:int,n:int>>").alias("on"))
 
     def step(s: Column, x: Column) -> Column:
@@ -190,12 +190,24 @@ def bases(rows: DataFrame) -> DataFrame:
         part = F.struct(s.at.alias("at"), F.when(aligned, s.read).otherwise(0).alias("read"), x.n.alias("n"))
         return F.struct(F.when(aligned | x.op.isin("D", "N"), s.at + x.n).otherwise(s.at).alias("at"), F.when(aligned | x.op.isin("I", "S"), s.read + x.n).otherwise(s.read).alias("read"), F.when(aligned | gone, F.concat(s.on, F.array(part))).otherwise(s.on).alias("on"))
 
-    parts = rows.select("rname", "seq", F.inline(F.aggregate(S.cigar_ops(F.col("cigar")), start, step, lambda s: s.on)))
-    each = parts.select("rname", "seq", "at", "read", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    return each.select("rname", (F.col("at") + F.col("i")).alias("pos"), F.when(F.col("read") > 0, F.substr("seq", F.col("read") + F.col("i"), F.lit(1))).otherwise("-").alias("base"))
+    return rows.select("rname", "seq", F.inline(F.aggregate(S.cigar_ops(F.col("cigar")), start, step, lambda s: s.on)))
 
 
-def pileup(rows: DataFrame, mapq: int = 0) -> DataFrame:
-    """rname, pos, depth and alleles (base and count, in order of base) of rows that pass the usual flags and quality; counted before they are gathered."""
-    n = bases(view(rows, exclude=0x704, mapq=mapq)).groupBy("rname", "pos", "base").agg(F.count("*").alias("n"))
-    return n.groupBy("rname", "pos").agg(F.sum("n").alias("depth"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("base", "n"))), lambda x: F.concat(x.base, x.n.cast("string"))), "").alias("alleles"))
+def pileup(rows: DataFrame, mapq: int = 0, width: int = 4_096, reads: int = 50_000) -> DataFrame:
+    """rname, pos, depth and alleles (base and count, in order of base) of rows that pass the usual flags and quality; the base of a place is the read's letter, or - where it is deleted.
+
+    Stretches are cut at multiples of ``width`` and shuffled with their letters by these bins, once, into a part for each ``reads`` rows; single bases
+    arise, are counted and gathered within a bin.
+    """
+    fine = view(rows, exclude=0x704, mapq=mapq)
+    parts = max(1, -(-fine.count() // reads))
+    cut = pieces(fine).where("n > 0").withColumn("_bin", F.explode(F.sequence(F.floor(F.col("at") / width), F.floor((F.col("at") + F.col("n") - 1) / width))))
+    low = F.greatest(F.col("at").cast("long"), F.col("_bin") * width).cast("int")
+    high = F.least((F.col("at") + F.col("n")).cast("long"), (F.col("_bin") + 1) * width).cast("int")
+    letters = F.when(F.col("read") > 0, F.substr("seq", F.col("read") + low - F.col("at"), high - low))
+    held = cut.select("rname", "_bin", low.alias("low"), (high - low).alias("n"), (F.col("read") == 0).alias("gone"), letters.alias("letters")).repartition(parts, "rname", "_bin")
+    each = held.select("rname", "_bin", "low", "gone", "letters", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    base = F.when(F.col("gone"), "-").otherwise(F.substr("letters", F.col("i") + 1, F.lit(1)))
+    n = each.select("rname", "_bin", (F.col("low") + F.col("i")).alias("pos"), base.alias("base")).groupBy("rname", "_bin", "pos", "base").agg(F.count("*").alias("n"))
+    found = n.groupBy("rname", "_bin", "pos").agg(F.sum("n").alias("depth"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("base", "n"))), lambda x: F.concat(x.base, x.n.cast("string"))), "").alias("alleles"))
+    return found.drop("_bin")
