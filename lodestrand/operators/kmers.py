@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lodestrand.functions import codes
 from lodestrand.functions import seq as S
 from lodestrand.functions.codes import explode
+from lodestrand.operators.work import keep
+
+#: Sketches that are compared at once, of either side.
+BLOCK = 512
 
 
 def counts(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
@@ -101,22 +111,76 @@ def sketch(seqs: DataFrame, k: int, size: int) -> DataFrame:
     return each.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= size).groupBy("name").agg(F.array_sort(F.collect_list("h")).alias("hashes"))
 
 
-def compare(left: DataFrame, right: DataFrame, least: int = 1) -> DataFrame:
-    """a, b and shared of sketches(name, hashes: in order, different) with at least that many hashes in common.
+def compare(left: DataFrame, right: DataFrame | None = None, least: int = 1) -> DataFrame:
+    """a, b and shared of sketches(name, hashes: different ones) with at least that many hashes in common; without ``right``, of pairs a < b of left.
 
-    Hashes of both sides are ordered by how often they occur. Two sketches that share ``least`` of them share one of all but the
-    last ``least`` - 1 of each in that order, so they meet under those alone and frequent hashes lie behind; what met is then compared whole.
+    Hashes are numbered in the order of how often they occur (by powers of two). Two sketches that share ``least`` of them share one of all but the
+    last ``least`` - 1 of each in that order, so they meet under those alone and frequent hashes lie behind. They take their other shared hashes
+    along, as numbers, and are compared where they meet; a pair is given under its first common hash alone, so that only results leave the task.
+    A hash of more than BLOCK sketches is cut into blocks that meet pairwise.
     """
-    each = left.select(F.explode("hashes").alias("h")).unionAll(right.select(F.explode("hashes").alias("h"))).groupBy("h").agg(F.count("*").alias("n"))
-
-    def rare(side: DataFrame, name: str) -> DataFrame:
-        listed = side.where(F.size("hashes") >= least).select("name", F.size("hashes").alias("size"), F.explode("hashes").alias("h")).join(each, "h")
-        own = Window.partitionBy("name").orderBy("n", "h")
-        return listed.withColumn("_at", F.row_number().over(own)).where(F.col("_at") <= F.col("size") - (least - 1)).select(F.col("name").alias(name), "h")
-
-    met = rare(left, "a").join(rare(right, "b"), "h").select("a", "b").distinct()
-    both = met.join(left.select(F.col("name").alias("a"), F.col("hashes").alias("_a")), "a").join(right.select(F.col("name").alias("b"), F.col("hashes").alias("_b")), "b")
-    return both.select("a", "b", F.size(F.array_intersect("_a", "_b")).cast("long").alias("shared")).where(F.col("shared") >= least)
+    sides = [left.withColumn("side", F.lit(0))] + ([] if right is None else [right.withColumn("side", F.lit(1))])
+    listed = reduce(DataFrame.unionByName, [s.select("side", "name", "hashes") for s in sides])
+    hashes = listed.select("side", F.explode("hashes").alias("h"))
+    n = hashes.groupBy("h").agg(F.sum((F.col("side") == 0).cast("long")).alias("n0"), F.sum((F.col("side") == 1).cast("long")).alias("n1"))
+    # what only one has, or one side, is shared by none
+    n = n.where("n0 > 1" if right is None else "n0 > 0 and n1 > 0")
+    order = F.shiftleft(F.floor(F.log2(F.col("n0") + F.col("n1"))).cast("long"), 58).bitwiseOR(F.monotonically_increasing_id())
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    numbered = keep(n.select("h", order.alias("id"), blocks("n0").alias("left"), blocks("n0" if right is None else "n1").alias("right")), "hashes")
+    held = listed.select("side", "name", F.size("hashes").alias("size"), F.explode("hashes").alias("h")).join(numbered, "h").groupBy("side", "name").agg(F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("id", "left", "right"))).alias("_in"))
+    # of the order of all hashes those that none shares come first: the last least - 1 are the last shared ones
+    held = held.where(F.size("_in") >= least).select("side", "name", F.col("_in.id").alias("ids"), F.explode(F.slice("_in", 1, F.size("_in") - (least - 1))).alias("_h"))
+    own = F.pmod(F.xxhash64("name"), F.when(F.col("side") == 0, F.col("_h.left")).otherwise(F.col("_h.right"))).cast("int")
+    others = F.when(F.col("side") == 0, F.col("_h.right")).otherwise(F.col("_h.left"))
+    met = held.select("side", "name", "ids", F.col("_h.id").alias("id"), own.alias("_own"), F.explode(F.sequence(F.lit(0), others - 1)).alias("_other"))
+    if right is None:
+        place = F.when(F.col("_own") == F.col("_other"), 2).otherwise((F.col("_own") > F.col("_other")).cast("int"))
+        met = met.select(place.alias("side"), "name", "ids", "id", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
+    else:
+        met = met.select("side", "name", "ids", "id", F.when(F.col("side") == 0, F.col("_own")).otherwise(F.col("_other")).alias("i"), F.when(F.col("side") == 0, F.col("_other")).otherwise(F.col("_own")).alias("j"))
+    cells = met.groupBy("id", "i", "j").agg(F.collect_list(F.struct("side", "name", "ids")).alias("rows")).where("size(rows) > 1").select("id", "rows")
+    kind = left.schema["name"].dataType
+    out = cells.mapInArrow(_shared(least), StructType([StructField("a", kind), StructField("b", kind), StructField("shared", LongType())]))
+    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared") if right is None else out
+
+
+def _shared(least: int):
+    """From cells (id, rows(side, name, ids)): a, b and shared of rows of side 0 and 1 (2: both) whose least common number is id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(1)
+            flat, cuts = rows.flatten(), rows.offsets.to_numpy() - rows.offsets[0].as_py()
+            side, names, lists = (flat.field(i) for i in range(3))
+            side, at, ids = side.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().to_numpy()
+            for key, first, last in zip(batch.column(0).to_numpy(), cuts[:-1], cuts[1:]):
+                own = side[first:last]
+                a, b = np.flatnonzero(own != 1), np.flatnonzero(own != 0)
+                if not len(a) or not len(b):
+                    continue
+                mine = ids[at[first] : at[last]]
+                row = np.repeat(np.arange(last - first), np.diff(at[first : last + 1]))
+                found, column, times = np.unique(mine, return_inverse=True, return_counts=True)
+                # numbers that one row of the cell has alone are shared with none
+                use = times > 1
+                place = np.cumsum(use) - 1
+                table = np.zeros((last - first, max(1, int(use.sum()))), np.float32)
+                kept = use[column]
+                table[row[kept], place[column[kept]]] = 1
+                before = table[:, : int(np.count_nonzero(use & (found < key)))]
+                shared = table[a] @ table[b].T
+                fits = shared >= least
+                if before.shape[1]:
+                    fits &= before[a] @ before[b].T == 0
+                if (own == 2).any():
+                    fits = np.triu(fits, 1)
+                x, y = np.nonzero(fits)
+                if len(x):
+                    take = lambda i: names.take(pa.array(i + first))
+                    yield pa.RecordBatch.from_arrays([take(a[x]), take(b[y]), pa.array(shared[x, y].astype(np.int64))], names=["a", "b", "shared"])
+
+    return run
 
 
 def similarity(compared: DataFrame, left: DataFrame, right: DataFrame, k: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestrand.functions import codes
 from lodestrand.functions import seq as S
 from lodestrand.operators import chains, consensus, depths, kmers, linkers, mergeable, recalibration
+from lodestrand.operators.work import keep
 from lodestrand.plans.registry import K, REFS, SEQS, _kmer_sql, _refs, _seqs, _t, query
 
 # -------------------------------------------------------------------- chains
@@ -130,8 +131,8 @@ def looked_up_counts(spark, d):
 p AS (SELECT a.name AS a, b.name AS b, count(*) AS shared FROM r a JOIN r b ON a.h = b.h AND a.name < b.name GROUP BY ALL HAVING count(*) >= 6)
 SELECT a, b, shared, round(shared / x.n, 6) AS containment, round(shared / (x.n + y.n - shared), 6) AS jaccard, round(pow(shared / x.n, 1 / 12), 6) AS identity FROM p JOIN z x ON x.name = a JOIN z y ON y.name = b""")
 def similar_sketches(spark, d):
-    own = kmers.sketch(_seqs(spark, d), 12, 32)
-    return kmers.similarity(kmers.compare(own, own, 6).where("a < b"), own, own, 12)
+    own = keep(kmers.sketch(_seqs(spark, d), 12, 32), "sketches")
+    return kmers.similarity(kmers.compare(own, least=6), own, own, 12)
 
 
 # ------------------------------------------------------- consensus and peaks

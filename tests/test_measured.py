@@ -83,6 +83,20 @@ def test_sketches_that_share_hashes(spark, least):
     assert {tuple(r) for r in kmers.compare(*frames, least).collect()} == want
 
 
+@pytest.mark.parametrize("block", [3, 512])
+def test_sketches_of_one_table_in_blocks(spark, monkeypatch, block):
+    """Each pair once, also of a hash that many have, in blocks that meet pairwise, against plain comparison."""
+    monkeypatch.setattr(kmers, "BLOCK", block)
+    rng = random.Random(9)
+    rows = [(i, sorted({"common"} | {f"h{rng.randrange(12):02}" for _ in range(rng.randrange(0, 9))})) for i in range(30)] + [(30, []), (31, ["common"])]
+    df = spark.createDataFrame(rows, "name int, hashes array<string>")
+    for least in (1, 4):
+        want = sorted((a, b, len({*x} & {*y})) for a, x in rows for b, y in rows if a < b and len({*x} & {*y}) >= least)
+        assert sorted(tuple(r) for r in kmers.compare(df, least=least).collect()) == want
+    two = sorted((a, b, len({*x} & {*y})) for a, x in rows for b, y in rows[:20] if len({*x} & {*y}) >= 3)
+    assert sorted(tuple(r) for r in kmers.compare(df, df.where("name < 20"), 3).collect()) == two
+
+
 def test_votes_of_clumps_and_adapters(spark):
     base = "ACGTTGCATTGACCAGTAGGCATC"
     turned = base[::-1].translate(str.maketrans("ACGT", "TGCA"))
