@@ -1,13 +1,14 @@
 """Streams that wait: sessions closed by event-time timers, and mates joined within a bound of time.
 
 State is keyed and lives in Spark's RocksDB store, so it may outgrow memory; a
-key holds its open sessions, or the reads whose mate may still come.  What the
+key holds the open sessions of its users (a BUCKETS-th of all), or the reads whose mate may still come.  What the
 watermark has passed is emitted once and forgotten; rows that come behind the
 watermark are left out and counted (``late_rows``).
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Keys of the state of sessions, each with its part of the users: a call for each user and timer is what takes the time.
+BUCKETS = 1_024
 
 
 def merged(open_: list[tuple[int, int, int, float]], rows: list[tuple[int, float]], gap: int) -> list[tuple[int, int, int, float]]:
@@ -31,38 +34,49 @@ def merged(open_: list[tuple[int, int, int, float]], rows: list[tuple[int, float
 
 
 class IdleSessions(StatefulProcessor):
-    """Keeps a key's open sessions; each has a timer at which it can no longer grow."""
+    """Keeps the open sessions of a bucket of users; one timer stands at the time, or before it, at which the first of them can no longer grow.
 
-    def __init__(self, gap_seconds: int) -> None:
-        self.gap = gap_seconds * 1_000_000
+    When it goes off, all sessions behind the watermark are closed at once and the next timer is set, so a bucket costs
+    a call or two a batch, however many sessions it has open.  A timer whose session has grown since closes nothing.
+    """
+
+    def __init__(self, gap_seconds: int, kind: str = "long") -> None:
+        self.gap, self.kind = gap_seconds * 1_000_000, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "start long, end long, n long, total double")
+        self.open = handle.getListState("open", f"user_id {self.kind}, start long, end long, n long, total double")
 
-    def _due(self, end: int) -> int:
-        return (end + self.gap) // 1_000 + 1
+    def _due(self, session: tuple) -> int:
+        return (session[2] + self.gap) // 1_000 + 1
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        before = [tuple(x) for x in self.open.get()]
-        arrived = [(int(t), float(v)) for part in rows for t, v in zip(part["micros"], part["value"].fillna(0.0))]
-        now = merged(before, arrived, self.gap)
-        for due in {self._due(s[1]) for s in before} - {self._due(s[1]) for s in now}:
-            self.handle.deleteTimer(due)
-        for s in now:
-            self.handle.registerTimer(self._due(s[1]))
+        before, arrived, held = [tuple(x) for x in self.open.get()], defaultdict(list), defaultdict(list)
+        for part in rows:
+            for user, t, v in zip(part["user_id"].tolist(), part["micros"].tolist(), part["value"].fillna(0.0).tolist()):
+                arrived[user].append((t, v))
+        for user, *session in before:
+            held[user].append(tuple(session))
+        for user, own in arrived.items():
+            held[user] = merged(held[user], own, self.gap)
+        now = [(user, *s) for user, sessions in held.items() for s in sessions]
+        first = min(map(self._due, now))
+        if not before or first < min(map(self._due, before)):
+            self.handle.registerTimer(first)
         self.open.put(now)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        due, held = expiredTimerInfo.getExpiryTimeInMs(), [tuple(x) for x in self.open.get()]
-        closed, rest = [s for s in held if self._due(s[1]) <= due], [s for s in held if self._due(s[1]) > due]
+        due, held = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()), [tuple(x) for x in self.open.get()]
+        closed, rest = [s for s in held if self._due(s) <= due], [s for s in held if self._due(s) > due]
         if rest:
+            self.handle.registerTimer(min(map(self._due, rest)))
+        if closed and rest:
             self.open.put(rest)
-        else:
+        elif closed:
             self.open.clear()
         if closed:
-            yield pd.DataFrame([(key[0], *s) for s in closed], columns=["user_id", "start", "end", "n", "total"])
+            yield pd.DataFrame(closed, columns=["user_id", "start", "end", "n", "total"])
 
     def close(self) -> None:
         pass
@@ -71,9 +85,9 @@ class IdleSessions(StatefulProcessor):
 def closed_sessions(events: DataFrame, gap_seconds: int, late: str) -> DataFrame:
     """user_id, session_start, session_end (the last event), n and total of a stream of events(ts, user_id, value), a row when no event can join the session any more."""
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    held = events.where("ts is not null and user_id is not null").select("user_id", "ts", F.unix_micros("ts").alias("micros"), "value").withWatermark("ts", late)
+    held = events.where("ts is not null and user_id is not null").select("user_id", "ts", F.unix_micros("ts").alias("micros"), "value", F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)).alias("bucket")).withWatermark("ts", late)
     kind = dict(events.dtypes)["user_id"]
-    out = held.groupBy("user_id").transformWithStateInPandas(IdleSessions(gap_seconds), f"user_id {kind}, start long, end long, n long, total double", "append", "eventTime")
+    out = held.groupBy("bucket").transformWithStateInPandas(IdleSessions(gap_seconds, kind), f"user_id {kind}, start long, end long, n long, total double", "append", "eventTime")
     return out.select("user_id", F.timestamp_micros("start").alias("session_start"), F.timestamp_micros("end").alias("session_end"), "n", "total")
 
 

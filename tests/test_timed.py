@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lodestrand.streaming import events as windows
@@ -82,3 +83,27 @@ def test_mates_in_time(spark, tmp_path):
             want += [(n, at(t), at(u)) for u in near] or [(n, at(t), None)]
     got = [tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).where(F.col("name") >= 0).collect()]
     assert late >= 1 and sorted(got, key=key) == sorted(want, key=key)
+
+
+def test_one_timer_for_all_open_sessions():
+    """Many sessions of many users in one bucket: one timer, one call that closes all behind the watermark, and the next timer."""
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.rows = [], []
+            self.getListState = lambda name, schema: self
+            self.get, self.put, self.clear = lambda: iter(self.rows), lambda rows: setattr(self, "rows", rows), lambda: setattr(self, "rows", [])
+            self.registerTimer = self.timers.append
+
+    class Times:
+        getCurrentWatermarkInMs = staticmethod(lambda: 55_000)
+        getExpiryTimeInMs = staticmethod(lambda: 11_001)
+
+    handle, sessions = Handle(), timed.IdleSessions(10)
+    sessions.init(handle)
+    rows = pd.DataFrame([(u, t * 1_000_000, 1.0) for t in range(1, 100, 20) for u in (3, 4)], columns=["user_id", "micros", "value"])
+    list(sessions.handleInputRows((0,), iter([rows]), Times))
+    assert handle.timers == [11_001] and len(handle.rows) == 10
+    (closed,) = sessions.handleExpiredTimer((0,), Times, Times)
+    assert sorted(zip(closed.user_id, closed.start)) == [(u, t * 1_000_000) for u in (3, 4) for t in (1, 21, 41)]
+    assert handle.timers == [11_001, 71_001] and len(handle.rows) == 4
