@@ -35,12 +35,22 @@ def errors(seqs: DataFrame, k: int, ratio: float, low: int, high: int) -> DataFr
 def clusters(seqs: DataFrame, k: int) -> DataFrame:
     """name and cluster (the smallest name): sequences whose beginning or end of k bases, on either strand, stands in another one."""
     rows = seqs.where(F.length("seq") >= k).select("name", F.upper("seq").alias("seq"))
-    tips = rows.select(F.col("name").alias("a"), F.explode(F.array(F.substr("seq", F.lit(1), F.lit(k)), F.substr("seq", F.length("seq") - k + 1, F.lit(k)))).alias("tip")).select("a", S.canonical(F.col("tip")).alias("w")).distinct()
-    words = rows.select(F.col("name").alias("b"), F.explode(F.array_distinct(S.canonical_kmers(F.col("seq"), k))).alias("w"))
+    ends = F.explode(F.array(F.substr("seq", F.lit(1), F.lit(k)), F.substr("seq", F.length("seq") - k + 1, F.lit(k))))
+    if k <= 31:
+        # as numbers, 8 bytes a word; as everywhere, words with other letters than ACGT are none
+        tips = codes.explode(rows.select("name", ends.alias("seq")), k).select(F.col("kmer").alias("w")).distinct()
+        words = codes.explode(rows, k).select(F.col("name").alias("b"), F.col("kmer").alias("w"))
+    else:
+        tips = rows.select(ends.alias("tip")).select(S.canonical(F.col("tip")).alias("w")).distinct()
+        words = rows.select(F.col("name").alias("b"), F.explode(F.array_distinct(S.canonical_kmers(F.col("seq"), k))).alias("w"))
+    # all words are shuffled once; what is kept are those that are an end of some sequence
+    held = keep(words.join(tips, "w", "left_semi").distinct(), "words")
     # of all sequences with a word the smallest stands for the others, so that no pairs within a group arise
-    least = words.groupBy("w").agg(F.min("b").alias("b"))
-    held = words.join(tips.select("w").distinct(), "w", "left_semi").join(least.withColumnRenamed("b", "m"), "w").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return rows.select("name").join(components(held.where("a <> b").distinct()).withColumnsRenamed({"node": "name"}), "name", "left").select("name", F.coalesce("root", "name").alias("cluster"))
+    least = held.groupBy("w").agg(F.min("b").alias("m"))
+    edges = held.join(least, "w").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    rooted = components(edges).withColumnsRenamed({"node": "name"})
+    discard(held)
+    return rows.select("name").join(rooted, "name", "left").select("name", F.coalesce("root", "name").alias("cluster"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from lodestrand.operators import overlaps
+from lodestrand.operators import depths, overlaps
 
 
 def turned(s):
@@ -112,3 +112,20 @@ def test_runs_of_one_letter_are_searched_not_joined(spark):
     assert not met.where("a < 6 and b = 22 and not reverse").count()
     plain = sorted(a for a, s in seqs if not any(b != a and len(t) > len(s) and (s in t or turned(s) in t) for b, t in seqs))
     assert sorted(r.name for r in overlaps.contained(df, 15, 11).collect()) == plain
+
+
+@pytest.mark.parametrize("k", [5, 33])
+def test_clusters_by_words_as_numbers(spark, k):
+    """As a plain walk over shared ends; runs of unknown bases link nothing where words are numbers."""
+    rng = random.Random(k)
+    genome = "".join(rng.choices("ACGT", k=600))
+    rows = [(i, (lambda s: turned(s) if i % 2 else s)(genome[at : at + k + 20])) for i, at in enumerate(rng.randrange(0, 540) for _ in range(20))]
+    words = lambda s: {max(s[i : i + k], turned(s[i : i + k])) for i in range(len(s) - k + 1)}
+    own = {n: words(s) for n, s in rows}
+    tips = {n: words(s[:k]) | words(s[-k:]) for n, s in rows}
+    root = {n: n for n, _ in rows}
+    for _ in rows:
+        root = {a: min(root[b] for b in own if tips[a] & own[b] or tips[b] & own[a]) for a in own}
+    unknown = [(50, "N" * (k + 3)), (51, "N" * (k + 4))] if k <= 31 else []
+    got = {r.name: r.cluster for r in depths.clusters(spark.createDataFrame(rows + unknown, "name long, seq string"), k).collect()}
+    assert got == root | {n: n for n, _ in unknown}
