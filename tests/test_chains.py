@@ -62,3 +62,28 @@ def test_one_circle_and_no_rows(spark):
     assert chains.compressed(spark.createDataFrame([], "seq string"), 7).count() == 0
     with pytest.raises(ValueError, match="odd"):
         chains.compressed(spark.createDataFrame([], "seq string"), 8)
+
+
+@pytest.mark.parametrize("seed, k", [(1, 7), (2, 11), (3, 21)])
+def test_chains_over_buckets(spark, monkeypatch, seed, k):
+    monkeypatch.setattr(chains, "BUCKET", 3)
+    rng = random.Random(seed)
+    seqs = ["".join(rng.choices("ACGT", k=300)) for _ in range(3)]
+    ring = "".join(rng.choices("ACGT", k=90))
+    seqs += [ring + ring[: k - 1], seqs[0][:80], "A" * 30, "AC" * 20]
+    known = {x for s in seqs for x in kmers(s, k)}
+    got = [r.seq for r in chains.compressed(spark.createDataFrame([(s,) for s in seqs], "seq string"), k).collect()]
+    assert Counter(x for s in got for x in kmers(s, k)) == Counter(known)
+    links = plain_links(known, k)
+    inside = {(s[i : i + k], s[i + 1 : i + 1 + k]) for s in got for i in range(len(s) - k)}
+    inside |= {(turned(b), turned(a)) for a, b in inside}
+    assert inside <= links
+    ends = {(s[-k:], s[:k]) for s in got if len(s) > k} | {(turned(s[:k]), turned(s[-k:])) for s in got if len(s) > k}
+    assert links - inside <= ends
+    # joined in numpy, by buckets: a stretch is more than a node, so that fewer rows than nodes are ranked
+    held = chains._stretches(chains._dealt(spark.createDataFrame([(x,) for x in _codes(known)], "kmer long"), k, 40), k, 40)
+    assert 0 < held.where("node is not null").count() < len(known)
+
+
+def _codes(known):
+    return [int("".join(str("ACGT".index(c)) for c in x), 4) for x in known]
