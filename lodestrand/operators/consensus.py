@@ -7,6 +7,9 @@ place.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,13 +75,28 @@ def merged_by_quality(pairs: DataFrame, offset: int = 33, most: int = 41) -> Dat
     n = F.col("overlap")
     other, other_qual = S.reverse_complement(F.col("seq2")), F.reverse("qual2")
     left = F.length("seq1") - n
-    held = held.withColumns({"_a": S.each_letter(F.substr("seq1", left + 1, n)), "_p": S.each_letter(F.substr("qual1", left + 1, n)), "_b": S.each_letter(F.substr(other, F.lit(1), n)), "_q": S.each_letter(F.substr(other_qual, F.lit(1), n))})
-    first, second = (lambda i: F.ascii(F.get("_p", i)) - offset), (lambda i: F.ascii(F.get("_q", i)) - offset)
-    base = F.transform("_a", lambda a, i: F.when(first(i) >= second(i), a).otherwise(F.get("_b", i)))
-    sign = F.transform("_a", lambda a, i: F.char(offset + F.when(a == F.get("_b", i), F.least(first(i) + second(i), F.lit(most))).otherwise(F.abs(first(i) - second(i)))))
-    merged = F.concat(F.substr("seq1", F.lit(1), left), F.array_join(base, ""), F.substr(other, n + 1))
-    qual = F.concat(F.substr("qual1", F.lit(1), left), F.array_join(sign, ""), F.substr(other_qual, n + 1))
-    return held.withColumns({"merged": F.when(n.isNotNull(), merged), "merged_qual": F.when(n.isNotNull(), qual)}).drop("_a", "_p", "_b", "_q")
+
+    def joined(a: pa.Array, p: pa.Array, b: pa.Array, q: pa.Array) -> pa.Array:
+        sizes = np.array(pc.fill_null(pc.utf8_length(a), 0), np.int64)
+        texts: list[list[str]] = [[], []]
+        step = max(1, rearrange.LETTERS // max(1, int(sizes.max(initial=0))))
+        for i in range(0, len(a), step):
+            own = sizes[i : i + step]
+            a_, p_, b_, q_ = (rearrange.letter_codes(x.slice(i, step), int(own.max(initial=0))).astype(np.int64) for x in (a, p, b, q))
+            base = np.where(p_ >= q_, a_, b_)
+            sign = offset + np.where(a_ == b_, np.minimum(p_ + q_ - 2 * offset, most), np.abs(p_ - q_))
+            inside = np.arange(base.shape[1])[None, :] < own[:, None]
+            ends = np.cumsum(own).tolist()
+            for out, letters in zip(texts, (base, sign)):
+                whole = letters[inside].astype(np.uint32).tobytes().decode("utf-32-le")
+                out += [whole[x:y] for x, y in zip([0, *ends[:-1]], ends)]
+        return pa.StructArray.from_arrays([pa.array(t, pa.string()) for t in texts], names=["base", "sign"])
+
+    both = F.arrow_udf(joined, "base string, sign string")(F.substr("seq1", left + 1, n), F.substr("qual1", left + 1, n), F.substr(other, F.lit(1), n), F.substr(other_qual, F.lit(1), n))
+    held = held.withColumn("_j", both)
+    merged = F.concat(F.substr("seq1", F.lit(1), left), F.col("_j.base"), F.substr(other, n + 1))
+    qual = F.concat(F.substr("qual1", F.lit(1), left), F.col("_j.sign"), F.substr(other_qual, n + 1))
+    return held.withColumns({"merged": F.when(n.isNotNull(), merged), "merged_qual": F.when(n.isNotNull(), qual)}).drop("_j")
 
 
 def in_clumps(reads: DataFrame, k: int) -> DataFrame:

@@ -2,31 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrand.functions import seq as S
 from lodestrand.operators.kmers import explode
 
 
-def _overlap(first: Column, second: Column, least: int) -> Column:
-    """struct<share, shorter>: the overlap of first's end and second's start with the lowest share of mismatches, longest among ties (shorter: its length, negative)."""
-
-    def candidate(size: Column) -> Column:
-        differ = F.filter(F.sequence(F.lit(1), size), lambda i: F.substr(first, F.length(first) - size + i, F.lit(1)) != F.substr(second, i, F.lit(1)))
-        return F.struct((F.size(differ) / size).alias("share"), (-size).alias("shorter"))
-
-    most = F.least(F.length(first), F.length(second))
-    return F.when(first.isNotNull() & second.isNotNull() & (most >= least), F.array_min(F.transform(F.sequence(F.lit(least), most), candidate)))
+def letter_codes(column: pa.Array, width: int, right: bool = False) -> np.ndarray:
+    """A row of ``width`` code points for each text (at most so long), padded with 0 behind it, or before it if ``right``."""
+    texts = [t or "" for t in column.to_pylist()]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    out = np.zeros((len(texts), width), np.uint32)
+    at = np.arange(width)[None, :]
+    out[at >= width - sizes[:, None] if right else at < sizes[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return out
+
+
+#: Letters of either side that are compared at once.
+LETTERS = 1 << 20
+
+
+def _overlaps(first: pa.Array, second: pa.Array, least: int, most_share: float) -> np.ndarray:
+    """The overlap of each first's end and second's start with the lowest share of mismatches, longest among ties; 0 where that share is over most_share, or a side is null or too short."""
+    sizes = [np.where(pc.is_null(x), 0, pc.fill_null(pc.utf8_length(x), 0)).astype(np.int64) for x in (first, second)]
+    shorter = np.minimum(*sizes)
+    out = np.zeros(len(first), np.int64)
+    # rows of like lengths, so that one long sequence does not widen all
+    order = np.argsort(shorter, kind="stable")
+    order = order[shorter[order] >= max(least, 1)]
+    while len(order):
+        n = max(1, int(np.searchsorted(shorter[order] * np.arange(1, len(order) + 1), LETTERS, side="right")))
+        rows, order = order[:n], order[n:]
+        width = int(shorter[rows].max())
+        take = pa.array(rows)
+        a = letter_codes(pc.utf8_slice_codeunits(first.take(take), -width), width, right=True)
+        b = letter_codes(pc.utf8_slice_codeunits(second.take(take), 0, width), width)
+        share, found = np.full(n, np.inf), np.zeros(n, np.int64)
+        for size in range(max(least, 1), width + 1):
+            # sorted: those of at least this size stand last
+            i = int(np.searchsorted(shorter[rows], size))
+            own = np.count_nonzero(a[i:, width - size :] != b[i:, :size], axis=1) / size
+            better = own <= share[i:]
+            share[i:][better], found[i:][better] = own[better], size
+        out[rows] = np.where(share <= most_share, found, 0)
+    return out
 
 
 def merge_mates(pairs: DataFrame, least: int = 12, most_share: float = 0.1) -> DataFrame:
     """pairs(…, seq1, seq2) with ``overlap`` and ``merged``: mates joined where the end of the first overlaps the reverse complement of the second in ``least`` bases or more, at most that share of them different (the first mate's base stands); null where none does."""
-    # a one-element array keeps the complement from being computed anew for each candidate
-    found = F.transform(F.array(S.reverse_complement(F.col("seq2"))), lambda r: F.struct(r.alias("rc"), _overlap(F.col("seq1"), r, least).alias("best")))
-    held = pairs.withColumn("_f", F.element_at(found, 1))
-    good = F.col("_f.best.share") <= most_share
-    return held.withColumn("overlap", F.when(good, -F.col("_f.best.shorter"))).withColumn("merged", F.when(good, F.concat("seq1", F.substr("_f.rc", F.col("overlap") + 1)))).drop("_f")
+
+    def found(first: pa.Array, second: pa.Array) -> pa.Array:
+        size = _overlaps(first, second, least, most_share)
+        return pa.array(size.astype(np.int32), mask=size == 0)
+
+    other = S.reverse_complement(F.col("seq2"))
+    held = pairs.withColumn("overlap", F.arrow_udf(found, "int")(F.col("seq1"), other))
+    return held.withColumn("merged", F.when(F.col("overlap").isNotNull(), F.concat("seq1", F.substr(other, F.col("overlap") + 1))))
 
 
 def cut_at_n(seqs: DataFrame, least: int) -> DataFrame:

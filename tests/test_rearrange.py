@@ -64,3 +64,31 @@ def test_uniqueness_and_positions(spark):
     df = spark.createDataFrame([(0, "AAAC"), (1, "AAAC"), (10, "AAACC"), (11, None)], "name int, seq string")
     assert sorted(map(tuple, R.uniqueness(df, 3, 10).collect())) == [(0, 4, 2), (1, 3, 1)]
     assert sorted(map(tuple, R.hit_positions(df, df.where("name = 10"), 3).collect())) == [(0, 3), (1, 3), (2, 1)]
+
+
+def test_overlaps_are_those_of_a_plain_search(spark):
+    import random
+
+    from lodestrand.operators import rearrange
+
+    rng = random.Random(5)
+    turned = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = [("ACGT" * 2_000, turned("ACGT" * 1_999)), (None, "ACGT"), ("ACG", "")]
+    for _ in range(200):
+        whole = "".join(rng.choices("AC" if rng.random() < 0.3 else "ACGT", k=rng.randrange(5, 70)))
+        cut = rng.randrange(len(whole))
+        rows.append((whole[: cut + rng.randrange(30)], turned(whole[cut:])))
+
+    def plain(a, b):
+        if a is None or b is None:
+            return None
+        b = turned(b)
+        found = [(sum(x != y for x, y in zip(a[len(a) - n :], b)) / n, -n) for n in range(6, min(len(a), len(b)) + 1)]
+        return -min(found)[1] if found and min(found)[0] <= 0.15 else None
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, seq1 string, seq2 string")
+    got = {r.i: (r.overlap, r.merged) for r in rearrange.merge_mates(df, 6, 0.15).collect()}
+    for i, (a, b) in enumerate(rows[1:], 1):
+        n = plain(a, b)
+        assert got[i] == (n, None if n is None else a + turned(b)[n:])
+    assert got[0][0] == 7_996  # of letters by numbers: a search letter by letter took hours
