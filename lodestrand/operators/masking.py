@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrand.functions import seq as S
 from lodestrand.operators import intervals
@@ -44,10 +48,25 @@ def low_complexity(seqs: DataFrame, size: int, step: int, k: int, least: int) ->
 
 def repeats(seqs: DataFrame, k: int, least: int) -> DataFrame:
     """chrom, start, end of runs of one unit of k bases that stands ``least`` times or more one after the other, merged."""
-    found = F.sequence(F.lit(1), F.length("seq") - k + 1)
-    same = F.when(F.length("seq") >= k * least, F.filter(found, lambda i: F.substr("seq", i, F.lit(k * least)) == F.repeat(F.substr("seq", i, F.lit(k)), least)))
-    starts = seqs.select(F.col("name").alias("chrom"), F.explode(same).alias("i")).select("chrom", (F.col("i") - 1).cast("long").alias("start"))
-    return intervals.merge(starts.withColumn("end", F.col("start") + k * least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, text in enumerate(b.column(1)):
+                letters = np.frombuffer((text.as_py() or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+                # places that are as the one a unit before; a run of so many places of them is one of the unit
+                same = np.r_[False, letters[k:] == letters[:-k], False] if len(letters) > k else np.zeros(2, bool)
+                turns = np.flatnonzero(same[1:] != same[:-1])
+                first, last = turns[::2], turns[1::2]
+                if least < 2:  # each unit for itself
+                    first, last = (np.array([x]) for x in (0, len(letters) - k)) if len(letters) >= k else (turns, turns)
+                long = last - first >= k * (least - 1)
+                if long.any():
+                    at = b.column(0).take(pa.array(np.full(int(long.sum()), row)))
+                    yield pa.RecordBatch.from_arrays([at, pa.array(first[long]), pa.array(last[long] + k)], names=["chrom", "start", "end"])
+
+    # the runs of a sequence are found in its own row; what is merged are runs that touch, or rows of one name
+    schema = T.StructType([T.StructField("chrom", seqs.schema["name"].dataType), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+    return intervals.merge(seqs.select("name", "seq").mapInArrow(run, schema))
 
 
 def by_depth(runs: DataFrame, least: int, most: int | None = None) -> DataFrame:
