@@ -2,7 +2,8 @@
 
 Records may run over several lines; a file (gz too) is one partition, read as
 a stream.  Plain files whose records have four lines can be read in ranges:
-the option ``splitBytes`` says how many bytes a partition takes.  Columns:
+the option ``splitBytes`` says how many bytes are read at once; a partition
+takes such ranges of a file one after the other, TASK_BYTES at most (or one range).  Columns:
 file, number (from 0 in the file; in ranges, a growing number), name, comment,
 seq and qual (null for FASTA records).  A quality of another length than its sequence
 is an error.
@@ -21,6 +22,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+#: Bytes of a file that a task reads, if its ranges are smaller: a task costs as much as reading them.
+TASK_BYTES = 1 << 21
+
+
 def parse(lines: Iterator[str]) -> Iterator[tuple[str, str, str, str | None]]:
     """(name, comment, seq, qual) of FASTA and FASTQ records."""
     line = next(lines, None)
@@ -87,7 +92,8 @@ class FastqReader(DataSourceReader):
         parts = []
         for f in found:
             step = self.bytes if self.bytes and not f.path.endswith(".gz") else 0
-            parts += [FilePart(f.path, at, at + step) for at in range(0, f.size, step)] if step else [FilePart(f.path)]
+            whole = max(1, TASK_BYTES // step) * step if step else 0
+            parts += [FilePart(f.path, at, at + whole) for at in range(0, f.size, whole)] if step else [FilePart(f.path)]
         return parts
 
     def _records(self, part: FilePart) -> Iterator[tuple[int, tuple]]:
@@ -95,11 +101,17 @@ class FastqReader(DataSourceReader):
         if part.end is not None:
             with fs.open_input_file(part.path) as file:
                 size, raw = file.size(), io.BufferedReader(file)
-                at, end = _first_record(raw, part.start, size), _first_record(raw, part.end, size) if part.end < size else size
-                raw.seek(at)
-                # numbers grow with the place in the file
-                for n, record in enumerate(parse(iter(raw.read(max(0, end - at)).decode("utf-8").splitlines(keepends=True)))):
-                    yield part.start + n, record
+                last = min(part.end, size)
+                at = _first_record(raw, part.start, size)
+                for start in range(part.start, last, self.bytes):
+                    stop = min(start + self.bytes, last)
+                    # a record that is longer than a range leaves the ranges behind it empty
+                    end = size if stop >= size else at if stop <= at else _first_record(raw, stop, size)
+                    raw.seek(at)
+                    # numbers grow with the place in the file
+                    for n, record in enumerate(parse(iter(raw.read(end - at).decode("utf-8").splitlines(keepends=True)))):
+                        yield start + n, record
+                    at = end
             return
         with fs.open_input_stream(part.path, compression=None) as raw:
             stream = gzip.open(raw) if part.path.endswith(".gz") else io.BufferedReader(raw)
