@@ -23,13 +23,19 @@ def depth_classes(seqs: DataFrame, k: int, low: int, high: int) -> DataFrame:
 
 def errors(seqs: DataFrame, k: int, ratio: float, low: int, high: int) -> DataFrame:
     """name and errors: how many neighbouring k-mers of a read differ in depth as an error makes them: one at least ``high`` deep, the other at most ``low`` and ``ratio`` times shallower."""
-    rows = codes.explode(seqs, k)
     n = codes.counted(seqs, k).groupBy("kmer").agg(F.sum("n").alias("d"))
-    deep = rows.join(n, "kmer").select("name", "pos", "d")
-    # the neighbour of a place is found by its number, so no read's places are ordered
-    both = deep.join(deep.select("name", (F.col("pos") - 1).alias("pos"), F.col("d").alias("_next")), ["name", "pos"])
     more, less = F.greatest("d", "_next"), F.least("d", "_next")
-    return both.where((more >= high) & (less <= low) & (more >= ratio * less)).groupBy("name").agg(F.count("*").alias("errors"))
+    wrong = (more >= high) & (less <= low) & (more >= ratio * less)
+    if k == 31:
+        # two neighbours are no code: the neighbour of a place is found by its number
+        deep = codes.explode(seqs, k).join(n, "kmer").select("name", "pos", "d")
+        both = deep.join(deep.select("name", (F.col("pos") - 1).alias("pos"), F.col("d").alias("_next")), ["name", "pos"])
+        return both.where(wrong).groupBy("name").agg(F.count("*").alias("errors"))
+    # two neighbours are one k-mer of a base more: depths are told to the different ones, and only the name of a place meets those that count
+    pairs = codes.counted(seqs, k + 1).select("kmer").distinct()
+    sides = pairs.select("kmer", codes.canonical(F.shiftright("kmer", 2), k).alias("_a"), codes.canonical(F.col("kmer").bitwiseAND(F.lit(4**k - 1)), k).alias("_b"))
+    both = sides.join(n.withColumnRenamed("kmer", "_a"), "_a").join(n.select(F.col("kmer").alias("_b"), F.col("d").alias("_next")), "_b")
+    return codes.explode(seqs, k + 1).join(both.where(wrong).select("kmer"), "kmer", "left_semi").groupBy("name").agg(F.count("*").alias("errors"))
 
 
 def clusters(seqs: DataFrame, k: int) -> DataFrame:
