@@ -91,6 +91,8 @@ def report_lines(rows: DataFrame, tree: DataFrame) -> DataFrame:
     return rows.join(order, "tid").orderBy("path").select(line.alias("line"))
 
 
+#: Rows of hits that meet in a task.
+TASK_ROWS = 500_000
 MAIN_RANKS = ("species", "genus", "family", "superkingdom")
 
 
@@ -105,15 +107,18 @@ def count_table(hits: DataFrame, tree: DataFrame) -> DataFrame:
 
     Hits without a species do not count; one without a genus or family has an unnamed one of its own there, so that a read with it and another taxon is not unique.
     """
-    lines = hits.select("read", "tid").distinct().join(main_lineage(tree), "tid").where("species is not null")
-    name = lambda c, mark: F.concat(F.lit(mark), F.col(c).cast("string"))
-    genus = F.coalesce(name("genus", ""), name("species", "s"))
-    family = F.coalesce(name("family", ""), F.concat(F.lit("g"), genus))
-    values = (F.col("species").cast("string"), genus, family, F.coalesce(name("superkingdom", ""), F.lit("-")))
-    each = lines.select("read", F.inline(F.array(*[F.struct(F.lit(r).alias("rank"), v.alias("to")) for r, v in zip(MAIN_RANKS, values)]))).distinct()
-    sized = each.withColumn("_n", F.count("*").over(Window.partitionBy("read", "rank"))).withColumn("tid", F.col("to").try_cast("long"))
+    # taxa as numbers: four times the taxon, plus what an unnamed one is unnamed after (1: a genus, 2: a species, 3: all)
+    number = lambda c, mark: F.col(c) * 4 + mark
+    genus = F.coalesce(number("genus", 0), number("species", 2))
+    values = (number("species", 0), genus, F.coalesce(number("family", 0), number("genus", 1), number("species", 2)), F.coalesce(number("superkingdom", 0), F.lit(3).cast("long")))
+    lineage = main_lineage(tree).where("species is not null").select("tid", *[v.alias(r) for r, v in zip(MAIN_RANKS, values)])
+    lines = keep(hits.select("read", "tid").join(lineage, "tid").select("read", *MAIN_RANKS), "lines")
+    # all ranks of a read's hits meet once, of so many rows in a task whatever their number
+    met = lines.repartition(lines.count() // TASK_ROWS + 1, "read").groupBy("read").agg(*[F.collect_set(r).alias(r) for r in MAIN_RANKS])
+    told = lambda r: F.transform(r, lambda x: F.struct(F.lit(r).alias("rank"), x.alias("to"), (F.size(r) == 1).alias("alone")))
+    each = met.select(F.inline(F.flatten(F.array(*map(told, MAIN_RANKS)))))
     one = lambda c: F.sum(c.cast("long"))
-    return sized.where("tid is not null").groupBy("rank", "tid").agg(one(F.col("_n") == 1).alias("uniq"), one(F.col("_n") > 1).alias("multi"))
+    return each.where("`to` % 4 = 0").groupBy("rank", F.expr("`to` div 4").alias("tid")).agg(one(F.col("alone")).alias("uniq"), one(~F.col("alone")).alias("multi"))
 
 
 def named_count_table(counts: DataFrame, tree: DataFrame) -> DataFrame:
