@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: So many bases are coded at once; longer sequences go in pieces.
-PIECE = 1 << 20
+PIECE = 1 << 17
 _LETTERS = np.frombuffer(b"ACGT", np.uint8)
 _DIGIT = np.full(256, 4, np.uint8)
 _DIGIT[np.frombuffer(b"ACGTacgt", np.uint8)] = [0, 1, 2, 3] * 2
