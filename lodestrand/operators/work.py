@@ -26,6 +26,15 @@ _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 _made: list[list[DataFrame]] = []
 
 
+#: Rows that meet in a task, whatever their number in all.
+TASK_ROWS = 250_000
+
+
+def tasks(rows: int | None) -> int:
+    """In how many tasks so many rows meet."""
+    return (rows or 0) // TASK_ROWS + 1
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet and read back: computed once however often it is used, and not lost with an executor."""
     path = new_folder(df.sparkSession, name)
