@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from lodestrand.functions import seq as S
 from lodestrand.operators import intervals
+from lodestrand.operators.work import keep
 
 #: What each ambiguity code stands for.
 IUPAC = {"R": "AG", "Y": "CT", "S": "CG", "W": "AT", "K": "GT", "M": "AC", "B": "CGT", "D": "AGT", "H": "ACT", "V": "ACG", "N": "ACGT"}
@@ -43,7 +44,7 @@ def distinct_words(tile: Column, k: int) -> Column:
 def low_complexity(seqs: DataFrame, size: int, step: int, k: int, least: int) -> DataFrame:
     """chrom, start, end of windows with fewer than ``least`` different k-mers, merged."""
     poor = windows(seqs, size, step).where(distinct_words(F.col("tile"), k) < least)
-    return intervals.merge(poor.select(F.col("name").alias("chrom"), "start", (F.col("start") + size).alias("end")))
+    return intervals.merge(keep(poor.select(F.col("name").alias("chrom"), "start", (F.col("start") + size).alias("end")), "poor"))
 
 
 def repeats(seqs: DataFrame, k: int, least: int) -> DataFrame:
@@ -66,7 +67,7 @@ def repeats(seqs: DataFrame, k: int, least: int) -> DataFrame:
 
     # the runs of a sequence are found in its own row; what is merged are runs that touch, or rows of one name
     schema = T.StructType([T.StructField("chrom", seqs.schema["name"].dataType), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-    return intervals.merge(seqs.select("name", "seq").mapInArrow(run, schema))
+    return intervals.merge(keep(seqs.select("name", "seq").mapInArrow(run, schema), "repeats"))
 
 
 def by_depth(runs: DataFrame, least: int, most: int | None = None) -> DataFrame:
