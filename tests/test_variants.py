@@ -1,9 +1,13 @@
 """Masking, sweeps, variants and tree paths on small cases: nulls, empty tables, ties, repeated rows."""
 
 import random
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from lodestrand.operators import kmers as K
-from lodestrand.operators import sam, taxonomy, variants
+from lodestrand.operators import sam, taxonomy, variants, work
+from lodestrand.sources import text
 
 
 def test_mask_joins_runs_and_leaves_the_rest(spark):
@@ -55,6 +59,25 @@ def test_allele_counts(spark):
     assert got == {1: (4, {"A": 2, "IT": 1}), 2: (1, {})}
 
 
+def test_tasks_of_frequencies_grow_with_the_bases(spark, monkeypatch):
+    monkeypatch.setattr(work, "TASK_ROWS", 10)
+    rng = random.Random(4)
+    # most bases are of one place, and come from several tasks
+    rows = [("a", rng.choice([1] * 9 + [2, 3, 4]), rng.choice(["A", "IT", "DA", None])) for _ in range(95)]
+    bases = spark.createDataFrame(rows, "chrom string, pos long, allele string").repartition(3)
+    counts = variants.allele_counts(bases)
+    sites = spark.createDataFrame([("a", p, "G", "A") for p in range(1, 7)] + [("b", 1, "G", "A")], "chrom string, pos long, ref string, alt string")
+    out = text.update_frequencies(sites, counts)
+    depth, n = Counter(p for _, p, _ in rows), Counter(p for _, p, x in rows if x == "A")
+    assert {r.pos: (r.depth, r.af) for r in out.collect()} == {p: (depth[p], round(n[p] / depth[p], 4)) for p in depth}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    shuffles = [int(line.rsplit(",", 1)[1]) for line in plan.splitlines() if "RepartitionByExpression" in line and line.rsplit(",", 1)[1].strip().isdigit()]
+    assert shuffles == [10, 10]
+    # sites made of the counts are where these are, and are not shuffled again
+    own = text.update_frequencies(counts.select("chrom", "pos", F.lit("G").alias("ref"), F.lit("A").alias("alt")), counts.hint("merge"))
+    assert own.count() == len(depth) and "ENSURE_REQUIREMENTS" not in own._jdf.queryExecution().executedPlan().toString()
+
+
 def test_paths_and_common_ancestors(spark):
     nodes = [(1, 1), (2, 1), (10, 2), (20, 10), (100, 20), (101, 20), (200, 2), (1000, 100), (7, 7), (70, 7)]
     tree = taxonomy.closure(spark.createDataFrame([(t, p, "no", str(t)) for t, p in nodes], "tid long, parent long, rank string, name string"))
