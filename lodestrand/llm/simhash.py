@@ -360,10 +360,10 @@ class Cells:
                     yield from self._chosen(x[x < y], y[x < y], share, radius)
 
     def _chosen(self, x: np.ndarray, y: np.ndarray, share: float, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        # a cell of two blocks has none of the pairs within one of them
+        # a cell of two blocks has none of the pairs within one of them, but for rows of block -1, which meet all
         ok = self.close(x, y, share, radius)
         x, y = x[ok], y[ok]
-        ok = self.belongs(x, y) & ((self.block[x] != self.block[y]) | (self.alone[x]))
+        ok = self.belongs(x, y) & ((self.block[x] != self.block[y]) | self.alone[x] | (self.block[x] < 0))
         if ok.any():
             yield x[ok], y[ok]
 
@@ -403,37 +403,76 @@ def similar_rows(cells: Cells, sets: list[np.ndarray], share: float = SHARE, rad
     return found
 
 
-def meeting_cells(reps: DataFrame, block_rows: int = BLOCK_ROWS, many: int = MANY_BLOCKS) -> DataFrame:
+def _keys(reps: DataFrame) -> DataFrame:
+    """(s, f, n, m, w, i, j, k): the rows of reps under each of their keys."""
+    return reps.select("s", "f", "n", "m", "w", F.posexplode("m").alias("i", "v")).select("s", "f", "n", "m", "w", "i", F.lit(-1).alias("j"), F.xxhash64("i", "v").alias("k"))
+
+
+def _hot(keys: DataFrame, block_rows: int) -> DataFrame:
+    """k and rows of keys with more rows than a block."""
+    return save(keys.groupBy("k").agg(F.count("*").alias("rows")).where(F.col("rows") > block_rows), "hot")
+
+
+def _few(table: DataFrame) -> DataFrame:
+    """table, broadcast if it is counted to be small."""
+    return F.broadcast(table) if table.count() <= 500_000 else table
+
+
+def meeting_cells(reps: DataFrame, block_rows: int = BLOCK_ROWS, many: int = MANY_BLOCKS, hot: DataFrame | None = None) -> DataFrame:
     """(cell, i, j, b, s, f, n, w): the rows of reps(s, f, n, m, w) under each of their keys m, so that rows that share a key meet in a cell of bounded size.
 
     Keys of over ``many`` blocks are split by the rows' other keys (as likely to agree); of every key with more rows than a block, any two
-    blocks share a cell.
+    blocks share a cell.  Pairs that agree in a split key alone meet in ``rest_cells``.
     """
-    keys = reps.select("s", "f", "n", "m", "w", F.posexplode("m").alias("i", "v")).select("s", "f", "n", "m", "w", "i", F.lit(-1).alias("j"), F.xxhash64("i", "v").alias("k"))
-
-    def with_sizes(rows: DataFrame) -> DataFrame:
-        hot = save(rows.groupBy("k").agg(F.count("*").alias("rows")).where(F.col("rows") > block_rows), "hot")
-        return rows.join(F.broadcast(hot) if hot.count() <= 500_000 else hot, "k", "left")
-
-    rows = with_sizes(keys)
+    keys = _keys(reps)
+    rows = keys.join(_few(hot if hot is not None else _hot(keys, block_rows)), "k", "left")
     huge = F.coalesce("rows", F.lit(0)) > block_rows * many
     split = rows.where(huge).select("s", "f", "n", "w", "i", "k", F.posexplode("m").alias("j", "v")).where("i <> j").select("s", "f", "n", "w", "i", "j", F.xxhash64("k", "j", "v").alias("k"))
     columns = ["k", "rows", "i", "j", "s", "f", "n", "w"]
     blocks = F.ceil(F.coalesce("rows", F.lit(1)) / F.lit(block_rows)).cast("int")
     mine = F.pmod(F.xxhash64("s"), F.col("blocks").cast("long")).cast("int")
-    dealt = rows.where(~huge).select(*columns).unionAll(with_sizes(split).select(*columns)).withColumn("blocks", blocks)
+    dealt = rows.where(~huge).select(*columns).unionAll(split.join(_few(_hot(split, block_rows)), "k", "left").select(*columns)).withColumn("blocks", blocks)
     met = dealt.select("k", "i", "j", mine.alias("b"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"), "s", "f", "n", "w")
     return met.select(F.xxhash64("k", F.least("b", "with"), F.greatest("b", "with")).alias("cell"), "i", "j", "b", "s", "f", "n", "w")
 
 
+def rest_cells(reps: DataFrame, huge: DataFrame, links: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """As meeting_cells, of the keys huge(k, rows) that it splits: their rows that ``links`` leave outside the largest component of the key (b: -1) meet all rows of the key.
+
+    Two rows of that component need no link, so a group of near copies costs as many cells as blocks, not their square, and no pair is left out.
+    """
+    roots = settle(lambda: components(links), "roots")
+    rows = _keys(reps).join(_few(huge.select("k")), "k").join(roots.withColumnRenamed("node", "s"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+    rows = save(rows.select("k", "i", "j", "s", "f", "n", "w", "root"), "huge")
+    each = save(rows.groupBy("k", "root").agg(F.count("*").alias("rows")), "parts")
+    sizes = each.groupBy("k").agg(F.max_by("root", F.struct("rows", "root")).alias("main"), F.max("rows").alias("most"), F.sum("rows").alias("rows")).where("rows > most")
+    blocks = lambda c: F.ceil(c / F.lit(block_rows)).cast("int")
+    held = rows.join(_few(sizes.select("k", "main", blocks(F.col("rows")).alias("all"), blocks(F.col("rows") - F.col("most")).alias("rest"))), "k").withColumn("b", -(F.col("root") != F.col("main")).cast("int"))
+    mine = lambda c: F.pmod(F.xxhash64("s"), F.col(c).cast("long")).cast("int")
+    to = lambda x, y: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"))
+    along, across = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda x: to(x, mine("all"))), F.transform(F.sequence(F.lit(0), F.col("all") - 1), lambda y: to(mine("rest"), y))
+    met = held.select("k", "i", "j", "b", "s", "f", "n", "w", F.inline(F.when(F.col("b") < 0, F.array_union(along, across)).otherwise(along)))
+    return met.select(F.xxhash64("k", F.lit(-1), "x", "y").alias("cell"), "i", "j", "b", "s", "f", "n", "w")
+
+
 def similar_links(reps: DataFrame, texts: DataFrame, share: float = SHARE, radius: int = WIDE_RADIUS, block_rows: int = BLOCK_ROWS, many: int = MANY_BLOCKS) -> DataFrame:
-    """edges(a, b) that join the keys of reps(s, f, n, m, w) into components of similar texts, by texts(s, text), of which those of one key hold the same words.
+    """edges(a, b) that join the keys of reps(s, f, n, m, w) into components of similar texts, by texts(s, text), of which those of one key hold the same words."""
+    hot = _hot(_keys(reps), block_rows)
+    found = _compared(meeting_cells(reps, block_rows, many, hot), texts, share, radius, block_rows)
+    huge = hot.where(F.col("rows") > block_rows * many)
+    if huge.isEmpty():
+        return found
+    return found.unionByName(_compared(rest_cells(reps, huge, found, block_rows), texts, share, radius, block_rows))
+
+
+def _compared(met: DataFrame, texts: DataFrame, share: float, radius: int, block_rows: int) -> DataFrame:
+    """edges(a, b) of the cells of ``met``.
 
     First short rows meet in their cells and tell which of them have a close one there; a pair counts in one of the cells that it shares.
     Only these rows go to the same cells again, with the hashes of all their shingles, where they are compared; a cell gives one edge a
     row at most, never all pairs.
     """
-    cells = save(meeting_cells(reps, block_rows, many), "cells")
+    cells = save(met, "cells")
     bins = max(1, -(-cells.count() // (4 * block_rows)))
     dealt = F.pmod("cell", F.lit(bins)).alias("bin")
     schema = "cell long, i int, j int, b int, s long, f binary, n long, w binary"
