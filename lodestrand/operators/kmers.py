@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from lodestrand.functions import codes
 from lodestrand.functions import seq as S
@@ -18,6 +18,8 @@ from lodestrand.operators.work import keep
 
 #: Sketches that are compared at once, of either side.
 BLOCK = 512
+#: So many blocks of a side meet in a task.
+BLOCKS = 16
 
 
 def counts(seqs: DataFrame, k: int, seq: str = "seq") -> DataFrame:
@@ -111,13 +113,13 @@ def sketch(seqs: DataFrame, k: int, size: int) -> DataFrame:
     return each.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= size).groupBy("name").agg(F.array_sort(F.collect_list("h")).alias("hashes"))
 
 
-def compare(left: DataFrame, right: DataFrame | None = None, least: int = 1) -> DataFrame:
-    """a, b and shared of sketches(name, hashes: different ones) with at least that many hashes in common; without ``right``, of pairs a < b of left.
+def compare(left: DataFrame, right: DataFrame | None = None, least: int = 1, sizes: bool = False) -> DataFrame:
+    """a, b and shared (with ``sizes`` also size_a and size_b, their numbers of hashes) of sketches(name, hashes: different ones) with at least that many hashes in common; without ``right``, of pairs a < b of left.
 
     Hashes are numbered in the order of how often they occur (by powers of two). Two sketches that share ``least`` of them share one of all but the
     last ``least`` - 1 of each in that order, so they meet under those alone and frequent hashes lie behind. They take their other shared hashes
     along, as numbers, and are compared where they meet; a pair is given under its first common hash alone, so that only results leave the task.
-    A hash of more than BLOCK sketches is cut into blocks that meet pairwise.
+    A hash of more than BLOCKS times BLOCK sketches is cut into blocks of so many that meet pairwise, where BLOCK rows are compared with BLOCK at once.
     """
     sides = [left.withColumn("side", F.lit(0))] + ([] if right is None else [right.withColumn("side", F.lit(1))])
     listed = reduce(DataFrame.unionByName, [s.select("side", "name", "hashes") for s in sides])
@@ -126,69 +128,81 @@ def compare(left: DataFrame, right: DataFrame | None = None, least: int = 1) ->
     # what only one has, or one side, is shared by none
     n = n.where("n0 > 1" if right is None else "n0 > 0 and n1 > 0")
     order = F.shiftleft(F.floor(F.log2(F.col("n0") + F.col("n1"))).cast("long"), 58).bitwiseOR(F.monotonically_increasing_id())
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    blocks = lambda c: F.ceil(F.col(c) / (BLOCK * BLOCKS)).cast("int")
     numbered = keep(n.select("h", order.alias("id"), blocks("n0").alias("left"), blocks("n0" if right is None else "n1").alias("right")), "hashes")
     held = listed.select("side", "name", F.size("hashes").alias("size"), F.explode("hashes").alias("h")).join(numbered, "h").groupBy("side", "name").agg(F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("id", "left", "right"))).alias("_in"))
     # of the order of all hashes those that none shares come first: the last least - 1 are the last shared ones
-    held = held.where(F.size("_in") >= least).select("side", "name", F.col("_in.id").alias("ids"), F.explode(F.slice("_in", 1, F.size("_in") - (least - 1))).alias("_h"))
+    held = held.where(F.size("_in") >= least).select("side", "name", "size", F.col("_in.id").alias("ids"), F.explode(F.slice("_in", 1, F.size("_in") - (least - 1))).alias("_h"))
     own = F.pmod(F.xxhash64("name"), F.when(F.col("side") == 0, F.col("_h.left")).otherwise(F.col("_h.right"))).cast("int")
     others = F.when(F.col("side") == 0, F.col("_h.right")).otherwise(F.col("_h.left"))
-    met = held.select("side", "name", "ids", F.col("_h.id").alias("id"), own.alias("_own"), F.explode(F.sequence(F.lit(0), others - 1)).alias("_other"))
+    met = held.select("side", "name", "size", "ids", F.col("_h.id").alias("id"), own.alias("_own"), F.explode(F.sequence(F.lit(0), others - 1)).alias("_other"))
     if right is None:
         place = F.when(F.col("_own") == F.col("_other"), 2).otherwise((F.col("_own") > F.col("_other")).cast("int"))
-        met = met.select(place.alias("side"), "name", "ids", "id", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
+        met = met.select(place.alias("side"), "name", "size", "ids", "id", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"))
     else:
-        met = met.select("side", "name", "ids", "id", F.when(F.col("side") == 0, F.col("_own")).otherwise(F.col("_other")).alias("i"), F.when(F.col("side") == 0, F.col("_other")).otherwise(F.col("_own")).alias("j"))
-    cells = met.groupBy("id", "i", "j").agg(F.collect_list(F.struct("side", "name", "ids")).alias("rows")).where("size(rows) > 1").select("id", "rows")
+        met = met.select("side", "name", "size", "ids", "id", F.when(F.col("side") == 0, F.col("_own")).otherwise(F.col("_other")).alias("i"), F.when(F.col("side") == 0, F.col("_other")).otherwise(F.col("_own")).alias("j"))
+    cells = met.groupBy("id", "i", "j").agg(F.collect_list(F.struct("side", "name", "ids", "size")).alias("rows")).where("size(rows) > 1").select("id", "rows")
     kind = left.schema["name"].dataType
-    out = cells.mapInArrow(_shared(least), StructType([StructField("a", kind), StructField("b", kind), StructField("shared", LongType())]))
-    return out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared") if right is None else out
-
-
-def _shared(least: int):
-    """From cells (id, rows(side, name, ids)): a, b and shared of rows of side 0 and 1 (2: both) whose least common number is id."""
+    out = cells.mapInArrow(_shared(least, BLOCK), StructType([StructField("a", kind), StructField("b", kind), StructField("shared", LongType()), StructField("size_a", IntegerType()), StructField("size_b", IntegerType())]))
+    if right is None:
+        turned = lambda x, y: F.when(F.col("a") <= F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x)
+        out = out.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "shared", turned("size_a", "size_b"), turned("size_b", "size_a"))
+    return out if sizes else out.select("a", "b", "shared")
+
+
+def _shared(least: int, block: int):
+    """From cells (id, rows(side, name, ids, size)): a, b, shared and both sizes of rows of side 0 and 1 (2: both) whose least common number is id."""
+
+    def chunk(key: int, a: np.ndarray, b: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of rows a and rows b of a cell (one list for pairs within it): those that are given, and what they share."""
+        same = a is b
+        rows = a if same else np.r_[a, b]
+        n = at[rows + 1] - at[rows]
+        mine = ids[np.repeat(at[rows] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        row = np.repeat(np.arange(len(rows)), n)
+        found, column, times = np.unique(mine, return_inverse=True, return_counts=True)
+        # numbers that one row has alone are shared with none
+        use = times > 1
+        place = np.cumsum(use) - 1
+        table = np.zeros((len(rows), max(1, int(use.sum()))), np.float32)
+        kept = use[column]
+        table[row[kept], place[column[kept]]] = 1
+        before = table[:, : int(np.count_nonzero(use & (found < key)))]
+        first, second = slice(0, len(a)), slice(0 if same else len(a), None)
+        shared = table[first] @ table[second].T
+        fits = shared >= least
+        if before.shape[1]:
+            fits &= before[first] @ before[second].T == 0
+        if same:
+            fits = np.triu(fits, 1)
+        x, y = np.nonzero(fits)
+        return a[x], b[y], shared[x, y].astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column(1)
             flat, cuts = rows.flatten(), rows.offsets.to_numpy() - rows.offsets[0].as_py()
-            side, names, lists = (flat.field(i) for i in range(3))
+            side, names, lists, sizes = (flat.field(i) for i in range(4))
             side, at, ids = side.to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().to_numpy()
             for key, first, last in zip(batch.column(0).to_numpy(), cuts[:-1], cuts[1:]):
                 own = side[first:last]
-                a, b = np.flatnonzero(own != 1), np.flatnonzero(own != 0)
-                if not len(a) or not len(b):
-                    continue
-                mine = ids[at[first] : at[last]]
-                row = np.repeat(np.arange(last - first), np.diff(at[first : last + 1]))
-                found, column, times = np.unique(mine, return_inverse=True, return_counts=True)
-                # numbers that one row of the cell has alone are shared with none
-                use = times > 1
-                place = np.cumsum(use) - 1
-                table = np.zeros((last - first, max(1, int(use.sum()))), np.float32)
-                kept = use[column]
-                table[row[kept], place[column[kept]]] = 1
-                before = table[:, : int(np.count_nonzero(use & (found < key)))]
-                shared = table[a] @ table[b].T
-                fits = shared >= least
-                if before.shape[1]:
-                    fits &= before[a] @ before[b].T == 0
-                if (own == 2).any():
-                    fits = np.triu(fits, 1)
-                x, y = np.nonzero(fits)
-                if len(x):
-                    take = lambda i: names.take(pa.array(i + first))
-                    yield pa.RecordBatch.from_arrays([take(a[x]), take(b[y]), pa.array(shared[x, y].astype(np.int64))], names=["a", "b", "shared"])
+                parts = lambda x: [x[i : i + block] for i in range(0, len(x), block)]
+                left, both = parts(first + np.flatnonzero(own != 1)), (own == 2).any()
+                right = left if both else parts(first + np.flatnonzero(own != 0))
+                for i, a in enumerate(left):
+                    for b in right[i:] if both else right:
+                        x, y, shared = chunk(key, a, b, at, ids)
+                        if len(x):
+                            take = lambda column, i: column.take(pa.array(i))
+                            yield pa.RecordBatch.from_arrays([take(names, x), take(names, y), pa.array(shared), take(sizes, x), take(sizes, y)], names=["a", "b", "shared", "size_a", "size_b"])
 
     return run
 
 
-def similarity(compared: DataFrame, left: DataFrame, right: DataFrame, k: int) -> DataFrame:
-    """compare's rows with containment (the part of a's hashes that b has), jaccard and identity (what k-mers unchanged in that part leave of a base, containment ** (1 / k))."""
-    a, b = left.select(F.col("name").alias("a"), F.size("hashes").alias("_a")), right.select(F.col("name").alias("b"), F.size("hashes").alias("_b"))
-    held = compared.join(a, "a").join(b, "b")
-    inside = F.col("shared") / F.col("_a")
-    return held.select("a", "b", "shared", F.round(inside, 6).alias("containment"), F.round(F.col("shared") / (F.col("_a") + F.col("_b") - F.col("shared")), 6).alias("jaccard"), F.round(F.pow(inside, F.lit(1.0 / k)), 6).alias("identity"))
+def similarity(compared: DataFrame, k: int) -> DataFrame:
+    """compare's rows (with sizes) with containment (the part of a's hashes that b has), jaccard and identity (what k-mers unchanged in that part leave of a base, containment ** (1 / k)); they are not joined with the sketches."""
+    inside = F.col("shared") / F.col("size_a")
+    return compared.select("a", "b", "shared", F.round(inside, 6).alias("containment"), F.round(F.col("shared") / (F.col("size_a") + F.col("size_b") - F.col("shared")), 6).alias("jaccard"), F.round(F.pow(inside, F.lit(1.0 / k)), 6).alias("identity"))
 
 
 def depths(seqs: DataFrame, k: int) -> DataFrame:

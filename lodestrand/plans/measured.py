@@ -132,7 +132,7 @@ p AS (SELECT a.name AS a, b.name AS b, count(*) AS shared FROM r a JOIN r b ON a
 SELECT a, b, shared, round(shared / x.n, 6) AS containment, round(shared / (x.n + y.n - shared), 6) AS jaccard, round(pow(shared / x.n, 1 / 12), 6) AS identity FROM p JOIN z x ON x.name = a JOIN z y ON y.name = b""")
 def similar_sketches(spark, d):
     own = keep(kmers.sketch(_seqs(spark, d), 12, 32), "sketches")
-    return kmers.similarity(kmers.compare(own, least=6), own, own, 12)
+    return kmers.similarity(kmers.compare(own, least=6, sizes=True), 12)
 
 
 # ------------------------------------------------------- consensus and peaks

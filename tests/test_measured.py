@@ -187,3 +187,18 @@ def test_finer_matrices_decide_where_they_have_seen_enough(spark):
     assert len(new) == 121 and new["s", 0] == 7.0
     rate = lambda wrong, n: (wrong + 1) / (n + 2)
     assert new["r0", 0] == round(-10 * np.log10(rate(20, 40)), 6) and new["r1", 2] == round(-10 * np.log10(rate(30, 40)), 6)
+
+
+def test_compared_sketches_carry_their_sizes(spark, monkeypatch):
+    """Sizes come with the pairs, which are not joined with the sketches again; blocks of several parts meet pairwise."""
+    rng = random.Random(3)
+    rows = [(i, sorted({"common"} | {f"h{rng.randrange(12):02}" for _ in range(rng.randrange(0, 9))})) for i in range(40)]
+    df = spark.createDataFrame(rows, "name int, hashes array<string>")
+    want = sorted((a, b, len({*x} & {*y}), len(x), len(y)) for a, x in rows for b, y in rows if a < b and len({*x} & {*y}) >= 2)
+    for block, blocks in ((3, 2), (2, 1), (5, 16)):
+        monkeypatch.setattr(kmers, "BLOCK", block)
+        monkeypatch.setattr(kmers, "BLOCKS", blocks)
+        found = kmers.compare(df, least=2, sizes=True)
+        assert sorted(tuple(r) for r in found.collect()) == want
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan(kmers.similarity(found, 5)).count("Join") == plan(found).count("Join")
