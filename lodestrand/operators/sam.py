@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrand.functions import seq as S
 
@@ -197,7 +203,7 @@ def pileup(rows: DataFrame, mapq: int = 0, width: int = 4_096, reads: int = 50_0
     """rname, pos, depth and alleles (base and count, in order of base) of rows that pass the usual flags and quality; the base of a place is the read's letter, or - where it is deleted.
 
     Stretches are cut at multiples of ``width`` and shuffled with their letters by these bins, once, into a part for each ``reads`` rows; single bases
-    arise, are counted and gathered within a bin.
+    arise and are counted in arrays, a batch of stretches at once.
     """
     fine = view(rows, exclude=0x704, mapq=mapq)
     parts = max(1, -(-fine.count() // reads))
@@ -205,9 +211,64 @@ def pileup(rows: DataFrame, mapq: int = 0, width: int = 4_096, reads: int = 50_0
     low = F.greatest(F.col("at").cast("long"), F.col("_bin") * width).cast("int")
     high = F.least((F.col("at") + F.col("n")).cast("long"), (F.col("_bin") + 1) * width).cast("int")
     letters = F.when(F.col("read") > 0, F.substr("seq", F.col("read") + low - F.col("at"), high - low))
-    held = cut.select("rname", "_bin", low.alias("low"), (high - low).alias("n"), (F.col("read") == 0).alias("gone"), letters.alias("letters")).repartition(parts, "rname", "_bin")
-    each = held.select("rname", "_bin", "low", "gone", "letters", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    base = F.when(F.col("gone"), "-").otherwise(F.substr("letters", F.col("i") + 1, F.lit(1)))
-    n = each.select("rname", "_bin", (F.col("low") + F.col("i")).alias("pos"), base.alias("base")).groupBy("rname", "_bin", "pos", "base").agg(F.count("*").alias("n"))
-    found = n.groupBy("rname", "_bin", "pos").agg(F.sum("n").alias("depth"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("base", "n"))), lambda x: F.concat(x.base, x.n.cast("string"))), "").alias("alleles"))
-    return found.drop("_bin")
+    held = cut.select("rname", "_bin", low.alias("low"), (high - low).alias("n"), (F.col("read") == 0).alias("gone"), letters.alias("letters")).repartition(parts, "rname", "_bin").sortWithinPartitions("rname", "_bin")
+    return held.mapInArrow(_counted_bases, T.StructType([rows.schema["rname"], T.StructField("pos", T.IntegerType()), T.StructField("depth", T.LongType()), T.StructField("alleles", T.StringType())]))
+
+
+#: A base's number is _FIRST more than its code point; before these come bases that are null and those behind the end of a read.
+_NONE, _BEHIND, _FIRST, _SPAN = 0, 1, 2, 1 << 21
+
+
+def _bases(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Place and base in one number, and row, of all bases of a batch of (low, n, gone, letters)."""
+    low, n = (batch.column(c).to_numpy() for c in ("low", "n"))
+    gone, letters = batch.column("gone").to_numpy(zero_copy_only=False), batch.column("letters")
+    row = np.repeat(np.arange(len(n)), n)
+    i = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    sizes = pc.fill_null(pc.utf8_length(letters), 0).to_numpy(zero_copy_only=False)
+    chars = np.frombuffer("".join(letters.drop_null().to_pylist()).encode("utf-32-le"), np.uint32)
+    base = np.where(pc.is_null(letters).to_numpy(zero_copy_only=False), _NONE, _BEHIND)[row]
+    base[i < sizes[row]] = chars.astype(np.int64) + _FIRST
+    base[gone[row]] = ord("-") + _FIRST
+    return (low[row].astype(np.int64) + i) * _SPAN + base, row
+
+
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, in order, and the sum of n of each."""
+    found, at = np.unique(key, return_inverse=True)
+    return found, np.bincount(at, n, len(found)).astype(np.int64)
+
+
+def _counted_bases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """rname, pos, depth and alleles of stretches in order of rname and bin; of the bin that goes on in the next batch, counts are held."""
+    held = None  # rname (an array of one), bin, keys and counts
+
+    def told(names: pa.Array, own: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        """Rows of counts in order of (own: which of names, key)."""
+        place = key // _SPAN
+        first = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (place[1:] != place[:-1])])
+        base, at = np.unique(key % _SPAN, return_inverse=True)
+        letter = pa.array([chr(b - _FIRST) if b >= _FIRST else "" for b in base.tolist()]).take(pa.array(at))
+        number = pc.if_else(pa.array(key % _SPAN == _NONE), "", pa.array(n).cast(pa.string()))
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[first, len(key)].astype(np.int32)), pc.binary_join_element_wise(letter, number, ""))
+        return pa.RecordBatch.from_arrays([names.take(pa.array(own[first])), pa.array(place[first].astype(np.int32)), pa.array(np.add.reduceat(n, first)), pc.binary_join(lists, "")], names=["rname", "pos", "depth", "alleles"])
+
+    for batch in (part.slice(i, 20_000) for part in batches for i in range(0, len(part), 20_000)):
+        names, bins = batch.column("rname"), batch.column("_bin").to_numpy()
+        code = names.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        start = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (bins[1:] != bins[:-1])])
+        key, row = _bases(batch)
+        # counts by bin (which come in order) and key
+        cuts = np.r_[np.searchsorted(row, start), len(row)]
+        each = [np.unique(key[i:j], return_counts=True) for i, j in zip(cuts[:-1], cuts[1:])]
+        if held is not None:
+            if held[0].equals(names.slice(0, 1)) and held[1] == bins[0]:
+                each[0] = _summed(np.r_[held[2], each[0][0]], np.r_[held[3], each[0][1]])
+            else:
+                yield told(held[0], np.zeros(len(held[2]), np.int64), *held[2:])
+        held = (names.slice(int(start[-1]), 1), bins[start[-1]], *each.pop())
+        if each:
+            own = np.repeat(start[:-1], [len(k) for k, _ in each])
+            yield told(names, own, np.concatenate([k for k, _ in each]), np.concatenate([n for _, n in each]))
+    if held is not None:
+        yield told(held[0], np.zeros(len(held[2]), np.int64), *held[2:])
