@@ -7,13 +7,16 @@ of a candidate are fetched for the common stretch alone and compared in batches
 of numpy.  Sequences that are equal on either strand are one sequence before
 anything is joined.  For containments a first pass tries the FIRST_TRIES longest holders
 of each seed, so a large group of near copies costs a few rows a sequence; the
-second takes all other holders, for those that no longer one was found for.
+second takes all other holders, for those that no longer one was found for
+(with mismatches; without them the longest come first in each cell).
 
 Without mismatches a common stretch holds two ends, one on each side: both of a
 sequence that lies within another, or one of each.  Two sequences then meet
-under the rarer of the two, once, and their stretches are found in a task by
-searching one in the other; places in runs of one letter, where an end stands
-hundreds of times, are never joined.
+under the rarer of the two, in a cell of its own to which both bring their
+bases, so that neither pairs nor bases of pairs are shuffled; their stretches
+are found there by searching one in the other, and each stretch is given under
+one end alone.  Places in runs of one letter, where an end stands hundreds of
+times, are never joined.
 """
 
 from __future__ import annotations
@@ -24,13 +27,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrand.functions import codes
 from lodestrand.functions import seq as S
-from lodestrand.operators.work import keep, settled
+from lodestrand.operators.work import keep, settled, tasks
 
 FIRST_TRIES = 4
-_BASES = frozenset("ACGT")
+#: So many ends and holders of one k-mer meet in a cell, or a BLOCKS-th part of them where that is more, so that no row goes to more than BLOCKS cells.
+BLOCK, BLOCKS = 256, 32
+_COMPLEMENT = str.maketrans("ACGTUMRYKVHDB", "TGCAAKYRMBDHV")  # of capitals, as S.reverse_complement
 
 
 def _differing(mine: str, theirs: str) -> int:
@@ -80,11 +86,16 @@ def _rarity(holders: DataFrame) -> DataFrame:
     return holders.groupBy("kmer").agg(F.count("*").alias("n"))
 
 
-def _meeting(rows: DataFrame, k: int) -> DataFrame:
-    """a, b and reverse of the pairs (a < b) of rows(name, seq) that may have a common stretch without mismatches."""
+def _ends(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Ends (a, first, last, kmer, _af, size and n: in how many sequences they stand) of rows(name, seq), and what holds them (kmer, b, forward, room)."""
     tips = _tips(rows, k).withColumns({"first": F.col("at") == 0, "last": F.col("at") == F.col("size") - k})
     holders = keep(_holders(rows, tips, k).select("kmer", "b", "forward", "room").distinct(), "holders")
-    tips = keep(tips.join(_rarity(holders), "kmer").select("a", "first", "last", "kmer", "_af", "size", "n"), "tips")
+    return keep(tips.join(_rarity(holders), "kmer").select("a", "first", "last", "kmer", "_af", "size", "n"), "tips"), holders
+
+
+def _meeting(rows: DataFrame, k: int) -> DataFrame:
+    """a, b and reverse of the pairs (a < b) of rows(name, seq) that may have a common stretch without mismatches."""
+    tips, holders = _ends(rows, k)
     own = tips.groupBy("a").agg(F.min(F.struct("n", "last")).alias("_least"), F.min(F.when(F.col("first"), F.col("n"))).alias("_n_first"), F.min(F.when(F.col("last"), F.col("n"))).alias("_n_last"))
     met = tips.join(own.select("a", "_least"), "a").join(holders.join(own.select(F.col("a").alias("b"), "_n_first", "_n_last"), "b", "left"), "kmer").where("a <> b").withColumn("reverse", F.col("_af") != F.col("forward"))
     # a within b holds both ends of a: they meet under the rarer one
@@ -102,48 +113,123 @@ def _all_places(part: str, whole: str) -> Iterator[int]:
         at = whole.find(part, at + 1)
 
 
-def _exact_offsets(a: str, b: str, k: int, least: int) -> list[int]:
-    """Where a may begin in b (before it: under 0), so that all of the common stretch is equal, ``least`` bases or more, and begins or ends with k of A, C, G and T."""
-    found = set()
-    if len(a) <= len(b):
-        found.update(_all_places(a, b))
-    if len(b) <= len(a):
-        found.update(-at for at in _all_places(b, a))
-    found.update(-at for at in _all_places(b[:k], a) if len(a) - at < len(b) and b.startswith(a[at:]))
-    found.update(at for at in _all_places(a[:k], b) if len(b) - at < len(a) and a.startswith(b[at:]))
-
-    def fits(offset: int) -> bool:
-        first, last = max(offset, 0), min(offset + len(a), len(b))
-        return last - first >= least and (_BASES.issuperset(b[first : first + k]) or _BASES.issuperset(b[last - k : last]))
-
-    return sorted(filter(fits, found))
+def _cells(tips: DataFrame, holders: DataFrame, rows: DataFrame) -> DataFrame:
+    """Ends and their holders, with the bases of rows(name, seq), by k-mer and block: in each cell first its part of tips(kmer, name, forward, ...), then those of holders(kmer, name, forward, ...) that meet them, the longest first."""
+    count = lambda df, c: df.groupBy("kmer").agg(F.count("*").alias(c))
+    sizes = keep(count(tips, "_t").join(count(holders, "_h"), "kmer"), "sizes")
+    pairs = sizes.agg(F.sum(F.col("_t") * F.col("_h"))).first()[0]
+    blocks = lambda c: F.least(F.ceil(F.col(c) / BLOCK), F.lit(BLOCKS)).cast("int")
+    own = lambda c: F.pmod(F.xxhash64("name"), blocks(c).cast("long")).cast("int")
+    dealt = lambda df, side, mine, other: df.join(sizes, "kmer").join(rows, "name").withColumns({"_side": F.lit(side), "_own": own(mine), "_other": F.explode(F.sequence(F.lit(0), blocks(other) - 1))}).drop("_t", "_h")
+    first = dealt(tips, 0, "_t", "_h").withColumnsRenamed({"_own": "_i", "_other": "_j"})
+    second = dealt(holders, 1, "_h", "_t").withColumnsRenamed({"_own": "_j", "_other": "_i"})
+    both = first.unionByName(second, allowMissingColumns=True)
+    return both.repartition(4 * tasks(pairs), "kmer", "_i", "_j").sortWithinPartitions("kmer", "_i", "_j", "_side", F.desc(F.length("seq")))
+
+
+class _Cell:
+    """Rows of _cells of one task as they come: the ends of a cell are held while its holders pass by."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]) -> None:
+        self.batches = batches
+
+    def holders(self) -> Iterator[tuple[list[dict], dict]]:
+        """Each holder with the ends that it meets, whose list may be changed."""
+        cell, tips = None, []
+        for batch in (part.slice(i, 1_024) for part in self.batches for i in range(0, len(part), 1_024)):
+            self.kind = batch.schema.field("name").type
+            for row in batch.to_pylist():
+                if (at := (row["kmer"], row["_i"], row["_j"])) != cell:
+                    cell, tips = at, []
+                if row["_side"]:
+                    yield tips, row
+                else:
+                    row["back"] = None
+                    tips.append(row)
+
+
+def _laid(tip: dict, reverse: bool) -> str:
+    """The bases of an end's sequence, turned if need be."""
+    if not reverse:
+        return tip["seq"]
+    if tip["back"] is None:
+        tip["back"] = tip["seq"].translate(_COMPLEMENT)[::-1]
+    return tip["back"]
+
+
+def _stretches(tip: dict, holder: dict, reverse: bool, k: int, least: int) -> Iterator[int]:
+    """Where an end's sequence may begin in a holder (before it: under 0), of the stretches that are given under this end.
+
+    One that lies within the holder is given under its rarer end; where an end of one is an end of the other, the rarer of
+    these two gives it (of equally rare ones the smaller code, of the same the smaller name).
+    """
+    own, other = _laid(tip, reverse), holder["seq"]
+    if tip["rarer"] and len(own) < len(other):
+        yield from _all_places(own, other)
+    mine = (tip["n"], tip["kmer"], tip["name"])
+    before, behind = (tip["first"], tip["last"]) if reverse else (tip["last"], tip["first"])
+    if before and (holder["n_first"] is None or mine < (holder["n_first"], holder["k_first"], holder["name"])):
+        for at in _all_places(other[:k], own):
+            if at and least <= len(own) - at < len(other) and other.startswith(own[at:]):
+                yield -at
+    if behind and (holder["n_last"] is None or mine < (holder["n_last"], holder["k_last"], holder["name"])):
+        for at in _all_places(own[:k], other):
+            if at and least <= len(other) - at < len(own) and own.startswith(other[at:]):
+                yield at
 
 
 def _exact(rows: DataFrame, k: int, least: int) -> DataFrame:
-    """a, b, reverse, offset, size and room of all common stretches without mismatches of pairs of rows(name, seq)."""
-    a = rows.select(F.col("name").alias("a"), F.col("seq").alias("_a"))
-    b = rows.select(F.col("name").alias("b"), F.col("seq").alias("_b"))
-    both = _meeting(rows, k).join(a, "a").withColumn("_a", F.when(F.col("reverse"), S.reverse_complement(F.col("_a"))).otherwise(F.col("_a"))).join(b, "b")
-    both = both.select("a", "b", "reverse", F.length("_a").alias("size"), F.length("_b").alias("room"), "_a", "_b")
+    """a, b, reverse, offset, size and room of all common stretches without mismatches of pairs of rows(name, seq), each once."""
+    tips, holders = _ends(rows, k)
+    end = lambda which: F.min(F.when(F.col(which), F.struct("n", "kmer"))).alias(f"_{which}")
+    own = keep(tips.groupBy(F.col("a").alias("name")).agg(F.min(F.struct("n", "last")).alias("_least"), end("first"), end("last")), "own")
+    some = tips.where("n > 1").withColumnRenamed("a", "name").join(own.select("name", "_least"), "name")
+    some = some.select("kmer", "name", F.col("_af").alias("forward"), "first", "last", "n", (F.struct("n", "last") == F.col("_least")).alias("rarer"))
+    told = own.select("name", *[F.col(f"_{e}.{c}").alias(f"{c[0]}_{e}") for e in ("first", "last") for c in ("n", "kmer")])
+    among = holders.select("kmer", F.col("b").alias("name"), "forward").join(told, "name", "left")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own, offsets = [], []
-            for i, (x, y) in enumerate(zip(batch.column(5).to_pylist(), batch.column(6).to_pylist())):
-                at = _exact_offsets(x, y, k, least)
-                own += [i] * len(at)
-                offsets += at
-            yield batch.drop_columns(["_a", "_b"]).take(pa.array(own, pa.int64())).append_column("offset", pa.array(offsets, pa.int32()))
-
-    return both.mapInArrow(search, both.drop("_a", "_b").schema.add("offset", "integer"))
+        out, cells = [], _Cell(batches)
+
+        def given() -> pa.RecordBatch:
+            a, b, *rest = map(list, zip(*out))
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a, cells.kind), pa.array(b, cells.kind), *map(pa.array, rest[:1]), *(pa.array(c, pa.int32()) for c in rest[1:])], names=["a", "b", "reverse", "offset", "size", "room"])
+
+        for tips, holder in cells.holders():
+            for tip in tips:
+                a, b = tip["name"], holder["name"]
+                if a == b:
+                    continue
+                reverse, size, room = tip["forward"] != holder["forward"], len(tip["seq"]), len(holder["seq"])
+                for at in _stretches(tip, holder, reverse, k, least):
+                    # of the two ways to tell a pair, the one by the smaller name
+                    out.append((a, b, reverse, at, size, room) if a < b else (b, a, reverse, size - room + at if reverse else -at, room, size))
+            if len(out) > 50_000:
+                yield given()
+        if out:
+            yield given()
+
+    kind = rows.schema["name"].dataType
+    whole = [T.StructField(c, T.IntegerType()) for c in ("offset", "size", "room")]
+    return _cells(some, among, rows).mapInArrow(search, T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("reverse", T.BooleanType()), *whole]))
+
+
+def _within(tips: DataFrame, holders: DataFrame, rows: DataFrame) -> DataFrame:
+    """name of each a of tips(a, kmer, _af) that stands in a longer one of holders(b, kmer, forward), turned if need be."""
 
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = _Cell(batches)
+        for tips, holder in cells.holders():
+            room, seq, forward = len(holder["seq"]), holder["seq"], holder["forward"]
+            inside = [t for t in tips if len(t["seq"]) < room and _laid(t, t["forward"] != forward) in seq]
+            if inside:
+                # one that lies within another is asked for no more
+                tips[:] = [t for t in tips if not any(t is x for x in inside)] if len(inside) < len(tips) else []
+                yield pa.RecordBatch.from_arrays([pa.array([t["name"] for t in inside], cells.kind)], names=["name"])
 
-def _within(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """name of each a of pairs(a, b, reverse) that stands in b, turned if need be."""
-    a = rows.select(F.col("name").alias("a"), F.col("seq").alias("_a"))
-    b = rows.select(F.col("name").alias("b"), F.col("seq").alias("_b"))
-    turned = F.when(F.col("reverse"), S.reverse_complement(F.col("_a"))).otherwise(F.col("_a"))
-    return pairs.join(a, "a").join(b, "b").where(F.contains(F.col("_b"), turned)).select(F.col("a").alias("name")).distinct()
+    some, among = tips.select("kmer", F.col("a").alias("name"), F.col("_af").alias("forward")), holders.select("kmer", F.col("b").alias("name"), "forward")
+    return _cells(some, among, rows).mapInArrow(search, T.StructType([T.StructField("name", rows.schema["name"].dataType)])).distinct()
 
 
 def _different(seqs: DataFrame, least: int) -> DataFrame:
@@ -196,14 +282,12 @@ def contained(seqs: DataFrame, least: int = 100, k: int = 29, mismatches: int =
         if not mismatches:
             # both ends of a sequence stand in what holds it: the rarer one is enough
             rarer = Window.partitionBy("a").orderBy("n", "at")
-            tips = keep(tips.join(_rarity(holders), "kmer").withColumn("_n", F.row_number().over(rarer)).where("_n = 1").drop("n", "_n"), "tips")
-        order = Window.partitionBy("kmer").orderBy(F.desc("room"), "b", "pos" if mismatches else "forward")
+            tips = keep(tips.join(_rarity(holders), "kmer").withColumn("_n", F.row_number().over(rarer)).where("_n = 1 and n > 1").drop("n", "_n"), "tips")
+            return rows.select("name").join(_within(tips, holders, rows), "name", "left_anti")
+        order = Window.partitionBy("kmer").orderBy(F.desc("room"), "b", "pos")
         longest = holders.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= FIRST_TRIES).drop("_n")
 
         def inside(some: DataFrame, among: DataFrame) -> DataFrame:
-            if not mismatches:
-                pairs = some.join(among, "kmer").where("room > size").select("a", "b", (F.col("_af") != F.col("forward")).alias("reverse")).distinct()
-                return _within(pairs, rows)
             met = _met(some, among).where("(room > size or room = size and b < a) and offset >= 0 and offset + size <= room")
             pairs = met.select("a", "b", "reverse", "offset", F.col("offset").alias("start"), F.col("size").alias("length")).distinct()
             return _verified(pairs, rows, mismatches).select(F.col("a").alias("name")).distinct()

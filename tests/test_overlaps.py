@@ -129,3 +129,23 @@ def test_clusters_by_words_as_numbers(spark, k):
     unknown = [(50, "N" * (k + 3)), (51, "N" * (k + 4))] if k <= 31 else []
     got = {r.name: r.cluster for r in depths.clusters(spark.createDataFrame(rows + unknown, "name long, seq string"), k).collect()}
     assert got == root | {n: n for n, _ in unknown}
+
+
+@pytest.mark.parametrize("block, blocks", [(2, 3), (1, 100), (256, 32)])
+def test_pairs_meet_in_cells_with_their_bases(spark, monkeypatch, block, blocks):
+    """Many ends and holders of one k-mer in small cells: every stretch once, as plain comparison; a row goes to a bounded number of cells, and no pair is shuffled."""
+    monkeypatch.setattr(overlaps, "BLOCK", block)
+    monkeypatch.setattr(overlaps, "BLOCKS", blocks)
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choices("ACGT", k=n))
+    shared = word(14)
+    rows = [(i, word(rng.randrange(3, 20)) + shared) for i in range(8)] + [(20 + i, shared + word(rng.randrange(3, 20))) for i in range(8)] + [(40 + i, "R" + word(9) + turned(shared) + word(9)) for i in range(4)]
+    rows += [(60, rows[0][1] + "TTT"), (61, turned(rows[9][1] + "GAG")), (62, "A" * 40), (63, "A" * 31 + "C" * 20), (64, "C" * 25 + "G" * 25)]
+    df = spark.createDataFrame(rows, "name long, seq string")
+    seqs, edges = plain_edges(rows, 11, 12, 0)
+    found = [tuple(r) for r in overlaps.edges(df, 11, 12).collect()]
+    assert len(found) == len(set(found)) and set(found) == edges and len(edges) > 60
+    plain = sorted(a for a, s in seqs if not any(b != a and len(t) > len(s) and (s in t or turned(s) in t) for b, t in seqs))
+    assert sorted(r.name for r in overlaps.contained(df, 12, 11).collect()) == plain
+    plan = overlaps._exact(overlaps._different(df, 12), 11, 12)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" not in plan[: plan.index("MapInArrow")] and "Exchange" not in plan[: plan.index("MapInArrow")]
